@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import byte_bpe, packing, token_counts
+from ledgerloom.llm import byte_bpe, packing, suffix_dedup, token_counts
 
 QUERIES = {
     "op3_packing": packing.op3_packing,
     "op5_token_counts": token_counts.op5_token_counts,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
+    "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
