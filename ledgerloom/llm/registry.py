@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import byte_bpe, packing, suffix_dedup, token_counts
+from ledgerloom.llm import byte_bpe, near_dedup, packing, suffix_dedup, token_counts
 
 QUERIES = {
+    "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_packing": packing.op3_packing,
     "op5_token_counts": token_counts.op5_token_counts,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
