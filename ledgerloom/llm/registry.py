@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import byte_bpe, near_dedup, packing, suffix_dedup, token_counts
+from ledgerloom.llm import byte_bpe, near_dedup, packing, quality_rules, suffix_dedup, token_counts
 
 QUERIES = {
+    "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_packing": packing.op3_packing,
     "op5_token_counts": token_counts.op5_token_counts,
@@ -12,4 +13,6 @@ QUERIES = {
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": quality_rules.ORACLE_SQL,
+}
