@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import byte_bpe, near_dedup, packing, quality_rules, suffix_dedup, token_counts
+from ledgerloom.llm import byte_bpe, near_dedup, packing, quality_rules, sharding, spot_signatures, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_packing": packing.op3_packing,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op6_sharding": sharding.op6_sharding,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
+    "op8_spot_signatures": spot_signatures.op8_spot_signatures,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
