@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import byte_bpe, near_dedup, packing, quality_rules, sharding, spot_signatures, suffix_dedup, token_counts
+from ledgerloom.llm import byte_bpe, near_dedup, packing, quality_rules, sharding, spot_signatures, suffix_dedup, token_counts, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_sharding": sharding.op6_sharding,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_spot_signatures": spot_signatures.op8_spot_signatures,
+    "op9_warc": warc.op9_warc,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
