@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import byte_bpe, near_dedup, packing, quality_rules, sharding, spot_signatures, suffix_dedup, token_counts, warc
+from ledgerloom.llm import byte_bpe, language_id, near_dedup, packing, quality_rules, sharding, spot_signatures, suffix_dedup, token_counts, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_packing": packing.op3_packing,
+    "op4_language_id": language_id.op4_language_id,
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_sharding": sharding.op6_sharding,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
