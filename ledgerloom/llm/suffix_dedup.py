@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import fresh_path, materialise, partitions_for
 from ledgerloom.llm.deep_shallow import sort_suffixes
-from ledgerloom.llm.rolling import Hashes, column_bytes, row_groups
+from ledgerloom.llm.rolling import BYTE_VALUES, Hashes, column_bytes, mix, row_groups
 
 WINDOW, GRAM = 50, 18
 SPAN = WINDOW - GRAM + 1
@@ -47,14 +47,14 @@ BATCH = 12 << 20
 #: Entries of one anchor in one task above which its windows are dealt out.
 HOT_ANCHOR = 20_000
 #: Strings whose windows are sorted at once.
-SORTED_TOGETHER = 40_000
+SORTED_TOGETHER = 20_000
 ASK, MARK = 0, 1
 _ROWS = "part int, kind int, doc_id long, tkey long, data binary"
 _ARROW = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("tkey", pa.int64()), ("data", pa.binary())])
 
 
-def runs_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, start, length, anchor hash) of the runs of the texts data[offsets[i]:offsets[i+1]]; starts count from the text's first byte."""
+def runs_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(row, start, length, anchor hash, content hash) of the runs of the texts data[offsets[i]:offsets[i+1]]; starts count from the text's first byte."""
     # Long texts are cut into segments that share WINDOW - 1 bytes; short ones lie together.
     first, last, row = [], [], []
     for i, (s, e) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
@@ -72,15 +72,16 @@ def runs_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
         segments = np.array(first[i:j]), np.array(last[i:j])
         chunk = np.concatenate([data[s:e] for s, e in zip(*segments, strict=True)])
         begins = np.concatenate(([0], np.cumsum(segments[1] - segments[0])))
-        starts, lengths, anchors = _chunk_runs(chunk, begins)
+        starts, lengths, anchors, contents = _chunk_runs(chunk, begins)
         k = np.searchsorted(begins, starts, side="right") - 1
         rows = np.array(row[i:j])[k]
-        yield rows, starts - begins[k] + segments[0][k] - offsets[rows], lengths, anchors
+        yield rows, starts - begins[k] + segments[0][k] - offsets[rows], lengths, anchors, contents
         i = j
 
 
-def _chunk_runs(chunk: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    grams = Hashes(chunk).grams(GRAM)
+def _chunk_runs(chunk: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, ...]:
+    hashes = Hashes(chunk)
+    grams = hashes.grams(GRAM)
     places = np.uint64((1 << PLACE_BITS) - 1)
     least = grams & ~places
     least |= np.arange(len(least), dtype=np.uint64)
@@ -98,7 +99,7 @@ def _chunk_runs(chunk: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.n
     new = np.flatnonzero(np.concatenate(([True], (np.diff(windows) != 1) | (np.diff(anchor) != 0)))) if len(windows) else windows
     starts = windows[new]
     lengths = np.diff(np.append(new, len(windows))) + WINDOW - 1
-    return starts, lengths, grams[anchor[new]] >> np.uint64(PLACE_BITS)
+    return starts, lengths, grams[anchor[new]] >> np.uint64(PLACE_BITS), hashes.of(starts, starts + lengths) + lengths.astype(np.uint64)
 
 
 def _matrix(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -108,6 +109,14 @@ def _matrix(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     return rows * (np.arange(WIDTH) < lengths[:, None]).astype(np.uint8)
 
 
+def _row_hashes(rows: np.ndarray) -> np.ndarray:
+    """A hash of each row of bytes, a column at a time to spare memory."""
+    h = np.zeros(len(rows), dtype=np.uint64)
+    for column in rows.T:
+        h = h * np.uint64(0x100000001B3) + BYTE_VALUES[column]
+    return mix(h)
+
+
 def _settle(key: np.ndarray, doc: np.ndarray, same: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(kept, later): rows with the bytes, checked by ``same``, of a row of the same key and a smaller document are later; all others are kept."""
     order = np.lexsort((doc, key))
@@ -179,11 +188,9 @@ def _find(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
         some = list(runs_of(data, offsets))
         if not some:
             return
-        row, start, length, anchor = map(np.concatenate, zip(*some, strict=True))
+        row, start, length, anchor, key = map(np.concatenate, zip(*some, strict=True))
         at = offsets[row] + start
         data = data[: offsets[-1]]
-        local = Hashes(data[offsets[0] :])
-        key = local.of(at - offsets[0], at - offsets[0] + length) + length.astype(np.uint64)
         same = lambda a, b: (length[a] == length[b]) & (_matrix(data, at[a], length[a]) == _matrix(data, at[b], length[b])).all(axis=1)
         kept, later = _settle(key, doc_ids[row], same)
         yield from _by_document(MARK, doc_ids[row[later]], tkeys[row[later]], np.stack((start[later], start[later] + length[later]), axis=1))
@@ -245,7 +252,7 @@ def _send(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
         some = list(runs_of(data, offsets))
         if not some:
             return
-        row, start, length, anchor = map(np.concatenate, zip(*some, strict=True))
+        row, start, length, anchor, _ = map(np.concatenate, zip(*some, strict=True))
         place = row.astype(np.int64) << 32 | start
         wanted = np.concatenate([x + (i << 33) for i, x in enumerate(asked)])
         cold, hot = (np.isin(place, wanted[wanted & 1 == odd] >> 1) for odd in (0, 1))
@@ -255,9 +262,9 @@ def _send(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
         row_h = np.repeat(row[hot], many)
         start_h = np.repeat(start[hot], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         at = offsets[row_h] + start_h
-        key_h = Hashes(data[offsets[0] :]).of(at - offsets[0], at - offsets[0] + WINDOW) if len(at) else np.zeros(0, np.uint64)
-        text = lambda x: _matrix(data, at[x], np.full(len(x), WINDOW))
-        kept, later = _settle(key_h, doc_ids[row_h], lambda a, b: (text(a) == text(b)).all(axis=1))
+        text = _matrix(data, at, np.full(len(at), WINDOW))
+        key_h = _row_hashes(text)
+        kept, later = _settle(key_h, doc_ids[row_h], lambda a, b: (text[a] == text[b]).all(axis=1))
         yield from _by_document(MARK, doc_ids[row_h[later]], tkeys[row_h[later]], np.stack((start_h[later], start_h[later] + WINDOW), axis=1))
         row_h, start_h, key_h = row_h[kept], start_h[kept], key_h[kept]
         row, start, key = np.concatenate((row_c, row_h)), np.concatenate((start_c, start_h)), np.concatenate((key_c, key_h))
@@ -288,10 +295,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows.clear()
     start, length = start.astype(np.int64), length.astype(np.int64)
     flat = strings.ravel()
-    whole = Hashes(flat)
-    at = np.arange(len(key)) * WIDTH
     # Shorter strings end in zeros; the length tells them from strings with zeros of their own.
-    content = whole.of(at, at + WIDTH) + length.astype(np.uint64)
+    content = _row_hashes(strings) + length.astype(np.uint64)
     same = lambda a, b: (length[a] == length[b]) & (strings[a] == strings[b]).all(axis=1)
     kept, later = _settle(content, doc, same)
     yield from _by_document(MARK, doc[later], tkey[later], np.stack((start[later], start[later] + length[later]), axis=1))
