@@ -10,7 +10,10 @@ stops when no later level could lower a place.
    smallest of its bucket, and pairs are verified on the full sets.
 3. Verified links are grouped by union-find. In buckets whose members are not
    in one group yet, members of different groups are compared too, in blocks,
-   by length and signature, and again verified on the full sets.
+   on the full sets; of the links found there a spanning forest goes on.
+
+Joins with texts always shuffle, whatever the sizes: the plan is the same for
+every input.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import materialise
-from ledgerloom.llm.components import components
+from ledgerloom.llm.components import components, union
 from ledgerloom.llm.rolling import Hashes, column_bytes, mix, row_groups
 
 SHINGLE = 5
@@ -32,10 +35,8 @@ PERCENT = 75
 #: At similarity 0.75, a pair shares none of 32 bands of 4 with a probability of 5e-6.
 BANDS, ROWS = 32, 4
 PLACES = BANDS * ROWS
-#: Of equal places in two signatures; at similarity 0.75 fewer have a probability of about 1e-6.
-FEWEST_EQUAL = 72
-#: Members of a bucket that are compared in one block.
-BLOCK = 512
+#: Members of a bucket that are compared in one block, and shingles that are counted at once.
+BLOCK, COLUMNS = 1024, 4096
 #: Bytes of text whose signatures are made at once.
 BATCH = 1 << 20
 
@@ -110,7 +111,7 @@ def super_min_hash(row: np.ndarray, h: np.ndarray, n_rows: int, places: int = PL
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to (doc_id, n_shingles, set_1, set_2, bands, signature)."""
+    """(doc_id, text) to (doc_id, n_shingles, set_1, set_2, bands)."""
     for batch in batches:
         data, offsets = column_bytes(batch.column(1))
         for i, j in row_groups(offsets, BATCH):
@@ -124,22 +125,20 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((2, n), dtype=np.uint64)
             np.add.at(sums[0], row, mix(h ^ _GOLDEN))
             np.add.at(sums[1], row, mix(h + _GOLDEN))
-            short = mix(best).astype(np.uint16)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(i, n),
                     pa.array(np.bincount(row, minlength=n)),
                     *(pa.array(s.view(np.int64)) for s in sums),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel().view(np.int64))),
-                    pa.array([x.tobytes() for x in short], pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_1", "set_2", "bands", "signature"],
+                names=["doc_id", "n_shingles", "set_1", "set_2", "bands"],
             )
 
 
 def signatures(docs: DataFrame) -> DataFrame:
     """A row for each row of ``docs``. A null or empty text, or one of white space, has n_shingles 0."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_signed, "doc_id long, n_shingles long, set_1 long, set_2 long, bands array<long>, signature binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_signed, "doc_id long, n_shingles long, set_1 long, set_2 long, bands array<long>")
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,63 +157,76 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The links among ``pairs`` (a, b), by the full sets of both texts."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = materialise(texts, "texts_of_pairs")
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")), "b")
+    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
+    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
+    both = b.join(a.join(pairs.hint("shuffle_hash"), "a"), "b")
     return both.select("a", "b", "a_text", "b_text").mapInArrow(_verified, "a long, b long")
 
 
+def _block_links(doc: np.ndarray, component: np.ndarray, left: np.ndarray, right: np.ndarray, texts: pa.Array) -> list[tuple[int, int]]:
+    """A spanning forest of the links between members ``left`` and ``right`` (masks) of different components, on the full sets."""
+    row, h = shingle_sets(*column_bytes(texts))
+    n = np.bincount(row, minlength=len(doc))
+    # Members of the largest component need no comparison among themselves.
+    labels, sizes = np.unique(component, return_counts=True)
+    few = np.flatnonzero(component != labels[sizes.argmax()])
+    place, count = np.unique(h, return_inverse=True, return_counts=True)[1:]
+    shared = count[place] > 1
+    row, place = row[shared], np.unique(place[shared], return_inverse=True)[1] if shared.any() else place[shared]
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    common = np.zeros((len(few), len(doc)), dtype=np.float32)
+    for begin in range(0, int(place[-1]) + 1 if len(place) else 0, COLUMNS):
+        i, j = np.searchsorted(place, [begin, begin + COLUMNS])
+        held = np.zeros((len(doc), COLUMNS), dtype=np.float32)
+        held[row[i:j], place[i:j] - begin] = 1
+        common += held[few] @ held.T
+    linked = (100 * common >= PERCENT * (n[few][:, None] + n[None, :] - common)) & (common > 0) & (component[few][:, None] != component[None, :])
+    linked &= left[few][:, None] & right[None, :] | right[few][:, None] & left[None, :]
+    parent: dict[int, int] = {}
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
+        if union(parent, int(component[few[i]]), int(component[j])):
+            out.append((int(max(doc[few[i]], doc[j])), int(min(doc[few[i]], doc[j]))))
+    return out
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, x, y, side, doc_id, n_shingles, component, signature), sorted by (key, x, y), to pairs of different components that may be links."""
-    open_rows: list[pa.RecordBatch] = []
-
-    def pairs(rows: pa.Table) -> pa.RecordBatch:
-        x, y, side, doc, n, component = (rows.column(i).to_numpy() for i in range(1, 7))
-        own = np.frombuffer(b"".join(rows.column(7).to_pylist()), dtype=np.uint16).reshape(len(doc), PLACES)
-        left = np.flatnonzero(side == x)
-        right = np.flatnonzero(side == y)
-        found = []
-        for i in left.tolist():
-            j = right[(component[right] != component[i]) & (doc[right] < doc[i] if x[0] == y[0] else np.full(len(right), True))]
-            j = j[100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i])]
-            j = j[(own[j] == own[i]).sum(axis=1) >= FEWEST_EQUAL]
-            found += [(max(doc[i], d), min(doc[i], d)) for d in doc[j].tolist()]
+    """Rows (key, x, y, side, doc_id, component, text), sorted by (key, x, y), to links between different components."""
+    held: list[pa.RecordBatch] = []
+
+    def links(rows: pa.Table) -> pa.RecordBatch:
+        x, y, side, doc, component = (rows.column(i).to_numpy() for i in range(1, 6))
+        found = _block_links(doc, component, side == x, side == y, rows.column(6).combine_chunks())
         return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     for batch in batches:
-        open_rows.append(batch)
         marks = np.stack([batch.column(i).to_numpy() for i in range(3)])
-        cuts = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
-        if len(open_rows) > 1 and [c.to_numpy()[-1] for c in open_rows[-2].columns[:3]] != marks[:, 0].tolist():
-            yield pairs(pa.Table.from_batches(open_rows[:-1]))
-            open_rows = open_rows[-1:]
-        if len(cuts):
-            table = pa.Table.from_batches(open_rows)
-            before = len(table) - len(batch)
-            ends = [before + c for c in cuts.tolist()]
-            for i, j in zip([0, *ends[:-1]], ends, strict=True):
-                yield pairs(table.slice(i, j - i).combine_chunks())
-            open_rows = [batch.slice(int(cuts[-1]))]
-    if open_rows and sum(map(len, open_rows)):
-        yield pairs(pa.Table.from_batches(open_rows))
-
-
-def _across(buckets: DataFrame, grouped: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a bucket, are in different components so far and may be links.
-
-    Buckets are compared in blocks: each pair of blocks of a bucket is a task's work, and no member is left out.
+        cuts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist(), len(batch)]
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            if held and [c[0].as_py() for c in held[0].columns[:3]] != marks[:, i].tolist():
+                yield links(pa.Table.from_batches(held))
+                held = []
+            held.append(batch.slice(i, j - i))
+    if held:
+        yield links(pa.Table.from_batches(held))
+
+
+def _across(buckets: DataFrame, grouped: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) of documents that share a bucket and are in different components so far: enough of them to connect what is linked.
+
+    Buckets are compared in blocks: each pair of blocks of a bucket is a task's work, and no member is left out. Of buckets with the same members one is enough.
     """
     labelled = buckets.join(grouped, buckets.doc_id == grouped.node, "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).filter("low < high")
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("who")).filter("low < high")
+    mixed = mixed.groupBy("size", "who").agg(F.min("key").alias("key"))
     members = labelled.join(mixed.select("key", F.ceil(F.col("size") / BLOCK).alias("blocks")), "key").withColumn("side", F.pmod(F.xxhash64("doc_id"), "blocks"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = members.select("key", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "doc_id", "component")
-    members = members.join(signed.select("doc_id", "n_shingles", "signature"), "doc_id")
-    rows = members.select("key", "x", "y", "side", "doc_id", "n_shingles", "component", "signature")
-    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_compared, "a long, b long").distinct()
+    rows = texts.join(members.hint("shuffle_hash"), "doc_id").select("key", "x", "y", "side", "doc_id", "component", "text")
+    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_compared, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -233,13 +245,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = buckets.groupBy("key").agg(F.min("doc_id").alias("center"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     buckets = materialise(buckets.join(shared, "key").select("key", "doc_id", "center"), "buckets")
     pairs = materialise(buckets.filter("doc_id > center").select(F.col("doc_id").alias("a"), F.col("center").alias("b")).distinct(), "pairs")
-    links = materialise(_verify(pairs, docs), "links")
+    # Texts of the documents that share a bucket with another; all others are linked with nothing.
+    wanted = buckets.select("doc_id").distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = materialise(texts, "texts_of_buckets")
+    links = materialise(_verify(pairs, texts), "links")
     grouped = components(copies.unionByName(links))
-    more = _across(buckets.select("key", "doc_id"), grouped, firsts).join(pairs, ["a", "b"], "left_anti")
-    more = materialise(more, "more_pairs")
+    more = materialise(_across(buckets.select("key", "doc_id"), grouped, texts), "more_links")
     if more.take(1):
-        links = links.unionByName(materialise(_verify(more, docs), "more_links"))
-        grouped = components(copies.unionByName(links))
+        grouped = components(copies.unionByName(links).unionByName(more))
     return signed.select("doc_id", "n_shingles").join(grouped, F.col("doc_id") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
