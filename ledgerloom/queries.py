@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
+import struct
+import zlib
 from collections.abc import Callable
 
 import pandas as pd
@@ -11,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import canonical_json as cj
 from ledgerloom.functions import text as T
 from ledgerloom.operators import audit, decisions, destinations, duplicates, grouping, merging
+from ledgerloom.sources import cards
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -599,9 +604,10 @@ def execution_counts(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy(result.alias("result")).agg(F.count(F.lit(1)).alias("files"))
 
 
-@query(r"SELECT doc_id::VARCHAR AS name, 'email address' AS label FROM documents WHERE len(list_filter(regexp_extract_all(text, '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b'), lambda m: NOT regexp_matches(m, '(?i)@(?:[A-Z0-9-]+\.)*example(?:\.[A-Z]{2,})?\b'))) > 0")
+@query(r"SELECT doc_id::VARCHAR AS name, 'email address' AS label FROM documents WHERE len(list_filter(regexp_extract_all(replace(text, 'example', 'sample'), '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b'), lambda m: NOT regexp_matches(m, '(?i)@(?:[A-Z0-9-]+\.)*example(?:\.[A-Z]{2,})?\b'))) > 0")
 def content_scan(spark, sf_dir):
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("name"), "text")
+    """Addresses at example domains are allowed; under another name they are found."""
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("name"), F.replace("text", F.lit("example"), F.lit("sample")).alias("text"))
     return audit.content_failures(texts, "name", "text").filter("label = 'email address'")
 
 
@@ -611,3 +617,116 @@ def link_check(spark, sf_dir):
     links = table(spark, sf_dir, "pages").select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('href="(/[^"#]+)"'), F.lit(1)))).alias("link"))
     known = table(spark, sf_dir, "region").select(F.concat(F.lit("/"), "r_name").alias("path")).unionByName(spark.createDataFrame([("/The",), ("/the",), ("/of",)], "path string"))
     return audit.broken_links(links.withColumn("resolved", F.col("link")), known).select("page_id", "link")
+
+
+# --- Card files and lines, made from the tables and read back.
+
+
+def _card_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = file_records(spark, sf_dir)
+    card = F.struct(F.lit("chara_card_v2").alias("spec"), F.struct("name", F.col("text").alias("description"), F.array("lang", "creator").alias("tags"), F.col("ordinal").alias("create_date")).alias("data"))
+    return r.select("relative_path", "ordinal", F.to_json(card).alias("json"))
+
+
+def _as_png(payload: str) -> bytes:
+    body = b"chara\0" + base64.b64encode(payload.encode())
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    return cards.SIGNATURE + chunk(b"IHDR", bytes(13)) + chunk(b"tEXt", body) + chunk(b"IEND", b"")
+
+
+@query(RECORDS + " SELECT relative_path, CASE WHEN ordinal % 5 = 0 THEN 'corrupt_png' ELSE 'valid' END AS status, CASE WHEN ordinal % 5 <> 0 THEN name END AS name, CASE WHEN ordinal % 5 <> 0 THEN lang || ',' || creator END AS tags, CASE WHEN ordinal % 5 <> 0 THEN sha256(text) END AS description_sha256 FROM records")
+def png_decode(spark, sf_dir):
+    """Documents as PNG cards, every fifth with a damaged byte, decoded."""
+
+    def decoded(batches):
+        for batch in batches:
+            rows = []
+            for path, ordinal, payload in zip(batch.relative_path, batch.ordinal, batch.json, strict=True):
+                data = bytearray(_as_png(payload))
+                data[60] ^= ordinal % 5 == 0
+                row = cards.decode(path, bytes(data), ".png")
+                card = row["card"] or {}
+                rows.append((path, row["status"], card.get("name"), ",".join(card["tags"]) if card else None, hashlib.sha256(card["description"].encode()).hexdigest() if card else None))
+            yield pd.DataFrame(rows, columns=["relative_path", "status", "name", "tags", "description_sha256"])
+
+    return _card_rows(spark, sf_dir).mapInPandas(decoded, "relative_path string, status string, name string, tags string, description_sha256 string")
+
+
+@query(RECORDS + " SELECT relative_path, lang || ',' || creator || ',新' AS tags, CASE WHEN lang = 'en' THEN '新' ELSE 'en,新' END AS added FROM records WHERE lang = 'en' UNION ALL SELECT relative_path, lang || ',' || creator || ',en,新', 'en,新' FROM records WHERE lang <> 'en'")
+def tag_rewrite(spark, sf_dir):
+    """Tags appended to PNG cards, read back from the new bytes."""
+
+    def tagged(batches):
+        for batch in batches:
+            rows = []
+            for path, payload in zip(batch.relative_path, batch.json, strict=True):
+                data, added, _ = cards.write_tags(_as_png(payload), ".png", ["en", " 新", "新"])
+                rows.append((path, ",".join(cards.decode(path, data, ".png")["card"]["tags"]), ",".join(added)))
+            yield pd.DataFrame(rows, columns=["relative_path", "tags", "added"])
+
+    return _card_rows(spark, sf_dir).mapInPandas(tagged, "relative_path string, tags string, added string")
+
+
+@query("SELECT conv_id, count(*) AS turns, sha256('{\"1\":0,\"10\":0,\"turns\":[' || string_agg('{\"role\":\"' || role || '\",\"turn\":' || turn || '}', ',' ORDER BY turn, role) || ']}') AS card_sha256 FROM conversations GROUP BY conv_id")
+def canonical_json_nested(spark, sf_dir):
+    """Nested payloads with their keys in another order, and a date that does not count."""
+
+    def hashed(payloads: pd.Series) -> pd.Series:
+        return payloads.map(lambda p: cj.content_hash(cj.load(p)))
+
+    turns = F.sort_array(F.collect_list(F.struct("turn", "role")))
+    grouped = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"), F.to_json(turns).alias("list"))
+    payload = F.concat(F.lit('{"turns":'), "list", F.lit(',"10":0.0,"create_date":"x","1":-0}'))
+    return grouped.select("conv_id", "turns", F.pandas_udf(hashed, "string")(payload).alias("card_sha256"))
+
+
+@query(r"SELECT conv_id, CASE WHEN length(t) > 700 THEN substr(t, 1, 700) || '…' ELSE t END AS book FROM (SELECT conv_id, string_agg(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ' ORDER BY turn, role, text) AS t FROM conversations WHERE length(text) <= 60 AND trim(text) <> '' GROUP BY conv_id)")
+def lorebook_flatten(spark, sf_dir):
+    """The short turns of conversations as a nested book, flattened."""
+    from ledgerloom.operators.model_input import flattened
+
+    c = table(spark, sf_dir, "conversations").filter("length(text) <= 60 and trim(text) != ''")
+    book = c.groupBy("conv_id").agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))), lambda t: F.struct(F.array(t["text"]).alias("entry")))).alias("json"))
+    return book.select("conv_id", flattened("json", 700).alias("book"))
+
+
+@query("SELECT p_partkey, p_name AS name, p_brand AS brand FROM part")
+def nfkc_normalize(spark, sf_dir):
+    """Names in full-width letters come back in plain ones."""
+    plain = "".join(map(chr, range(0x21, 0x7F)))
+    wide = "".join(chr(ord(c) + 0xFEE0) for c in plain)
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", T.nfkc(F.translate("p_name", plain, wide)).alias("name"), T.nfkc(F.translate("p_brand", plain, wide)).alias("brand"))
+
+
+@query(RECORDS + " SELECT ordinal, ordinal % 3 = 0 AS repaired, sha256(squeezed || CASE WHEN ordinal % 3 = 0 THEN chr(10) || 'x' ELSE '' END) AS text_sha256 FROM records")
+def jsonl_repair(spark, sf_dir):
+    """Lines whose strings hold a raw line feed, every third, repaired and parsed."""
+    from ledgerloom.sources.jsonl import parse_record
+
+    def parsed(batches):
+        for batch in batches:
+            rows = []
+            for ordinal, payload in zip(batch.ordinal, batch.json, strict=True):
+                _, _, text, repaired, _ = parse_record(payload, ordinal, ordinal)
+                rows.append((ordinal, repaired, hashlib.sha256(cj.load(text)["text"].encode()).hexdigest()))
+            yield pd.DataFrame(rows, columns=["ordinal", "repaired", "text_sha256"])
+
+    r = file_records(spark, sf_dir)
+    line = F.to_json(F.struct("relative_path", T.squeeze("text").alias("text")))
+    raw = F.when(F.col("ordinal") % 3 == 0, F.concat(F.substring(line, F.lit(1), F.length(line) - 2), F.lit('\nx"}'))).otherwise(line)
+    return r.select("ordinal", raw.alias("json")).mapInPandas(parsed, "ordinal long, repaired boolean, text_sha256 string")
+
+
+@query("SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'BanG Dream!' WHEN 1 THEN '原神' WHEN 2 THEN 'C++' WHEN 3 THEN 'C#' WHEN 4 THEN '系列' ELSE p_name END AS canonical, CASE p_partkey % 6 WHEN 0 THEN 'bangdream' WHEN 1 THEN '原神' WHEN 2 THEN 'c++' WHEN 3 THEN 'c#' WHEN 4 THEN '系列' ELSE lower(replace(p_name, ' ', '')) END AS comparison_key FROM part")
+def canonical_names(spark, sf_dir):
+    names = F.array(*map(F.lit, ["bang dream！系列", "原神作品系列 同人", "C++", "C#", "系列"]))
+    name = F.when(F.col("p_partkey") % 6 == 5, F.col("p_name")).otherwise(F.get(names, (F.col("p_partkey") % 6).cast("int")))
+    return table(spark, sf_dir, "part").select("p_partkey", T.canonical_name(name).alias("canonical"), T.comparison_key(name).alias("comparison_key"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 'a b' WHEN 3 THEN NULL ELSE p_name END AS directory, CASE p_partkey % 5 WHEN 0 THEN 'a_b' WHEN 1 THEN NULL WHEN 2 THEN 'a  b' WHEN 3 THEN 'x' ELSE p_name END AS safe FROM part")
+def directory_names(spark, sf_dir):
+    names = F.array(*map(F.lit, ["a/b", "con", " a  b ", "x. ."]))
+    name = F.when(F.col("p_partkey") % 5 == 4, F.col("p_name")).otherwise(F.get(names, (F.col("p_partkey") % 5).cast("int")))
+    return table(spark, sf_dir, "part").select("p_partkey", T.directory_name(name).alias("directory"), T.safe_category(name).alias("safe"))
