@@ -49,8 +49,10 @@ HOT_ANCHOR = 20_000
 #: Strings whose windows are sorted at once.
 SORTED_TOGETHER = 20_000
 ASK, MARK = 0, 1
-_ROWS = "part int, kind int, doc_id long, tkey long, data binary"
-_ARROW = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("tkey", pa.int64()), ("data", pa.binary())])
+_PACKED = "part int, kind int, data binary"
+_PACKED_ARROW = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
+_ROWS = "doc_id long, tkey long, kind int, data binary"
+_ARROW = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
 
 
 def runs_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -152,26 +154,43 @@ def _unpacked(raw: bytes, kinds: list[type]) -> tuple[list[np.ndarray], memoryvi
     return out, body[at:]
 
 
-def _by_document(kind: int, doc: np.ndarray, tkey: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """A row for each document with its ``values`` (rows of 32-bit integers); part is left 0."""
-    if not len(doc):
-        return
+def _by_document(kind: int, doc: np.ndarray, tkey: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    """A row for each document with its ``values`` (rows of 32-bit integers)."""
     order = np.lexsort((tkey, doc))
     doc, tkey, values = doc[order], tkey[order], np.ascontiguousarray(values[order], dtype="<i4")
     new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (tkey[1:] != tkey[:-1]))))
-    width = values.itemsize * (values.shape[1] if values.ndim == 2 else 1)
-    ends = np.append(new, len(doc)).astype(np.int32) * np.int32(width)
+    ends = np.append(new, len(doc)).astype(np.int32) * np.int32(values.itemsize * values.shape[1])
     data = pa.BinaryArray.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(ends), pa.py_buffer(values.tobytes())])
-    yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(new), np.int32)), pa.array(np.full(len(new), kind, np.int32)), pa.array(doc[new]), pa.array(tkey[new]), data], schema=_ARROW)
+    return pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(tkey[new]), pa.array(np.full(len(new), kind, np.int32)), data], schema=_ARROW)
 
 
-def _by_part(part: np.ndarray, n_parts: int, pack: Callable[[np.ndarray], bytes]) -> Iterator[pa.RecordBatch]:
+def _by_part(part: np.ndarray, n_parts: int, pack: Callable[[np.ndarray], bytes], kind: int = -1) -> Iterator[pa.RecordBatch]:
     order = np.argsort(part, kind="stable")
-    ends = np.searchsorted(part[order], np.arange(n_parts + 1))
-    rows = [(p, pack(order[ends[p] : ends[p + 1]])) for p in range(n_parts) if ends[p] < ends[p + 1]]
+    own, ends = np.unique(part[order], return_index=True)
+    rows = [(p, pack(order[i:j])) for p, i, j in zip(own.tolist(), ends.tolist(), [*ends[1:].tolist(), len(order)], strict=True)]
     if rows:
-        n = len(rows)
-        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array(np.full(n, -1, np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([x for _, x in rows], pa.binary())], schema=_ARROW)
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array(np.full(len(rows), kind, np.int32)), pa.array([x for _, x in rows], pa.binary())], schema=_PACKED_ARROW)
+
+
+def _to_documents(kind: int, n_parts: int, doc: np.ndarray, tkey: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Values (rows of 32-bit integers) packed for the part that gathers their documents."""
+    if not len(doc):
+        return
+    values = values.reshape(len(doc), -1)
+    columns = [doc.astype(np.int64), tkey.astype(np.int64), *(values[:, i].astype("<i4") for i in range(values.shape[1]))]
+    part = (mix(doc.astype(np.int64).view(np.uint64)) % np.uint64(n_parts)).astype(np.int64)
+    yield from _by_part(part, n_parts, lambda rows: _packed([c[rows] for c in columns]), kind)
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What was packed for a part's documents, a row for each document and kind."""
+    for kind, width in ((ASK, 1), (MARK, 2)):
+        if kind == ASK:
+            held = [(k, raw) for batch in batches for k, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+        rows = [_unpacked(raw, [np.int64, np.int64, *[np.int32] * width])[0] for k, raw in held if k == kind]
+        if rows:
+            doc, tkey, *values = (np.concatenate(x) for x in zip(*rows, strict=True))
+            yield _by_document(kind, doc, tkey, np.stack(values, axis=1))
 
 
 def _find(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -193,7 +212,7 @@ def _find(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
         data = data[: offsets[-1]]
         same = lambda a, b: (length[a] == length[b]) & (_matrix(data, at[a], length[a]) == _matrix(data, at[b], length[b])).all(axis=1)
         kept, later = _settle(key, doc_ids[row], same)
-        yield from _by_document(MARK, doc_ids[row[later]], tkeys[row[later]], np.stack((start[later], start[later] + length[later]), axis=1))
+        yield from _to_documents(MARK, n_parts, doc_ids[row[later]], tkeys[row[later]], np.stack((start[later], start[later] + length[later]), axis=1))
         kept = kept[np.argsort(anchor[kept], kind="stable")]
         documents = struct.pack("<I", len(doc_ids)) + doc_ids.tobytes() + tkeys.tobytes()
 
@@ -206,14 +225,18 @@ def _find(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return find
 
 
-def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _ask(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """All packed anchors of a part to what is asked of each document: starts of runs, doubled, odd where the anchor is hot. Marks pass."""
+    return lambda batches: _asked(batches, n_parts)
+
+
+def _asked(batches: Iterator[pa.RecordBatch], n_parts: int) -> Iterator[pa.RecordBatch]:
     all_rows: list[list[np.ndarray]] = []
     for batch in batches:
         kinds = batch.column(1).to_numpy()
         if (kinds >= 0).any():
             yield batch.filter(pa.array(kinds >= 0))
-        for raw in batch.column(4).filter(pa.array(kinds < 0)).to_pylist():
+        for raw in batch.column(2).filter(pa.array(kinds < 0)).to_pylist():
             (gaps, row, start), documents = _unpacked(raw, [np.uint64, np.uint32, np.uint32])
             n = struct.unpack_from("<I", documents)[0]
             ids = np.frombuffer(documents[4 : 4 + 8 * n], np.int64)
@@ -228,7 +251,7 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sizes = np.diff(np.append(first, len(anchor)))
     shared = np.repeat(np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first), sizes)
     hot = np.repeat(sizes > HOT_ANCHOR, sizes)[shared]
-    yield from _by_document(ASK, doc[shared], tkey[shared], start[shared].astype(np.int64) * 2 + hot)
+    yield from _to_documents(ASK, n_parts, doc[shared], tkey[shared], start[shared].astype(np.int64) * 2 + hot)
 
 
 def _numbers(blobs: list[dict] | None, tkey: int, kind: int) -> np.ndarray:
@@ -265,7 +288,7 @@ def _send(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
         text = _matrix(data, at, np.full(len(at), WINDOW))
         key_h = _row_hashes(text)
         kept, later = _settle(key_h, doc_ids[row_h], lambda a, b: (text[a] == text[b]).all(axis=1))
-        yield from _by_document(MARK, doc_ids[row_h[later]], tkeys[row_h[later]], np.stack((start_h[later], start_h[later] + WINDOW), axis=1))
+        yield from _to_documents(MARK, n_parts, doc_ids[row_h[later]], tkeys[row_h[later]], np.stack((start_h[later], start_h[later] + WINDOW), axis=1))
         row_h, start_h, key_h = row_h[kept], start_h[kept], key_h[kept]
         row, start, key = np.concatenate((row_c, row_h)), np.concatenate((start_c, start_h)), np.concatenate((key_c, key_h))
         length = np.concatenate((length_c, np.full(len(row_h), WINDOW)))
@@ -279,14 +302,18 @@ def _send(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return send
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """All strings of a part to marks."""
+    return lambda batches: _marked(batches, n_parts)
+
+
+def _marked(batches: Iterator[pa.RecordBatch], n_parts: int) -> Iterator[pa.RecordBatch]:
     rows: list[list[np.ndarray]] = []
     for batch in batches:
         kinds = batch.column(1).to_numpy()
         if (kinds >= 0).any():
             yield batch.filter(pa.array(kinds >= 0))
-        for raw in batch.column(4).filter(pa.array(kinds < 0)).to_pylist():
+        for raw in batch.column(2).filter(pa.array(kinds < 0)).to_pylist():
             columns, strings = _unpacked(raw, [np.uint64, np.int64, np.int64, np.uint32, np.uint8])
             rows.append([*columns, np.frombuffer(strings, np.uint8).reshape(-1, WIDTH)])
     if not rows:
@@ -299,7 +326,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     content = _row_hashes(strings) + length.astype(np.uint64)
     same = lambda a, b: (length[a] == length[b]) & (strings[a] == strings[b]).all(axis=1)
     kept, later = _settle(content, doc, same)
-    yield from _by_document(MARK, doc[later], tkey[later], np.stack((start[later], start[later] + length[later]), axis=1))
+    yield from _to_documents(MARK, n_parts, doc[later], tkey[later], np.stack((start[later], start[later] + length[later]), axis=1))
     # Different strings with one anchor: all their windows are sorted.
     kept = kept[np.argsort(key[kept], kind="stable")]
     again = key[kept][1:] == key[kept][:-1]
@@ -317,7 +344,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = np.repeat(np.minimum.reduceat(doc[owner], heads), np.diff(np.append(heads, len(group))))
         later = doc[owner] > least
         owner, begins = owner[later], start[owner[later]] + shift[later]
-        yield from _by_document(MARK, doc[owner], tkey[owner], np.stack((begins, begins + WINDOW), axis=1))
+        yield from _to_documents(MARK, n_parts, doc[owner], tkey[owner], np.stack((begins, begins + WINDOW), axis=1))
 
 
 def _spans(pairs: np.ndarray, n: int) -> np.ndarray:
@@ -343,15 +370,16 @@ def marked_documents(docs: DataFrame) -> DataFrame:
     keyed.repartition(n_buckets, "doc_id").write.format("parquet").option("path", fresh_path(spark, "texts")).bucketBy(n_buckets, "doc_id").saveAsTable(name)
     texts = spark.table(name)
     known = texts.filter(F.col("doc_id").isNotNull()).select("doc_id", "__repeat_text_key", "text")
-    found = known.mapInArrow(_find(n_parts), _ROWS)
-    said = materialise(found.repartition(n_parts, "part").mapInArrow(_ask, _ROWS), "asked")
+    found = known.mapInArrow(_find(n_parts), _PACKED)
+    said = materialise(found.repartition(n_parts, "part").mapInArrow(_ask(n_parts), _PACKED), "asked")
 
-    def gathered(rows: DataFrame) -> DataFrame:
-        # At most as much as a document has runs.
+    def gathered(packed: DataFrame) -> DataFrame:
+        # A document has a row for each kind; rows that repeat its id with other texts add theirs.
+        rows = packed.repartition(n_parts, "part").mapInArrow(_gather, _ROWS)
         return rows.groupBy(F.col("doc_id").alias("__repeat_doc")).agg(F.collect_list(F.struct("tkey", "kind", "data")).alias("__repeat_marks"))
 
     asked = known.join(gathered(said.filter(F.col("kind") == ASK)).hint("shuffle_hash"), F.col("doc_id") == F.col("__repeat_doc")).select("doc_id", "__repeat_text_key", "text", "__repeat_marks")
-    compared = materialise(asked.mapInArrow(_send(n_parts), _ROWS).repartition(n_parts, "part").mapInArrow(_compare, _ROWS), "compared")
+    compared = materialise(asked.mapInArrow(_send(n_parts), _PACKED).repartition(n_parts, "part").mapInArrow(_compare(n_parts), _PACKED), "compared")
     marks = gathered(said.filter(F.col("kind") == MARK).unionByName(compared))
     return texts.join(marks.hint("shuffle_hash"), F.col("doc_id") == F.col("__repeat_doc"), "left").drop("__repeat_doc")
 
