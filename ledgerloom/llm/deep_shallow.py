@@ -31,10 +31,11 @@ def _open_groups(group: np.ndarray) -> np.ndarray:
 
 
 class BlindTrie:
-    """Sorts strings of one length. A node is [depth, {byte: child}]; a leaf holds the positions of equal strings."""
+    """Sorts strings of one length. An inner node is (depth, {byte: child}); a leaf is the list of the positions of equal strings."""
 
     def __init__(self, strings: list[bytes]):
-        self.strings, self.root = strings, None
+        self.strings = strings
+        self.root: tuple[int, dict] | list[int] | None = None
         for i in range(len(strings)):
             self._insert(i)
 
@@ -44,40 +45,39 @@ class BlindTrie:
             self.root = [i]
             return
         node, path = self.root, []
-        while len(node) == 2 and type(node[1]) is dict:  # blindly: only the branching byte is looked at
+        while type(node) is tuple:  # blindly: only the branching byte is looked at
             path.append(node)
             node = node[1].get(s[node[0]]) or next(iter(node[1].values()))
         other = self.strings[node[0]]
         if other == s:
             node.append(i)
-            if len(node) == 2:
-                node.append(i)  # keeps leaves apart from nodes: three entries, the last twice
             return
-        n = int.from_bytes(s, "big") ^ int.from_bytes(other, "big")
-        common = len(s) - (n.bit_length() + 7) // 8
+        differ = int.from_bytes(s, "big") ^ int.from_bytes(other, "big")
+        common = len(s) - (differ.bit_length() + 7) // 8
+        # The branch belongs above the first node on the path that is as deep.
         above, node = None, self.root
-        for x in path:
-            if x[0] >= common:
-                node = x
+        for inner in path:
+            if inner[0] >= common:
+                node = inner
                 break
-            above, node = x, x[1].get(s[x[0]])
-        if node is not None and len(node) == 2 and type(node[1]) is dict and node[0] == common:
+            above, node = inner, inner[1].get(s[inner[0]])
+        if type(node) is tuple and node[0] == common:
             node[1][s[common]] = [i]
             return
-        joint = [common, {s[common]: [i], other[common]: node}]
+        joint = common, {s[common]: [i], other[common]: node}
         if above is None:
             self.root = joint
         else:
             above[1][s[above[0]]] = joint
 
     def in_order(self) -> list[list[int]]:
-        out, stack = [], [self.root] if self.root else []
+        out, stack = [], [] if self.root is None else [self.root]
         while stack:
             node = stack.pop()
-            if len(node) == 2 and type(node[1]) is dict:
+            if type(node) is tuple:
                 stack += [node[1][b] for b in sorted(node[1], reverse=True)]
             else:
-                out.append(list(dict.fromkeys(node)))
+                out.append(node)
         return out
 
 
