@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.chunk_coder import ChunkCoder, read_ranks
+from ledgerloom.llm.worker import keep
 
 
 @lru_cache(maxsize=1)
@@ -60,8 +61,12 @@ def serialise_model(ranks: dict[bytes, int]) -> bytes:
     return b"".join(pieces) + _bytes(2, trainer) + _bytes(3, normaliser)
 
 
-@lru_cache(maxsize=2)
 def sentencepiece_coder(path: str) -> ChunkCoder:
+    """By a serialised sentencepiece model. A worker keeps its coder."""
+    return keep(("sentencepiece", path), lambda: _sentencepiece_coder(path))
+
+
+def _sentencepiece_coder(path: str) -> ChunkCoder:
     import public_tokenizers
     import regex
     import sentencepiece

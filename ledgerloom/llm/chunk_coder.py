@@ -15,6 +15,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from ledgerloom.llm.worker import keep
+
 #: A space that cannot end a chunk: white space or nothing follows it.
 _INNER_SPACE = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
@@ -73,9 +75,12 @@ def _cut_by_bytes(ids: np.ndarray, id_bytes: np.ndarray, lengths: list[int]) ->
     return out
 
 
-@lru_cache(maxsize=4)
 def json_coder(path: str) -> ChunkCoder:
-    """By the tokenizers library from a byte-level BPE file. One coder for each worker and file."""
+    """By the tokenizers library from a byte-level BPE file. A worker keeps its coder."""
+    return keep(("tokenizers", path), lambda: _json_coder(path))
+
+
+def _json_coder(path: str) -> ChunkCoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -101,15 +106,18 @@ def json_coder(path: str) -> ChunkCoder:
     return ChunkCoder(encode)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-@lru_cache(maxsize=4)
 def rank_coder(path: str) -> ChunkCoder:
-    """By the tiktoken library from a file of ranks."""
+    """By the tiktoken library from a file of ranks. A worker keeps its coder."""
+    return keep(("tiktoken", path), lambda: _rank_coder(path))
+
+
+def _rank_coder(path: str) -> ChunkCoder:
     import public_tokenizers
     import tiktoken
 

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.worker import release
+
 UNDETERMINED = "und"
 FEATURES = 1 << 15
 #: The bound of the sample that the weights are fitted on, for each language.
@@ -131,6 +133,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     frequency, n = np.zeros(FEATURES + 1, dtype=np.int64), 0
     for batch in batches:
         for text in batch.column(0).to_pylist():

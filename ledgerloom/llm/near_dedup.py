@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import materialise
 from ledgerloom.llm.components import components, union
 from ledgerloom.llm.rolling import Hashes, column_bytes, mix, row_groups
+from ledgerloom.llm.worker import release
 
 SHINGLE = 5
 #: A link has 100 * intersection >= PERCENT * union.
@@ -112,6 +113,7 @@ def super_min_hash(row: np.ndarray, h: np.ndarray, n_rows: int, places: int = PL
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) to (doc_id, n_shingles, set_1, set_2, bands)."""
+    release()
     for batch in batches:
         data, offsets = column_bytes(batch.column(1))
         for i, j in row_groups(offsets, BATCH):

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import fresh_path, materialise, partitions_for
 from ledgerloom.llm.deep_shallow import sort_suffixes
 from ledgerloom.llm.rolling import BYTE_VALUES, Hashes, column_bytes, mix, row_groups
+from ledgerloom.llm.worker import release
 
 WINDOW, GRAM = 50, 18
 SPAN = WINDOW - GRAM + 1
@@ -43,11 +44,11 @@ WIDTH = WINDOW + SPAN - 1
 #: Bytes that are hashed at once, and the bits that hold a place among them.
 CHUNK, PLACE_BITS = 1 << 20, 20
 #: Bytes of text whose runs are compared within a map task.
-BATCH = 12 << 20
+BATCH = 8 << 20
 #: Entries of one anchor in one task above which its windows are dealt out.
 HOT_ANCHOR = 20_000
 #: Strings whose windows are sorted at once.
-SORTED_TOGETHER = 20_000
+SORTED_TOGETHER = 10_000
 ASK, MARK = 0, 1
 _PACKED = "part int, kind int, data binary"
 _PACKED_ARROW = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
@@ -197,6 +198,7 @@ def _find(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     """Rows (doc_id, tkey, text) to marks and packed anchors."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             doc_ids, tkeys = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False), dtype=np.int64) for i in (0, 1))
             data, offsets = column_bytes(batch.column(2))
@@ -231,6 +233,7 @@ def _ask(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
 
 def _asked(batches: Iterator[pa.RecordBatch], n_parts: int) -> Iterator[pa.RecordBatch]:
+    release()
     all_rows: list[list[np.ndarray]] = []
     for batch in batches:
         kinds = batch.column(1).to_numpy()
@@ -263,6 +266,7 @@ def _send(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     """Rows (doc_id, tkey, text, said) to packed strings of the runs that were asked for."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             doc_ids, tkeys = (batch.column(i).to_numpy() for i in (0, 1))
             data, offsets = column_bytes(batch.column(2))
@@ -308,6 +312,7 @@ def _compare(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
 
 def _marked(batches: Iterator[pa.RecordBatch], n_parts: int) -> Iterator[pa.RecordBatch]:
+    release()
     rows: list[list[np.ndarray]] = []
     for batch in batches:
         kinds = batch.column(1).to_numpy()
@@ -363,8 +368,8 @@ def marked_documents(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_buckets = partitions_for(spark, size, 48 << 20)
-    n_parts = partitions_for(spark, size, 24 << 20)
+    n_buckets = partitions_for(spark, size, 24 << 20)
+    n_parts = partitions_for(spark, size, 12 << 20)
     name = f"ledgerloom_texts_{uuid.uuid4().hex}"
     keyed = docs.withColumn("__repeat_text_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     keyed.repartition(n_buckets, "doc_id").write.format("parquet").option("path", fresh_path(spark, "texts")).bucketBy(n_buckets, "doc_id").saveAsTable(name)
