@@ -1,15 +1,18 @@
 """Sharding by vector bin packing: bytes, tokens and rows balanced jointly.
 
 Groups of equal texts go together. What the driver packs is bounded whatever
-the corpus: groups are dealt into ``CELLS`` cells by the hash of their text,
-and a group so large that it would unbalance a shard is split by document into
-``PARTS`` cells of its own (there are at most shards * ``HEAVY`` such groups).
-Each cell, largest first, goes to the shard whose residual capacity has the
-highest dot product with it.
+the corpus: small groups are dealt into ``CELLS`` cells by the hash of their
+text, and each heavy one has ``PARTS`` cells of its own, by document (there are
+at most shards * ``HEAVY`` such groups). Each small cell and each heavy group,
+largest first, goes whole to the shard whose residual capacity has the highest
+dot product with it; a heavy group only to one whose bytes it fits. If it fits
+none and is over 1/``SPLIT`` of a shard, its cells are placed one by one.
 """
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,18 +23,59 @@ CELLS = 16_384
 #: A group is heavy if it holds more than this part of a shard's bytes.
 HEAVY = 64
 PARTS = 64
+#: A heavy group that fits no shard is split if it holds more than this part of a shard's bytes; a smaller one cannot unbalance it alone.
+SPLIT = 16
 DIMENSIONS = ("size", "tokens", "rows")
 
 
-def place_cells(vectors: np.ndarray, shards: int) -> np.ndarray:
-    """The shard of each cell (row of sizes, tokens, rows): the one with the highest dot product of cell and residual capacity; ties go to the lowest."""
+def pack(vectors: np.ndarray, groups: list[np.ndarray], shards: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The items placed, as rows of ``vectors`` (sizes, tokens, rows), and the shard of each: the one with the highest dot product of item and residual capacity; ties go to the lowest.
+
+    ``groups`` are the rows of each group of cells. One is an item while its bytes fit a shard, or would not unbalance it; else each of its rows is.
+    """
     total = vectors.sum(axis=0).astype(float)
     loads = vectors / np.where(total > 0, total / shards, 1.0)
     residual = np.ones((shards, loads.shape[1]))
-    out = np.zeros(len(loads), dtype=np.int64)
-    for i in np.lexsort((np.arange(len(loads)), -loads.max(axis=1))).tolist():
-        out[i] = int(np.argmax(residual @ loads[i]))
-        residual[out[i]] -= loads[i]
+    heap = [(-float(loads[g].sum(axis=0).max()), i, g) for i, g in enumerate(groups)]
+    heapq.heapify(heap)
+    items, place, serial = [], [], len(groups)
+    while heap:
+        _, _, g = heapq.heappop(heap)
+        load = loads[g].sum(axis=0)
+        scores = residual @ load
+        if len(g) > 1:
+            fits = residual[:, 0] >= load[0] - 1e-9
+            if fits.any():
+                scores = np.where(fits, scores, -np.inf)
+            elif load[0] * SPLIT > 1:
+                for k in g.tolist():
+                    heapq.heappush(heap, (-float(loads[k].max()), serial, np.array([k])))
+                    serial += 1
+                continue
+        items.append(g)
+        place.append(int(np.argmax(scores)))
+        residual[place[-1]] -= load
+    return items, np.array(place, dtype=np.int64)
+
+
+def place_cells(vectors: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each cell (row of sizes, tokens, rows), each an item of its own."""
+    items, place = pack(vectors, [np.array([i]) for i in range(len(vectors))], shards)
+    out = np.zeros(len(vectors), dtype=np.int64)
+    out[[int(g[0]) for g in items]] = place
+    return out
+
+
+def place_groups(cells: list[int], vectors: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each cell, whose heavy groups stay whole where they fit."""
+    groups: dict[int, list[int]] = {}
+    for i, c in enumerate(cells):
+        groups.setdefault(c if c < CELLS else CELLS + (c - CELLS) // PARTS, []).append(i)
+    items, place = pack(vectors, [np.array(g) for g in groups.values()], shards)
+    place = _level(np.array([vectors[g].sum(axis=0) for g in items]), place, shards)
+    out = np.zeros(len(cells), dtype=np.int64)
+    for g, s in zip(items, place.tolist(), strict=True):
+        out[g] = s
     return out
 
 
@@ -76,14 +120,14 @@ def assign_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
     total = rows.agg(F.sum("size")).first()[0] or 0
     group = ["text_hash", "text_crc32", "size"]
     # At most shards * HEAVY groups can be this large.
-    heavy = rows.groupBy(*group).agg(F.sum("size").alias("bytes")).filter(F.col("bytes") * shards * HEAVY > total).select(*group).filter(F.lit(total) > shards * CELLS).collect()
+    heavy = rows.groupBy(*group).agg(F.sum("size").alias("bytes")).filter(F.col("bytes") * shards * HEAVY > total).select(*group).collect()
     heavy_rows = spark.createDataFrame([(*h, i) for i, h in enumerate(sorted(heavy))], "text_hash long, text_crc32 long, size long, heavy long")
     marked = rows.join(F.broadcast(heavy_rows), group, "left")
     cell = F.when(F.col("heavy").isNull(), F.pmod(F.xxhash64(*group), F.lit(CELLS))).otherwise(CELLS + F.col("heavy") * PARTS + F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)))
     celled = materialise(marked.select("doc_id", "size", "text_crc32", "text_hash", "tokens", "rows", cell.alias("cell")), "cells")
     sums = sorted(tuple(r) for r in celled.groupBy("cell").agg(*(F.sum(d) for d in DIMENSIONS)).collect())  # CELLS + shards * HEAVY * PARTS rows at most
     vectors = np.array([s[1:] for s in sums], dtype=np.int64).reshape(-1, len(DIMENSIONS))
-    placed = _level(vectors, place_cells(vectors, shards), shards) if len(sums) else []
+    placed = place_groups([s[0] for s in sums], vectors, shards) if len(sums) else []
     base, table = [0] * shards, []
     for (c, *v), s in zip(sums, placed, strict=True):
         table.append((c, int(s), base[s]))

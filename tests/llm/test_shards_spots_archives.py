@@ -45,6 +45,32 @@ def test_small_groups_stay_together(spark):
     assert all(len({shard[i] for i in range(k, k + 3)}) == 1 for k in range(0, 600, 3))
 
 
+def test_large_groups_stay_together_where_they_fit(spark):
+    """Three copies that are over 1/64 of a shard, in a table of over 131,072 bytes."""
+    rows = [(i, "copied text " * 350) for i in range(3)] + [(10 + i, f"text {i} " * (i % 40 + 1)) for i in range(6000)]
+    got = sharding.assign_shards(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sizes = check_shards(rows, got)
+    assert len({r.shard for r in got if r.doc_id < 3}) == 1 and max(sizes) - min(sizes) <= 0.02 * max(sizes)
+
+
+def test_a_third_of_a_small_table_is_split(spark):
+    """At any size a group that alone unbalances a shard is split, and no other."""
+    rows = [(i, "copy " * 20) for i in range(200)] + [(1000 + i, f"other {i // 2:03d} " * 4) for i in range(1000)]
+    assert sum(len(t) + 1 for _, t in rows) < 8 * sharding.CELLS
+    got = sharding.assign_shards(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sizes, shard = check_shards(rows, got), {r.doc_id: r.shard for r in got}
+    assert max(sizes) - min(sizes) <= 0.02 * max(sizes)
+    assert all(shard[1000 + i] == shard[1001 + i] for i in range(0, 1000, 2))
+
+
+def test_groups_are_split_only_if_they_do_not_fit():
+    vectors = np.array([[30, 1, 1]] * 4 + [[5, 1, 1]] * 4)
+    items, _ = sharding.pack(vectors, [np.array([0, 1]), np.array([2, 3]), *(np.array([i]) for i in range(4, 8))], 2)
+    assert sorted(len(g) for g in items) == [1, 1, 1, 1, 2, 2]
+    items, _ = sharding.pack(vectors, [np.array([0, 1, 2, 3]), *(np.array([i]) for i in range(4, 8))], 2)
+    assert {len(g) for g in items} == {1}
+
+
 def test_dot_product_placing():
     vectors = np.array([[10, 1, 1], [1, 10, 1], [9, 1, 1], [1, 9, 1]])
     place = sharding.place_cells(vectors, 2)
