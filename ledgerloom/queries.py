@@ -549,7 +549,7 @@ def usage_summary(spark, sf_dir):
 def budget_running(spark, sf_dir):
     """The purchases of the first fifty users are a log of requests under a budget."""
     e = table(spark, sf_dir, "events").filter("event_type = 'purchase' and user_id < 50")
-    return e.select("event_id", audit.within_budget(e, "event_id", "value", 50, 1000).alias("fits"))
+    return audit.within_budget(e, "event_id", "value", 50, 1000).select("event_id", "fits")
 
 
 @query(RECORDS + " SELECT file_name AS relative_path, count(*) AS n FROM records GROUP BY 1 HAVING count(*) > 1")

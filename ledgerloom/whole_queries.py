@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import canonical_json as cj
 from ledgerloom.functions import text as T
+from ledgerloom.operators import audit
 from ledgerloom.operators.model_input import BOOK, flattened
 from ledgerloom.queries import Query, table
 
@@ -42,3 +43,10 @@ def lorebook_flatten_whole(spark, sf_dir: str) -> DataFrame:
     book = first.groupBy("conv_id").agg(F.transform(turns, lambda t: F.struct(F.array(t["text"]).alias("entry"))).alias("entries"))
     lists = F.transform(F.sequence(F.lit(0), F.lit(BOOK // 2 // cj.MOST_ITEMS)), lambda i: F.slice("entries", i * cj.MOST_ITEMS + 1, cj.MOST_ITEMS))
     return book.select("conv_id", F.to_json(lists).alias("json")).select("conv_id", flattened("json", BOOK).alias("book"))
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY event_id) <= 50 AND sum(value) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) <= 1000 AS fits FROM events WHERE event_type = 'purchase'")
+def budget_running_whole(spark, sf_dir: str) -> DataFrame:
+    """All purchases are a log of requests under a budget."""
+    e = table(spark, sf_dir, "events").filter("event_type = 'purchase'")
+    return audit.within_budget(e, "event_id", "value", 50, 1000).select("event_id", "fits")

@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from ledgerloom import whole_queries
 from ledgerloom.functions import canonical_json as cj
+from ledgerloom.operators import audit
 from tests.test_queries import TABLES, plain
 
 #: A relation that the given tables do not hold.
@@ -64,3 +65,26 @@ def test_lorebook_of_any_length(spark, fixture):
     blocks = lambda v: [v[i : i + 30] for i in range(0, len(v), 30)]
     assert got == {k: cj.flatten(blocks(v), 700) for k, v in turns.items()}
     assert got[1] == "x" * 61 and got[4] == "" and got[3] == " ".join("a" * 350) and got[9].endswith("turn 44") and got[8] == "behind blank turns" and got[2].endswith("…")
+
+
+def test_budget_of_all_purchases(spark, fixture):
+    data = [(i * 700, 1000 + i, "purchase" if i % 3 else "error", [20.0, 60.5, None, -30.0][i % 4]) for i in range(200)]
+    got = both(spark, fixture(events=(data, "event_id long, user_id long, event_type string, value double")), "budget_running_whole", ["events"])
+    bought = [(i, v) for i, _, kind, v in data if kind == "purchase"]
+    running = [sum(v or 0 for _, v in bought[: k + 1]) for k in range(len(bought))]
+    assert got == sorted(((i, k < 50 and running[k] <= 1000) for k, (i, _) in enumerate(bought)), key=repr)
+    assert 0 < sum(fits for _, fits in got) < len(got)
+
+
+def test_budget_over_ranges(spark):
+    data = [(i, None if i < -2_480 or i % 5 == 0 else (i * 37 % 101 - 40) / 4) for i in range(-2_500, 2_500, 7)]
+    df = spark.createDataFrame(data, "n long, size double").repartition(5)
+    out = audit.within_budget(df, "n", "size", 600, 90.0, width=100)
+    want, known, total = {}, False, 0.0
+    for k, (i, v) in enumerate(data):
+        known, total = known or v is not None, total + (v or 0.0)
+        want[i] = None if not known and k < 600 else k < 600 and total <= 90.0
+    assert {r.n: r.fits for r in out.collect()} == want and set(want.values()) == {None, True, False}
+    # No window without partitions runs over the events: those without keys see the sums of the ranges.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(n" not in plan and plan.count("windowspecdefinition(__range") == plan.count("windowspecdefinition(")
