@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import canonical_json as cj
 from ledgerloom.functions import text as T
-from ledgerloom.operators import audit
+from ledgerloom.operators import audit, merging
 from ledgerloom.operators.model_input import BOOK, flattened
 from ledgerloom.queries import Query, table
 
@@ -50,3 +50,14 @@ def budget_running_whole(spark, sf_dir: str) -> DataFrame:
     """All purchases are a log of requests under a budget."""
     e = table(spark, sf_dir, "events").filter("event_type = 'purchase'")
     return audit.within_budget(e, "event_id", "value", 50, 1000).select("event_id", "fits")
+
+
+@query(
+    """WITH l AS (SELECT o_orderkey AS k, o_orderstatus AS s FROM orders), r AS (SELECT l_orderkey AS k, CASE WHEN min(l_linestatus) = max(l_linestatus) THEN min(l_linestatus) ELSE 'P' END AS s FROM lineitem GROUP BY 1)
+SELECT coalesce(l.k, r.k) AS k, CASE WHEN r.k IS NULL THEN 'missing_right' WHEN l.k IS NULL THEN 'missing_left' ELSE 'different' END AS problem FROM l FULL OUTER JOIN r ON l.k = r.k WHERE l.k IS NULL OR r.k IS NULL OR l.s IS DISTINCT FROM r.s"""
+)
+def reconcile_full_outer_whole(spark, sf_dir: str) -> DataFrame:
+    """All orders against the status that all lines imply."""
+    left = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"))
+    right = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.when(F.min("l_linestatus") == F.max("l_linestatus"), F.min("l_linestatus")).otherwise("P").alias("s"))
+    return merging.reconcile(left, right, "k", ["s"])

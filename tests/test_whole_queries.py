@@ -88,3 +88,12 @@ def test_budget_over_ranges(spark):
     # No window without partitions runs over the events: those without keys see the sums of the ranges.
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "windowspecdefinition(n" not in plan and plan.count("windowspecdefinition(__range") == plan.count("windowspecdefinition(")
+
+
+def test_reconciliation_of_all_orders(spark, fixture):
+    """Of the keys that end in 3: 3 is sound, 13 differs, 23 has no lines; 33 has no order."""
+    orders = [(1, "F"), (2, "P"), (3, "O"), (13, "F"), (14, "O"), (23, "O"), (25, None), (26, None)]
+    lines = [(1, "F"), (1, "F"), (2, "F"), (2, "O"), (3, "O"), (13, "O"), (14, "O"), (14, "F"), (33, "F"), (34, "O"), (25, "O")]
+    folder = fixture(orders=(orders, "o_orderkey long, o_orderstatus string"), lineitem=(lines, "l_orderkey long, l_linestatus string"))
+    got = both(spark, folder, "reconcile_full_outer_whole", ["orders", "lineitem"])
+    assert dict(got) == {13: "different", 14: "different", 23: "missing_right", 25: "different", 26: "missing_right", 33: "missing_left", 34: "missing_left"}
