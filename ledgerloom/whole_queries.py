@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import canonical_json as cj
 from ledgerloom.functions import text as T
-from ledgerloom.operators import audit, merging
+from ledgerloom.operators import audit, duplicates, merging
 from ledgerloom.operators.model_input import BOOK, flattened
-from ledgerloom.queries import Query, table
+from ledgerloom.queries import RECORDS, Query, file_records, table
 
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -61,3 +61,10 @@ def reconcile_full_outer_whole(spark, sf_dir: str) -> DataFrame:
     left = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"))
     right = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.when(F.min("l_linestatus") == F.max("l_linestatus"), F.min("l_linestatus")).otherwise("P").alias("s"))
     return merging.reconcile(left, right, "k", ["s"])
+
+
+@query(RECORDS + " SELECT card_sha256 AS key, count(*) AS group_size, string_agg(relative_path, ' | ' ORDER BY relative_path) AS files FROM records GROUP BY card_sha256 HAVING count(*) > 1 AND count(DISTINCT sha256) > 1")
+def same_card_whole_text(spark, sf_dir: str) -> DataFrame:
+    """Cards whose whole squeezed texts agree but for case, in several files; there may be none."""
+    groups = duplicates.duplicate_groups(file_records(spark, sf_dir), (duplicates.SAME_CARD,))
+    return groups.select("key", "group_size", F.array_join("files", " | ").alias("files"))

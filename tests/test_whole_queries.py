@@ -97,3 +97,12 @@ def test_reconciliation_of_all_orders(spark, fixture):
     folder = fixture(orders=(orders, "o_orderkey long, o_orderstatus string"), lineitem=(lines, "l_orderkey long, l_linestatus string"))
     got = both(spark, folder, "reconcile_full_outer_whole", ["orders", "lineitem"])
     assert dict(got) == {13: "different", 14: "different", 23: "missing_right", 25: "different", 26: "missing_right", 33: "missing_left", 34: "missing_left"}
+
+
+def test_same_card_by_whole_texts(spark, fixture):
+    """Texts that agree in their first 200 characters only are not one card."""
+    start = "the same start " * 20
+    texts = ["A  card\nin two files", "a card in TWO files ", "a card in two files", start + "ends here", start + "ends there", "copy", "copy", start + "ENDS  here", "", " "]
+    data = [(i, t, "en", "src1") for i, t in enumerate(texts)]
+    got = both(spark, fixture(documents=(data, "doc_id long, text string, lang string, source string")), "same_card_whole_text", ["documents"])
+    assert sorted(files for files, _, _ in got) == ["src1/en/0.json | src1/en/1.json | src1/en/2.json", "src1/en/3.json | src1/en/7.json", "src1/en/8.json | src1/en/9.json"]
