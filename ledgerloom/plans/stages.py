@@ -277,6 +277,12 @@ def organise_refined(spark: SparkSession, refined: Path, source: str, destinatio
     return _place(spark, rows, [F.col("parent_category"), F.col("subcategory")], source, destination, P.new_batch(reports), "copy")
 
 
+def _fanwork_index(fanwork: DataFrame, found: DataFrame) -> DataFrame:
+    """Every fanwork file with the candidate of its directory, however many directories there are; Spark splits the files of a large one."""
+    files = fanwork.select("relative_path", "sha256", "card_sha256", F.col("subcategory").alias("current_directory"), "fanwork_source_category")
+    return files.join(found.select("current_directory", "canonical_name", "suggested_target"), "current_directory")
+
+
 def propose_merges(spark: SparkSession, refined: Path, organised: Path, reports: str) -> Path:
     """Candidates for merging the second-level directories of fanworks, after the refinement and the executed plan were found equal."""
     _complete(refined)
@@ -290,8 +296,7 @@ def propose_merges(spark: SparkSession, refined: Path, organised: Path, reports:
     found = _relation(spark, folder, "candidates")
     merging.check_candidates(found)
     digest, n = P.write_plan(found.withColumn("ordinal", F.struct(-F.col("file_count"), F.expr("current_directory COLLATE zh"))), folder, name="candidates-review")
-    index = fanwork.select("relative_path", "sha256", "card_sha256", F.col("subcategory").alias("current_directory"), "fanwork_source_category").join(F.broadcast(found.select("current_directory", "canonical_name", "suggested_target").limit(1_000_000)), "current_directory")
-    index.write.parquet(str(folder / "fanwork-index"))
+    _fanwork_index(fanwork, found).write.parquet(str(folder / "fanwork-index"))
     P.write_approval(folder, candidates_sha256=digest, overrides=[])
     return _done(folder, candidates=n, candidates_sha256=digest, files=fanwork.count())
 

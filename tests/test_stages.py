@@ -116,6 +116,16 @@ def test_from_scan_to_tags(spark, source, tmp_path):
         stages.plan_tags(spark, merged, str(tmp_path / "out3"), str(tmp_path / "out6"), reports("110"), unchanged=("no.png",))
 
 
+def test_fanwork_index_holds_the_files_of_all_directories(spark):
+    """Over a million directories, and one of several files."""
+    n = 1_000_050
+    found = spark.range(n).selectExpr("concat('d', id) current_directory", "concat('d', id) canonical_name", "concat('t', id) suggested_target")
+    fanwork = spark.range(n + 5).selectExpr("concat(id, '.json') relative_path", "'h' sha256", "'c' card_sha256", "concat('d', id % 1000050) subcategory", "'游戏' fanwork_source_category")
+    index = stages._fanwork_index(fanwork, found)
+    assert index.filter("suggested_target = replace(current_directory, 'd', 't')").count() == n + 5
+    assert index.columns == ["current_directory", "relative_path", "sha256", "card_sha256", "fanwork_source_category", "canonical_name", "suggested_target"]
+
+
 def test_collect(spark, tmp_path):
     for d, text in (("one", "1"), ("two", "2"), ("three", "1")):
         (tmp_path / d).mkdir()
