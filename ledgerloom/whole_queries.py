@@ -68,3 +68,30 @@ def same_card_whole_text(spark, sf_dir: str) -> DataFrame:
     """Cards whose whole squeezed texts agree but for case, in several files; there may be none."""
     groups = duplicates.duplicate_groups(file_records(spark, sf_dir), (duplicates.SAME_CARD,))
     return groups.select("key", "group_size", F.array_join("files", " | ").alias("files"))
+
+
+#: FORBIDDEN in RE2, which has no lookaheads: what is matched, and which matches are allowed.
+_SCANNED = {
+    "external API endpoint": (r"(?i)https?://(?:[a-z0-9-]+\.)+[a-z]{2,}(?::\d+)?/v\d+(?:[/?#\s\"'`)]|$)", r"(?i)^https?://(?:[^/\s\"']+\.)?example(?:\.[a-z]{2,})?(?::\d+)?(?:[/:\s\"'`)]|$)"),
+    "credential variable": (r"\b[A-Z][A-Z0-9]*(?:_(?:API_KEY|API_TOKEN|SECRET|TOKEN|PASSWORD))\b", "^(?:MODEL|API)_"),
+    "unsafe prompt marker": (audit.FORBIDDEN["unsafe prompt marker"], None),
+    "private-looking Windows path": (audit.FORBIDDEN["private-looking Windows path"], None),
+    "email address": (r"(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b", r"(?i)@(?:[A-Z0-9-]+\.)*example(?:\.[A-Z]{2,})?\b"),
+}
+
+
+def _scan_sql() -> str:
+    quoted = lambda p: "'" + p.replace("'", "''") + "'"
+    found = lambda p, allowed: f"regexp_matches(text, {quoted(p)})" if allowed is None else f"len(list_filter(regexp_extract_all(text, {quoted(p)}), lambda m: NOT regexp_matches(m, {quoted(allowed)}))) > 0"
+    labels = ", ".join(f"CASE WHEN {found(*p)} THEN {quoted(label)} END" for label, p in _SCANNED.items())
+    texts = "SELECT 'documents/' || doc_id AS name, replace(text, 'example', 'sample') AS text FROM documents UNION ALL SELECT 'pages/' || page_id, replace(html, 'example', 'sample') FROM pages"
+    return f"SELECT name, label FROM (SELECT name, unnest(list_value({labels})) AS label FROM ({texts}) WHERE NOT contains(text, chr(0)) AND NOT contains(text, chr(65533))) WHERE label IS NOT NULL"
+
+
+@query(_scan_sql())
+def content_scan_whole(spark, sf_dir: str) -> DataFrame:
+    """All labels over documents and pages. Example domains are allowed; under another name they are found."""
+    renamed = lambda c: F.replace(c, F.lit("example"), F.lit("sample")).alias("text")
+    documents = table(spark, sf_dir, "documents").select(F.concat(F.lit("documents/"), F.col("doc_id")).alias("name"), renamed("text"))
+    pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("pages/"), F.col("page_id")).alias("name"), renamed("html"))
+    return audit.content_failures(documents.unionByName(pages), "name", "text")

@@ -106,3 +106,14 @@ def test_same_card_by_whole_texts(spark, fixture):
     data = [(i, t, "en", "src1") for i, t in enumerate(texts)]
     got = both(spark, fixture(documents=(data, "doc_id long, text string, lang string, source string")), "same_card_whole_text", ["documents"])
     assert sorted(files for files, _, _ in got) == ["src1/en/0.json | src1/en/1.json | src1/en/2.json", "src1/en/3.json | src1/en/7.json", "src1/en/8.json | src1/en/9.json"]
+
+
+def test_scan_of_documents_and_pages(spark, fixture):
+    """Positives of each label in both tables, and what is allowed beside them."""
+    texts = ["see https://api.service.com/v1/x", "http://example.com/v1 becomes another", "https://localhost:80/v1 http://127.0.0.1/v2/", "https://EXAMPLE.com/v1/ https://a.EXAMPLE.org:8/v2", "set OPENAPI_TOKEN now", "MODEL_API_KEY API_TOKEN MY_MODEL_SECRET", "MODEL_SECRET and X_PASSWORD", "a Jailbreak", "无限制模式", "C:\\Users\\me\\x", "D:\\a b\\c", "E:\\plain\\c", "me@mail.org", "me@EXAMPLE.com", "me@EXAMPLE.com, you@mail.org SOME_SECRET jailbreak", "me@org\0.org a@b.cc", "a@b.cc \ufffd", None, ""]
+    labels = {0: "E", 1: "E", 4: "C", 6: "C", 7: "U", 8: "U", 9: "P", 10: "P", 12: "M", 14: "MCU"}
+    names = {"E": "external API endpoint", "C": "credential variable", "U": "unsafe prompt marker", "P": "private-looking Windows path", "M": "email address"}
+    rows = list(enumerate(texts))
+    folder = fixture(documents=(rows, "doc_id long, text string"), pages=(rows, "page_id long, html string"))
+    got = both(spark, folder, "content_scan_whole", ["documents", "pages"])
+    assert sorted(got) == sorted((names[x], f"{t}/{i}") for t in ("documents", "pages") for i, v in labels.items() for x in v)
