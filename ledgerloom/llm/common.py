@@ -42,6 +42,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: A key that holds more than this part of all rows is hot; so there are at most as many hot keys.
+HOT_PART = 1000
+
+
+def join_one(rows: DataFrame, firsts: DataFrame, keys: list[str], members: str) -> DataFrame:
+    """``rows`` with the one row of ``firsts`` that has the same ``keys``; rows without one go.
+
+    ``members`` counts the rows of each key. A hot key's row, of which there are ``HOT_PART`` at most, is broadcast, so that no task gets all of its rows; the others are shuffled. Both inputs are read twice: pass written tables.
+    """
+    total = firsts.agg(F.sum(members)).first()[0] or 0
+    hot = F.broadcast(firsts.filter(F.col(members) * HOT_PART > total))
+    return rows.join(hot, keys).unionByName(rows.join(hot, keys, "left_anti").join(firsts.filter(F.col(members) * HOT_PART <= total), keys))
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 

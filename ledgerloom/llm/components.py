@@ -47,18 +47,25 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["u", "v"])
 
 
+#: Links of one node that are expected in one task.
+SPOKES = 1_000_000
+
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component) for every node of ``links`` (two long columns); component is the smallest node reachable. Links to null are dropped."""
+    """(node, component) for every node of ``links`` (two long columns); component is the smallest node reachable. Links to null are dropped.
+
+    A hub's neighbours are dealt out by a salt, so that no task gets all of them: each part of a star points to the least of that part and the hub, which keeps all connected.
+    """
     a, b = links.columns
     edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null and u != v")
     edges = materialise(edges.mapInArrow(_forest, "u long, v long").distinct(), "forest")
-    mark = None
+    mark, n_edges = None, edges.count()
     while True:
         # Large star: every larger neighbour to the least of the neighbourhood.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        edges = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        both = both.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(1 + n_edges // SPOKES)))
+        least = both.groupBy("u", "salt").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        edges = both.filter("v > u").join(least, ["u", "salt"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: every smaller neighbour, and the node itself, to the least.
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         edges = edges.join(least, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").filter("u != v").distinct()
@@ -66,6 +73,6 @@ def components(links: DataFrame) -> DataFrame:
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break
-        mark = now
+        mark, n_edges = now, now[0]
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -18,6 +18,7 @@ every input.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import materialise
+from ledgerloom.llm.common import join_one, materialise
 from ledgerloom.llm.components import components, union
 from ledgerloom.llm.rolling import Hashes, column_bytes, mix, row_groups
 from ledgerloom.llm.worker import release
@@ -40,6 +41,8 @@ PLACES = BANDS * ROWS
 BLOCK, COLUMNS = 1024, 4096
 #: Bytes of text whose signatures are made at once.
 BATCH = 1 << 20
+#: Bytes of a long text whose words are hashed at once, and elements of sets that are dealt at once.
+SEGMENT, PIECE = 4 << 20, 1 << 18
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -48,20 +51,41 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _word_hashes(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of the words of the texts data[begins[i]:begins[i+1]], a segment at a time; only a word of over ``SEGMENT`` bytes, hashed by itself, is held whole."""
+    rows, hashes, at, n = [], [], 0, len(data)
+    while at < n:
+        end = min(at + SEGMENT, n)
+        if end < n:
+            # The segment ends where no word goes on: behind white space or where a text begins.
+            space = np.flatnonzero(_SPACE[data[at:end]])
+            border = begins[np.searchsorted(begins, end, side="right") - 1]
+            end = max(at + int(space[-1]) + 1 if len(space) else 0, int(border))
+            if end <= at:
+                end = at + SEGMENT
+                while end < n and not _SPACE[data[end : end + SEGMENT]].any():
+                    end += SEGMENT
+                end = min(end + int(_SPACE[data[end : end + SEGMENT]].argmax()) if end < n else n, int(begins[np.searchsorted(begins, at, side="right")]))
+        part = _LOWER[data[at:end]]
+        inside = ~_SPACE[part]
+        cut = np.zeros(len(part) + 1, dtype=bool)  # a text begins here
+        cut[begins[(begins >= at) & (begins <= end)] - at] = True
+        starts = np.flatnonzero(inside & (cut[:-1] | np.append(True, ~inside[:-1])))
+        ends = np.flatnonzero(inside & (cut[1:] | np.append(~inside[1:], True))) + 1
+        long = ends - starts > SEGMENT
+        if long.any():
+            word = np.array([int.from_bytes(hashlib.blake2b(part[i:j], digest_size=8).digest(), "little") for i, j in zip(starts.tolist(), ends.tolist(), strict=True)], dtype=np.uint64)
+        else:
+            word = Hashes(part).of(starts, ends)
+        rows.append(np.searchsorted(begins, starts + at, side="right") - 1)
+        hashes.append(word)
+        at = end
+    return (np.concatenate(rows), np.concatenate(hashes)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, shingle hash), sorted and distinct, of texts in UTF-8."""
-    base = int(offsets[0])
-    data = _LOWER[data[base : int(offsets[-1])]]
-    begins = offsets - base
-    inside = ~_SPACE[data]
-    if not inside.any():
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    cut = np.zeros(len(data) + 1, dtype=bool)  # a text begins here
-    cut[begins[:-1]] = True
-    starts = np.flatnonzero(inside & (cut[:-1] | np.append(True, ~inside[:-1])))
-    ends = np.flatnonzero(inside & (cut[1:] | np.append(~inside[1:], True))) + 1
-    word = Hashes(data).of(starts, ends)
-    row = np.searchsorted(begins, starts, side="right") - 1
+    row, word = _word_hashes(data[int(offsets[0]) : int(offsets[-1])], offsets - int(offsets[0]))
     words = np.bincount(row, minlength=len(offsets) - 1)
     first = np.cumsum(words) - words
     # Windows of SHINGLE words within a text; with fewer words, all of them as one.
@@ -83,7 +107,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     row, h = np.concatenate(out_row), np.concatenate(out_hash)
     order = np.lexsort((h, row))
     row, h = row[order], h[order]
-    new = np.append(True, (row[1:] != row[:-1]) | (h[1:] != h[:-1]))
+    new = np.append(np.ones(min(1, len(row)), dtype=bool), (row[1:] != row[:-1]) | (h[1:] != h[:-1]))
     return row[new], h[new]
 
 
@@ -91,8 +115,16 @@ def super_min_hash(row: np.ndarray, h: np.ndarray, n_rows: int, places: int = PL
     """Signatures of sets: ``row`` and ``h`` give the elements; a row without elements keeps the largest value.
 
     At level j an element's value is j plus a uniform rank, at the j-th place of its permutation (Fisher and Yates, dealt as far as needed).
+    ``PIECE`` elements are dealt at once; minima of pieces are those of the whole, whatever the length of a text.
     """
     best = np.full(n_rows * places, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for begin in range(0, len(h), PIECE):
+        _deal(best, row[begin : begin + PIECE], h[begin : begin + PIECE], n_rows, places)
+    return best.reshape(n_rows, places)
+
+
+def _deal(best: np.ndarray, row: np.ndarray, h: np.ndarray, n_rows: int, places: int) -> None:
+    """Lower ``best``, in place, by the elements given."""
     order = np.tile(np.arange(places, dtype=np.uint8), (len(h), 1))
     for j in range(places):
         if not len(h):
@@ -108,7 +140,6 @@ def super_min_hash(row: np.ndarray, h: np.ndarray, n_rows: int, places: int = PL
         live = ~done[row]
         if not live.all():
             row, h, order = row[live], h[live], order[live]
-    return best.reshape(n_rows, places)
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,12 +266,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``.
 
     component_id is the smallest doc_id that links reach; kept marks the row whose doc_id it is. A row without words is linked with nothing.
-    A null doc_id has the component null and is kept. Rows that repeat a doc_id are one document: they share its component.
+    A null doc_id has the component null and is kept. Rows that repeat a doc_id are one document: they share its component. An empty table gives no rows.
+    Very long texts are hashed and dealt in pieces. Exact copies are told by two 64-bit sums over their sets and the sets' sizes; all other links are confirmed on the full sets.
+    Other columns than doc_id and text are not looked at.
     """
     signed = materialise(signatures(docs), "signatures")
     filled = signed.filter("n_shingles > 0 and doc_id is not null")
-    sets = filled.groupBy("set_1", "set_2", "n_shingles").agg(F.min("doc_id").alias("first_id"))
-    copies = filled.select("doc_id", "set_1", "set_2", "n_shingles").join(sets, ["set_1", "set_2", "n_shingles"]).filter("doc_id != first_id").select(F.col("doc_id").alias("a"), F.col("first_id").alias("b"))
+    key = ["set_1", "set_2", "n_shingles"]
+    sets = materialise(filled.groupBy(*key).agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("members")), "sets")
+    several = sets.filter("members > 1")
+    copies = join_one(filled.select("doc_id", *key), several, key, "members").filter("doc_id != first_id").select(F.col("doc_id").alias("a"), F.col("first_id").alias("b"))
     copies = materialise(copies, "copies")
     firsts = filled.join(sets.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "set_1", "set_2"])
     buckets = firsts.select("doc_id", F.explode("bands").alias("key"))

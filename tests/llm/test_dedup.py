@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from ledgerloom.llm import components as components_module
 from ledgerloom.llm import near_dedup, suffix_dedup
 from ledgerloom.llm.components import components
 from ledgerloom.llm.deep_shallow import BlindTrie, sort_suffixes
@@ -96,6 +97,42 @@ def test_super_min_hash_is_the_sequential_one_and_estimates():
     assert abs((s[0] == s[1]).mean() - 0.75) < 0.12
 
 
+def test_long_texts_in_pieces(monkeypatch):
+    """Segments and pieces change neither sets nor signatures, and bound what a long text takes."""
+    rng = random.Random(8)
+    texts = ["", "x" * 300, "a b", " ".join(rng.choice(["word", "É" * 40, "x" * 90, "Y"]) + rng.choice(["", "\n"]) for _ in range(400)), "tail of it " * 9, "z" * 64 + " " + "z" * 65]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    row, h = near_dedup.shingle_sets(data, offsets)
+    want = near_dedup.super_min_hash(row, h, len(texts))
+    sizes = np.bincount(row, minlength=len(texts))
+    assert sizes.tolist() == [len(shingles(t)) for t in texts]
+    monkeypatch.setattr(near_dedup, "SEGMENT", 64)
+    monkeypatch.setattr(near_dedup, "PIECE", 7)
+    again = near_dedup.shingle_sets(data, offsets)
+    assert np.bincount(again[0], minlength=len(texts)).tolist() == sizes.tolist()
+    short = [i for i, t in enumerate(texts) if all(len(w.encode()) <= 64 for w in t.split())]
+    assert all(h[row == i].tolist() == again[1][again[0] == i].tolist() for i in short)
+    assert (near_dedup.super_min_hash(row, h, len(texts)) == want).all()
+
+
+def test_one_very_long_text(spark):
+    """Eight million bytes are compared like any others."""
+    words = [f"w{i * 7919 % 100_003}" for i in range(1_200_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-9000])), (3, " ".join(words[:600_000])), (4, "short one of six words here")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: c for d, (_, c) in got.items()} == {1: 1, 2: 1, 3: 1 if len(shingles(rows[2][1])) >= 0.75 * len(shingles(rows[0][1])) else 3, 4: 4}
+    assert got[1][0] == len(shingles(rows[0][1]))
+
+
+@pytest.mark.parametrize("spokes", [1_000_000, 20])
+def test_hubs_are_dealt_out(spark, spokes, monkeypatch):
+    monkeypatch.setattr(components_module, "SPOKES", spokes)
+    edges = [(i, 5) for i in range(6, 200)] + [(500, i) for i in range(200, 300)] + [(500, 5), (900, 901)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "x long, y long").repartition(6)).collect()}
+    assert got == {i: 5 for i in [*range(5, 300), 500]} | {900: 900, 901: 900}
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100 + rng.randrange(200), 100 + rng.randrange(200)) for _ in range(150)] + [(7, None), (500, 500)]
