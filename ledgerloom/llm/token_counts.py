@@ -14,13 +14,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.chunk_coder import rank_coder
+from ledgerloom.llm.common import materialise
 
 #: Lengths that are summed in one task.
 BLOCK = 1024
 
 
 def length_histogram(docs: DataFrame, ranks_path: str) -> DataFrame:
-    """n_tokens, n_docs. A null or empty text has 0 tokens; every row counts, repeated or not."""
+    """n_tokens, n_docs. A null or empty text has 0 tokens; every row counts, repeated or not. An empty table gives no rows.
+
+    Texts are encoded whole, in steps of about a million characters, a longer text in a step of its own. Other columns than text are not looked at.
+    """
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = rank_coder(ranks_path)
@@ -31,7 +35,7 @@ def length_histogram(docs: DataFrame, ranks_path: str) -> DataFrame:
 
 
 def suffix_sums(histogram: DataFrame) -> DataFrame:
-    """For each length that occurs, as a context limit: docs_from and tokens_from (documents at least as long, and their tokens), docs_below, tokens_below, truncated_tokens (sum of min(length, limit)), total_docs, total_tokens, quantile (share of documents no longer).
+    """For each length of ``histogram``, which is read twice, as a context limit: docs_from and tokens_from (documents at least as long, and their tokens), docs_below, tokens_below, truncated_tokens (sum of min(length, limit)), total_docs, total_tokens, quantile (share of documents no longer).
 
     Sums run within blocks of ``BLOCK`` lengths and over the blocks' totals, of which there is one for each ``BLOCK`` tokens of the longest document. An empty table gives no rows.
     """
@@ -67,4 +71,5 @@ def length_quantile(sums: DataFrame, q: float) -> int | None:
 def op5_token_counts(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return suffix_sums(length_histogram(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    histogram = length_histogram(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return suffix_sums(materialise(histogram, "lengths"))  # read twice, encoded once
