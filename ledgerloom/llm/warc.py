@@ -1,8 +1,9 @@
 """WARC: a deterministic sharded writer, and its reader.
 
-Records are range-sorted: a shard holds the records of ``shard_ids``
-consecutive ids, in their order, whichever task writes it. Within a shard,
-files roll at a compressed size. Headers, digests, record ids and dates are
+Records are range-sorted: narrow rows are sorted by page_id, their bytes summed
+up, and every ``shard_bytes`` of the sum a shard begins, so that bounds depend
+on the rows alone. Payloads then go once, each to the task of its shard. Within
+a shard, files roll at a compressed size. Headers, digests, record ids and dates are
 made anew from the rows, so that the same rows give the same bytes. A file is
 written under a temporary name and renamed when it is whole; the manifest,
 written last, names the files that count, so that repeated attempts do no harm.
@@ -17,18 +18,21 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import fresh_path, partitions_for, text_of
+from ledgerloom.llm.common import fresh_path, join_one, materialise, partitions_for, text_of
 
-SHARD_IDS = 4096
+#: Uncompressed bytes of a shard; in larger tables shards are larger, so that there are ``MAX_SHARDS`` at most, whose bounds the driver and each task hold.
+SHARD_BYTES, MAX_SHARDS = 32 << 20, 100_000
 #: Compressed bytes at which a file is closed.
 ROLL_BYTES = 32 << 20
-#: Added to shard numbers, so that those of negative ids sort as they should; below are the shards of null ids.
-FIRST_SHARD = 1 << 40
+#: About the bytes of a record beside its payload.
+RECORD_BYTES = 600
 DATE = "1970-01-01T00:00:00Z"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # of URLs, by RFC 4122
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -107,31 +111,59 @@ class _Files:
         return row
 
 
-def _verdicts(pages: DataFrame) -> DataFrame:
+def _verdicts(keys: DataFrame) -> DataFrame:
     """(page_id, sha1, first_id, first_url) of the revisits: of equal payloads, all but the smallest page_id. Null page_ids take no part."""
-    named = pages.filter("page_id is not null").select("page_id", "url", "sha1", "size")
+    named = keys.filter("page_id is not null").select("page_id", "url", "sha1", "size")
     # One row for each payload; of rows with one page_id, the smallest url.
-    first = named.groupBy("sha1", "size").agg(F.min(F.struct("page_id", "url")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("sha1", "size", "first")
-    return named.join(first, ["sha1", "size"]).filter("page_id != first.page_id").select("page_id", "sha1", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url")).distinct()
+    first = named.groupBy("sha1", "size").agg(F.min(F.struct("page_id", "url")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    joined = join_one(named, materialise(first, "firsts"), ["sha1", "size"], "n")
+    return joined.filter("page_id != first.page_id").select("page_id", "sha1", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url")).distinct()
 
 
-def write_archives(pages: DataFrame, folder: str, shard_ids: int = SHARD_IDS, roll_bytes: int = ROLL_BYTES, level: int = 6) -> DataFrame:
+def shard_bounds(keys: DataFrame, shard_bytes: int) -> list[int]:
+    """The first page_id of each shard, ascending; rows of one page_id stay together.
+
+    The sum of bytes runs within the partitions of a range sort and over their totals, so that the bounds are the same however the rows lie.
+    """
+    spark = keys.sparkSession
+    by_page = keys.filter("page_id is not null").groupBy("page_id").agg(F.sum("weight").alias("weight"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialise(by_page.repartitionByRange(n, "page_id").withColumn("part", F.spark_partition_id()), "page_sizes")
+    totals = ranged.groupBy("part").agg(F.sum("weight").alias("weight")).orderBy("part").collect()  # a row for each partition
+    sums = np.cumsum([0, *(t.weight for t in totals)]).tolist()
+    before = spark.createDataFrame([(t.part, b) for t, b in zip(totals, sums, strict=False)], "part int, before long")
+    running = F.sum("weight").over(Window.partitionBy("part").orderBy("page_id"))
+    shard = F.floor((F.col("before") + running - F.col("weight")) / max(shard_bytes, -(-sums[-1] // MAX_SHARDS), 1))
+    rows = ranged.join(F.broadcast(before), "part").withColumn("shard", shard)
+    return sorted(r.first for r in rows.groupBy("shard").agg(F.min("page_id").alias("first")).collect())
+
+
+def write_archives(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES, level: int = 6) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as WARC files under ``folder``, which executors reach by its URI; return the manifest, also written to ``folder``/manifest.
 
     A null html is an empty payload. Equal payloads, empty ones too, are written once: the record of the smallest page_id is the response, others revisit it. Of rows with the same page_id and payload all but the first revisit the first.
-    Rows with a null page_id are responses, in a shard of their own dealt out by payload.
+    Rows with a null page_id are responses, dealt out by payload to shards behind the others. A payload that is longer than a shard or a file is written whole. An empty table gives an empty manifest. Other columns are not looked at.
     """
     spark = pages.sparkSession
     html = text_of("html")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"), F.sha1(html.cast("binary")).alias("sha1"), F.octet_length(html).cast("long").alias("size"))
-    shard = F.when(F.col("page_id").isNull(), F.pmod(F.xxhash64("sha1"), F.lit(shard_ids))).otherwise(F.floor(F.col("page_id") / shard_ids) + F.lit(FIRST_SHARD))
+    keys = materialise(rows.select("page_id", "url", "sha1", "size", (F.col("size") + RECORD_BYTES).alias("weight")), "page_keys")
+    bounds = shard_bounds(keys, shard_bytes)
+    nameless = keys.filter("page_id is null").agg(F.sum("weight")).first()[0] or 0
+    more = min(-(-nameless // shard_bytes), MAX_SHARDS)
+    firsts = np.array(bounds, dtype=np.int64)
+
+    @F.pandas_udf("int")
+    def of_page(page_id: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(firsts, page_id.to_numpy(np.int64), side="right") - 1)
+
+    shard = F.when(F.col("page_id").isNull(), (F.lit(len(bounds)) + F.pmod(F.xxhash64("sha1"), F.lit(max(more, 1)))).cast("int")).otherwise(of_page(F.coalesce("page_id", F.lit(0).cast("long"))))
     # Verdicts travel with the pages and stand before them, so that payloads are shuffled once.
     nothing = {"url": F.lit(None).cast("string"), "html": F.lit(None).cast("string"), "size": F.lit(0).cast("long")}
-    both = rows.withColumns({"first_id": F.lit(None).cast("long"), "first_url": F.lit(None).cast("string"), "kind": F.lit(1)}).unionByName(_verdicts(rows).withColumns(nothing | {"kind": F.lit(0)}))
+    both = rows.withColumns({"first_id": F.lit(None).cast("long"), "first_url": F.lit(None).cast("string"), "kind": F.lit(1)}).unionByName(_verdicts(keys).withColumns(nothing | {"kind": F.lit(0)}))
     both = both.withColumn("shard", shard)
-    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    both = both.repartition(partitions_for(spark, total, 64 << 20), "shard").sortWithinPartitions("shard", "page_id", "sha1", "kind", "url")
-    ordered = both.select("shard", "page_id", "sha1", "kind", "first_id", "first_url", "url", "html")
+    both = both.repartitionById(max(len(bounds) + more, 1), "shard").sortWithinPartitions("shard", "page_id", "sha1", "kind", "url")
+    ordered = both.select(F.col("shard").cast("long").alias("shard"), "page_id", "sha1", "kind", "first_id", "first_url", "url", "html")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, verdict, last, repeat = _Files(folder, roll_bytes), None, None, 0

@@ -189,14 +189,14 @@ def test_op9_on_pages(spark, small):
 
 def test_archives_round_trip_and_are_deterministic(spark):
     df = spark.createDataFrame([(*r, "k") for r in PAGES], "page_id long, url string, html string, kind string")
-    manifest, folder = archive(spark, df, shard_ids=4, roll_bytes=300)
+    manifest, folder = archive(spark, df, shard_bytes=2500, roll_bytes=300)
     back = warc.read_archives(spark, manifest, folder, with_payload=True).collect()
     assert sorted(((r.page_id, *tuple(r)[2:6]) for r in back), key=repr) == brute_pages(PAGES)
     assert {r.page_id: r.payload.decode() for r in back if r.record_type == "response" and r.page_id in (-7000, 10**12)} == {-7000: PAGES[7][2], 10**12: "z"}
     rows = manifest.collect()
     assert all(hashlib.sha256(Path(r.path).read_bytes()).hexdigest() == r.sha256 and Path(r.path).stat().st_size == r.bytes for r in rows)
     assert not list(Path(rows[0].path).parent.glob("*.open"))
-    again, _ = archive(spark, df.repartition(5), shard_ids=4, roll_bytes=300)
+    again, _ = archive(spark, df.repartition(5), shard_bytes=2500, roll_bytes=300)
     name = lambda r: (r.path.rsplit("/", 1)[1], r.sha256)
     assert sorted(map(name, rows)) == sorted(map(name, again.collect()))
     first = gzip.decompress(Path(rows[0].path).read_bytes())
