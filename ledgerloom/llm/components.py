@@ -54,7 +54,7 @@ SPOKES = 1_000_000
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (two long columns); component is the smallest node reachable. Links to null are dropped.
 
-    A hub's neighbours are dealt out by a salt, so that no task gets all of them: each part of a star points to the least of that part and the hub, which keeps all connected.
+    A hub's neighbours are dealt out by a salt, so that no task gets all of them.
     """
     a, b = links.columns
     edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null and u != v")
@@ -65,6 +65,8 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         both = both.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(1 + n_edges // SPOKES)))
         least = both.groupBy("u", "salt").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        if n_edges >= SPOKES:  # the least of all parts, for each part
+            least = least.groupBy("u").agg(F.min("m").alias("m")).join(least.select("u", "salt"), "u")
         edges = both.filter("v > u").join(least, ["u", "salt"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: every smaller neighbour, and the node itself, to the least.
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
