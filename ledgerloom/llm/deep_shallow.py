@@ -1,10 +1,12 @@
 """Deep-shallow suffix sorting.
 
 Suffixes are sorted by multikey quicksort, eight bytes as one symbol, down to
-a shallow depth: all open groups are partitioned level by level. What then
-still agrees has a long common prefix; each such group goes into a blind trie,
-which looks at single branching bytes on the way down and compares a suffix
-with one other only. Groups too large for a trie stay with multikey quicksort.
+a shallow depth: in each round every open group is split into three by a pivot
+of its own, the median of three of its symbols, and the part that equals the
+pivot moves on to the next symbol. What then still agrees has a long common
+prefix; each such group goes into a blind trie, which looks at single branching
+bytes on the way down and compares a suffix with one other only. Groups too
+large for a trie are split further until they are small, or equal to the end.
 """
 
 from __future__ import annotations
@@ -89,27 +91,32 @@ def sort_suffixes(flat: np.ndarray, at: np.ndarray, depth: int, first_group: np.
     flat = np.concatenate((flat, np.zeros(8, np.uint8)))
     order = np.arange(len(at)) if first_group is None else np.argsort(first_group, kind="stable")
     group = np.zeros(len(at), dtype=np.int64) if first_group is None else _renumber(first_group[order])
-    for level in range(0, depth, 8):
-        live = np.flatnonzero(_open_groups(group))
-        if level >= SHALLOW and len(live):
-            starts = np.flatnonzero(np.concatenate(([True], group[live][1:] != group[live][:-1])))
-            sizes = np.diff(np.append(starts, len(live)))
-            small = np.repeat(sizes <= LARGEST_TRIE, sizes)
-            _deep(flat, at, order, group, live[small], level, depth)
-            live = live[~small]
-        if not len(live):
-            if level >= SHALLOW or not _open_groups(group).any():
+    known = np.zeros(len(at), dtype=np.int64)  # bytes in which the group of a position agrees
+    live = np.flatnonzero(_open_groups(group))
+    while len(live):
+        starts = np.flatnonzero(np.concatenate(([True], group[live][1:] != group[live][:-1])))
+        sizes = np.diff(np.append(starts, len(live)))
+        deep = (known[live[starts]] >= SHALLOW) & (sizes <= LARGEST_TRIE)
+        if deep.any():
+            mask = np.repeat(deep, sizes)
+            _deep(flat, at, order, group, live[mask], SHALLOW, depth)
+            live, sizes = live[~mask], sizes[~deep]
+            starts = np.cumsum(sizes) - sizes
+            if not len(live):
                 break
-            continue
-        back = max(0, level + 8 - depth)  # the last symbol may begin earlier: what it repeats is equal anyway
-        key = _symbols(flat, at[order[live]] + (level - back))
-        sorted_live = np.lexsort((key, group[live]))
-        order[live] = order[live][sorted_live]
-        key = key[sorted_live]
-        before = group[live]
+        # One round of multikey quicksort in all open groups: less than, equal to and greater than a pivot.
+        agree = known[live]
+        back = np.maximum(agree + 8 - depth, 0)  # the last symbol may begin earlier: what it repeats is equal anyway
+        key = _symbols(flat, at[order[live]] + agree - back)
+        low, middle, high = key[starts], key[starts + sizes // 2], key[starts + sizes - 1]
+        pivot = np.repeat(np.maximum(np.minimum(low, middle), np.minimum(np.maximum(low, middle), high)), sizes)
+        side = np.repeat(np.arange(len(starts)) * 3 + 1, sizes) + (key > pivot) - (key < pivot)
+        sorted_live = np.argsort(side, kind="stable")
+        order[live], side = order[live][sorted_live], side[sorted_live]
         # Numbers may skip: a member's group is the position of its first member.
-        new = np.concatenate(([True], (before[1:] != before[:-1]) | (key[1:] != key[:-1])))
-        group[live] = live[np.maximum.accumulate(np.where(new, np.arange(len(live)), 0))]
+        group[live] = live[np.maximum.accumulate(np.where(np.concatenate(([True], side[1:] != side[:-1])), np.arange(len(live)), 0))]
+        known[live] = agree + np.where(side % 3 == 1, 8, 0)  # the equal ones move on to their next symbol
+        live = live[_open_groups(side) & (known[live] < depth)]
     return order, _renumber(group)
 
 

@@ -7,13 +7,16 @@ Consecutive windows with one anchor form a run, shipped as one string.
 
 1. ``_find``: each task marks runs that a smaller document of its batch also
    has, and ships the anchors of the others (hash, document, place), packed.
-   Anchors that several documents share are asked for.
+   Anchors that several documents share are asked for. Of an anchor that is
+   frequent in a batch only two entries are shipped, so that no task gets all
+   entries of a very common passage; its runs are asked for at once.
 2. ``_send``: the asked-for runs are shipped as strings, to the task of their
    anchor. Anchors with very many different runs are dealt out window by
    window, by the hash of the window.
-3. ``_compare``: equal runs are settled by their smallest document; of the
-   others that share an anchor, all windows are sorted by deep-shallow suffix
-   sorting, and groups of equal windows settled likewise.
+3. ``_compare``: the suffixes at which runs begin are sorted by deep-shallow
+   sorting, within their anchors, and groups of equal runs settled by their
+   smallest document. Of different runs that share an anchor, the suffixes at
+   all windows are sorted, and groups of equal windows settled likewise.
 4. Marked spans are joined to the texts, which lie bucketed by document.
 
 Hashes only choose what is compared; every removal rests on equal bytes.
@@ -47,6 +50,10 @@ CHUNK, PLACE_BITS = 1 << 20, 20
 BATCH = 8 << 20
 #: Entries of one anchor in one task above which its windows are dealt out.
 HOT_ANCHOR = 20_000
+#: Entries of one anchor in one batch, of several documents, above which only two are shipped.
+HOT_IN_BATCH = 256
+#: The place of an entry that stands for those of a hot anchor.
+HOT_ENTRY = (1 << 32) - 1
 #: Strings whose windows are sorted at once.
 SORTED_TOGETHER = 10_000
 ASK, MARK = 0, 1
@@ -156,9 +163,9 @@ def _unpacked(raw: bytes, kinds: list[type]) -> tuple[list[np.ndarray], memoryvi
 
 
 def _by_document(kind: int, doc: np.ndarray, tkey: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-    """A row for each document with its ``values`` (rows of 32-bit integers)."""
+    """A row for each document with its ``values`` (rows of integers)."""
     order = np.lexsort((tkey, doc))
-    doc, tkey, values = doc[order], tkey[order], np.ascontiguousarray(values[order], dtype="<i4")
+    doc, tkey, values = doc[order], tkey[order], np.ascontiguousarray(values[order], dtype="<i8")
     new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (tkey[1:] != tkey[:-1]))))
     ends = np.append(new, len(doc)).astype(np.int32) * np.int32(values.itemsize * values.shape[1])
     data = pa.BinaryArray.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(ends), pa.py_buffer(values.tobytes())])
@@ -174,11 +181,11 @@ def _by_part(part: np.ndarray, n_parts: int, pack: Callable[[np.ndarray], bytes]
 
 
 def _to_documents(kind: int, n_parts: int, doc: np.ndarray, tkey: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Values (rows of 32-bit integers) packed for the part that gathers their documents."""
+    """Values (rows of integers) packed for the part that gathers their documents."""
     if not len(doc):
         return
     values = values.reshape(len(doc), -1)
-    columns = [doc.astype(np.int64), tkey.astype(np.int64), *(values[:, i].astype("<i4") for i in range(values.shape[1]))]
+    columns = [doc.astype(np.int64), tkey.astype(np.int64), *(values[:, i].astype("<i8") for i in range(values.shape[1]))]
     part = (mix(doc.astype(np.int64).view(np.uint64)) % np.uint64(n_parts)).astype(np.int64)
     yield from _by_part(part, n_parts, lambda rows: _packed([c[rows] for c in columns]), kind)
 
@@ -188,7 +195,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for kind, width in ((ASK, 1), (MARK, 2)):
         if kind == ASK:
             held = [(k, raw) for batch in batches for k, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-        rows = [_unpacked(raw, [np.int64, np.int64, *[np.int32] * width])[0] for k, raw in held if k == kind]
+        rows = [_unpacked(raw, [np.int64, np.int64, *[np.int64] * width])[0] for k, raw in held if k == kind]
         if rows:
             doc, tkey, *values = (np.concatenate(x) for x in zip(*rows, strict=True))
             yield _by_document(kind, doc, tkey, np.stack(values, axis=1))
@@ -216,6 +223,22 @@ def _find(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
         kept, later = _settle(key, doc_ids[row], same)
         yield from _to_documents(MARK, n_parts, doc_ids[row[later]], tkeys[row[later]], np.stack((start[later], start[later] + length[later]), axis=1))
         kept = kept[np.argsort(anchor[kept], kind="stable")]
+        heads = np.flatnonzero(np.append(True, anchor[kept][1:] != anchor[kept][:-1]))
+        sizes = np.diff(np.append(heads, len(kept)))
+        own = doc_ids[row[kept]]
+        low, high = np.minimum.reduceat(own, heads), np.maximum.reduceat(own, heads)
+        hot = (sizes > HOT_IN_BATCH) & (low < high)
+        if hot.any():
+            many = np.repeat(hot, sizes)
+            asked = kept[many]
+            yield from _to_documents(ASK, n_parts, doc_ids[row[asked]], tkeys[row[asked]], start[asked] * 2 + 1)
+            # The first entries of the least and of the greatest document stand for all.
+            stand = np.zeros(len(kept), dtype=bool)
+            for end in (low, high):
+                place = np.flatnonzero(many & (own == np.repeat(end, sizes)))
+                stand[place[np.unique(np.searchsorted(heads, place, side="right"), return_index=True)[1]]] = True
+            start[kept[stand]] = HOT_ENTRY
+            kept = kept[~many | stand]
         documents = struct.pack("<I", len(doc_ids)) + doc_ids.tobytes() + tkeys.tobytes()
 
         def pack(rows: np.ndarray) -> bytes:
@@ -229,10 +252,11 @@ def _find(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 def _ask(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """All packed anchors of a part to what is asked of each document: starts of runs, doubled, odd where the anchor is hot. Marks pass."""
-    return lambda batches: _asked(batches, n_parts)
+    most = HOT_ANCHOR
+    return lambda batches: _asked(batches, n_parts, most)
 
 
-def _asked(batches: Iterator[pa.RecordBatch], n_parts: int) -> Iterator[pa.RecordBatch]:
+def _asked(batches: Iterator[pa.RecordBatch], n_parts: int, most: int) -> Iterator[pa.RecordBatch]:
     release()
     all_rows: list[list[np.ndarray]] = []
     for batch in batches:
@@ -253,13 +277,14 @@ def _asked(batches: Iterator[pa.RecordBatch], n_parts: int) -> Iterator[pa.Recor
     first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
     sizes = np.diff(np.append(first, len(anchor)))
     shared = np.repeat(np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first), sizes)
-    hot = np.repeat(sizes > HOT_ANCHOR, sizes)[shared]
-    yield from _to_documents(ASK, n_parts, doc[shared], tkey[shared], start[shared].astype(np.int64) * 2 + hot)
+    hot = np.repeat((sizes > most) | np.maximum.reduceat(start == HOT_ENTRY, first), sizes)
+    asked = shared & (start != HOT_ENTRY)
+    yield from _to_documents(ASK, n_parts, doc[asked], tkey[asked], start[asked].astype(np.int64) * 2 + hot[asked])
 
 
 def _numbers(blobs: list[dict] | None, tkey: int, kind: int) -> np.ndarray:
     own = [x["data"] for x in blobs or [] if x["tkey"] == tkey and x["kind"] == kind]
-    return np.frombuffer(b"".join(own), dtype="<i4").astype(np.int64)
+    return np.frombuffer(b"".join(own), dtype="<i8").astype(np.int64)
 
 
 def _send(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -308,10 +333,11 @@ def _send(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 def _compare(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """All strings of a part to marks."""
-    return lambda batches: _marked(batches, n_parts)
+    together = SORTED_TOGETHER
+    return lambda batches: _marked(batches, n_parts, together)
 
 
-def _marked(batches: Iterator[pa.RecordBatch], n_parts: int) -> Iterator[pa.RecordBatch]:
+def _marked(batches: Iterator[pa.RecordBatch], n_parts: int, together: int) -> Iterator[pa.RecordBatch]:
     release()
     rows: list[list[np.ndarray]] = []
     for batch in batches:
@@ -327,17 +353,18 @@ def _marked(batches: Iterator[pa.RecordBatch], n_parts: int) -> Iterator[pa.Reco
     rows.clear()
     start, length = start.astype(np.int64), length.astype(np.int64)
     flat = strings.ravel()
-    # Shorter strings end in zeros; the length tells them from strings with zeros of their own.
-    content = _row_hashes(strings) + length.astype(np.uint64)
-    same = lambda a, b: (length[a] == length[b]) & (strings[a] == strings[b]).all(axis=1)
-    kept, later = _settle(content, doc, same)
+    # Runs of an anchor, sorted as suffixes of all strings. Shorter ones end in zeros; the length tells them from strings with zeros of their own.
+    order, group = sort_suffixes(flat, np.arange(len(key)) * WIDTH, WIDTH, key)
+    content = np.empty(len(key), dtype=np.int64)
+    content[order] = group * (WIDTH + 1) + length[order]
+    kept, later = _settle(content, doc, lambda a, b: np.ones(len(a), dtype=bool))
     yield from _to_documents(MARK, n_parts, doc[later], tkey[later], np.stack((start[later], start[later] + length[later]), axis=1))
     # Different strings with one anchor: all their windows are sorted.
     kept = kept[np.argsort(key[kept], kind="stable")]
     again = key[kept][1:] == key[kept][:-1]
     kept = kept[np.append(False, again) | np.append(again, False)] if len(kept) > 1 else kept[:0]
     heads = np.flatnonzero(np.append(True, key[kept][1:] != key[kept][:-1])) if len(kept) else kept
-    cuts = np.append(np.unique(heads[np.minimum(np.searchsorted(heads, np.arange(0, len(kept), SORTED_TOGETHER)), len(heads) - 1)]), len(kept)) if len(kept) else kept
+    cuts = np.append(np.unique(heads[np.minimum(np.searchsorted(heads, np.arange(0, len(kept), together)), len(heads) - 1)]), len(kept)) if len(kept) else kept
     for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         some = kept[i:j]
         many = length[some] - WINDOW + 1
@@ -364,7 +391,8 @@ def marked_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with columns ``__repeat_text_key`` and ``__repeat_marks`` (marks, or null).
 
     The texts are written once, bucketed by doc_id, and read in place three times. A null doc_id is compared with nothing.
-    Rows that share a doc_id are told apart by their texts; none of them is earlier than another.
+    Rows that share a doc_id are told apart by their texts; none of them is earlier than another. An empty table gives no rows.
+    Texts of up to 2 GB, the most that a row can hold, are cut into segments and hashed one by one.
     """
     spark = docs.sparkSession
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -374,6 +402,7 @@ def marked_documents(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumn("__repeat_text_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     keyed.repartition(n_buckets, "doc_id").write.format("parquet").option("path", fresh_path(spark, "texts")).bucketBy(n_buckets, "doc_id").saveAsTable(name)
     texts = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # from the catalog only: the files are read by their path
     known = texts.filter(F.col("doc_id").isNotNull()).select("doc_id", "__repeat_text_key", "text")
     found = known.mapInArrow(_find(n_parts), _PACKED)
     said = materialise(found.repartition(n_parts, "part").mapInArrow(_ask(n_parts), _PACKED), "asked")

@@ -198,13 +198,16 @@ def passages():
     return rows + [(None, own[5] * 3), (None, None), (7, None), (8, ""), (500, "$" * 3000), (501, "$" * 2000), (400, "ab" * 700), (401, "ab" * 700), (9, rows[9][1]), (9, rows[9][1]), (3, own[6] + own[7] * 2), (-4, own[6])]
 
 
-@pytest.mark.parametrize("hot", [20_000, 3])
-def test_suffix_dedup_against_brute_force(spark, hot, monkeypatch):
+@pytest.mark.parametrize(("hot", "in_batch"), [(20_000, 256), (3, 256), (20_000, 3)])
+def test_suffix_dedup_against_brute_force(spark, hot, in_batch, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "HOT_ANCHOR", hot)
+    monkeypatch.setattr(suffix_dedup, "HOT_IN_BATCH", in_batch)
     monkeypatch.setattr(suffix_dedup, "SORTED_TOGETHER", 50)
     rows = passages()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    before = spark.catalog.listTables()
     assert sorted(map(tuple, suffix_dedup.removal_report(df).collect()), key=repr) == brute_removals(rows)
+    assert spark.catalog.listTables() == before
 
 
 def test_suffix_dedup_on_documents(spark, small):
