@@ -95,7 +95,9 @@ def brute_chains(text):
         if w not in spot_signatures.COMMON:
             content.append(w)
             anchored.append(i > 0 and words[i - 1] in spot_signatures.ANCHORS)
-    return {tuple(content[i : i + 3]) for i in range(len(content) - 2) if anchored[i]}
+    every = [(tuple(content[i : i + 3]), anchored[i]) for i in range(len(content) - 2)]
+    spots = {c for c, a in every if a}
+    return spots if len(spots) >= spot_signatures.FEW else {c for c, _ in every}
 
 
 def near(a, b, x, y):
@@ -104,15 +106,22 @@ def near(a, b, x, y):
     return len(a & b) / len(a | b)
 
 
-def check_fingerprints(rows, got):
-    ordered = sorted(((i, t or "") for i, t in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+def check_fingerprints(rows, got, threshold=0.75):
+    named = sorted(((i, t or "") for i, t in rows if i is not None), key=lambda x: (x[0], x[1]))
+    following = [(i, t, named[(k + 1) % len(named)][1]) for k, (i, t) in enumerate(named)] + [(None, t or "", t or "") for i, t in rows if i is None]
+    sets = [(i, frozenset(brute_chains(t)) or t.lower()) for i, t, _ in following]
+    class_of = {}
+    for i, s in sets:
+        class_of[s] = min((x for x in (class_of.get(s), i) if x is not None), default=None)
+    known = [s for s, c in class_of.items() if c is not None]
+    links = {s: sum(s is not x and not isinstance(s, str) and not isinstance(x, str) and len(s & x) >= threshold * len(s | x) for x in known) if class_of[s] is not None else 0 for s in class_of}
     want = []
-    for k, (i, t) in enumerate(ordered):
-        half, after = len(t) // 2, ordered[(k + 1) % len(ordered)][1]
+    for (i, t, after), (_, s) in zip(following, sets, strict=True):
+        half = len(t) // 2
         edited = t[: len(t) - half] + after[:half]
         a, b, c = map(brute_chains, (t, edited, after))
-        want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), round(near(a, b, t, edited), 9), round(near(a, c, t, after), 9)))
-    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9)) for r in got), key=repr) == sorted(want, key=repr)
+        want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), round(near(a, b, t, edited), 9), round(near(a, c, t, after), 9), class_of[s], links[s]))
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9), r.class_id, r.n_links) for r in got), key=repr) == sorted(want, key=repr)
 
 
 def test_op8_on_documents(spark, small):
@@ -134,10 +143,13 @@ def test_op8_odd_rows(spark):
     assert spot_signatures.fingerprints(df.limit(0)).count() == 0
     one = spark.createDataFrame([(1, "ab")], "doc_id long, text string")
     assert spot_signatures.fingerprints(one).first().near_next == 1.0
+    ends = [(2**63 - 1, "the last of all"), (-(2**63), "the first of all"), (0, "an odd middle one of them"), (2**63 - 2, "x"), (None, "the first of all")]
+    check_fingerprints(ends, spot_signatures.fingerprints(spark.createDataFrame(ends, "doc_id long, text string")).collect())
 
 
 def test_op8_many_buckets(spark, monkeypatch):
-    monkeypatch.setattr(spot_signatures, "partitions_for", lambda *a: 150)
+    monkeypatch.setattr(spot_signatures, "BUCKET_BYTES", 100)
+    monkeypatch.setattr(spot_signatures, "BLOCK", 16)
     rows = [(i * i, f"the word{i} sees a house{i % 7} near the lake by night{i % 5} and day") for i in range(300)]
     check_fingerprints(rows, spot_signatures.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect())
 
@@ -156,9 +168,10 @@ def test_similar_pairs(spark, small):
 
 
 def test_op8_plan_has_no_python(spark, small):
-    plan = spot_signatures.op8_spot_signatures(spark, small)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
-    assert plan.count("split(") == 2
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (spot_signatures.op8_spot_signatures(spark, small), spot_signatures.compared(docs), *spot_signatures.similar_pairs(docs))]
+    assert not any(x in plan for plan in plans for x in ("Python", "Arrow", "Pandas"))
+    assert plans[1].count("split(") == 2
 
 
 def brute_pages(rows):
