@@ -79,38 +79,50 @@ def place_groups(cells: list[int], vectors: np.ndarray, shards: int) -> np.ndarr
     return out
 
 
+#: Tokens and rows may differ from the mean by this part before a move that levels bytes must spare them.
+SLACK = 0.01
+
+
 def _level(vectors: np.ndarray, place: np.ndarray, shards: int) -> np.ndarray:
-    """Even out the bytes that packing has left uneven: move, or exchange, the cells that fit the gap between the fullest and the emptiest shard best."""
-    sizes = vectors[:, 0].astype(np.int64)
-    loads = np.bincount(place, weights=sizes, minlength=shards).astype(np.int64)
+    """Even out the bytes that packing has left uneven: move, or exchange, the items that fit the gap between the fullest and the emptiest shard best.
+
+    Of the moves those count that leave tokens and rows of both shards within ``SLACK`` of the mean, or no further from it than they are; any other only while bytes differ by more than that.
+    """
+    loads = np.zeros((shards, vectors.shape[1]), dtype=np.int64)
+    np.add.at(loads, place, vectors)
+    mean, sizes = loads.mean(axis=0), vectors[:, 0]
     for _ in range(64 * shards):
-        high, low = int(loads.argmax()), int(loads.argmin())
-        gap = int(loads[high] - loads[low])
+        high, low = int(loads[:, 0].argmax()), int(loads[:, 0].argmin())
+        gap = int(loads[high, 0] - loads[low, 0])
         mine, theirs = np.flatnonzero(place == high), np.flatnonzero(place == low)
         if gap < 2 or not len(mine):
             break
-        # The best partner of each cell is next to size - gap / 2 among the others, or none at all.
+        # The best partners of each item are next to size - gap / 2 among the others, or none at all.
         order = theirs[np.argsort(sizes[theirs], kind="stable")]
-        given = np.append(0, sizes[order])
-        want = sizes[mine] - gap / 2
-        k = np.clip(np.searchsorted(given, want), 1, len(given) - 1) if len(given) > 1 else np.zeros(len(mine), dtype=np.int64)
-        k = np.where(np.abs(given[k - 1] - want) <= np.abs(given[k] - want), k - 1, k) if len(given) > 1 else k
-        moved = sizes[mine] - given[k]
-        best = int(np.argmin(np.abs(moved - gap / 2)))
-        if not 0 < moved[best] < gap:
+        given = np.concatenate((np.zeros((1, vectors.shape[1]), np.int64), vectors[order]))
+        at = np.searchsorted(given[:, 0], sizes[mine] - gap / 2)
+        k = np.clip(at[:, None] + np.arange(-4, 4), 0, len(given) - 1)
+        moved = vectors[mine][:, None, :] - given[k]
+        short = np.abs(moved[..., 0] - gap / 2)
+        after = np.maximum(np.abs(loads[high] - moved - mean), np.abs(loads[low] + moved - mean))[..., 1:]
+        bound = np.maximum(SLACK * mean, np.maximum(np.abs(loads[high] - mean), np.abs(loads[low] - mean)))[1:]
+        useful = (moved[..., 0] > 0) & (moved[..., 0] < gap)
+        sparing = useful & (after <= bound).all(axis=-1)
+        if not sparing.any() and gap <= SLACK * mean[0] or not useful.any():
             break
-        place[mine[best]] = low
-        if k[best]:
-            place[order[k[best] - 1]] = high
-        loads[high] -= moved[best]
-        loads[low] += moved[best]
+        i, j = np.unravel_index(np.argmin(np.where(sparing if sparing.any() else useful, short, np.inf)), short.shape)
+        place[mine[i]] = low
+        if k[i, j]:
+            place[order[k[i, j] - 1]] = high
+        loads[high] -= moved[i, j]
+        loads[low] += moved[i, j]
     return place
 
 
 def assign_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row, under the law ``bytes``.
 
-    size is the text's bytes in UTF-8 and 1 more (a null text counts as empty); tokens are white-space words. Repeated rows, and rows with a null doc_id, each get a slot of their own. An empty table gives no rows.
+    size is the text's bytes in UTF-8 and 1 more (a null text counts as empty); tokens are white-space words. Repeated rows, and rows with a null doc_id, each get a slot of their own. An empty table gives no rows. Texts are measured where they lie, whatever their length, and not shuffled; other columns are not looked at.
     """
     spark, text = docs.sparkSession, text_of("text")
     rows = docs.select(
@@ -138,10 +150,18 @@ def assign_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, assigned: DataFrame, path: str, files_per_shard: int = 16) -> None:
-    """Write ``docs``, whose doc_ids must be unique, as Parquet in folders shard=0, shard=1, ..., each file sorted by slot."""
-    rows = docs.join(assigned.select("doc_id", "shard", "slot"), "doc_id")
+    """Write ``docs``, whose doc_ids must be unique, as Parquet in folders shard=0, shard=1, ..., each file sorted by slot.
+
+    The columns are called shard and slot, each with as many _ behind it as columns of ``docs`` make needful. Rows with a null doc_id are not written.
+    """
+    shard, slot = "shard", "slot"
+    while shard in docs.columns:
+        shard += "_"
+    while slot in docs.columns:
+        slot += "_"
+    rows = docs.join(assigned.select("doc_id", F.col("shard").alias(shard), F.col("slot").alias(slot)), "doc_id")
     rows = rows.withColumn("__file", F.pmod(F.xxhash64("doc_id"), F.lit(files_per_shard)))
-    rows.repartition("shard", "__file").sortWithinPartitions("shard", "slot").drop("__file").write.partitionBy("shard").parquet(path)
+    rows.repartition(shard, "__file").sortWithinPartitions(shard, slot).drop("__file").write.partitionBy(shard).parquet(path)
 
 
 def op6_sharding(spark, sf_dir: str) -> DataFrame:

@@ -78,6 +78,52 @@ def test_dot_product_placing():
     assert (totals.max(axis=0) - totals.min(axis=0)).max() <= 1
 
 
+def plain_places(vectors, shards):
+    """The dot product rule, one item after the other."""
+    total = [sum(v[d] for v in vectors) for d in range(3)]
+    loads = [[v[d] * shards / total[d] for d in range(3)] for v in vectors]
+    residual, place = [[1.0] * 3 for _ in range(shards)], [0] * len(vectors)
+    for i in sorted(range(len(vectors)), key=lambda i: (-max(loads[i]), i)):
+        scores = [sum(r * x for r, x in zip(room, loads[i], strict=True)) for room in residual]
+        place[i] = max(range(shards), key=lambda s: (round(scores[s], 12), -s))
+        residual[place[i]] = [r - x for r, x in zip(residual[place[i]], loads[i], strict=True)]
+    return place
+
+
+def test_placing_against_a_plain_version():
+    rng = np.random.default_rng(4)
+    for shards in (2, 5, 8):
+        vectors = rng.integers(1, 1000, (60, 3))
+        assert sharding.place_cells(vectors, shards).tolist() == plain_places(vectors.tolist(), shards)
+
+
+def test_levelling_spares_tokens_and_rows():
+    """Bytes end within a hundredth of each other, tokens and rows near it."""
+    vectors = np.random.default_rng(5).integers([50, 5, 1], [5000, 900, 4], (3000, 3))
+    place = sharding.place_groups(list(range(3000)), vectors, 8)
+    loads = np.array([vectors[place == s].sum(axis=0) for s in range(8)])
+    assert ((loads.max(axis=0) - loads.min(axis=0)) <= 0.025 * loads.mean(axis=0)).all()
+
+
+def test_equal_texts_of_documents_share_a_shard(spark):
+    """All groups of the table but those that alone would unbalance a shard."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    text = {r.doc_id: r.text for r in df.collect()}
+    got, shards, size = sharding.assign_shards(df).collect(), defaultdict(set), defaultdict(int)
+    for r in got:
+        shards[text[r.doc_id]].add(r.shard)
+        size[text[r.doc_id]] += r.size
+    limit = sum(size.values()) / 8 / sharding.SPLIT
+    assert [t for t, s in shards.items() if len(s) > 1 and size[t] <= limit] == []
+
+
+def test_write_shards_with_clashing_columns(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"t{i}", -i, "s") for i in range(40)], "doc_id long, text string, shard int, slot string")
+    sharding.write_shards(df, sharding.assign_shards(df), str(tmp_path / "clash"))
+    back = spark.read.parquet(str(tmp_path / "clash"))
+    assert set(back.columns) == {"doc_id", "text", "shard", "slot", "shard_", "slot_"} and sorted((r.doc_id, r.shard, r.slot) for r in back.collect()) == [(i, -i, "s") for i in range(40)]
+
+
 def test_write_shards(spark, tmp_path):
     df = spark.createDataFrame([(i, f"t{i}") for i in range(100)], "doc_id long, text string")
     sharding.write_shards(df, sharding.assign_shards(df), str(tmp_path / "out"))
