@@ -56,7 +56,8 @@ HOT_IN_BATCH = 256
 HOT_ENTRY = (1 << 32) - 1
 #: Strings whose windows are sorted at once.
 SORTED_TOGETHER = 10_000
-ASK, MARK = 0, 1
+#: Kinds of messages to documents; ``WIDE`` is added where a place needs more than 32 bits.
+ASK, MARK, WIDE = 0, 1, 2
 _PACKED = "part int, kind int, data binary"
 _PACKED_ARROW = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 _ROWS = "doc_id long, tkey long, kind int, data binary"
@@ -149,7 +150,7 @@ def _unplanes(raw: memoryview, n: int, kind: type) -> np.ndarray:
 
 def _packed(columns: list[np.ndarray], extra: bytes = b"") -> bytes:
     body = b"".join(map(_planes, columns)) + extra
-    return struct.pack("<I", len(columns[0])) + zstandard.ZstdCompressor(level=1).compress(body)
+    return struct.pack("<I", len(columns[0])) + zstandard.ZstdCompressor(level=3).compress(body)
 
 
 def _unpacked(raw: bytes, kinds: list[type]) -> tuple[list[np.ndarray], memoryview]:
@@ -164,12 +165,12 @@ def _unpacked(raw: bytes, kinds: list[type]) -> tuple[list[np.ndarray], memoryvi
 
 def _by_document(kind: int, doc: np.ndarray, tkey: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
     """A row for each document with its ``values`` (rows of integers)."""
-    order = np.lexsort((tkey, doc))
-    doc, tkey, values = doc[order], tkey[order], np.ascontiguousarray(values[order], dtype="<i8")
+    order, wide = np.lexsort((tkey, doc)), bool(values.max() >> 32)
+    doc, tkey, values = doc[order], tkey[order], np.ascontiguousarray(values[order], dtype="<i8" if wide else "<u4")
     new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (tkey[1:] != tkey[:-1]))))
     ends = np.append(new, len(doc)).astype(np.int32) * np.int32(values.itemsize * values.shape[1])
     data = pa.BinaryArray.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(ends), pa.py_buffer(values.tobytes())])
-    return pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(tkey[new]), pa.array(np.full(len(new), kind, np.int32)), data], schema=_ARROW)
+    return pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(tkey[new]), pa.array(np.full(len(new), kind + WIDE * wide, np.int32)), data], schema=_ARROW)
 
 
 def _by_part(part: np.ndarray, n_parts: int, pack: Callable[[np.ndarray], bytes], kind: int = -1) -> Iterator[pa.RecordBatch]:
@@ -283,8 +284,8 @@ def _asked(batches: Iterator[pa.RecordBatch], n_parts: int, most: int) -> Iterat
 
 
 def _numbers(blobs: list[dict] | None, tkey: int, kind: int) -> np.ndarray:
-    own = [x["data"] for x in blobs or [] if x["tkey"] == tkey and x["kind"] == kind]
-    return np.frombuffer(b"".join(own), dtype="<i8").astype(np.int64)
+    parts = [np.frombuffer(x["data"], dtype="<i8" if x["kind"] >= WIDE else "<u4").astype(np.int64) for x in blobs or [] if x["tkey"] == tkey and x["kind"] % WIDE == kind]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
 def _send(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
