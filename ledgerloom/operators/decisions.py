@@ -43,11 +43,12 @@ def pending(inputs: DataFrame, checkpoint: DataFrame, has_content: Column) -> Da
 
 
 def map_back(records: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Every record with its content's decision: category, classification_source, model_decision, needs_review.
+    """Every record with its content's decision: category, classification_source, model_decision, needs_review, and reason where ``decisions`` have one.
 
     Records need card_sha256 and has_content. Without content, or without a decision, a record waits for a person.
     """
-    d = decisions.select("card_sha256", F.col("decision").alias("__decision"), F.col("category").alias("__category"))
+    reason = ["reason"] if "reason" in decisions.columns else []
+    d = decisions.select("card_sha256", F.col("decision").alias("__decision"), F.col("category").alias("__category"), *(F.col(r).alias("__reason") for r in reason))
     decided = F.col("has_content") & F.col("__decision").isNotNull()
     joined = records.join(d, "card_sha256", "left")
     return joined.select(
@@ -56,6 +57,7 @@ def map_back(records: DataFrame, decisions: DataFrame) -> DataFrame:
         F.when(decided, F.lit("model")).otherwise(F.lit("manual_review")).alias("classification_source"),
         F.when(decided, F.col("__decision")).otherwise(F.lit(REVIEW)).alias("model_decision"),
         (~decided | (F.col("__decision") != CLASSIFY)).alias("needs_review"),
+        *(F.when(decided, F.col("__reason")).alias(r) for r in reason),
     )
 
 
@@ -74,24 +76,29 @@ def conflicting(previous: DataFrame) -> DataFrame:
 
 
 def merge_review(classified: DataFrame, targets: DataFrame, answers: DataFrame, source: str = "model_recheck", by_hash: bool = False) -> DataFrame:
-    """``classified`` with the answers merged in; columns merged and recheck_status added.
+    """``classified`` with the answers merged in; columns previous_decision, previous_category, merged and recheck_status added, and recheck_reason (``by_hash``: recheck_2_reason) where ``answers`` have a reason.
 
     The first review touches the rows of ``targets``; the second (``by_hash``) all rows that share a target's content. Others pass unchanged.
     """
     key = ["card_sha256"] if by_hash else ["relative_path"]
     marked = classified.join(targets.select(*key).distinct().withColumn("__target", F.lit(True)), key, "left")
-    a = answers.select("card_sha256", F.col("decision").alias("__decision"), F.col("category").alias("__category"))
+    said = "recheck_2_reason" if by_hash else "recheck_reason"
+    reason = F.col("reason") if "reason" in answers.columns else F.lit(None).cast("string")
+    a = answers.select("card_sha256", F.col("decision").alias("__decision"), F.col("category").alias("__category"), reason.alias("__reason"))
     joined = marked.join(a, "card_sha256", "left").withColumn("__target", F.coalesce("__target", F.lit(False)))
     merged = F.col("__target") & F.col("has_content") & F.col("__decision").isNotNull()
-    passing = [c for c in classified.columns if c not in ("category", "classification_source", "model_decision", "needs_review", "recheck_status")]
+    passing = [c for c in classified.columns if c not in ("category", "classification_source", "model_decision", "needs_review", "recheck_status", "previous_decision", "previous_category", "merged", said)]
+    before = F.col(said) if said in classified.columns else F.lit(None).cast("string")
     return joined.select(
         *passing,
         F.when(merged, F.when(F.col("__decision") == CLASSIFY, F.col("__category"))).otherwise(F.col("category")).alias("category"),
         F.when(merged, F.lit(source)).otherwise(F.col("classification_source")).alias("classification_source"),
         F.col("model_decision").alias("previous_decision"),
+        F.col("category").alias("previous_category"),
         F.when(merged, F.col("__decision")).otherwise(F.col("model_decision")).alias("model_decision"),
         F.when(merged, F.col("__decision") != CLASSIFY).otherwise(F.col("needs_review")).alias("needs_review"),
         merged.alias("merged"),
+        *([F.when(merged, F.col("__reason")).otherwise(before).alias(said)] if "reason" in answers.columns else []),
         F.when(F.col("__target"), F.when(~F.col("has_content"), "no_semantic_content").when(F.col("__decision").isNotNull(), "complete").otherwise("incomplete")).alias("recheck_status"),
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import safe_category
+from ledgerloom.operators.grouping import FANWORK
 
 HASH_LENGTH = 12
 
@@ -114,6 +115,35 @@ def colliding_categories(rows: DataFrame, category: str = "category") -> DataFra
     return names.groupBy(F.lower(safe_category("__c")).alias("name")).agg(F.count(F.lit(1)).alias("owners")).filter("owners > 1")
 
 
+def bad_refinements(rows: DataFrame) -> DataFrame:
+    """Guard: rows without a path, a SHA-256 or the scope's flag, and fanworks that are not selected or have no directory."""
+    named = F.coalesce("selected_for_refinement", F.lit(False)) & (F.coalesce(F.trim("subcategory"), F.lit("")) != "")
+    good = (F.coalesce("relative_path", F.lit("")) != "") & F.coalesce(F.col("sha256").rlike("(?i)^[0-9a-f]{64}$"), F.lit(False)) & F.col("selected_for_refinement").isNotNull() & ((F.col("parent_category") != FANWORK) | named)
+    return rows.filter(~F.coalesce(good, F.lit(False)))
+
+
+def must_count(rows: DataFrame, expected: int | None, what: str) -> None:
+    """Guard: the relation has as many rows as its summary says."""
+    if expected is not None and (n := rows.count()) != expected:
+        raise ValueError(f"{what} has {n} rows, its summary says {expected}")
+
+
+def organised_sources(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """``rows`` (parent_category, file_name, sha256) with source_relative: the file below the parent's folder with that hash whose name is the row's or, else, begins with its ``stem__hash12``, case aside; null where there is none.
+
+    ``files`` have relative_path and sha256. Of several files the first by path counts.
+    """
+    path = F.split("relative_path", "/")
+    found = files.filter(F.size(path) == 2).select(path[0].alias("parent_category"), path[1].alias("__name"), "sha256", F.col("relative_path").alias("__path"))
+    stem = lambda c: F.regexp_replace(c, r"(?<=.)\.[^.]*$", "")
+    begin = F.lower(F.concat(stem(F.col("file_name")), F.lit("__"), F.substring("sha256", 1, 12)))
+    exact = F.col("__name") == F.col("file_name")
+    fits = exact | F.lower(stem(F.col("__name"))).startswith(begin)
+    keys = ["parent_category", "sha256", "file_name"]
+    best = rows.select(*keys).distinct().join(found, ["parent_category", "sha256"]).filter(fits).groupBy(*keys).agg(F.min_by("__path", F.struct(~exact, "__path")).alias("source_relative"))
+    return rows.join(best, keys, "left")
+
+
 def must_be_empty(problems: DataFrame, message: str) -> None:
     found = problems.take(3)
     if found:

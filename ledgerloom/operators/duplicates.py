@@ -56,5 +56,29 @@ def ordered(groups: DataFrame) -> DataFrame:
 
 
 def type_counts(members: DataFrame) -> DataFrame:
-    """type, groups, files."""
-    return members.groupBy("type").agg(F.sum(1 / F.col("group_size")).alias("__g"), F.count(F.lit(1)).alias("files")).select("type", F.round("__g").cast("long").alias("groups"), "files")
+    """type, groups, files; a group counts by its key, once."""
+    return members.groupBy("type", "key").agg(F.count(F.lit(1)).alias("n")).groupBy("type").agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("files"))
+
+
+def group_sizes(records: DataFrame, types: tuple[str, ...] = (EXACT, SAME_CARD, SAME_NAME, VERSION)) -> DataFrame:
+    """type, key, group_size, files_differ, cards_differ (different hashes of files and of cards are there) of every group, from one pass over the records: each gives a row for each relation, which are aggregated together."""
+    relations = _relations()
+    rows = _keyed(records).select("sha256", "card_sha256", F.explode(F.array(*(F.struct(F.lit(t).alias("type"), relations[t][0].alias("key")) for t in types))).alias("r"))
+    sizes = rows.filter("r.key is not null").groupBy("r.type", "r.key").agg(F.count(F.lit(1)).alias("group_size"), *(f(F.nullif(c, F.lit(""))).alias(f"{n}_{c[0]}") for c in ("sha256", "card_sha256") for n, f in (("low", F.min), ("high", F.max))))
+    differ = {"sha256": F.coalesce(F.col("low_s") != F.col("high_s"), F.lit(False)), "card_sha256": F.coalesce(F.col("low_c") != F.col("high_c"), F.lit(False))}
+    holds = reduce(lambda a, b: a | b, ((F.col("type") == t) & (differ[relations[t][1]] if relations[t][1] else F.lit(True)) for t in types))
+    return sizes.filter((F.col("group_size") > 1) & holds).select("type", "key", "group_size", differ["sha256"].alias("files_differ"), differ["card_sha256"].alias("cards_differ"))
+
+
+#: The table that a person reads, with its columns.
+REVIEW = ("group_type", "group_key", "file_count", "distinct_file_hashes", "distinct_card_hashes", "relative_paths", "reason")
+# What each relation says.
+SAID = {EXACT: "the files are equal", SAME_CARD: "one card in different files", SAME_NAME: "one file name, different content", VERSION: "one name and creator, different cards"}
+
+
+def review_table(records: DataFrame, members: DataFrame) -> DataFrame:
+    """A row for each group, with its sorted paths joined by `` | ``; a group's paths must fit a task."""
+    rows = members.join(records.select("relative_path", "sha256", "card_sha256"), "relative_path")
+    said = F.create_map(*(F.lit(x) for pair in SAID.items() for x in pair))
+    grouped = rows.groupBy(F.col("type").alias("group_type"), F.col("key").alias("group_key")).agg(F.count(F.lit(1)).alias("file_count"), F.count_distinct("sha256").alias("distinct_file_hashes"), F.count_distinct("card_sha256").alias("distinct_card_hashes"), F.array_join(F.sort_array(F.collect_list("relative_path")), " | ").alias("relative_paths"))
+    return grouped.withColumn("reason", said[F.col("group_type")]).select(*REVIEW)

@@ -89,6 +89,10 @@ def source_medium(value: Column) -> Column:
     return F.when(name.isin(*MEDIA), name)
 
 
+#: The columns that hold reasons, those of later reviews first.
+REASONS = ("recheck_2_reason", "third_reason", "recheck_reason", "reason")
+
+
 def reason_text(*reasons: Column) -> Column:
     return trim(nfkc(F.coalesce(*reasons, F.lit(""))))
 
@@ -128,7 +132,7 @@ def resolve_groups(rows: DataFrame) -> DataFrame:
 def refine(rows: DataFrame, selected: DataFrame, groups: DataFrame) -> DataFrame:
     """Every row with subcategory and refinement_source: that of its group where its parent is selected (few rows, broadcast)."""
     names = F.broadcast(selected.select(F.col("parent_category"), F.lit(True).alias("selected_for_refinement")))
-    g = groups.select("group_id", F.col("subcategory").alias("__sub"), "used_fallback")
+    g = groups.select("group_id", F.col("subcategory").alias("__sub"), F.col("used_fallback").alias("__fell"))
     joined = rows.join(names, "parent_category", "left").join(g, "group_id", "left").withColumn("selected_for_refinement", F.coalesce("selected_for_refinement", F.lit(False)))
     mode = refinement_mode(F.col("parent_category"))
     chosen = F.col("selected_for_refinement")
@@ -137,6 +141,7 @@ def refine(rows: DataFrame, selected: DataFrame, groups: DataFrame) -> DataFrame
         "selected_for_refinement",
         F.when(chosen, F.coalesce("__sub", F.lit(OTHER))).alias("subcategory"),
         F.when(~chosen, F.when(mode.isNull(), "scope_not_selected").otherwise("threshold_not_triggered")).when(F.col("__sub").isNull(), "fallback").when(mode == "model", "model").when(F.col("parent_category") == NONSTANDARD, "original_category").otherwise("reason_rule").alias("refinement_source"),
+        (chosen & F.coalesce("__fell", F.lit(True))).alias("used_fallback"),
     )
 
 

@@ -151,3 +151,11 @@ def test_audit(spark):
     assert [r.link for r in broken.collect()] == ["f.md"]
     log = spark.createDataFrame([("request_reserved", None, 10.0), (None, "success", 5.0), ("request_completed", "success", 10.0), ("request_reserved", None, float("nan"))], "event string, outcome string, request_bytes double")
     assert tuple(audit.usage_summary(log).first()) == (3, 15.0)
+
+
+def test_organised_sources(spark):
+    h = {c: c * 64 for c in "abcd"}
+    rows = spark.createDataFrame([("p", "n.json", h["a"]), ("p", "m.json", h["b"]), ("p", "M2.json", h["c"]), ("q", "n.json", h["a"]), ("p", "gone.json", h["d"])], "parent_category string, file_name string, sha256 string")
+    files = spark.createDataFrame([("p/n.json", h["a"]), ("p/n__" + "a" * 12 + ".json", h["a"]), ("p/m__" + "b" * 12 + "-2.json", h["b"]), ("p/m2__" + "C" * 12 + ".json", h["c"]), ("q/other.json", h["a"]), ("p/gone.json", h["a"])], "relative_path string, sha256 string")
+    got = {(r.parent_category, r.file_name): r.source_relative for r in destinations.organised_sources(rows, files).collect()}
+    assert got == {("p", "n.json"): "p/n.json", ("p", "m.json"): f"p/m__{'b' * 12}-2.json", ("p", "M2.json"): f"p/m2__{'C' * 12}.json", ("q", "n.json"): None, ("p", "gone.json"): None}

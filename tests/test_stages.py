@@ -8,6 +8,7 @@ import pytest
 
 from ledgerloom.__main__ import parser
 from ledgerloom.plans import plan, stages
+from ledgerloom.plans.model import Filtered, ModelError
 from ledgerloom.sources import cards
 from tests.test_cards import png, v2
 
@@ -84,7 +85,7 @@ def test_from_scan_to_tags(spark, source, tmp_path):
     groups = spark.createDataFrame([(r.g, "原神 同人") for r in spark.read.parquet(str(third / "classifications")).selectExpr("sha2(concat('同人', chr(0), card_sha256), 256) g").distinct().collect()], "group_id string, subcategory string")
     media = spark.createDataFrame([("原神", "游戏")], "subcategory string, medium string")
     refined = stages.refine(spark, third, reports("070"), ["同人"], groups, media, threshold=1)
-    assert json.loads((refined / "taxonomy.json").read_text()) == {"同人": {"原神": 5}, "排除": {"其他排除原因": 2}}
+    assert json.loads((refined / "taxonomy.json").read_text()) == {"同人": {"原神": 5}, "排除": {"未成年或幼态内容": 2}}
     placed = stages.organise_refined(spark, refined, str(source), str(tmp_path / "out2"), reports("080"))
     approve(placed)
     assert stages.execute(placed) == {"copied": 9}
@@ -105,6 +106,7 @@ def test_from_scan_to_tags(spark, source, tmp_path):
     tagged = stages.plan_tags(spark, merged, str(tmp_path / "out3"), str(tmp_path / "out4"), reports("110"))
     rows = [json.loads(x) for x in (tagged / "plan.jsonl").read_text().splitlines()]
     assert {tuple(r["tags_actually_added"]) for r in rows if r["parent_category"] == "同人"} == {("其他游戏同人",)}
+    assert stages._summary(tagged)["totals"] == {"added": 5 + 4, "already_tagged": 0, "unchanged": 0, "invalid": 0}
     approve(tagged)
     assert stages.execute_tags(tagged) == {"tagged_copy_written": 9}
     some = next(p for p in (tmp_path / "out4").rglob("*.png"))
@@ -116,6 +118,105 @@ def test_from_scan_to_tags(spark, source, tmp_path):
         stages.plan_tags(spark, merged, str(tmp_path / "out3"), str(tmp_path / "out6"), reports("110"), unchanged=("no.png",))
 
 
+class Works:
+    """Names works and media; refuses full cards of one name, and forgets a medium at first."""
+
+    def __init__(self):
+        self.asked, self.forget = [], True
+
+    def ask(self, system, payload):
+        self.asked.append(payload)
+        if "works" in payload:
+            forgotten, self.forget = self.forget, False
+            return {"results": [] if forgotten else [{"id": w["id"], "fanwork_source_category": "游戏"} for w in payload["works"]]}
+        if any(c["name"] == "refused" and "description" in c for c in payload["cards"]):
+            raise Filtered("no")
+        return {"results": [{"id": c["id"], "subcategory": "Genshin Impact" if c["name"] != "odd" else "Own World"} for c in payload["cards"]]}
+
+
+@pytest.fixture
+def fanworks(spark, tmp_path):
+    """A scan and its complete classification: fanworks, and excluded cards with reasons of several stages."""
+    names = ["one", "refused", "odd", "x", "y", "z"]
+    root = tmp_path / "cards"
+    root.mkdir()
+    for n in names:
+        (root / f"{n}.json").write_text(json.dumps(v2(name=n, description=f"about {n}")))
+    scanned = stages.scan(spark, str(root), str(tmp_path / "r020"))
+    decided = Stub({n: ("classify", "同人") for n in names[:3]} | {n: ("exclude", None) for n in names[3:]})
+    classified = stages.classify(spark, scanned, str(tmp_path / "r050"), decided, "", ("m", "p"))
+    return scanned, classified, root
+
+
+def test_refinement_asks_the_model(spark, fanworks, tmp_path):
+    scanned, classified, root = fanworks
+    client = Works()
+    out = stages.refine(spark, classified, str(tmp_path / "r070"), ["同人"], threshold=1, scanned=scanned, client=client, batch_size=1)
+    rows = {r.relative_path: r for r in spark.read.parquet(str(out / "refinements")).collect()}
+    assert {p: (r.subcategory, r.fanwork_source_category, r.used_fallback) for p, r in rows.items() if r.parent_category == "同人"} == {"one.json": ("原神", "游戏", False), "refused.json": ("原神", "游戏", False), "odd.json": ("Own World", "游戏", False)}
+    assert {r.subcategory for r in rows.values() if r.parent_category == "排除"} == {"未成年或幼态内容"}
+    assert stages._summary(out)["selected"] == ["同人", "排除"]
+    cards_asked = [p["cards"][0] for p in client.asked if "cards" in p]
+    assert [set(c) == {"id", "name", "creator", "tags"} for c in cards_asked if c["name"] == "refused"] == [False, True]
+    assert "Genshin Impact" in client.asked[-4 if "works" in client.asked[-1] else -1].get("labels", ["Genshin Impact"])
+    # Complete: nothing is asked again.
+    n = len(client.asked)
+    again = stages.refine(spark, classified, str(tmp_path / "r070"), ["同人"], threshold=1, scanned=scanned, client=client, batch_size=1, resume=out)
+    assert len(client.asked) == n and stages._summary(again)["status"] == "complete"
+    with pytest.raises(ValueError, match="other inputs"):
+        stages.refine(spark, classified, str(tmp_path / "r070"), ["同人"], threshold=2, scanned=scanned, client=client, batch_size=1, resume=out)
+    richer = stages.enrich(spark, out, str(tmp_path / "r071"), client)
+    assert {p["works"][0]["name"] for p in client.asked[n:]} == {"Own World"} | {"原神"} or len(client.asked) == n + 1
+    assert spark.read.parquet(str(richer / "refinements")).filter("fanwork_source_category = '游戏'").count() == 3
+    people = spark.read.option("header", True).option("escape", '"').csv(str(out / "review"))
+    assert tuple(people.columns) == stages.REFINED_TABLE and people.count() == 6
+
+
+def test_reasons_of_the_reviews_count_first(spark, fanworks, tmp_path):
+    scanned, classified, _ = fanworks
+
+    class Reviewer(Stub):
+        def ask(self, system, payload):
+            return {"results": [{"id": c["id"], "decision": "exclude", "reason": {"x": "英文内容", "y": "", "z": "含血腥描写"}[c["name"]]} for c in payload["cards"]]}
+
+    reviewed = stages.review(spark, classified, scanned, str(tmp_path / "r051"), Reviewer({}), "", ("m", "p"), ["同人"])
+    out = stages.refine(spark, reviewed, str(tmp_path / "r070"), ["同人"], threshold=1)
+    assert {r.relative_path: r.subcategory for r in spark.read.parquet(str(out / "refinements")).filter("parent_category = '排除'").collect()} == {"x.json": "外文内容", "y.json": "未成年或幼态内容", "z.json": "R18G与血腥猎奇"}
+    again = stages.review(spark, classified, scanned, str(tmp_path / "r051"), Stub({}), "", ("m", "p"), ["同人"], resume=reviewed)
+    assert stages._summary(again)["transitions"] == {"exclude->exclude": 3}
+    people = spark.read.option("header", True).csv(str(reviewed / "review"))
+    assert tuple(people.columns) == stages.REVIEW_TABLE and people.count() == 3
+
+
+def test_fatal_errors_leave_answers_and_the_way_on(spark, fanworks, tmp_path):
+    scanned, _, _ = fanworks
+
+    class Failing:
+        def __init__(self):
+            self.calls = 0
+
+        def ask(self, system, payload):
+            self.calls += 1
+            if self.calls == 2:
+                raise ModelError("no more", 401, fatal=True)
+            return {"results": [{"id": payload["cards"][0]["id"], "decision": "classify", "category": "一"}]}
+
+    with pytest.raises(ModelError):
+        stages.classify(spark, scanned, str(tmp_path / "r050f"), Failing(), "", ("m", "p"), batch_size=3)
+    folder = next((tmp_path / "r050f").iterdir())
+    assert stages._summary(folder)["status"] == "interrupted" and str(folder) in stages._summary(folder)["resume"]
+    assert len((folder / "checkpoint.jsonl").read_text().splitlines()) == 1
+
+
+def test_overrides_are_refused(spark):
+    found = spark.createDataFrame([("a",), ("b",)], "current_directory string")
+    good = {"current_directory": "a", "approved_target": "t", "reason": "r"}
+    assert stages._overrides(spark, [good], found).count() == 1
+    for bad in ([good, good], [good | {"reason": " "}], [good | {"current_directory": "c"}], [good | {"approved_target": "x:y"}], [{"current_directory": "a", "approved_target": "t"}]):
+        with pytest.raises(plan.NotApproved):
+            stages._overrides(spark, bad, found)
+
+
 def test_fanwork_index_holds_the_files_of_all_directories(spark):
     """Over a million directories, and one of several files."""
     n = 1_000_050
