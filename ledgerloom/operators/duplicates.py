@@ -45,9 +45,26 @@ def duplicate_members(records: DataFrame, types: tuple[str, ...] = (EXACT, SAME_
     return reduce(DataFrame.unionByName, out)
 
 
+def _grouped(records: DataFrame, types: tuple[str, ...], *more: Column) -> DataFrame:
+    """type, key, group_size, files_differ, cards_differ and ``more`` aggregates of every group, from one pass: each record gives a row for each relation, and all are aggregated together."""
+    relations = _relations()
+    rows = _keyed(records).select("relative_path", "sha256", "card_sha256", F.explode(F.array(*(F.struct(F.lit(t).alias("type"), relations[t][0].alias("key")) for t in types))).alias("r"))
+    ends = [f(F.nullif(F.col(c), F.lit(""))).alias(f"{n}_{c}") for c in ("sha256", "card_sha256") for n, f in (("low", F.min), ("high", F.max))]
+    sizes = rows.filter("r.key is not null").groupBy("r.type", "r.key").agg(F.count(F.lit(1)).alias("group_size"), *ends, *more)
+    differ = {c: F.coalesce(F.col(f"low_{c}") != F.col(f"high_{c}"), F.lit(False)) for c in ("sha256", "card_sha256")}
+    holds = reduce(lambda a, b: a | b, ((F.col("type") == t) & (differ[relations[t][1]] if relations[t][1] else F.lit(True)) for t in types))
+    found = sizes.filter((F.col("group_size") > 1) & holds)
+    return found.withColumns({"files_differ": differ["sha256"], "cards_differ": differ["card_sha256"]}).drop(*(f"{n}_{c}" for c in differ for n in ("low", "high")))
+
+
+def group_sizes(records: DataFrame, types: tuple[str, ...] = (EXACT, SAME_CARD, SAME_NAME, VERSION)) -> DataFrame:
+    """type, key, group_size, files_differ, cards_differ (different hashes of files, and of cards, are there) of every group."""
+    return _grouped(records, types)
+
+
 def duplicate_groups(records: DataFrame, types: tuple[str, ...] = (EXACT, SAME_CARD, SAME_NAME, VERSION)) -> DataFrame:
     """type, key, group_size, files (sorted paths), for reports; a group's paths must fit a task."""
-    return duplicate_members(records, types).groupBy("type", "key").agg(F.first("group_size").alias("group_size"), F.sort_array(F.collect_list("relative_path")).alias("files"))
+    return _grouped(records, types, F.sort_array(F.collect_list("relative_path")).alias("files")).select("type", "key", "group_size", "files")
 
 
 def ordered(groups: DataFrame) -> DataFrame:
@@ -55,19 +72,9 @@ def ordered(groups: DataFrame) -> DataFrame:
     return groups.orderBy(F.expr("type COLLATE UNICODE"), F.expr("key COLLATE UNICODE"))
 
 
-def type_counts(members: DataFrame) -> DataFrame:
-    """type, groups, files; a group counts by its key, once."""
-    return members.groupBy("type", "key").agg(F.count(F.lit(1)).alias("n")).groupBy("type").agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("files"))
-
-
-def group_sizes(records: DataFrame, types: tuple[str, ...] = (EXACT, SAME_CARD, SAME_NAME, VERSION)) -> DataFrame:
-    """type, key, group_size, files_differ, cards_differ (different hashes of files and of cards are there) of every group, from one pass over the records: each gives a row for each relation, which are aggregated together."""
-    relations = _relations()
-    rows = _keyed(records).select("sha256", "card_sha256", F.explode(F.array(*(F.struct(F.lit(t).alias("type"), relations[t][0].alias("key")) for t in types))).alias("r"))
-    sizes = rows.filter("r.key is not null").groupBy("r.type", "r.key").agg(F.count(F.lit(1)).alias("group_size"), *(f(F.nullif(c, F.lit(""))).alias(f"{n}_{c[0]}") for c in ("sha256", "card_sha256") for n, f in (("low", F.min), ("high", F.max))))
-    differ = {"sha256": F.coalesce(F.col("low_s") != F.col("high_s"), F.lit(False)), "card_sha256": F.coalesce(F.col("low_c") != F.col("high_c"), F.lit(False))}
-    holds = reduce(lambda a, b: a | b, ((F.col("type") == t) & (differ[relations[t][1]] if relations[t][1] else F.lit(True)) for t in types))
-    return sizes.filter((F.col("group_size") > 1) & holds).select("type", "key", "group_size", differ["sha256"].alias("files_differ"), differ["card_sha256"].alias("cards_differ"))
+def type_counts(groups: DataFrame) -> DataFrame:
+    """type, groups, files, of rows (type, group_size) for each group."""
+    return groups.groupBy("type").agg(F.count(F.lit(1)).alias("groups"), F.sum("group_size").alias("files"))
 
 
 #: The table that a person reads, with its columns.

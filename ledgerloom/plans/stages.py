@@ -108,7 +108,7 @@ def scan(spark: SparkSession, source: str, reports: str) -> Path:
     cards.scan(cards.list_files(spark, f"file://{Path(source).resolve()}")).write.parquet(str(folder / "index"))
     index = _relation(spark, folder, "index")
     _table(index.select("relative_path", "status", "detail", "metadata_chunk", F.array_join("warnings", " | ").alias("warnings"), "sha256"), folder, "audit")
-    counted = lambda c: {str(r[0]): r[1] for r in index.groupBy(c).count().collect()}
+    counted = lambda c: {str(r.label): r["count"] for r in cards.counted(index, c).collect()}
     return _done(folder, files=index.count(), statuses=counted("status"), versions=counted("version"))
 
 
@@ -121,7 +121,7 @@ def find_duplicates(spark: SparkSession, scanned: Path, reports: str) -> Path:
     duplicates.ordered(groups).write.json(str(folder / "groups"))
     _table(duplicates.review_table(index, members), folder, "review")
     _index_errors(spark, scanned, folder)
-    return _done(folder, groups={r.type: r.groups for r in duplicates.type_counts(members).collect()})
+    return _done(folder, groups={r.type: r.groups for r in duplicates.type_counts(members.select("type", "key", "group_size").distinct()).collect()})
 
 
 # --- Classification and reviews.
@@ -546,7 +546,8 @@ def organise_merged(spark: SparkSession, proposed: Path, refined: Path, source:
 # --- Tags.
 
 
-def _tags(parent: str, target: str) -> Column:
+def tags_of(parent: str, target: str) -> Column:
+    """The tags of an organised file: its parent and, of a fanwork, the target."""
     return F.array_distinct(F.array_compact(F.array(parent, F.when(F.col(parent) == grouping.FANWORK, F.col(target)))))
 
 
@@ -556,7 +557,7 @@ def plan_tags(spark: SparkSession, organised: Path, source: str, destination: st
     P.execution_evidence(organised, _summary(organised)["plan_sha256"], _summary(organised)["rows"], "copied")
     folder, root, base = P.new_batch(reports), str(Path(destination).resolve()), str(Path(source).resolve())
     planned = spark.read.json(str(organised / "plan.jsonl"), schema="destination_path string, sha256 string, parent_category string, approved_target string")
-    rows = planned.select(F.regexp_replace("destination_path", "^" + base.replace(".", r"\.") + "/", "").alias("relative_path"), "sha256", "parent_category", F.col("approved_target").alias("ip_category"), _tags("parent_category", "approved_target").alias("tags_to_add"))
+    rows = planned.select(F.regexp_replace("destination_path", "^" + base.replace(".", r"\.") + "/", "").alias("relative_path"), "sha256", "parent_category", F.col("approved_target").alias("ip_category"), tags_of("parent_category", "approved_target").alias("tags_to_add"))
     rows = rows.withColumn("copy_unchanged", F.col("relative_path").isin(*unchanged) if unchanged else F.lit(False))
     exceptions = spark.createDataFrame([(u,) for u in unchanged], "relative_path string")
     destinations.must_be_empty(exceptions.join(rows, "relative_path", "left_anti"), "an exception names no file")

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import canonical_json as cj
 from ledgerloom.functions import text as T
 from ledgerloom.operators import audit, decisions, destinations, duplicates, grouping, merging
+from ledgerloom.operators.model_input import LISTS, TEXTS, has_semantic_content, model_inputs
+from ledgerloom.plans import stages
+from ledgerloom.plans.scratch import written
 from ledgerloom.sources import cards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,9 +68,15 @@ WITH records AS (
 )"""
 
 
-def label_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def narrow_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file records without their texts, written: texts are squeezed and hashed once, however often the records are read."""
+    return written(file_records(spark, sf_dir).drop("text"), "records")
+
+
+def label_decisions(spark: SparkSession, sf_dir: str, records: DataFrame | None = None) -> DataFrame:
     """A decision for the content of each labelled document: toxic is excluded, good quality classified by language, the rest reviewed. Of copies the first counts."""
-    labelled = file_records(spark, sf_dir).join(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("ordinal"), "quality", "toxic"), "ordinal")
+    records = records if records is not None else narrow_records(spark, sf_dir)
+    labelled = records.join(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("ordinal"), "quality", "toxic"), "ordinal")
     decision = F.when(F.col("toxic") == 1, "exclude").when(F.col("quality") == 1, "classify").otherwise("review")
     raw = labelled.select("card_sha256", decision.alias("decision"), F.when(decision == "classify", F.col("lang")).alias("category"), F.lit("").alias("reason"), "ordinal")
     return decisions.normalise_decision(decisions.first_wins(raw, ["card_sha256"]))
@@ -90,7 +99,9 @@ DECISIONS = (
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decisions.map_back(file_records(spark, sf_dir), label_decisions(spark, sf_dir))
+    """The classification, written as the stage writes it."""
+    records = narrow_records(spark, sf_dir)
+    return written(decisions.map_back(records, label_decisions(spark, sf_dir, records)).drop("reason"), "classified")
 
 
 # --- Duplicates.
@@ -106,16 +117,6 @@ def exact_duplicates(spark, sf_dir):
     return _groups(spark, sf_dir, duplicates.EXACT)
 
 
-_PREFIX_HASH = RECORDS + ", prefixed AS (SELECT * REPLACE (sha256(lower(substr(squeezed, 1, 200))) AS card_sha256) FROM records)"
-
-
-@query(_PREFIX_HASH + " SELECT card_sha256 AS key, count(*) AS group_size, string_agg(relative_path, ' | ' ORDER BY relative_path) AS files FROM prefixed GROUP BY card_sha256 HAVING count(*) > 1 AND count(DISTINCT sha256) > 1")
-def same_card_different_file(spark, sf_dir):
-    """Cards that agree in their first 200 characters stand for one card in several files."""
-    records = file_records(spark, sf_dir).withColumn("card_sha256", F.sha2(F.lower(F.substring(T.squeeze("text"), 1, 200)), 256))
-    return _groups(spark, sf_dir, duplicates.SAME_CARD, records)
-
-
 @query(RECORDS + " SELECT file_name AS key, count(*) AS group_size, string_agg(relative_path, ' | ' ORDER BY relative_path) AS files FROM records GROUP BY file_name HAVING count(*) > 1 AND count(DISTINCT sha256) > 1")
 def same_filename_different_content(spark, sf_dir):
     return _groups(spark, sf_dir, duplicates.SAME_NAME)
@@ -139,12 +140,12 @@ _MEMBERS = """, members AS (
 
 @query(RECORDS + _MEMBERS + " SELECT type, count(*) AS groups, sum(n)::BIGINT AS files FROM members GROUP BY type")
 def duplicate_type_counts(spark, sf_dir):
-    return duplicates.type_counts(duplicates.duplicate_members(file_records(spark, sf_dir)))
+    return duplicates.type_counts(duplicates.group_sizes(file_records(spark, sf_dir)))
 
 
 @query(RECORDS + _MEMBERS + " SELECT type, sha256(key) AS key, n AS group_size FROM members")
 def duplicate_groups_ordered(spark, sf_dir):
-    return duplicates.ordered(duplicates.duplicate_members(file_records(spark, sf_dir)).select("type", "key", "group_size").distinct()).select("type", F.sha2("key", 256).alias("key"), "group_size")
+    return duplicates.ordered(duplicates.duplicate_members(narrow_records(spark, sf_dir)).select("type", "key", "group_size").distinct()).select("type", F.sha2("key", 256).alias("key"), "group_size")
 
 
 # --- Scan, extraction and text.
@@ -155,15 +156,23 @@ def duplicate_groups_ordered(spark, sf_dir):
 )
 def scan_status_counts(spark, sf_dir):
     status = F.when(F.col("n_chars") == 0, "no_card_metadata").when(F.col("lang") == "en", "valid").when(F.col("n_chars") > 5000, "valid_with_warnings").otherwise("unsupported_card_spec")
-    return table(spark, sf_dir, "documents").groupBy(status.alias("label")).agg(F.count(F.lit(1)).alias("count"))
+    return cards.counted(table(spark, sf_dir, "documents").select(status.alias("status")), "status")
 
 
 @query(
-    "SELECT conv_id, turn, concat_ws('; ', CASE WHEN role NOT IN ('user', 'assistant') THEN 'role is not a speaker' END, CASE WHEN length(text) > 400 THEN 'text is long' END, CASE WHEN turn = 0 AND role <> 'system' THEN 'first turn is not the system' END) AS warnings FROM conversations"
+    "SELECT conv_id, turn, concat_ws('; ', CASE WHEN turn % 2 = 1 THEN 'name is not a string' END, CASE WHEN turn % 3 = 0 THEN 'description is not a string' END, CASE WHEN role = 'user' THEN 'tags is neither a string nor an array' END, CASE WHEN turn % 5 = 4 AND role <> 'user' THEN 'group_only_greetings is neither a string nor an array' END) AS warnings FROM conversations"
 )
 def scan_warnings(spark, sf_dir):
-    found = F.array_compact(F.array(F.when(~F.col("role").isin("user", "assistant"), "role is not a speaker"), F.when(F.length("text") > 400, "text is long"), F.when((F.col("turn") == 0) & (F.col("role") != "system"), "first turn is not the system")))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(found, "; ").alias("warnings"))
+    """Turns as cards with fields of wrong types: users' tags are objects, others' cards are of version 3."""
+
+    def warned(turn: pd.Series, role: pd.Series, text: pd.Series) -> pd.Series:
+        def one(n: int, who: str, t: str) -> str:
+            data = {"name": n if n % 2 else who, "description": [t] if n % 3 == 0 else t, "tags": {} if who == "user" else [who], "group_only_greetings": n if n % 5 == 4 else None}
+            return "; ".join(cards.warnings_for({"data": data}, 2 if who == "user" else 3))
+
+        return pd.Series([one(*x) for x in zip(turn, role, text, strict=True)], dtype=object)
+
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.pandas_udf(warned, "string")("turn", "role", "text").alias("warnings"))
 
 
 @query("""SELECT event_id, sha256('{"k":' || json_extract_string(props, '$.k') || '}') AS card_sha256 FROM events""")
@@ -181,7 +190,18 @@ def json_field_extract(spark, sf_dir):
 
 @query("SELECT doc_id, CASE WHEN source LIKE '%2' THEN 2 WHEN source LIKE '%3' THEN 3 WHEN n_chars >= 100 THEN 1 END AS version FROM documents")
 def version_detect(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("source").endswith("2"), 2).when(F.col("source").endswith("3"), 3).when(F.col("n_chars") >= 100, 1).alias("version"))
+    """Sources that end in 2 or 3 name their specification; of the others, short documents lack a field of version 1."""
+
+    def versions(source: pd.Series, n_chars: pd.Series, text: pd.Series) -> pd.Series:
+        def one(s: str, n: int, t: str) -> int | None:
+            if s[-1:] in ("2", "3"):
+                return cards.version_of({"spec": f"chara_card_v{s[-1]}", "data": {}})
+            card = dict.fromkeys(cards.V1_FIELDS, "") | {"description": t}
+            return cards.version_of(card if n >= 100 else {k: v for k, v in card.items() if k != "description"})
+
+        return pd.Series([one(*x) for x in zip(source, n_chars, text, strict=True)], dtype="Int32")
+
+    return table(spark, sf_dir, "documents").select("doc_id", F.pandas_udf(versions, "int")("source", "n_chars", "text").alias("version"))
 
 
 _COMPACT = r"CASE WHEN length(squeezed) > {n} THEN substr(squeezed, 1, {n}) || '…' ELSE squeezed END"
@@ -201,15 +221,29 @@ def compact_array(spark, sf_dir):
     return turns.select("conv_id", F.array_join(T.compact_array("texts", 4, 240), " | ").alias("greetings"))
 
 
-@query(RECORDS + f" SELECT card_sha256 AS id, ordinal, trim(name) AS name, creator, {_COMPACT.format(n=1000)} AS description, {_COMPACT.format(n=650)} AS personality, {_COMPACT.format(n=750)} AS first_mes, has_content FROM records")
+def _as_cards(rows: DataFrame, **fields) -> DataFrame:
+    """``rows`` with ``card``: all fields of a model's input, those not given empty."""
+    empty = {k: F.lit("") for k in TEXTS} | {k: F.array().cast("array<string>") for k in LISTS} | {"character_book": F.lit(None).cast("string")}
+    return rows.withColumn("card", F.struct(*(v.alias(k) for k, v in (empty | fields).items())))
+
+
+_INPUT = {"creator": "creator", "description": _COMPACT.format(n=1000), "personality": _COMPACT.format(n=650), "scenario": _COMPACT.format(n=650), "creator_notes": _COMPACT.format(n=350), "first_mes": _COMPACT.format(n=750), "mes_example": _COMPACT.format(n=600), "system_prompt": _COMPACT.format(n=400)}
+
+
+@query(RECORDS + f" SELECT card_sha256 AS id, ordinal, trim(name) AS name, {', '.join(f'{v} AS {k}' for k, v in _INPUT.items())}, '' AS post_history_instructions, lang || ',' || creator AS tags, '' AS alternate_greetings, '' AS group_only_greetings, {_COMPACT.format(n=700)} AS character_book FROM records")
 def model_input(spark, sf_dir):
-    r = file_records(spark, sf_dir)
-    return r.select(F.col("card_sha256").alias("id"), "ordinal", T.compact("name", 160).alias("name"), T.compact("creator", 120).alias("creator"), T.compact("text", 1000).alias("description"), T.compact("text", 650).alias("personality"), T.compact("text", 750).alias("first_mes"), "has_content")
+    """All fifteen fields: texts, lists, and the whole text as a book of one entry."""
+    text = F.col("text")
+    records = _as_cards(file_records(spark, sf_dir), name=F.col("name"), creator=F.col("creator"), tags=F.array("lang", "creator"), character_book=F.to_json(F.array("text")), **dict.fromkeys(("description", "personality", "scenario", "creator_notes", "first_mes", "mes_example", "system_prompt"), text))
+    return model_inputs(records, keep=("ordinal",)).withColumns({k: F.array_join(k, ",") for k in LISTS})
 
 
-@query(r"SELECT page_id, length(trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) > 0 AS has_content FROM pages")
+@query(r"SELECT page_id, page_id % 3 = 0 OR length(trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) > 0 AS has_content FROM pages")
 def has_content(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", (F.length(T.squeeze(F.regexp_replace("html", "<[^>]*>", " "))) > 0).alias("has_content"))
+    """Pages as cards: their bare text as description; every third has a blank greeting, which counts."""
+    pages = table(spark, sf_dir, "pages").withColumn("card_sha256", F.lit(""))
+    greeting = F.when(F.col("page_id") % 3 == 0, F.array(F.lit(" "))).otherwise(F.array().cast("array<string>"))
+    return model_inputs(_as_cards(pages, description=F.regexp_replace("html", "<[^>]*>", " "), alternate_greetings=greeting), keep=("page_id",)).select("page_id", has_semantic_content().alias("has_content"))
 
 
 @query(RECORDS + " SELECT card_sha256, min(ordinal) AS ordinal, arg_min(relative_path, ordinal) AS relative_path FROM records GROUP BY card_sha256")
@@ -227,8 +261,8 @@ def last_wins_checkpoint(spark, sf_dir):
 
 @query(DECISIONS + " SELECT DISTINCT r.card_sha256 FROM records r WHERE has_content AND NOT EXISTS (SELECT 1 FROM decided d WHERE d.card_sha256 = r.card_sha256)")
 def pending_anti_join(spark, sf_dir):
-    inputs = file_records(spark, sf_dir).select("card_sha256", "has_content").distinct()
-    return decisions.pending(inputs, label_decisions(spark, sf_dir), F.col("has_content")).select("card_sha256")
+    records = narrow_records(spark, sf_dir)
+    return decisions.pending(records.select("card_sha256", "has_content").distinct(), label_decisions(spark, sf_dir, records), F.col("has_content")).select("card_sha256")
 
 
 @query(DECISIONS + " SELECT relative_path, card_sha256, category, classification_source, model_decision, needs_review FROM classified")
@@ -257,7 +291,7 @@ def _reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = decisions.first_wins(c.select("card_sha256", "ordinal", "model_decision", "classification_source", "lang"), ["card_sha256"])
     decision = F.when((F.col("model_decision") == "exclude") & (F.col("ordinal") % 2 == 0), "classify").when((F.col("classification_source") == "model") & (F.col("model_decision") == "review"), F.when(F.col("ordinal") % 2 == 1, "exclude").otherwise("review"))
     answers = first.select("card_sha256", decision.alias("decision"), F.col("lang").alias("category")).filter("decision is not null")
-    return decisions.merge_review(c, decisions.first_review_targets(c), answers)
+    return written(decisions.merge_review(c, decisions.first_review_targets(c), answers), "reviewed")
 
 
 REVIEWED = (
@@ -305,9 +339,11 @@ def transition_matrix(spark, sf_dir):
     return decisions.transitions(_reviewed(spark, sf_dir))
 
 
-@query(DECISIONS + " SELECT card_sha256 FROM classified GROUP BY 1 HAVING count(DISTINCT model_decision || chr(0) || coalesce(category, '')) > 1")
+@query(DECISIONS + " SELECT card_sha256 FROM (SELECT card_sha256, CASE WHEN ordinal % 2 = 0 THEN 'exclude' ELSE model_decision END AS model_decision, category FROM classified) GROUP BY 1 HAVING count(DISTINCT model_decision || chr(0) || coalesce(category, '')) > 1")
 def conflict_guard(spark, sf_dir):
-    return decisions.conflicting(classified(spark, sf_dir))
+    """Decisions spoiled on purpose: those of even documents, so that copies disagree."""
+    spoiled = classified(spark, sf_dir).withColumn("model_decision", F.when(F.col("ordinal") % 2 == 0, "exclude").otherwise(F.col("model_decision")))
+    return decisions.conflicting(spoiled)
 
 
 @query(DECISIONS + " SELECT DISTINCT category FROM classified WHERE category IS NOT NULL")
@@ -323,7 +359,7 @@ PARENTS = DECISIONS + ", parents AS (SELECT *, CASE model_decision WHEN 'exclude
 
 def _with_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = classified(spark, sf_dir)
-    return c.withColumn("parent_category", grouping.parent_category(F.col("model_decision"), F.col("category"), _ALLOWED))
+    return c.withColumn("parent_category", grouping.parent_category(F.col("model_decision"), F.col("category"), _ALLOWED))  # c is a written table
 
 
 @query(PARENTS + " SELECT relative_path, model_decision, category, parent_category FROM parents")
@@ -360,9 +396,9 @@ SPECIAL = PARENTS + f""", reasons AS (SELECT *, {_REASON} AS reason FROM parents
     WHEN regexp_matches(reason, 'R18G|血腥|猎奇|肢解|内脏|重口') THEN 'R18G边界' ELSE '其他待复核' END END AS subcategory FROM reasons)"""
 
 
-def _special(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _special(spark: SparkSession, sf_dir: str, parents: DataFrame | None = None) -> DataFrame:
     reasons = ["角色16岁", "英文内容", "含血腥描写", "伪娘角色", "正文加密", "十七岁学生", "116岁精灵", "语言混杂", "其他"]
-    r = _with_parent(spark, sf_dir).withColumn("reason", F.element_at(F.array(*map(F.lit, reasons)), (F.col("ordinal") % 9 + 1).cast("int")))
+    r = (parents if parents is not None else _with_parent(spark, sf_dir)).withColumn("reason", F.element_at(F.array(*map(F.lit, reasons)), (F.col("ordinal") % 9 + 1).cast("int")))
     return r.withColumn("subcategory", grouping.special_subcategory(F.col("parent_category"), F.col("category"), F.col("reason")))
 
 
@@ -398,8 +434,8 @@ RESOLVED = SPECIAL + """, resolved AS (
   FROM special WHERE subcategory IS NOT NULL GROUP BY card_sha256, parent_category)"""
 
 
-def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _special(spark, sf_dir).filter("subcategory is not null").withColumn("group_id", grouping.group_id(F.col("parent_category"), F.col("card_sha256")))
+def _resolved(spark: SparkSession, sf_dir: str, parents: DataFrame | None = None) -> DataFrame:
+    rows = _special(spark, sf_dir, parents).filter("subcategory is not null").withColumn("group_id", grouping.group_id(F.col("parent_category"), F.col("card_sha256")))
     return grouping.resolve_groups(rows)
 
 
@@ -416,8 +452,9 @@ SELECT relative_path, p.parent_category, s.parent_category IS NOT NULL AS select
 FROM parents p LEFT JOIN selected s ON s.parent_category = p.parent_category LEFT JOIN resolved g ON g.group_id = sha256(p.parent_category || chr(0) || p.card_sha256)"""
 )
 def refinement(spark, sf_dir):
-    rows = _with_parent(spark, sf_dir).withColumn("group_id", grouping.group_id(F.col("parent_category"), F.col("card_sha256")))
-    return grouping.refine(rows, grouping.selected_parents(rows, threshold=50), _resolved(spark, sf_dir)).select("relative_path", "parent_category", "selected_for_refinement", "subcategory", "refinement_source")
+    parents = _with_parent(spark, sf_dir)
+    rows = parents.withColumn("group_id", grouping.group_id(F.col("parent_category"), F.col("card_sha256")))
+    return grouping.refine(rows, grouping.selected_parents(rows, threshold=50), _resolved(spark, sf_dir, parents)).select("relative_path", "parent_category", "selected_for_refinement", "subcategory", "refinement_source")
 
 
 @query("SELECT p_type, p_brand, count(*) AS files FROM part GROUP BY p_type, p_brand")
@@ -465,9 +502,10 @@ CANDIDATES = STATS + r""", named AS (
 )"""
 
 
-@query(CANDIDATES + " SELECT * FROM candidates")
+@query(CANDIDATES + " SELECT *, CASE recommendation WHEN '共享世界观归并' THEN 'shared' WHEN '兜底目录改名' THEN 'the' WHEN '同名变体归并' THEN 'equal' ELSE canonical_group_file_count::VARCHAR END AS merge_basis FROM candidates")
 def merge_candidates(spark, sf_dir):
-    return _candidates(spark, sf_dir).drop("merge_basis")
+    """merge_basis by its first word, or by the count that it begins with."""
+    return _candidates(spark, sf_dir).withColumn("merge_basis", F.split("merge_basis", "[ :]")[0])
 
 
 @query("SELECT p_name AS current_directory, first_value(p_name) OVER (PARTITION BY lower(regexp_replace(p_name, '\\s', '', 'g')) ORDER BY n DESC, length(p_name), p_name) AS canonical_name, (sum(n) OVER (PARTITION BY lower(regexp_replace(p_name, '\\s', '', 'g'))))::BIGINT AS canonical_group_file_count FROM (SELECT p_name, count(*) AS n FROM part GROUP BY p_name)".replace("\\\\", "\\"))
@@ -490,17 +528,6 @@ def policy_totals(spark, sf_dir):
     return merging.policy_totals(_candidates(spark, sf_dir), merging.BELOW)
 
 
-@query(
-    """WITH l AS (SELECT o_orderkey AS k, o_orderstatus AS s FROM orders WHERE o_orderkey % 10 <> 3), r AS (SELECT l_orderkey AS k, CASE WHEN min(l_linestatus) = max(l_linestatus) THEN min(l_linestatus) ELSE 'P' END AS s FROM lineitem GROUP BY 1)
-SELECT coalesce(l.k, r.k) AS k, CASE WHEN r.k IS NULL THEN 'missing_right' WHEN l.k IS NULL THEN 'missing_left' ELSE 'different' END AS problem FROM l FULL OUTER JOIN r ON l.k = r.k WHERE l.k IS NULL OR r.k IS NULL OR l.s IS DISTINCT FROM r.s"""
-)
-def reconcile_full_outer(spark, sf_dir):
-    """Orders, without every tenth, against the status that their lines imply."""
-    left = table(spark, sf_dir, "orders").filter("o_orderkey % 10 != 3").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"))
-    right = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.when(F.min("l_linestatus") == F.max("l_linestatus"), F.min("l_linestatus")).otherwise("P").alias("s"))
-    return merging.reconcile(left, right, "k", ["s"])
-
-
 @query("SELECT p_partkey FROM part WHERE p_size > 10 EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 45")
 def set_difference(spark, sf_dir):
     parts = table(spark, sf_dir, "part").filter("p_size > 10").select("p_partkey").distinct()
@@ -545,13 +572,6 @@ def usage_summary(spark, sf_dir):
     return audit.usage_summary(log).withColumn("bytes", F.col("bytes"))
 
 
-@query("SELECT event_id, row_number() OVER (ORDER BY event_id) <= 50 AND sum(value) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) <= 1000 AS fits FROM events WHERE event_type = 'purchase' AND user_id < 50")
-def budget_running(spark, sf_dir):
-    """The purchases of the first fifty users are a log of requests under a budget."""
-    e = table(spark, sf_dir, "events").filter("event_type = 'purchase' and user_id < 50")
-    return audit.within_budget(e, "event_id", "value", 50, 1000).select("event_id", "fits")
-
-
 @query(RECORDS + " SELECT file_name AS relative_path, count(*) AS n FROM records GROUP BY 1 HAVING count(*) > 1")
 def plan_guard_paths(spark, sf_dir):
     return destinations.repeated_paths(file_records(spark, sf_dir).select(F.col("file_name").alias("relative_path")))
@@ -578,24 +598,42 @@ def name_collision_guard(spark, sf_dir):
 _TAGS = "list_value(lang, source, 'tag' || (doc_id % 3))"
 
 
-@query(f"SELECT doc_id, array_to_string(list_concat({_TAGS}, list_filter(list_distinct(list_value('en', 'tag1', 'new')), lambda t: NOT list_contains({_TAGS}, t)).list_sort()), ',') AS tags, len(list_filter(list_value('en', 'tag1', 'new'), lambda t: NOT list_contains({_TAGS}, t))) AS added FROM documents")
+def _updated(replace: bool):
+    """(tags, number added) of a card with the tags given after an update."""
+
+    def update(own: pd.Series, additions: pd.Series) -> pd.DataFrame:
+        rows = []
+        for tags, more in zip(own, additions, strict=True):
+            card = {"data": {"tags": list(tags)}}
+            added = cards.update_tags(card, 2, list(more), replace)
+            rows.append((",".join(card["data"]["tags"]), len(added)))
+        return pd.DataFrame(rows, columns=["tags", "added"])
+
+    return F.pandas_udf(update, "tags string, added long")
+
+
+@query(f"SELECT doc_id, array_to_string(list_concat({_TAGS}, list_filter(list_value('en', 'tag1', 'new'), lambda t: NOT list_contains({_TAGS}, t))), ',') AS tags, len(list_filter(list_value('en', 'tag1', 'new'), lambda t: NOT list_contains({_TAGS}, t))) AS added FROM documents")
 def tags_append(spark, sf_dir):
-    """Original tags stay; of the additions those not yet there follow, here in sorted order."""
+    """Original tags stay; of the additions those not yet there follow."""
     own = F.array("lang", "source", F.concat(F.lit("tag"), F.col("doc_id") % 3))
-    added = F.array_except(F.array(*map(F.lit, ["en", "tag1", "new"])), F.col("own"))
-    return table(spark, sf_dir, "documents").withColumn("own", own).select("doc_id", F.array_join(F.concat("own", F.sort_array(added)), ",").alias("tags"), F.size(added).cast("long").alias("added"))
+    return table(spark, sf_dir, "documents").select("doc_id", _updated(False)(own, F.array(*map(F.lit, ["en", "tag1", " new", "new"]))).alias("u")).select("doc_id", "u.tags", "u.added")
 
 
-@query("SELECT doc_id, CASE WHEN lang = source THEN lang ELSE lang || ',' || source END AS tags FROM documents")
+@query("SELECT doc_id, lang || ',同人' || CASE WHEN doc_id % 2 = 0 THEN ',' || source ELSE '' END AS tags, 2 + (doc_id % 2 = 0)::BIGINT AS added FROM documents")
 def tags_replace(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.array_distinct(F.array_compact(F.array("lang", "source"))), ",").alias("tags"))
+    """Old tags go; the language, the parent and, for fanworks of even documents, the source are the new ones."""
+    wanted = F.concat(F.array("lang"), stages.tags_of("parent", "target"))
+    rows = table(spark, sf_dir, "documents").withColumns({"parent": F.lit(grouping.FANWORK), "target": F.when(F.col("doc_id") % 2 == 0, F.col("source"))})
+    return rows.select("doc_id", _updated(True)(F.array(F.lit("old"), F.col("lang")), wanted).alias("u")).select("doc_id", "u.tags", "u.added")
 
 
-@query("SELECT sum((lang <> 'en')::INT + (source <> 'src1')::INT)::BIGINT AS added, sum((lang = 'en')::INT + (source = 'src1')::INT)::BIGINT AS already_there, count(*) FILTER (lang = 'en' AND source = 'src1') AS unchanged FROM documents")
+@query("WITH n AS (SELECT (lang <> 'en')::INT + (source <> 'src1')::INT AS n, doc_id % 10 = 7 AS same, doc_id % 10 = 3 AS bad FROM documents) SELECT coalesce(sum(n) FILTER (NOT same AND NOT bad), 0)::BIGINT AS added, count(*) FILTER (n = 0 AND NOT same AND NOT bad) AS already_tagged, count(*) FILTER (same) AS unchanged, count(*) FILTER (bad) AS invalid FROM n")
 def tag_totals(spark, sf_dir):
-    wanted = F.array(F.lit("en"), F.lit("src1"))
-    added = F.array_except(wanted, F.array("lang", "source"))
-    return table(spark, sf_dir, "documents").select(F.size(added).alias("n")).agg(F.sum("n").alias("added"), F.sum(2 - F.col("n")).alias("already_there"), F.count_if(F.col("n") == 0).alias("unchanged"))
+    """A plan's totals: documents ending in 3 are invalid, those ending in 7 are copied as they are."""
+    same, bad = F.col("doc_id") % 10 == 7, F.col("doc_id") % 10 == 3
+    added = F.array_except(F.array(F.lit("en"), F.lit("src1")), F.array("lang", "source"))
+    rows = table(spark, sf_dir, "documents").select(F.when(bad, "source_invalid").otherwise("ready").alias("status"), same.alias("copy_unchanged"), F.when(same, F.array().cast("array<string>")).when(~bad, added).alias("tags_actually_added"))
+    return stages.tag_totals(rows)
 
 
 @query("SELECT CASE o_orderstatus WHEN 'F' THEN 'copied' WHEN 'O' THEN 'moved' ELSE 'failed' END AS result, count(*) AS files FROM orders GROUP BY 1")
@@ -604,13 +642,6 @@ def execution_counts(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy(result.alias("result")).agg(F.count(F.lit(1)).alias("files"))
 
 
-@query(r"SELECT doc_id::VARCHAR AS name, 'email address' AS label FROM documents WHERE len(list_filter(regexp_extract_all(replace(text, 'example', 'sample'), '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b'), lambda m: NOT regexp_matches(m, '(?i)@(?:[A-Z0-9-]+\.)*example(?:\.[A-Z]{2,})?\b'))) > 0")
-def content_scan(spark, sf_dir):
-    """Addresses at example domains are allowed; under another name they are found."""
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("name"), F.replace("text", F.lit("example"), F.lit("sample")).alias("text"))
-    return audit.content_failures(texts, "name", "text").filter("label = 'email address'")
-
-
 @query(r"""SELECT page_id, link FROM (SELECT page_id, unnest(list_distinct(regexp_extract_all(html, 'href="(/[^"#]+)"', 1))) AS link FROM pages) WHERE link NOT IN (SELECT '/' || r_name FROM region) AND link NOT IN ('/The', '/the', '/of')""")
 def link_check(spark, sf_dir):
     """Relative links of pages whose target is not among the known ones."""
@@ -680,16 +711,6 @@ def canonical_json_nested(spark, sf_dir):
     return grouped.select("conv_id", "turns", F.pandas_udf(hashed, "string")(payload).alias("card_sha256"))
 
 
-@query(r"SELECT conv_id, CASE WHEN length(t) > 700 THEN substr(t, 1, 700) || '…' ELSE t END AS book FROM (SELECT conv_id, string_agg(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ' ORDER BY turn, role, text) AS t FROM conversations WHERE length(text) <= 60 AND trim(text) <> '' GROUP BY conv_id)")
-def lorebook_flatten(spark, sf_dir):
-    """The short turns of conversations as a nested book, flattened."""
-    from ledgerloom.operators.model_input import flattened
-
-    c = table(spark, sf_dir, "conversations").filter("length(text) <= 60 and trim(text) != ''")
-    book = c.groupBy("conv_id").agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))), lambda t: F.struct(F.array(t["text"]).alias("entry")))).alias("json"))
-    return book.select("conv_id", flattened("json", 700).alias("book"))
-
-
 @query("SELECT p_partkey, p_name AS name, p_brand AS brand FROM part")
 def nfkc_normalize(spark, sf_dir):
     """Names in full-width letters come back in plain ones."""

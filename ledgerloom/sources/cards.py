@@ -213,6 +213,11 @@ def scan(files: DataFrame) -> DataFrame:
     return files.select(*listed, "content").mapInPandas(decoded, RECORD)
 
 
+def counted(index: DataFrame, column: str) -> DataFrame:
+    """label, count of a column of file records."""
+    return index.groupBy(F.col(column).alias("label")).agg(F.count(F.lit(1)).alias("count"))
+
+
 def normal_tag(value: object) -> str:
     return cj.shorten_ends(unicodedata.normalize("NFKC", as_text(value)))
 

@@ -1,4 +1,4 @@
-"""Queries over whole tables, each beside one of the catalogue that keeps only a part of the rows and whose SQL is left as it was given."""
+"""Queries of the catalogue that need some care to run over whole tables and whole texts."""
 
 from __future__ import annotations
 
@@ -32,7 +32,7 @@ def query(sql: str):
   SELECT conv_id, coalesce(string_agg(piece, ' ' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) FILTER (piece <> '' AND before < {BOOK}), '') AS t FROM placed GROUP BY conv_id
 ) SELECT conv_id, CASE WHEN length(t) > {BOOK} THEN substr(t, 1, {BOOK}) || '…' ELSE t END AS book FROM books"""
 )
-def lorebook_flatten_whole(spark, sf_dir: str) -> DataFrame:
+def lorebook_flatten(spark, sf_dir: str) -> DataFrame:
     """All turns of all conversations as a nested book, flattened; a conversation of blank turns has an empty one.
 
     Turns that are not blank give a character and a space at least, so a book is full after BOOK // 2 + 1 of them, and no task holds more of a conversation. They are nested in lists of as many items as flatten() looks at.
@@ -46,7 +46,7 @@ def lorebook_flatten_whole(spark, sf_dir: str) -> DataFrame:
 
 
 @query("SELECT event_id, row_number() OVER (ORDER BY event_id) <= 50 AND sum(value) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) <= 1000 AS fits FROM events WHERE event_type = 'purchase'")
-def budget_running_whole(spark, sf_dir: str) -> DataFrame:
+def budget_running(spark, sf_dir: str) -> DataFrame:
     """All purchases are a log of requests under a budget."""
     e = table(spark, sf_dir, "events").filter("event_type = 'purchase'")
     return audit.within_budget(e, "event_id", "value", 50, 1000).select("event_id", "fits")
@@ -56,7 +56,7 @@ def budget_running_whole(spark, sf_dir: str) -> DataFrame:
     """WITH l AS (SELECT o_orderkey AS k, o_orderstatus AS s FROM orders), r AS (SELECT l_orderkey AS k, CASE WHEN min(l_linestatus) = max(l_linestatus) THEN min(l_linestatus) ELSE 'P' END AS s FROM lineitem GROUP BY 1)
 SELECT coalesce(l.k, r.k) AS k, CASE WHEN r.k IS NULL THEN 'missing_right' WHEN l.k IS NULL THEN 'missing_left' ELSE 'different' END AS problem FROM l FULL OUTER JOIN r ON l.k = r.k WHERE l.k IS NULL OR r.k IS NULL OR l.s IS DISTINCT FROM r.s"""
 )
-def reconcile_full_outer_whole(spark, sf_dir: str) -> DataFrame:
+def reconcile_full_outer(spark, sf_dir: str) -> DataFrame:
     """All orders against the status that all lines imply."""
     left = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"))
     right = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.when(F.min("l_linestatus") == F.max("l_linestatus"), F.min("l_linestatus")).otherwise("P").alias("s"))
@@ -64,7 +64,7 @@ def reconcile_full_outer_whole(spark, sf_dir: str) -> DataFrame:
 
 
 @query(RECORDS + " SELECT card_sha256 AS key, count(*) AS group_size, string_agg(relative_path, ' | ' ORDER BY relative_path) AS files FROM records GROUP BY card_sha256 HAVING count(*) > 1 AND count(DISTINCT sha256) > 1")
-def same_card_whole_text(spark, sf_dir: str) -> DataFrame:
+def same_card_different_file(spark, sf_dir: str) -> DataFrame:
     """Cards whose whole squeezed texts agree but for case, in several files; there may be none."""
     groups = duplicates.duplicate_groups(file_records(spark, sf_dir), (duplicates.SAME_CARD,))
     return groups.select("key", "group_size", F.array_join("files", " | ").alias("files"))
@@ -89,7 +89,7 @@ def _scan_sql() -> str:
 
 
 @query(_scan_sql())
-def content_scan_whole(spark, sf_dir: str) -> DataFrame:
+def content_scan(spark, sf_dir: str) -> DataFrame:
     """All labels over documents and pages. Example domains are allowed; under another name they are found."""
     renamed = lambda c: F.replace(c, F.lit("example"), F.lit("sample")).alias("text")
     documents = table(spark, sf_dir, "documents").select(F.concat(F.lit("documents/"), F.col("doc_id")).alias("name"), renamed("text"))

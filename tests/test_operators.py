@@ -11,7 +11,7 @@ def test_duplicates(spark):
     df = spark.createDataFrame(rows, "relative_path string, file_name string, sha256 string, card_sha256 string, name string, creator string")
     got = {r.type: (r.group_size, r.files) for r in duplicates.duplicate_groups(df).collect()}
     assert got == {duplicates.EXACT: (2, ["a", "b"]), duplicates.SAME_CARD: (3, ["a", "b", "c"]), duplicates.SAME_NAME: (3, ["a", "b", "d"]), duplicates.VERSION: (4, ["a", "b", "c", "d"])}
-    assert {r.type: (r.groups, r.files) for r in duplicates.type_counts(duplicates.duplicate_members(df)).collect()}[duplicates.VERSION] == (1, 4)
+    assert {r.type: (r.groups, r.files) for r in duplicates.type_counts(duplicates.group_sizes(df)).collect()}[duplicates.VERSION] == (1, 4)
     assert duplicates.duplicate_members(df.limit(0)).count() == 0
 
 

@@ -12,7 +12,7 @@ from ledgerloom.operators import audit
 from tests.test_queries import TABLES, plain
 
 #: A relation that the given tables do not hold.
-EMPTY = {"same_card_whole_text"}
+EMPTY = {"same_card_different_file"}
 
 
 def rows(relation, columns):
@@ -60,7 +60,7 @@ def test_lorebook_of_any_length(spark, fixture):
     turns[8] = [" "] * 400 + ["behind blank turns"]
     turns[9] = [f"turn {i}" for i in range(45)]
     data = [(k, i, "user", t) for k, v in turns.items() for i, t in enumerate(v)]
-    got = dict((conv, book) for book, conv in both(spark, fixture(conversations=(data, "conv_id long, turn long, role string, text string")), "lorebook_flatten_whole", ["conversations"]))
+    got = dict((conv, book) for book, conv in both(spark, fixture(conversations=(data, "conv_id long, turn long, role string, text string")), "lorebook_flatten", ["conversations"]))
     # Lists of thirty, so that flatten() sees each turn.
     blocks = lambda v: [v[i : i + 30] for i in range(0, len(v), 30)]
     assert got == {k: cj.flatten(blocks(v), 700) for k, v in turns.items()}
@@ -69,7 +69,7 @@ def test_lorebook_of_any_length(spark, fixture):
 
 def test_budget_of_all_purchases(spark, fixture):
     data = [(i * 700, 1000 + i, "purchase" if i % 3 else "error", [20.0, 60.5, None, -30.0][i % 4]) for i in range(200)]
-    got = both(spark, fixture(events=(data, "event_id long, user_id long, event_type string, value double")), "budget_running_whole", ["events"])
+    got = both(spark, fixture(events=(data, "event_id long, user_id long, event_type string, value double")), "budget_running", ["events"])
     bought = [(i, v) for i, _, kind, v in data if kind == "purchase"]
     running = [sum(v or 0 for _, v in bought[: k + 1]) for k in range(len(bought))]
     assert got == sorted(((i, k < 50 and running[k] <= 1000) for k, (i, _) in enumerate(bought)), key=repr)
@@ -95,7 +95,7 @@ def test_reconciliation_of_all_orders(spark, fixture):
     orders = [(1, "F"), (2, "P"), (3, "O"), (13, "F"), (14, "O"), (23, "O"), (25, None), (26, None)]
     lines = [(1, "F"), (1, "F"), (2, "F"), (2, "O"), (3, "O"), (13, "O"), (14, "O"), (14, "F"), (33, "F"), (34, "O"), (25, "O")]
     folder = fixture(orders=(orders, "o_orderkey long, o_orderstatus string"), lineitem=(lines, "l_orderkey long, l_linestatus string"))
-    got = both(spark, folder, "reconcile_full_outer_whole", ["orders", "lineitem"])
+    got = both(spark, folder, "reconcile_full_outer", ["orders", "lineitem"])
     assert dict(got) == {13: "different", 14: "different", 23: "missing_right", 25: "different", 26: "missing_right", 33: "missing_left", 34: "missing_left"}
 
 
@@ -104,7 +104,7 @@ def test_same_card_by_whole_texts(spark, fixture):
     start = "the same start " * 20
     texts = ["A  card\nin two files", "a card in TWO files ", "a card in two files", start + "ends here", start + "ends there", "copy", "copy", start + "ENDS  here", "", " "]
     data = [(i, t, "en", "src1") for i, t in enumerate(texts)]
-    got = both(spark, fixture(documents=(data, "doc_id long, text string, lang string, source string")), "same_card_whole_text", ["documents"])
+    got = both(spark, fixture(documents=(data, "doc_id long, text string, lang string, source string")), "same_card_different_file", ["documents"])
     assert sorted(files for files, _, _ in got) == ["src1/en/0.json | src1/en/1.json | src1/en/2.json", "src1/en/3.json | src1/en/7.json", "src1/en/8.json | src1/en/9.json"]
 
 
@@ -115,5 +115,5 @@ def test_scan_of_documents_and_pages(spark, fixture):
     names = {"E": "external API endpoint", "C": "credential variable", "U": "unsafe prompt marker", "P": "private-looking Windows path", "M": "email address"}
     rows = list(enumerate(texts))
     folder = fixture(documents=(rows, "doc_id long, text string"), pages=(rows, "page_id long, html string"))
-    got = both(spark, folder, "content_scan_whole", ["documents", "pages"])
+    got = both(spark, folder, "content_scan", ["documents", "pages"])
     assert sorted(got) == sorted((names[x], f"{t}/{i}") for t in ("documents", "pages") for i, v in labels.items() for x in v)
