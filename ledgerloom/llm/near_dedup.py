@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import join_one, materialise
 from ledgerloom.llm.components import components, union
 from ledgerloom.llm.rolling import Hashes, column_bytes, mix, row_groups
-from ledgerloom.llm.worker import release
+from ledgerloom.llm.worker import tidy
 
 SHINGLE = 5
 #: A link has 100 * intersection >= PERCENT * union.
@@ -144,7 +144,6 @@ def _deal(best: np.ndarray, row: np.ndarray, h: np.ndarray, n_rows: int, places:
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) to (doc_id, n_shingles, set_1, set_2, bands)."""
-    release()
     for batch in batches:
         data, offsets = column_bytes(batch.column(1))
         for i, j in row_groups(offsets, BATCH):
@@ -171,7 +170,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def signatures(docs: DataFrame) -> DataFrame:
     """A row for each row of ``docs``. A null or empty text, or one of white space, has n_shingles 0."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_signed, "doc_id long, n_shingles long, set_1 long, set_2 long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(_signed), "doc_id long, n_shingles long, set_1 long, set_2 long, bands array<long>")
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +194,7 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
     both = b.join(a.join(pairs.hint("shuffle_hash"), "a"), "b")
-    return both.select("a", "b", "a_text", "b_text").mapInArrow(_verified, "a long, b long")
+    return both.select("a", "b", "a_text", "b_text").mapInArrow(tidy(_verified), "a long, b long")
 
 
 def _block_links(doc: np.ndarray, component: np.ndarray, left: np.ndarray, right: np.ndarray, texts: pa.Array) -> list[tuple[int, int]]:
@@ -259,7 +258,7 @@ def _across(buckets: DataFrame, grouped: DataFrame, texts: DataFrame) -> DataFra
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = members.select("key", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "doc_id", "component")
     rows = texts.join(members.hint("shuffle_hash"), "doc_id").select("key", "x", "y", "side", "doc_id", "component", "text")
-    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(_compared, "a long, b long")
+    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(tidy(_compared), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import fresh_path, materialise, partitions_for
 from ledgerloom.llm.deep_shallow import sort_suffixes
 from ledgerloom.llm.rolling import BYTE_VALUES, Hashes, column_bytes, mix, row_groups
-from ledgerloom.llm.worker import release
+from ledgerloom.llm.worker import tidy
 
 WINDOW, GRAM = 50, 18
 SPAN = WINDOW - GRAM + 1
@@ -206,7 +206,6 @@ def _find(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     """Rows (doc_id, tkey, text) to marks and packed anchors."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             doc_ids, tkeys = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False), dtype=np.int64) for i in (0, 1))
             data, offsets = column_bytes(batch.column(2))
@@ -258,7 +257,6 @@ def _ask(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
 
 def _asked(batches: Iterator[pa.RecordBatch], n_parts: int, most: int) -> Iterator[pa.RecordBatch]:
-    release()
     all_rows: list[list[np.ndarray]] = []
     for batch in batches:
         kinds = batch.column(1).to_numpy()
@@ -292,7 +290,6 @@ def _send(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     """Rows (doc_id, tkey, text, said) to packed strings of the runs that were asked for."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             doc_ids, tkeys = (batch.column(i).to_numpy() for i in (0, 1))
             data, offsets = column_bytes(batch.column(2))
@@ -339,7 +336,6 @@ def _compare(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
 
 def _marked(batches: Iterator[pa.RecordBatch], n_parts: int, together: int) -> Iterator[pa.RecordBatch]:
-    release()
     rows: list[list[np.ndarray]] = []
     for batch in batches:
         kinds = batch.column(1).to_numpy()
@@ -405,16 +401,16 @@ def marked_documents(docs: DataFrame) -> DataFrame:
     texts = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # from the catalog only: the files are read by their path
     known = texts.filter(F.col("doc_id").isNotNull()).select("doc_id", "__repeat_text_key", "text")
-    found = known.mapInArrow(_find(n_parts), _PACKED)
-    said = materialise(found.repartition(n_parts, "part").mapInArrow(_ask(n_parts), _PACKED), "asked")
+    found = known.mapInArrow(tidy(_find(n_parts)), _PACKED)
+    said = materialise(found.repartition(n_parts, "part").mapInArrow(tidy(_ask(n_parts)), _PACKED), "asked")
 
     def gathered(packed: DataFrame) -> DataFrame:
         # A document has a row for each kind; rows that repeat its id with other texts add theirs.
-        rows = packed.repartition(n_parts, "part").mapInArrow(_gather, _ROWS)
+        rows = packed.repartition(n_parts, "part").mapInArrow(tidy(_gather), _ROWS)
         return rows.groupBy(F.col("doc_id").alias("__repeat_doc")).agg(F.collect_list(F.struct("tkey", "kind", "data")).alias("__repeat_marks"))
 
     asked = known.join(gathered(said.filter(F.col("kind") == ASK)).hint("shuffle_hash"), F.col("doc_id") == F.col("__repeat_doc")).select("doc_id", "__repeat_text_key", "text", "__repeat_marks")
-    compared = materialise(asked.mapInArrow(_send(n_parts), _PACKED).repartition(n_parts, "part").mapInArrow(_compare(n_parts), _PACKED), "compared")
+    compared = materialise(asked.mapInArrow(tidy(_send(n_parts)), _PACKED).repartition(n_parts, "part").mapInArrow(tidy(_compare(n_parts)), _PACKED), "compared")
     marks = gathered(said.filter(F.col("kind") == MARK).unionByName(compared))
     return texts.join(marks.hint("shuffle_hash"), F.col("doc_id") == F.col("__repeat_doc"), "left").drop("__repeat_doc")
 
@@ -448,7 +444,7 @@ def removal_report(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, kind) for x, kind in zip(columns, [pa.int64()] * 3 + [pa.string()], strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return marked_documents(narrow).select("doc_id", "__repeat_text_key", "__repeat_marks", "text").mapInArrow(report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return marked_documents(narrow).select("doc_id", "__repeat_text_key", "__repeat_marks", "text").mapInArrow(tidy(report), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -462,7 +458,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             by_name = {"doc_id": batch.column(0), "text": pa.array(texts, pa.string())} | {c: batch.column(4 + k) for k, c in enumerate(others)}
             yield pa.RecordBatch.from_arrays([by_name[c] for c in names], names=names)
 
-    return marked_documents(docs).select("doc_id", "__repeat_text_key", "__repeat_marks", "text", *others).mapInArrow(rewritten, schema)
+    return marked_documents(docs).select("doc_id", "__repeat_text_key", "__repeat_marks", "text", *others).mapInArrow(tidy(rewritten), schema)
 
 
 def op10_suffix_dedup(spark, sf_dir: str) -> DataFrame:
