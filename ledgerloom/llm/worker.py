@@ -26,8 +26,9 @@ def keep(key: Hashable, make: Callable[[], object]) -> object:
 
 def release() -> None:
     """Let go of what is kept, and give memory that is no longer used back to the system."""
-    _kept.clear()
-    gc.collect()
+    if _kept:
+        _kept.clear()
+        gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
