@@ -305,3 +305,26 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
 
 def op2_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: Copies are folded first, so that shingles are joined between different sets only.
+ORACLE_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_sort(CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words
+), classes AS (
+  SELECT min(doc_id) AS id, md5(array_to_string(s, chr(10))) AS k, len(s) AS n, any_value(s) AS s FROM sets WHERE len(s) > 0 GROUP BY 2, 3
+), shingles AS (
+  SELECT id, n, unnest(s) AS x FROM classes
+), links AS (
+  SELECT a.id AS a, b.id AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.id <> b.id GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT id, id AS r FROM classes UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.r
+), roots AS (
+  SELECT id, min(r) AS root FROM reach GROUP BY id
+), found AS (
+  SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(r.root, s.doc_id) AS component_id FROM sets s LEFT JOIN classes c ON len(s.s) > 0 AND c.n = len(s.s) AND c.k = md5(array_to_string(s.s, chr(10))) LEFT JOIN roots r ON r.id = c.id
+)
+SELECT *, component_id = doc_id AS kept FROM found
+"""

@@ -259,3 +259,20 @@ def op9_warc(spark, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "warc")
     manifest = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
     return read_archives(spark, manifest, folder).drop("url")
+
+
+#: Of five hexadecimal digits, four of base 32; rows of one page_id count as one page of several records, the first by payload and url.
+ORACLE_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+), firsts AS (
+  SELECT html, min(page_id) AS first_id FROM p WHERE page_id IS NOT NULL GROUP BY html
+), numbered AS (
+  SELECT p.*, first_id, row_number() OVER (PARTITION BY p.page_id, p.html) AS n FROM p LEFT JOIN firsts f ON f.html = p.html
+)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, (i // 4 * 5 + 1)::INT, 5))::BIGINT >> (15 - i % 4 * 5)::INT) & 31)::INT + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id IS NOT NULL AND (first_id <> page_id OR n > 1) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS NOT NULL AND (first_id <> page_id OR n > 1) THEN first_id END AS refers_to
+FROM numbered
+"""

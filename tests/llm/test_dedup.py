@@ -65,6 +65,16 @@ def test_near_duplicates_on_documents(spark, small):
     assert sorted(r.doc_id for r in kept.collect()) == [d for d, _, _, k in want if k] and kept.columns == df.columns
 
 
+def test_op2_sql_against_brute_force():
+    import duckdb
+    import pandas as pd
+
+    rows = planted()
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": [d for d, _ in rows], "text": pd.array([t for _, t in rows], dtype="string")}))
+    assert sorted(con.sql(near_dedup.ORACLE_SQL).fetchall()) == brute_components(rows)
+
+
 def test_near_duplicates_nulls_and_repeats(spark):
     text = "one two three four five six seven"
     df = spark.createDataFrame([(3, text), (3, text), (7, text), (None, text), (9, None)], "doc_id long, text string")

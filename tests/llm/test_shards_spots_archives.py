@@ -251,6 +251,18 @@ def brute_pages(rows):
 PAGES = [(5, "u", "x"), (3, "v", "x"), (3, "v", "x"), (None, None, None), (None, "a", "x"), (9, None, None), (8, "q", ""), (-7000, "q", "z\r\n\r\né" * 1000), (10**12, "http://a b", "z"), (3, "v", "other")]
 
 
+def test_op9_sql_against_brute_force(small):
+    import duckdb
+    import pandas as pd
+
+    con = duckdb.connect()
+    for rows in (PAGES, [(r[0], None, r[1]) for r in con.sql(f"SELECT page_id, html FROM '{small}/pages.parquet'").fetchall()]):
+        frame = pd.DataFrame({"page_id": pd.array([r[0] for r in rows], dtype="Int64"), "html": pd.array([r[2] for r in rows], dtype="string")})
+        con.register("pages", frame)
+        assert sorted(con.sql(warc.ORACLE_SQL).fetchall(), key=repr) == brute_pages(rows)
+        con.unregister("pages")
+
+
 def archive(spark, df, **more):
     folder = fresh_path(spark, "warc-test")
     return warc.write_archives(df, folder, **more), folder
