@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.worker import release
+from ledgerloom.llm.worker import tidy
 
 UNDETERMINED = "und"
 FEATURES = 1 << 15
@@ -34,7 +34,11 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 2e-3, 1e-4
 #: Documents of a filtering stage whose calibrated score is lower are rejected.
 LEAST_SCORE = 0.4
 
+#: Characters of a text that are hashed at once.
+SEGMENT = 1 << 20
+
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
+_BLANK = np.uint32(32)
 
 
 @lru_cache(maxsize=1)
@@ -42,21 +46,35 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
 
 
+def _codes(text: str) -> Iterator[np.ndarray]:
+    """The characters of a text, ``SEGMENT`` at a time: letters, and one space for what stands between them; a space in front and one behind."""
+    follows = True  # what is no letter is kept behind a letter and at the beginning
+    for begin in range(0, len(text), SEGMENT):
+        codes = np.frombuffer(text[begin : begin + SEGMENT].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        letter = _letters()[codes]
+        kept = np.where(letter, codes, _BLANK)[letter | np.append(follows, letter[:-1])]
+        follows = letter[-1]
+        yield np.concatenate(([_BLANK] * (begin == 0), kept, [_BLANK] * (begin + SEGMENT >= len(text)))).astype(np.uint32)
+
+
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """(places, counts) of the n-grams of 1 to 3 characters of the whole text in lower case; empty if it has no letter."""
-    codes = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    letter = _letters()[codes]
-    if not letter.any():
+    """(places, counts) of the n-grams of 1 to 3 characters of the whole text in lower case; empty if it has no letter.
+
+    Very long texts are hashed a segment at a time; n-grams go on across segments.
+    """
+    counts, before, letters = np.zeros(FEATURES, dtype=np.int64), np.zeros(0, dtype=np.uint32), False
+    for codes in _codes((text or "").lower()):
+        letters = letters or bool((codes != _BLANK).any())
+        codes = np.concatenate((before, codes))
+        hashed, parts = np.zeros(len(codes), dtype=np.uint32), []
+        for n, m in enumerate(_MULTIPLIERS):
+            hashed = (hashed[: max(len(codes) - n, 0)] ^ codes[n:]) * m
+            hashed ^= hashed >> np.uint32(15)
+            parts.append(hashed[max(len(before) - n, 0) :] % np.uint32(FEATURES))  # those that end in this segment
+        counts += np.bincount(np.concatenate(parts), minlength=FEATURES)
+        before = codes[1 - len(_MULTIPLIERS) :]
+    if not letters:
         return np.zeros(0, np.int64), np.zeros(0)
-    codes = np.where(letter, codes, np.uint32(32))
-    codes = codes[letter | np.append(True, letter[:-1])]  # one space in a row
-    codes = np.concatenate(([np.uint32(32)], codes, [np.uint32(32)]))
-    hashed, parts = np.zeros(len(codes), dtype=np.uint32), []
-    for n, m in enumerate(_MULTIPLIERS):
-        hashed = (hashed[: len(codes) - n] ^ codes[n:]) * m
-        hashed ^= hashed >> np.uint32(15)
-        parts.append(hashed % np.uint32(FEATURES))
-    counts = np.bincount(np.concatenate(parts), minlength=FEATURES)
     places = np.flatnonzero(counts)
     return places, counts[places].astype(float)
 
@@ -133,7 +151,6 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    release()
     frequency, n = np.zeros(FEATURES + 1, dtype=np.int64), 0
     for batch in batches:
         for text in batch.column(0).to_pylist():
@@ -163,12 +180,12 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     if not languages:
         return Model([], np.ones(FEATURES), np.zeros((FEATURES + 1, 0)))
     frequency = np.zeros(FEATURES + 1)
-    for r in known.select("text").mapInArrow(_document_frequencies, "place long, documents long").groupBy("place").agg(F.sum("documents").alias("n")).collect():  # FEATURES + 1 rows at most
+    for r in known.select("text").mapInArrow(tidy(_document_frequencies), "place long, documents long").groupBy("place").agg(F.sum("documents").alias("n")).collect():  # FEATURES + 1 rows at most
         frequency[r.place] = r.n
     idf = np.log((1 + frequency[FEATURES]) / (1 + frequency[:FEATURES])) + 1
     bound = F.create_map(*(F.lit(x) for k, n in totals.items() for x in (k, int(min(1.0, 1.2 * per_language / n) * 1_000_000))))
     mark = F.xxhash64(F.col("doc_id"), F.lit("sample"))
-    some = known.filter(F.pmod(mark, F.lit(1_000_000)) < bound[F.col("lang")]).select(mark.alias("mark"), "lang", "text").mapInArrow(_vectors, "mark long, lang string, places binary, counts binary")
+    some = known.filter(F.pmod(mark, F.lit(1_000_000)) < bound[F.col("lang")]).select(mark.alias("mark"), "lang", "text").mapInArrow(tidy(_vectors), "mark long, lang string, places binary, counts binary")
     rows: dict[str, list] = {}
     for r in sorted(some.collect(), key=lambda r: (r.lang, r.mark % 1_000_000, r.mark)):
         own = rows.setdefault(r.lang, [])
@@ -197,7 +214,10 @@ def predictor(spark, model: Model) -> Callable[[str], Column]:
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every row, from its text alone. Repeated rows get one answer."""
+    """doc_id, held_out, lang_pred, score for every row, from its text alone. Repeated rows get one answer; an empty table gives no rows.
+
+    Of languages with equal scores the first by name is taken. Texts of any length are read whole. Other columns are not looked at.
+    """
     predict = predictor(docs.sparkSession, model or train(docs))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), predict("text").alias("p"))
     return rows.select("doc_id", "held_out", "p.lang_pred", "p.score")

@@ -1,6 +1,8 @@
+import math
 import random
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -85,7 +87,6 @@ def test_held_out_accuracy(spark, model):
 
 
 def test_nothing_is_learned_from_held_out_rows(spark):
-    import zlib
 
     text = {True: "le la des un une est dans pour", False: "the and of that with was for"}
     rows = [(i, text[zlib.crc32(str(i).encode()) % 4 == 2], "fr" if zlib.crc32(str(i).encode()) % 4 == 2 else "en") for i in range(80)]
@@ -120,3 +121,87 @@ def test_features_of_whole_long_texts():
     places, counts = language_id.features("ab " * 50_000)
     assert counts.sum() > 400_000 and len(places) < 20
     assert language_id.features("Ab")[0].tolist() == language_id.features("aB")[0].tolist()
+
+
+def plain_features(text):
+    """The n-grams of a text by the definition, one at a time."""
+    text = (text or "").lower()
+    if not any(c.isalpha() for c in text):
+        return {}
+    chars = " " + re.sub(r" +", " ", "".join(c if c.isalpha() else " " for c in text)) + " "
+    counts = Counter()
+    for i in range(len(chars)):
+        h = 0
+        for n, m in enumerate((0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)):
+            if i + n < len(chars):
+                h = (h ^ ord(chars[i + n])) * m & 0xFFFFFFFF
+                h ^= h >> 15
+                counts[h % language_id.FEATURES] += 1
+    return counts
+
+
+@pytest.mark.parametrize("segment", [1, 2, 3, 7, 1 << 20])
+def test_features_against_plain_ones(monkeypatch, segment):
+    monkeypatch.setattr(language_id, "SEGMENT", segment)
+    for text in [None, "", " ", "12 %%", "a", " a", "a ", "ab", "A1b--c", "  the  cat,, sat", "\u0130stanbul \u03a3\u03a3", "x" * 50, "\U0001d4d0\U0001f600z", "\u4e2d\u6587 text \u0939\u093f"]:
+        places, counts = language_id.features(text)
+        assert dict(zip(places.tolist(), counts.tolist(), strict=True)) == plain_features(text), text
+
+
+def test_training_against_plain_ftrl(spark):
+    """Document frequencies, TF-IDF, FTRL with elastic net, temperature and predictions of a small table, each by its definition."""
+    words = {"en": "the and of that with was for this have from".split(), "fr": "le la des une est dans pour avec pas que".split(), "de": "der die und das nicht mit ist ein auch von".split()}
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(words[lang], k=rng.randint(1, 9))), lang) for i, lang in enumerate(rng.choices(sorted(words), k=90))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language_id.identify(df).collect()}
+    # The sample's order is by Spark's hash; all else is plain.
+    marks = {r.doc_id: r.m for r in df.select("doc_id", F.xxhash64(F.col("doc_id"), F.lit("sample")).alias("m")).collect()}
+    known = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    languages = sorted({lang for *_, lang in known})
+    df_of = Counter(place for _, text, _ in known for place in plain_features(text))
+
+    def vector(text):
+        x = {p: math.log(1 + c) * (math.log((1 + len(known)) / (1 + df_of[p])) + 1) for p, c in plain_features(text).items()}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        return {p: x[p] / norm for p in sorted(x)}
+
+    fitted, kept = [], []
+    first_seen = sorted({lang for *_, lang in known})
+    for lang in first_seen:
+        own = sorted((r for r in known if r[2] == lang), key=lambda r: (marks[r[0]] % 1_000_000, marks[r[0]]))
+        for i, (_, text, _) in enumerate(own):
+            (kept if i % language_id.CALIBRATION_EVERY == language_id.CALIBRATION_EVERY - 1 else fitted).append((vector(text), languages.index(lang)))
+    z, n, bias = defaultdict(float), defaultdict(float), language_id.FEATURES
+
+    def weight(key):
+        if abs(z[key]) <= language_id.L1:
+            return 0.0
+        return -(z[key] - math.copysign(language_id.L1, z[key])) / ((language_id.BETA + math.sqrt(n[key])) / language_id.ALPHA + language_id.L2)
+
+    def scores(x, temperature=1.0):
+        logits = [(sum(v * weight((p, k)) for p, v in x.items()) + weight((bias, k))) / temperature for k in range(len(languages))]
+        e = [math.exp(s - max(logits)) for s in logits]
+        return [v / sum(e) for v in e]
+
+    order = np.random.default_rng(0)
+    for _ in range(language_id.EPOCHS):
+        for i in order.permutation(len(fitted)).tolist():
+            x, y = fitted[i]
+            p = scores(x)
+            steps = []
+            for k in range(len(languages)):
+                for place, v in [*x.items(), (bias, 1.0)]:
+                    steps.append(((place, k), v * (p[k] - (k == y)), weight((place, k))))
+            for key, g, w in steps:
+                z[key] += g - (math.sqrt(n[key] + g * g) - math.sqrt(n[key])) / language_id.ALPHA * w
+                n[key] += g * g
+    # The temperature of least loss on a fine grid; the library's must be as good.
+    def loss(t):
+        return -sum(math.log(scores(x, t)[y]) for x, y in kept)
+
+    temperature = language_id.train(df).temperature
+    assert loss(temperature) <= min(loss(math.exp(t / 20)) for t in range(-80, 81)) + 1e-9
+    for i, text, _ in rows:
+        p = scores(vector(text), temperature)
+        assert abs(got[i].score - max(p)) < 1e-4 and got[i].lang_pred == languages[p.index(max(p))]
