@@ -13,7 +13,6 @@ QUERIES = {
     "op6_sharding": sharding.op6_sharding,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_spot_signatures": spot_signatures.op8_spot_signatures,
-    "op2_near_dedup": near_dedup.ORACLE_SQL,
     "op9_warc": warc.op9_warc,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
