@@ -21,4 +21,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE_SQL,
     "op2_near_dedup": near_dedup.ORACLE_SQL,
     "op9_warc": warc.ORACLE_SQL,
+    "op10_suffix_dedup": suffix_dedup.ORACLE_SQL,
 }

@@ -463,3 +463,30 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
 def op10_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return removal_report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: Every byte is a row and every 50-byte window a string, built from shorter ones; for tables of some megabytes.
+ORACLE_SQL = """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), bytes AS (
+  SELECT r, doc_id, unnest(range(1, len(h) // 2 + 1)) AS p, unnest(regexp_extract_all(h, '..')) AS b FROM texts
+), w2 AS (SELECT *, b || lead(b) OVER o AS s2 FROM bytes WINDOW o AS (PARTITION BY r ORDER BY p)
+), w4 AS (SELECT *, s2 || lead(s2, 2) OVER o AS s4 FROM w2 WINDOW o AS (PARTITION BY r ORDER BY p)
+), w8 AS (SELECT * EXCLUDE (s4), s4 || lead(s4, 4) OVER o AS s8 FROM w4 WINDOW o AS (PARTITION BY r ORDER BY p)
+), w16 AS (SELECT * EXCLUDE (s8), s8 || lead(s8, 8) OVER o AS s16 FROM w8 WINDOW o AS (PARTITION BY r ORDER BY p)
+), w50 AS (
+  SELECT r, doc_id, p, b, s16 || lead(s16, 16) OVER o || lead(s16, 32) OVER o || lead(s2, 48) OVER o AS s50 FROM w16 WINDOW o AS (PARTITION BY r ORDER BY p)
+), firsts AS (
+  SELECT s50, min(doc_id) AS first_id FROM w50 WHERE s50 IS NOT NULL AND doc_id IS NOT NULL GROUP BY s50 HAVING min(doc_id) < max(doc_id)
+), covered AS (
+  SELECT r, p, b, coalesce(bool_or(coalesce(first_id < doc_id, false)) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), false) AS gone
+  FROM w50 LEFT JOIN firsts USING (s50)
+), runs AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY p), false) AS begins FROM covered
+), cut AS (
+  SELECT r, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans, coalesce(string_agg(b, '' ORDER BY p) FILTER (NOT gone), '') AS kept FROM runs GROUP BY r
+)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (r)
+"""

@@ -226,6 +226,16 @@ def test_suffix_dedup_on_documents(spark, small):
     assert sorted(map(tuple, suffix_dedup.removal_report(df).collect()), key=repr) == want
 
 
+def test_op10_sql_against_brute_force():
+    import duckdb
+    import pandas as pd
+
+    con = duckdb.connect()
+    for rows in (passages(), []):
+        con.register("documents", pd.DataFrame({"doc_id": pd.array([d for d, _ in rows], dtype="Int64"), "text": pd.array([t for _, t in rows], dtype="string")}))
+        assert sorted(con.sql(suffix_dedup.ORACLE_SQL).fetchall(), key=repr) == brute_removals(rows)
+
+
 def test_long_text_is_cut_into_segments(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", 200)
     rng = np.random.default_rng(0)
