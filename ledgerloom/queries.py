@@ -127,7 +127,7 @@ _VERSIONS = "SELECT lower(trim(name)) || chr(0) || lower(creator) AS key, count(
 
 @query(RECORDS + f" SELECT sha256(key) AS key, group_size, files FROM ({_VERSIONS})")
 def suspected_version(spark, sf_dir):
-    return _groups(spark, sf_dir, duplicates.VERSION).withColumn("key", F.sha2("key", 256))
+    return _groups(spark, sf_dir, duplicates.VERSION, narrow_records(spark, sf_dir)).withColumn("key", F.sha2("key", 256))
 
 
 _MEMBERS = """, members AS (

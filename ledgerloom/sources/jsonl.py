@@ -7,7 +7,7 @@ import unicodedata
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import canonical_json as cj
@@ -42,15 +42,17 @@ def parse_record(raw: str, start: int, end: int, orphan: bool = False) -> tuple:
 def read_repairing(spark: SparkSession, path: str, prefix: str = PREFIX) -> DataFrame:
     """A row for each record of the file or folder: start_line, end_line, json, repaired, error.
 
-    Lines end at LF only. A record begins at a line with ``prefix`` and takes the lines up to the next. The file is split at those beginnings by the reader itself, so records are parsed in parallel; lines are counted by a sum over records.
+    Lines end at LF only. A record begins at a line with ``prefix`` and takes the lines up to the next. The file is split at those beginnings by the reader itself, so records are parsed in parallel; lines are counted by split, and the sums of the splits before are added.
     """
     # A separator of LF and prefix keeps records whole, and U+2028 and lone CR within them.
     rows = spark.read.option("lineSep", "\n" + prefix).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
     lines = rows.withColumn("lines", F.length("value") - F.length(F.replace("value", F.lit("\n"))) + 1)
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("file").orderBy("block", "place")
-    lines = lines.withColumn("after", F.sum("lines").over(order)).withColumn("first", F.row_number().over(order) == 1)
+    # A task counts within a split of a file, never over a whole file; the splits before it give the offset.
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("file", "block").agg(F.sum("lines").alias("n")).withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    within = Window.partitionBy("file", "block").orderBy("place")
+    lines = lines.withColumn("own", F.sum("lines").over(within)).join(splits, ["file", "block"])
+    lines = lines.withColumn("after", F.col("own") + F.col("offset")).withColumn("first", F.col("after") == F.col("lines"))
 
     def parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -1,3 +1,6 @@
+import json
+import random
+
 import pytest
 
 from ledgerloom.sources import jsonl
@@ -11,6 +14,26 @@ def test_repairing_reader(spark, tmp_path):
     assert "\u2028" in rows[1].json and "one\\ntwo\\tx" in rows[2].json and "before the first" in rows[0].error
 
 
+def test_repairing_reader_over_splits(spark, tmp_path):
+    """Lines are numbered through a file of many splits, and anew in the next file."""
+    rng, want = random.Random(2), []
+    for name in ("a", "b"):
+        at, text = 1, ""
+        for i in range(120):
+            broken = rng.choice(["", "", "\n", "\n\n\t"]) + "x" * rng.choice([1, 30, 400])
+            text += f'{{"relative_path":"{name}{i}","t":"{broken}"}}\n'
+            want.append((f"{name}{i}", at, at + broken.count("\n"), broken[0] == "\n"))
+            at += broken.count("\n") + 1
+        (tmp_path / f"{name}.jsonl").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        rows = jsonl.read_repairing(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((json.loads(r.json)["relative_path"], r.start_line, r.end_line, r.repaired) for r in rows) == sorted(want)
+
+
 def test_tolerant_and_strict(spark, tmp_path):
     p = tmp_path / "log.jsonl"
     p.write_text('{"id":1}\n\n{"id":')
