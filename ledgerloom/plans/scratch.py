@@ -5,14 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: dict[str, str] = {}
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table below ``spark.checkpoint.dir``, read back; its files go when the driver's JVM ends. Only where the setting is absent and the master is local a temporary folder is used."""
-    spark = df.sparkSession
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path below ``spark.checkpoint.dir``, whose files go when the driver's JVM ends. Only where the setting is absent and the master is local a temporary folder is used."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         app = spark.sparkContext.applicationId
@@ -24,5 +23,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{base.rstrip('/')}/ledgerloom/{name}-{uuid.uuid4().hex}"
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the scratch folder, read back."""
+    path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

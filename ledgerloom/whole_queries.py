@@ -9,7 +9,9 @@ from ledgerloom.functions import canonical_json as cj
 from ledgerloom.functions import text as T
 from ledgerloom.operators import audit, duplicates, merging
 from ledgerloom.operators.model_input import BOOK, flattened
-from ledgerloom.queries import RECORDS, Query, file_records, table
+from ledgerloom.plans.scratch import fresh_path
+from ledgerloom.queries import RECORDS, Query, file_records, narrow_records, table
+from ledgerloom.sources import jsonl
 
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -95,3 +97,70 @@ def content_scan(spark, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(F.concat(F.lit("documents/"), F.col("doc_id")).alias("name"), renamed("text"))
     pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("pages/"), F.col("page_id")).alias("name"), renamed("html"))
     return audit.content_failures(documents.unionByName(pages), "name", "text")
+
+
+# --- Readers, on files written from the tables.
+
+#: Raw control characters that JSON has short escapes for.
+_ESCAPES = {8: "b", 9: "t", 10: "n", 12: "f", 13: "r"}
+
+
+def _records_sql() -> str:
+    # A CR before a LF ends a line and goes with it; other control characters have long escapes.
+    text = r"""replace(replace(replace(coalesce(text, ''), '\', '\\'), '"', '\"'), chr(13) || chr(10), chr(10))"""
+    escaped = text
+    for c in range(1, 32):
+        escaped = f"replace({escaped}, chr({c}), '\\{_ESCAPES.get(c, f'u{c:04x}')}')"
+    head = f"""'{jsonl.PREFIX}"documents/' || doc_id || '","text":"'"""
+    return f"""SELECT {head} || {escaped} || '"}}' AS json, length(raw) - length(replace(raw, chr(10), '')) + 1 AS lines, regexp_matches(raw, '[\\x00-\\x1f]') AS repaired
+FROM (SELECT *, {text} AS raw FROM documents)"""
+
+
+@query(_records_sql())
+def jsonl_records(spark, sf_dir: str) -> DataFrame:
+    """All documents as records whose control characters were left as they are, so that most take many lines, through the repairing reader."""
+    quoted = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    path = fresh_path(spark, "records")
+    table(spark, sf_dir, "documents").select(F.concat(F.lit(jsonl.PREFIX + '"documents/'), "doc_id", F.lit('","text":"'), quoted, F.lit('"}')).alias("value")).write.text(path)
+    return jsonl.read_repairing(spark, path).select("json", (F.col("end_line") - F.col("start_line") + 1).alias("lines"), "repaired")
+
+
+@query("SELECT user_id::VARCHAR AS card_sha256, arg_max(value, event_id) AS decision, max(event_id) AS ordinal FROM events WHERE event_type = 'purchase' AND user_id IS NOT NULL GROUP BY user_id")
+def checkpoint_log(spark, sf_dir: str) -> DataFrame:
+    """All events as a checkpoint, with their types as versions of the model, through the tolerant reader; the last purchase of each user counts."""
+    path = fresh_path(spark, "checkpoint")
+    e = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("card_sha256"), F.col("value").alias("decision"), F.col("event_type").alias("model_version"), F.lit("p").alias("prompt_version"), F.col("event_id").alias("ordinal"))
+    e.write.json(path)
+    rows = jsonl.read_tolerant(spark, path, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in e.schema))
+    return jsonl.read_checkpoint(rows, "purchase", "p").filter("card_sha256 is not null").select("card_sha256", "decision", "ordinal")
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_orderpriority, o_totalprice FROM orders")
+def strict_log(spark, sf_dir: str) -> DataFrame:
+    """All orders as a log, through the strict reader."""
+    path = fresh_path(spark, "log")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    orders.write.json(path)
+    return jsonl.read_strict(spark, path, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in orders.schema))
+
+
+def _review_sql() -> str:
+    of = {
+        duplicates.EXACT: ("sha256", "sha256 <> ''", None),
+        duplicates.SAME_CARD: ("card_sha256", "card_sha256 <> ''", "sha256"),
+        duplicates.SAME_NAME: ("lower(trim(file_name))", "file_name <> ''", "sha256"),
+        duplicates.VERSION: ("lower(trim(name)) || chr(0) || lower(creator)", "name <> ''", "card_sha256"),
+    }
+    parts = [
+        f"SELECT '{kind}' AS group_type, {key} AS k, count(*) AS file_count, count(DISTINCT sha256) AS distinct_file_hashes, count(DISTINCT card_sha256) AS distinct_card_hashes, "
+        f"string_agg(relative_path, ' | ' ORDER BY relative_path) AS relative_paths, '{duplicates.SAID[kind]}' AS reason FROM records WHERE {given} GROUP BY 2 HAVING count(*) > 1{f' AND count(DISTINCT {differ}) > 1' if differ else ''}"
+        for kind, (key, given, differ) in of.items()
+    ]
+    return RECORDS + " SELECT * EXCLUDE (k), sha256(k) AS key_sha256 FROM (" + " UNION ALL ".join(parts) + ")"
+
+
+@query(_review_sql())
+def duplicate_review(spark, sf_dir: str) -> DataFrame:
+    """The table of all duplicate groups that a person reads."""
+    records = narrow_records(spark, sf_dir)
+    return duplicates.review_table(records, duplicates.duplicate_members(records)).withColumn("key_sha256", F.sha2("group_key", 256)).drop("group_key")

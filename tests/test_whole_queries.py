@@ -117,3 +117,17 @@ def test_scan_of_documents_and_pages(spark, fixture):
     folder = fixture(documents=(rows, "doc_id long, text string"), pages=(rows, "page_id long, html string"))
     got = both(spark, folder, "content_scan", ["documents", "pages"])
     assert sorted(got) == sorted((names[x], f"{t}/{i}") for t in ("documents", "pages") for i, v in labels.items() for x in v)
+
+
+def test_records_with_controls(spark, fixture):
+    texts = [None, "", "one\ntwo\r\nthree\r", '"q" \\ \\n \t\x01\x1f\x0c\b', "\n\n", "x\u2028y\u0085z\x7f", 'a\n{"relative_path" :', "é" * 3000 + "\n"]
+    folder = fixture(documents=([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    got = both(spark, folder, "jsonl_records", ["documents"])
+    assert len(got) == len(texts) and {lines for _, lines, _ in got} == {1, 2, 3} and sum(r for _, _, r in got) == 5
+
+
+def test_checkpoint_and_log(spark, fixture):
+    events = [(1, 5, "purchase", 2.5), (2, 5, "view", 9.0), (3, 5, "purchase", None), (4, None, "purchase", 1.0), (5, 6, "purchase", 0.1), (6, 6, None, 3.0)]
+    folder = fixture(events=(events, "event_id long, user_id long, event_type string, value double"), orders=([(1, None, "a\nb", 0.1), (None, "O", "", None)], "o_orderkey long, o_orderstatus string, o_orderpriority string, o_totalprice double"))
+    assert both(spark, folder, "checkpoint_log", ["events"]) == [("5", None, 3), ("6", 0.1, 5)]
+    assert len(both(spark, folder, "strict_log", ["orders"])) == 2
