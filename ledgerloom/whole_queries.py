@@ -11,7 +11,7 @@ from ledgerloom.operators import audit, duplicates, merging
 from ledgerloom.operators.model_input import BOOK, flattened
 from ledgerloom.plans.scratch import fresh_path
 from ledgerloom.queries import RECORDS, Query, file_records, narrow_records, table
-from ledgerloom.sources import jsonl
+from ledgerloom.sources import cards, jsonl
 
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -164,3 +164,23 @@ def duplicate_review(spark, sf_dir: str) -> DataFrame:
     """The table of all duplicate groups that a person reads."""
     records = narrow_records(spark, sf_dir)
     return duplicates.review_table(records, duplicates.duplicate_members(records)).withColumn("key_sha256", F.sha2("group_key", 256)).drop("group_key")
+
+
+@query(
+    """SELECT CASE WHEN n_regionkey IN (2, 4) THEN 'unsupported_card_spec' WHEN n_regionkey = 3 THEN 'valid_with_warnings' ELSE 'valid' END AS status,
+  CASE n_regionkey WHEN 2 THEN NULL WHEN 1 THEN 3 ELSE 2 END AS version, CASE WHEN n_regionkey NOT IN (2, 4) THEN n_name END AS name,
+  CASE n_regionkey WHEN 3 THEN '' WHEN 0 THEN n_name || '|' || n_nationkey WHEN 1 THEN n_name || '|' || n_nationkey END AS tags,
+  CASE n_regionkey WHEN 3 THEN 'tags is neither a string nor an array' WHEN 0 THEN '' WHEN 1 THEN '' END AS warnings, count(*) AS files
+FROM nation GROUP BY ALL"""
+)
+def card_files(spark, sf_dir: str) -> DataFrame:
+    """All nations as card files, listed and scanned: one region's are of an unknown kind, one's have tags of a wrong type, one's have no data."""
+    path, region = fresh_path(spark, "cards"), F.col("n_regionkey")
+    tags = F.concat(F.lit('"tags":'), F.when(region == 3, F.lit("7")).otherwise(F.concat(F.lit('" '), "n_name", F.lit(" ,, "), "n_nationkey", F.lit('"'))))
+    data = F.concat(F.lit('{"name":"'), "n_name", F.lit('",'), tags, F.lit("}"))
+    spec = F.when(region == 1, "chara_card_v3").when(region == 2, "other").otherwise("chara_card_v2")
+    # A file for each row.
+    table(spark, sf_dir, "nation").select(spec.alias("spec"), F.parse_json(F.when(region != 4, data)).alias("data")).write.option("maxRecordsPerFile", 1).json(path)
+    found = cards.scan(cards.list_files(spark, path)).filter("size_bytes > 0")
+    joined = lambda c: F.array_join(c, "|")
+    return found.groupBy("status", "version", F.col("card.name").alias("name"), joined("card.tags").alias("tags"), joined("warnings").alias("warnings")).agg(F.count(F.lit(1)).alias("files"))
