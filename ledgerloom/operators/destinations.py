@@ -135,12 +135,17 @@ def organised_sources(rows: DataFrame, files: DataFrame) -> DataFrame:
     """
     path = F.split("relative_path", "/")
     found = files.filter(F.size(path) == 2).select(path[0].alias("parent_category"), path[1].alias("__name"), "sha256", F.col("relative_path").alias("__path"))
-    stem = lambda c: F.regexp_replace(c, r"(?<=.)\.[^.]*$", "")
-    begin = F.lower(F.concat(stem(F.col("file_name")), F.lit("__"), F.substring("sha256", 1, 12)))
-    exact = F.col("__name") == F.col("file_name")
-    fits = exact | F.lower(stem(F.col("__name"))).startswith(begin)
+    stem = lambda c: F.lower(F.regexp_replace(c, r"(?<=.)\.[^.]*$", ""))
+    mark = F.lower(F.concat(F.lit("__"), F.substring("sha256", 1, 12)))
+    key = lambda later, text: F.struct(F.lit(later).alias("later"), text.alias("text"))
+    # A file meets the rows by its name and by each of its beginnings that end in the mark: the many copies of one content do not all meet.
+    name = stem(F.col("__name"))
+    ends = F.filter(F.sequence(F.lit(1), F.greatest(F.length(name), F.lit(1))), lambda i: F.substring(name, i, F.length(mark)) == mark)
+    begins = F.transform(ends, lambda i: key(True, F.substring(name, F.lit(1), i + F.length(mark) - 1)))
+    found = found.select("parent_category", "sha256", "__path", F.explode(F.concat(F.array(key(False, F.col("__name"))), begins)).alias("__key"))
     keys = ["parent_category", "sha256", "file_name"]
-    best = rows.select(*keys).distinct().join(found, ["parent_category", "sha256"]).filter(fits).groupBy(*keys).agg(F.min_by("__path", F.struct(~exact, "__path")).alias("source_relative"))
+    asked = rows.select(*keys).distinct().select(*keys, F.explode(F.array(key(False, F.col("file_name")), key(True, F.concat(stem(F.col("file_name")), mark)))).alias("__key"))
+    best = asked.join(found, ["parent_category", "sha256", "__key"]).groupBy(*keys).agg(F.min_by("__path", F.struct("__key.later", "__path")).alias("source_relative"))
     return rows.join(best, keys, "left")
 
 

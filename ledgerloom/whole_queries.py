@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import canonical_json as cj
 from ledgerloom.functions import text as T
-from ledgerloom.operators import audit, duplicates, merging
+from ledgerloom.operators import audit, destinations, duplicates, grouping, merging
 from ledgerloom.operators.model_input import BOOK, flattened
 from ledgerloom.plans.scratch import fresh_path
 from ledgerloom.queries import RECORDS, Query, file_records, narrow_records, table
@@ -184,3 +184,46 @@ def card_files(spark, sf_dir: str) -> DataFrame:
     found = cards.scan(cards.list_files(spark, path)).filter("size_bytes > 0")
     joined = lambda c: F.array_join(c, "|")
     return found.groupBy("status", "version", F.col("card.name").alias("name"), joined("card.tags").alias("tags"), joined("warnings").alias("warnings")).agg(F.count(F.lit(1)).alias("files"))
+
+
+# --- Organised files and guards.
+
+_PLACED = """placed AS (
+  SELECT doc_id AS ordinal, lang AS parent_category, 'doc_' || (doc_id % 50) AS stem, sha256(text) AS h, source FROM documents
+), files AS (
+  SELECT parent_category || '/' || CASE WHEN source LIKE '%1' THEN stem || '.json' WHEN source LIKE '%2' THEN upper(stem) || '__' || left(h, 12) || '_' || ordinal || '.json' ELSE 'other/' || stem || '.json' END AS path, parent_category, h, stem, source
+  FROM placed
+)"""
+
+
+@query(
+    f"""WITH {_PLACED}, best AS (SELECT parent_category, h, stem, arg_min(path, (NOT source LIKE '%1', path)) AS source_relative FROM files WHERE source LIKE '%1' OR source LIKE '%2' GROUP BY ALL)
+SELECT ordinal, source_relative FROM placed LEFT JOIN best USING (parent_category, h, stem)"""
+)
+def organised_sources(spark, sf_dir: str) -> DataFrame:
+    """All documents as files that were organised: under their names, under names with their hashes and in other case, or out of reach."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ordinal"), F.col("lang").alias("parent_category"), F.concat(F.lit("doc_"), F.col("doc_id") % 50).alias("stem"), F.sha2("text", 256).alias("sha256"), "source")
+    named = F.concat("stem", F.lit(".json"))
+    hashed = F.concat(F.upper("stem"), F.lit("__"), F.substring("sha256", 1, 12), F.lit("_"), "ordinal", F.lit(".json"))
+    name = F.when(F.col("source").endswith("1"), named).when(F.col("source").endswith("2"), hashed).otherwise(F.concat(F.lit("other/"), named))
+    files = d.select(F.concat("parent_category", F.lit("/"), name).alias("relative_path"), "sha256")
+    return destinations.organised_sources(d.select("ordinal", "parent_category", named.alias("file_name"), "sha256"), files).select("ordinal", "source_relative")
+
+
+@query(
+    f"""SELECT doc_id AS ordinal FROM documents WHERE NOT (lang <> '' AND text IS NOT NULL AND NOT (source LIKE '%1')
+  AND (lang <> 'en' OR (n_chars >= 500 AND trim(split_part(text, ' ', 1)) <> '')))"""
+)
+def refinement_guard(spark, sf_dir: str) -> DataFrame:
+    """All documents as refinements: English ones are fanworks, which must be selected and have a directory; some have no scope's flag or no hash."""
+    d = table(spark, sf_dir, "documents")
+    fanwork = F.col("lang") == "en"
+    rows = d.select(
+        F.col("doc_id").alias("ordinal"),
+        F.col("lang").alias("relative_path"),
+        F.when(~F.col("source").endswith("1"), F.sha2("text", 256)).otherwise("none").alias("sha256"),
+        F.when(fanwork, grouping.FANWORK).otherwise("other").alias("parent_category"),
+        (F.col("n_chars") >= 500).alias("selected_for_refinement"),
+        F.split_part("text", F.lit(" "), F.lit(1)).alias("subcategory"),
+    )
+    return destinations.bad_refinements(rows).select("ordinal")
