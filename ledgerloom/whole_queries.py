@@ -125,7 +125,7 @@ def jsonl_records(spark, sf_dir: str) -> DataFrame:
     return jsonl.read_repairing(spark, path).select("json", (F.col("end_line") - F.col("start_line") + 1).alias("lines"), "repaired")
 
 
-@query("SELECT user_id::VARCHAR AS card_sha256, arg_max(value, event_id) AS decision, max(event_id) AS ordinal FROM events WHERE event_type = 'purchase' AND user_id IS NOT NULL GROUP BY user_id")
+@query("SELECT user_id::VARCHAR AS card_sha256, value AS decision, event_id AS ordinal FROM events WHERE event_type = 'purchase' AND user_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
 def checkpoint_log(spark, sf_dir: str) -> DataFrame:
     """All events as a checkpoint, with their types as versions of the model, through the tolerant reader; the last purchase of each user counts."""
     path = fresh_path(spark, "checkpoint")
