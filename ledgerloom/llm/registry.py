@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import byte_bpe, language_id, near_dedup, packing, quality_rules, sharding, spot_signatures, suffix_dedup, token_counts, warc
+from ledgerloom.llm import byte_bpe, hard_negatives, importance, language_id, near_dedup, packing, quality_rules, sharding, simhash, spot_signatures, suffix_dedup, token_counts, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_spot_signatures": spot_signatures.op8_spot_signatures,
     "op9_warc": warc.op9_warc,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_simhash": simhash.op12_simhash,
+    "op13_importance": importance.op13_importance,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -22,4 +25,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_near_dedup": near_dedup.ORACLE_SQL,
     "op9_warc": warc.ORACLE_SQL,
     "op10_suffix_dedup": suffix_dedup.ORACLE_SQL,
+    "op11_hard_negatives": hard_negatives.ORACLE_SQL,
+    "op13_importance": importance.ORACLE_SQL,
 }
