@@ -1,96 +1,13 @@
-"""Collision-free destinations, version names of collected files, and the guards before a plan."""
+"""The guards before a plan, and the files that a plan before it has placed."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import safe_category
 from ledgerloom.operators.grouping import FANWORK
 
-HASH_LENGTH = 12
-
-
-def split_path(path: Column) -> tuple[Column, Column, Column]:
-    """(directory with its slash, stem, extension with its dot); a leading dot begins no extension."""
-    name = F.regexp_extract(path, r"([^/]*)$", 1)
-    extension = F.regexp_extract(name, r"[^/](\.[^./]*)$", 1)
-    return F.regexp_extract(path, r"^(.*/)?[^/]*$", 1), F.substring(name, F.lit(1), F.length(name) - F.length(extension)), extension
-
-
-def numbered(stem: Column, sha256: Column, n: Column, extension: Column) -> Column:
-    """stem__hash12.ext for n = 1, stem__hash12-n.ext beyond."""
-    return F.concat(stem, F.lit("__"), F.substring(sha256, 1, HASH_LENGTH), F.when(n > 1, F.concat(F.lit("-"), n.cast("string"))).otherwise(F.lit("")), extension)
-
-
-def assign_destinations(rows: DataFrame, wanted: str = "wanted_path", ordinal: str = "ordinal", taken: DataFrame | None = None) -> DataFrame:
-    """``rows`` (wanted_path, sha256, ordinal) with destination_path: whoever comes first keeps a name, case aside; others get their hash, and a number if need be.
-
-    ``taken`` (path) holds names that exist already. Two windows settle all but names that look like generated ones; directories where those clash are settled row by row.
-    """
-    directory, stem, extension = split_path(F.col(wanted))
-    claims = rows.withColumns({"__dir": directory, "__stem": stem, "__ext": extension, "__low": F.lower(wanted)})
-    rank = F.row_number().over(Window.partitionBy("__low").orderBy(ordinal))
-    claims = claims.withColumn("__rank", rank)
-    if taken is not None:
-        known = taken.select(F.lower("path").alias("__low"), F.lit(1).alias("__taken")).distinct()
-        claims = claims.join(known, "__low", "left").withColumn("__rank", F.col("__rank") + F.coalesce("__taken", F.lit(0))).drop("__taken")
-    later = F.when(F.col("__rank") > 1, 1)
-    number = F.sum(F.coalesce(later, F.lit(0))).over(Window.partitionBy(F.lower("__dir"), F.lower("__stem"), F.lower("__ext"), F.substring("sha256", 1, HASH_LENGTH)).orderBy(ordinal).rowsBetween(Window.unboundedPreceding, 0))
-    named = claims.withColumn("destination_path", F.when(F.col("__rank") == 1, F.col(wanted)).otherwise(F.concat("__dir", numbered(F.col("__stem"), F.col("sha256"), number, F.col("__ext")))))
-    clash = named.select(F.lower("__dir").alias("__d"), F.lower("destination_path").alias("__p"))
-    if taken is not None:
-        clash = clash.unionByName(taken.select(F.lower(split_path(F.col("path"))[0]).alias("__d"), F.lower("path").alias("__p")))
-    bad = clash.groupBy("__d", "__p").count().filter("count > 1").select("__d").distinct()
-    out = [*rows.columns, "destination_path"]
-    if not bad.take(1):
-        return named.select(out)
-    keyed = named.withColumn("__d", F.lower("__dir"))
-    good = keyed.join(bad, "__d", "left_anti").select(out)
-    return good.unionByName(_row_by_row(keyed.join(bad, "__d", "left_semi"), wanted, ordinal, taken, out))
-
-
-def _row_by_row(rows: DataFrame, wanted: str, ordinal: str, taken: DataFrame | None, out: list[str]) -> DataFrame:
-    """The rule itself, a directory at a time; only for directories in which a natural name equals a generated one."""
-    existing = F.lit(None).cast("array<string>")
-    if taken is not None:
-        names = taken.groupBy(F.lower(split_path(F.col("path"))[0]).alias("__d")).agg(F.collect_list(F.lower("path")).alias("__existing"))
-        rows, existing = rows.join(names, "__d", "left"), F.col("__existing")
-    rows = rows.withColumn("__existing", existing)
-
-    def settle(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(ordinal, kind="stable").reset_index(drop=True)
-        first = group["__existing"].iloc[0]
-        used, found = set(first if first is not None else []), []
-        for r in group.to_dict("records"):
-            candidate, n = r[wanted], 1
-            while candidate.lower() in used:
-                candidate = f"{r['__dir']}{r['__stem']}__{r['sha256'][:HASH_LENGTH]}{f'-{n}' * (n > 1)}{r['__ext']}"
-                n += 1
-            used.add(candidate.lower())
-            found.append(candidate)
-        group["destination_path"] = found
-        return group[out]
-
-    return rows.groupBy("__d").applyInPandas(settle, rows.select(out).schema)
-
-
-def collect_versions(rows: DataFrame, name: str = "file_name", ordinal: str = "ordinal") -> DataFrame:
-    """For files of several sources that go into one folder: status and target_name. Equal content under one name is skipped; other content gets its hash."""
-    first = Window.partitionBy(F.lower(name), "sha256").orderBy(ordinal)
-    ranked = rows.withColumn("__copy", F.row_number().over(first))
-    version = F.min(F.when(F.col("__copy") == 1, F.col(ordinal))).over(Window.partitionBy(F.lower(name)))
-    content = F.min(ordinal).over(Window.partitionBy(F.lower(name), "sha256"))
-    ranked = ranked.withColumns({"__first": version, "__content": content})
-    _, stem, extension = split_path(F.col(name))
-    original = F.col("__content") == F.col("__first")
-    target = F.when(original, F.col(name)).otherwise(numbered(stem, F.col("sha256"), F.lit(1), extension))
-    status = F.when(F.col("__copy") > 1, "skipped_identical").when(original, "copied").otherwise("copied_version")
-    return ranked.select(*rows.columns, status.alias("status"), target.alias("target_name"))
-
 
 def repeated_paths(rows: DataFrame, path: str = "relative_path") -> DataFrame:
     """Guard: paths that are empty or occur more than once."""

@@ -1,14 +1,25 @@
-"""A total order that later steps can see: each row's ordinal in it, without one task for all rows."""
+"""Total orders that later steps can see, and running values within keys of any size, without one task for all rows or for a hot key."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.scratch import written
 
+_PLACE = (1 << 33) - 1
+
+
+def _dealt(rows: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
+    """``rows`` range-sorted and written, with __part (the partition, in order) and __at (the place within it)."""
+    n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The generated id holds the partition above 33 bits of the place within it.
+    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
+    dealt = written(dealt, "ordered")
+    return dealt.withColumns({"__part": F.shiftright("__id", 33), "__at": F.col("__id").bitwiseAND(F.lit(_PLACE))}).drop("__id")
+
 
 def with_ordinal(rows: DataFrame, order: Sequence[Column], name: str = "ordinal", first: int = 1, partitions: int | None = None) -> DataFrame:
     """``rows`` with ``name``, counted from ``first`` in the order given; rows that it leaves equal follow each other in any way.
@@ -16,15 +27,46 @@ def with_ordinal(rows: DataFrame, order: Sequence[Column], name: str = "ordinal"
     A range sort puts the rows into partitions by sampled bounds; they are written with their place in the partition, and the sizes of the
     partitions before (one number each, all that reaches the driver) are added. The order should tell rows apart: equal ones share a partition.
     """
-    spark = rows.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The generated id holds the partition above 33 bits of the place within it.
-    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
-    dealt = written(dealt, "ordered").withColumn("__part", F.shiftright("__at", 33))
+    dealt = _dealt(rows, order, partitions)
     before, offsets = first, []
     for part, size in sorted(map(tuple, dealt.groupBy("__part").agg(F.count(F.lit(1))).collect())):
         offsets.append((part, before))
         before += size
-    starts = spark.createDataFrame(offsets, "__part long, __before long")
-    at = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    return dealt.join(F.broadcast(starts), "__part").withColumn(name, F.col("__before") + at).drop("__part", "__at", "__before")
+    starts = rows.sparkSession.createDataFrame(offsets, "__part long, __before long")
+    return dealt.join(F.broadcast(starts), "__part").withColumn(name, F.col("__before") + F.col("__at")).drop("__part", "__at", "__before")
+
+
+def running(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, name: str, how: str = "sum", partitions: int | None = None) -> DataFrame:
+    """``rows`` with ``name``: the sum, or the maximum, of ``value`` (long) over the rows of the same ``keys`` up to and including each, in ``order``.
+
+    Rows are range-sorted by keys and order, so that a hot key spans several partitions. What it has in earlier ones is carried over: a key
+    spans two partitions only where one ends, so there are fewer such keys than partitions. Without keys, all rows are one run.
+    """
+    if how not in ("sum", "max"):
+        raise ValueError(f"no running {how}")
+    gather = F.sum if how == "sum" else F.max
+    dealt = _dealt(rows.withColumn("__value", value.cast("long")), [*map(F.col, keys), *order], partitions)
+    here = Window.partitionBy("__part", *keys).orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    dealt = dealt.withColumn("__own", gather("__value").over(here))
+    parts = dealt.groupBy("__part", *keys).agg(gather("__value").alias("__total"))
+    spans = parts.groupBy(*keys).agg(F.min("__part").alias("__span_first"), F.max("__part").alias("__span_last")).filter("__span_first < __span_last")
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]
+    pieces = parts.alias("p").join(F.broadcast(spans.alias("s")), same or F.lit(True)).select("p.*")
+    carried, sums = [], {}
+    for r in sorted(pieces.collect(), key=lambda r: r["__part"]):
+        key = tuple(r[k] for k in keys)
+        before = sums.get(key)
+        carried.append((r["__part"], *key, before))
+        some = [x for x in (before, r["__total"]) if x is not None]
+        sums[key] = (sum(some) if how == "sum" else max(some)) if some else None
+    types = dict(rows.dtypes)
+    carry = rows.sparkSession.createDataFrame(carried, ", ".join(["__part long", *(f"`{k}` {types[k]}" for k in keys), "__carry long"]))
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"d.{k}")) for k in ("__part", *keys)]
+    joined = dealt.alias("d").join(F.broadcast(carry.alias("c")), same, "left").select("d.*", "c.__carry")
+    both = F.coalesce(F.col("__carry") + F.col("__own"), "__own", "__carry") if how == "sum" else F.greatest("__carry", "__own")
+    return joined.withColumn(name, both).drop("__part", "__at", "__own", "__value", "__carry")
+
+
+def rank_within(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank", partitions: int | None = None) -> DataFrame:
+    """``rows`` with their place, from 1, among the rows of the same ``keys``, however many these are."""
+    return running(rows, keys, order, F.lit(1), name, partitions=partitions)

@@ -15,7 +15,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import decisions, destinations, duplicates, grouping, merging
+from ledgerloom.operators import decisions, destinations, duplicates, grouping, merging, naming
 from ledgerloom.operators.model_input import has_semantic_content, model_inputs
 from ledgerloom.plans import plan as P
 from ledgerloom.plans.model import Client, Filtered, ModelError, resolve_batch, run_workers
@@ -85,7 +85,7 @@ def collect(spark: SparkSession, sources: list[str], destination: str, reports:
     rows = [(i, None, n, h) for i, (n, h) in enumerate(existing)] + [(len(existing) + i, p, n, h) for i, (p, n, h) in enumerate(found) if n]
     df = spark.createDataFrame(rows, "ordinal long, source string, file_name string, sha256 string")
     log = [{"source": p, "status": "source_missing"} for p, n, _ in found if not n]
-    for r in destinations.collect_versions(df).filter("source is not null").orderBy("ordinal").toLocalIterator():
+    for r in naming.collect_versions(df).filter("source is not null").orderBy("ordinal").toLocalIterator():
         status = r.status if not dry_run or r.status == "skipped_identical" else f"would_{r.status.replace('copied', 'copy')}"
         if r.status != "skipped_identical" and not dry_run:
             target.mkdir(parents=True, exist_ok=True)
@@ -320,7 +320,7 @@ def _place(spark: SparkSession, rows: DataFrame, levels: list, source: str, dest
     wanted = F.concat_ws("/", F.lit(root), *levels, "file_name")
     found = F.col("source_relative") if "source_relative" in rows.columns else F.col("relative_path")
     rows = rows.withColumns({"ordinal": F.col("relative_path"), "wanted_path": wanted, "source_relative": found})
-    placed = destinations.assign_destinations(_present(spark, rows, source))
+    placed = naming.assign_destinations(_present(spark, rows, source))
     base = str(Path(source).resolve())
     out = placed.select(F.lit(operation).alias("operation"), *[c for c in rows.columns if c not in ("ordinal", "wanted_path", "source_relative", "file_name")], F.concat(F.lit(base + "/"), "source_relative").alias("source_path"), "destination_path", "status", "detail", "ordinal")
     return _plan(out, folder, operation, root, more)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import canonical_json as cj
 from ledgerloom.functions import text as T
-from ledgerloom.operators import audit, decisions, destinations, duplicates, grouping, merging
+from ledgerloom.operators import audit, decisions, destinations, duplicates, grouping, merging, naming
 from ledgerloom.operators.model_input import LISTS, TEXTS, has_semantic_content, model_inputs
 from ledgerloom.plans import stages
 from ledgerloom.plans.scratch import written
@@ -546,7 +546,7 @@ DESTINATIONS = RECORDS + """, ranked AS (
 @query(DESTINATIONS + " SELECT ordinal, CASE WHEN r = 1 THEN wanted_path ELSE replace(wanted_path, '.json', '') || '__' || substr(sha256, 1, 12) || CASE WHEN n > 1 THEN '-' || n ELSE '' END || '.json' END AS destination_path FROM numbered")
 def destination_assign(spark, sf_dir):
     rows = file_records(spark, sf_dir).select("ordinal", "sha256", F.concat("creator", F.lit("/"), "file_name").alias("wanted_path"))
-    return destinations.assign_destinations(rows).select("ordinal", "destination_path")
+    return naming.assign_destinations(rows).select("ordinal", "destination_path")
 
 
 @query(
@@ -556,7 +556,7 @@ def destination_assign(spark, sf_dir):
 )
 def collect_versions(spark, sf_dir):
     rows = file_records(spark, sf_dir).select("ordinal", "sha256", "file_name")
-    return destinations.collect_versions(rows).select("ordinal", "status", "target_name")
+    return naming.collect_versions(rows).select("ordinal", "status", "target_name")
 
 
 @query("SELECT doc_id AS ordinal, (row_number() OVER (ORDER BY doc_id) - 1) // 30 AS batch FROM documents")

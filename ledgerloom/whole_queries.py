@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import canonical_json as cj
 from ledgerloom.functions import text as T
-from ledgerloom.operators import audit, destinations, duplicates, grouping, merging
+from ledgerloom.operators import audit, destinations, duplicates, grouping, merging, naming
 from ledgerloom.operators.model_input import BOOK, flattened
 from ledgerloom.plans.scratch import fresh_path
 from ledgerloom.queries import RECORDS, Query, file_records, narrow_records, table
@@ -227,3 +227,50 @@ def refinement_guard(spark, sf_dir: str) -> DataFrame:
         F.split_part("text", F.lit(" "), F.lit(1)).alias("subcategory"),
     )
     return destinations.bad_refinements(rows).select("ordinal")
+
+
+# --- Names that natural and generated claims meet in.
+
+_CONTESTED = """hashed AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, sha256(coalesce(text, '')) AS h FROM documents
+), files AS (
+  SELECT 3 * doc_id + 1 AS ordinal, lang, 'doc_' || (doc_id % 50) AS stem, h AS sha FROM hashed
+  UNION ALL SELECT 3 * doc_id + 2, lang, 'DOC_' || (doc_id % 50) || '__' || left(h, 12), sha256(h) FROM hashed WHERE doc_id % 3 = 0
+  UNION ALL SELECT 3 * doc_id, lang, 'doc_' || (doc_id % 50) || '__' || left(h, 12), CASE WHEN doc_id % 2 = 0 THEN h ELSE sha256(h) END FROM hashed WHERE doc_id % 3 = 1
+), queue AS (SELECT *, row_number() OVER (ORDER BY ordinal) AS i FROM files)"""
+
+
+def _one_by_one(folder: str, passes: str, placed: str) -> str:
+    """The rule, one file after the other: each takes the first name of its list that is not taken, or ``passes``."""
+    names = f"list_transform(range(0, 16), lambda n: {folder}q.stem || CASE n WHEN 0 THEN '' WHEN 1 THEN '__' || left(q.sha, 12) ELSE '__' || left(q.sha, 12) || '-' || n END || '.json')"
+    free = f"lambda c: list_position(s.names, lower(c)) IS NULL {passes}"
+    return f"""WITH RECURSIVE {_CONTESTED}, steps AS (
+  SELECT 0::BIGINT AS i, NULL::BIGINT AS ordinal, NULL::VARCHAR AS target, false AS again, []::VARCHAR[] AS names, []::VARCHAR[] AS shas
+  UNION ALL
+  SELECT i, ordinal, target, again, list_append(names, lower(target)), list_append(shas, sha) FROM (
+    SELECT q.i, q.ordinal, q.sha, s.names, s.shas, list_filter({names}, {free})[1] AS target, list_position(s.names, lower(list_filter({names}, {free})[1])) IS NOT NULL AS again
+    FROM steps s JOIN queue q ON q.i = s.i + 1
+  )
+) SELECT {placed} FROM steps JOIN queue USING (i, ordinal)"""
+
+
+def _contested(spark, sf_dir: str) -> DataFrame:
+    """All documents as files of 50 names; two in three bring a file whose natural name is what the rule makes of the other's, before it or behind it."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
+    number, mark, doc = F.col("doc_id") % 50, F.substring("h", 1, 12), F.col("doc_id")
+    plain = F.struct((3 * doc + 1).alias("ordinal"), F.concat(F.lit("doc_"), number).alias("stem"), F.col("h").alias("sha256"))
+    behind = F.struct((3 * doc + 2).alias("ordinal"), F.concat(F.lit("DOC_"), number, F.lit("__"), mark).alias("stem"), F.sha2("h", 256).alias("sha256"))
+    before = F.struct((3 * doc).alias("ordinal"), F.concat(F.lit("doc_"), number, F.lit("__"), mark).alias("stem"), F.when(doc % 2 == 0, F.col("h")).otherwise(F.sha2("h", 256)).alias("sha256"))
+    files = F.array_compact(F.array(plain, F.when(doc % 3 == 0, behind), F.when(doc % 3 == 1, before)))
+    return d.select("lang", F.explode(files).alias("f")).select("lang", "f.ordinal", "f.sha256", F.concat("f.stem", F.lit(".json")).alias("file_name"))
+
+
+@query(_one_by_one("", "OR s.shas[list_position(s.names, lower(c))] = q.sha", "ordinal, CASE WHEN again THEN 'skipped_identical' WHEN target = stem || '.json' THEN 'copied' ELSE 'copied_version' END AS status, target AS target_name"))
+def collect_contested(spark, sf_dir: str) -> DataFrame:
+    return naming.collect_versions(_contested(spark, sf_dir)).select("ordinal", "status", "target_name")
+
+
+@query(_one_by_one("q.lang || '/' || ", "", "ordinal, target AS destination_path"))
+def destination_contested(spark, sf_dir: str) -> DataFrame:
+    rows = _contested(spark, sf_dir).select("ordinal", "sha256", F.concat("lang", F.lit("/"), "file_name").alias("wanted_path"))
+    return naming.assign_destinations(rows).select("ordinal", "destination_path")

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import audit, decisions, destinations, duplicates, grouping, merging
+from ledgerloom.operators import audit, decisions, destinations, duplicates, grouping, merging, naming, ordering
 
 
 def test_duplicates(spark):
@@ -121,18 +121,68 @@ def test_destinations_against_brute_force(spark):
         name = rng.choice(["a.png", "A.png", "b.json", ".hid", "c", f"a__{sha[:12]}.png", f"b__{sha[:12]}-2.json"])
         rows.append((i, f"{rng.choice(['x', 'Y', 'z'])}/{name}", sha))
     df = spark.createDataFrame(rows, "ordinal long, wanted_path string, sha256 string")
-    got = {r.ordinal: r.destination_path for r in destinations.assign_destinations(df).collect()}
+    got = {r.ordinal: r.destination_path for r in naming.assign_destinations(df).collect()}
     assert got == brute_destinations(rows) and len({x.lower() for x in got.values()}) == 300
     plain = [r for r in rows if "__" not in r[1]]
     df = spark.createDataFrame(plain, "ordinal long, wanted_path string, sha256 string")
     taken = ["x/a.png", "z/c"]
-    got = {r.ordinal: r.destination_path for r in destinations.assign_destinations(df, taken=spark.createDataFrame([(t,) for t in taken], "path string")).collect()}
+    got = {r.ordinal: r.destination_path for r in naming.assign_destinations(df, taken=spark.createDataFrame([(t,) for t in taken], "path string")).collect()}
     assert got == brute_destinations(plain, taken)
 
 
+def brute_versions(rows):
+    """(status, target) by ordinal: the rule, file by file."""
+    used, out = {}, {}
+    for i, name, sha in sorted(rows):
+        stem, dot, ext = name.rpartition(".") if "." in name[1:] else (name, "", "")
+        target, n = name, 0
+        while target.lower() in used and used[target.lower()] != sha:
+            n += 1
+            target = f"{stem}__{sha[:12]}{f'-{n}' * (n > 1)}{dot}{ext}"
+        status = "skipped_identical" if target.lower() in used else "copied_version" if n else "copied"
+        used[target.lower()] = sha
+        out[i] = (status, target)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_versions_against_brute_force(spark, seed):
+    """Natural names equal generated ones, of versions and of versions of versions; hashes that differ behind the part in names."""
+    rng = random.Random(seed)
+    shas = [c * 64 for c in "abc"] + ["a" * 40 + "d" * 24]
+    deep = [f"n__{s[:12]}{x}" for s in shas for x in ("", "-2")]
+    names = ["n.png", "N.PNG", "m", ".hid", *(f"{x}.png" for x in deep), *(f"{x}__{s[:12]}.png" for x in deep for s in shas[:3])]
+    rows = [(i, rng.choice(names[: rng.choice([4, 8, len(names)])]), rng.choice(shas)) for i in range(200)]
+    df = spark.createDataFrame(rows, "ordinal long, file_name string, sha256 string").repartition(3)
+    got = {r.ordinal: (r.status, r.target_name) for r in naming.collect_versions(df).collect()}
+    assert got == brute_versions(rows)
+
+
+def test_two_files_never_get_one_name(spark):
+    taken = f"x__{'b' * 12}.png"
+    rows = [(1, "x.png", "a" * 64), (2, "x.png", "b" * 64), (3, taken, "c" * 64), (4, taken, "b" * 64)]
+    got = {r.ordinal: (r.status, r.target_name) for r in naming.collect_versions(spark.createDataFrame(rows, "ordinal long, file_name string, sha256 string")).collect()}
+    assert got == {1: ("copied", "x.png"), 2: ("copied_version", taken), 3: ("copied_version", f"x__{'b' * 12}__{'c' * 12}.png"), 4: ("skipped_identical", taken)}
+
+
+def test_running_values_over_borders(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice(["hot"] * 5 + [None, "a", "b"]), i, rng.randrange(-5, 9)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, i long, v long").repartition(4)
+    sums, most, rank = {}, {}, {}
+    want = {}
+    for k, i, v in rows:
+        sums[k], most[k], rank[k] = sums.get(k, 0) + v, max(most.get(k, v), v), rank.get(k, 0) + 1
+        want[i] = sums[k], most[k], rank[k]
+    got = [{r.i: r.x for r in f(df, ["k"], [F.col("i")], partitions=7).collect()} for f in (lambda *a, **b: ordering.running(*a, F.col("v"), "x", **b), lambda *a, **b: ordering.running(*a, F.col("v"), "x", how="max", **b), lambda *a, **b: ordering.rank_within(*a, "x", **b))]
+    assert {i: tuple(g[i] for g in got) for i in want} == want
+    total = ordering.running(df, [], [F.col("i")], F.col("v"), "x", partitions=5).orderBy("i").collect()
+    assert total[-1].x == sum(v for _, _, v in rows)
+
+
 def test_collect_versions_and_guards(spark):
     df = spark.createDataFrame([(1, "s.json", "a" * 64), (2, "S.json", "b" * 64), (3, "s.json", "a" * 64), (4, "t.json", "a" * 64)], "ordinal long, file_name string, sha256 string")
-    got = {r.ordinal: (r.status, r.target_name) for r in destinations.collect_versions(df).collect()}
+    got = {r.ordinal: (r.status, r.target_name) for r in naming.collect_versions(df).collect()}
     assert got == {1: ("copied", "s.json"), 2: ("copied_version", f"S__{'b' * 12}.json"), 3: ("skipped_identical", "s.json"), 4: ("copied", "t.json")}
     names = spark.createDataFrame([("a:",), ("A?",), ("b",)], "category string")
     assert [tuple(r) for r in destinations.colliding_categories(names).collect()] == [("a_", 2)]
