@@ -53,7 +53,7 @@ def assign_destinations(rows: DataFrame, wanted: str = "wanted_path", ordinal: s
         firsts = firsts.join(held.withColumnRenamed("__claim", "__low"), "__low", "left_anti")
     # The first of a name keeps it; the others of one name and hash are numbered in order.
     free = own.join(firsts.select("__low", "__ordinal", F.lit(1).alias("__keeps")), ["__low", "__ordinal"], "left")
-    state = running(free, ["__low", "__mark"], [F.col("__ordinal")], 1 - F.coalesce("__keeps", F.lit(0)), "__level").drop("__keeps")
+    state = running(written(free, "names"), ["__low", "__mark"], [F.col("__ordinal")], 1 - F.coalesce("__keeps", F.lit(0)), "__level").drop("__keeps")
     while True:
         claims = written(state.withColumn("__claim", F.lower(_name(F.col("__path"), F.col("__level")))), "claims")
         holders = claims.groupBy("__claim").agg(F.min("__ordinal").alias("__holder"), F.count(F.lit(1)).alias("__n"))

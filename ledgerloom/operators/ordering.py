@@ -22,7 +22,7 @@ def _dealt(rows: DataFrame, order: Sequence[Column], partitions: int | None) ->
 
 
 def with_ordinal(rows: DataFrame, order: Sequence[Column], name: str = "ordinal", first: int = 1, partitions: int | None = None) -> DataFrame:
-    """``rows`` with ``name``, counted from ``first`` in the order given; rows that it leaves equal follow each other in any way.
+    """``rows`` with ``name``, counted from ``first`` in the order given; rows that it leaves equal follow each other in any way. ``rows`` are looked at twice: pass a written table.
 
     A range sort puts the rows into partitions by sampled bounds; they are written with their place in the partition, and the sizes of the
     partitions before (one number each, all that reaches the driver) are added. The order should tell rows apart: equal ones share a partition.
@@ -37,7 +37,7 @@ def with_ordinal(rows: DataFrame, order: Sequence[Column], name: str = "ordinal"
 
 
 def running(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, name: str, how: str = "sum", partitions: int | None = None) -> DataFrame:
-    """``rows`` with ``name``: the sum, or the maximum, of ``value`` (long) over the rows of the same ``keys`` up to and including each, in ``order``.
+    """``rows`` with ``name``: the sum, or the maximum, of ``value`` (long) over the rows of the same ``keys`` up to and including each, in ``order``. ``rows`` are looked at twice.
 
     Rows are range-sorted by keys and order, so that a hot key spans several partitions. What it has in earlier ones is carried over: a key
     spans two partitions only where one ends, so there are fewer such keys than partitions. Without keys, all rows are one run.
