@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import materialise
 from ledgerloom.llm.crc_algebra import crcs, joined
 from ledgerloom.llm.rolling import column_bytes
 from ledgerloom.llm.words import ALPHANUMERIC, Piece, pieces
@@ -68,6 +69,7 @@ def gains(corpus: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> list[
     spark = corpus.sparkSession
     every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     counts = every.join(corpus.select("bucket", F.col("n").alias("s")), "bucket", "left").join(target.select("bucket", F.col("n").alias("t")), "bucket", "left").na.fill(0)
+    counts = materialise(counts, "bucket_counts")
     all_s, all_t = counts.agg(F.sum("s").cast("double"), F.sum("t").cast("double")).first()
     s, t = F.col("s").cast("double"), F.col("t").cast("double")
     gain = F.floor(1000 * F.log((t + 1) * (F.lit(all_s) + buckets) / ((s + 1) * (F.lit(all_t) + buckets))))
@@ -112,7 +114,9 @@ def resampled(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_
     Rows that repeat a doc_id share its variable and are drawn one by one; those of one score and doc_id in any order. Very long texts are read
     by segments. Empty tables (of either kind) give weights of their own counts alone; no documents, no rows. Other columns are not looked at.
     """
+    # Written before the sort, which looks at its input twice.
     scored = weights(docs, gains(bucket_counts(docs), bucket_counts(target))).withColumn("score", F.col("weight") + gumbel(F.col("doc_id")))
+    scored = materialise(scored, "scores")
     enough = F.col("doc_id").isNotNull() & (F.col("n_words") >= least_words)
     # Rows that cannot be drawn are ranked behind the others, and spread by their texts' counts.
     out = F.when(enough, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("doc_id", "n_features", "weight"), F.lit(1 << 20)))
