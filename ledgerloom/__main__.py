@@ -56,14 +56,14 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, client: object = None) -> object:
     a = parser().parse_args(argv)
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.builder.appName(f"ledgerloom {a.stage}").getOrCreate()
     if a.stage in ("execute", "execute-tags"):
         run = stages.execute if a.stage == "execute" else stages.execute_tags
-        result = run(Path(a.plan), Path(a.approval) if a.approval else None)
+        result = run(spark, Path(a.plan), Path(a.approval) if a.approval else None)
         print(json.dumps(result))
         return result
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.builder.appName(f"ledgerloom {a.stage}").getOrCreate()
     if a.stage == "collect":
         out = stages.collect(spark, a.source, a.destination, a.reports, a.dry_run)
     elif a.stage == "scan":

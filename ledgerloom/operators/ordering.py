@@ -12,11 +12,11 @@ from ledgerloom.plans.scratch import written
 _PLACE = (1 << 33) - 1
 
 
-def _dealt(rows: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
-    """``rows`` range-sorted and written, with __part (the partition, in order) and __at (the place within it)."""
+def in_order(rows: DataFrame, order: Sequence[Column], partitions: int | None = None, drop: Sequence[str] = ()) -> DataFrame:
+    """``rows`` range-sorted and written, without the columns ``drop``, with __part (the partition, in order) and __at (the place within it)."""
     n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The generated id holds the partition above 33 bits of the place within it.
-    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
+    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).drop(*drop).withColumn("__id", F.monotonically_increasing_id())
     dealt = written(dealt, "ordered")
     return dealt.withColumns({"__part": F.shiftright("__id", 33), "__at": F.col("__id").bitwiseAND(F.lit(_PLACE))}).drop("__id")
 
@@ -27,7 +27,7 @@ def with_ordinal(rows: DataFrame, order: Sequence[Column], name: str = "ordinal"
     A range sort puts the rows into partitions by sampled bounds; they are written with their place in the partition, and the sizes of the
     partitions before (one number each, all that reaches the driver) are added. The order should tell rows apart: equal ones share a partition.
     """
-    dealt = _dealt(rows, order, partitions)
+    dealt = in_order(rows, order, partitions)
     before, offsets = first, []
     for part, size in sorted(map(tuple, dealt.groupBy("__part").agg(F.count(F.lit(1))).collect())):
         offsets.append((part, before))
@@ -45,7 +45,7 @@ def running(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], value
     if how not in ("sum", "max"):
         raise ValueError(f"no running {how}")
     gather = F.sum if how == "sum" else F.max
-    dealt = _dealt(rows.withColumn("__value", value.cast("long")), [*map(F.col, keys), *order], partitions)
+    dealt = in_order(rows.withColumn("__value", value.cast("long")), [*map(F.col, keys), *order], partitions)
     here = Window.partitionBy("__part", *keys).orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
     dealt = dealt.withColumn("__own", gather("__value").over(here))
     parts = dealt.groupBy("__part", *keys).agg(gather("__value").alias("__total"))

@@ -1,4 +1,4 @@
-"""Plans: written in order with a hash over their bytes, bound to an approval, and executed file by file."""
+"""Batches, approvals and the evidence of executions; plans themselves are parts with hashes (plans/parts.py), executed in tasks (plans/effects.py)."""
 
 from __future__ import annotations
 
@@ -7,14 +7,12 @@ import json
 import os
 import posixpath
 import secrets
-import shutil
-from collections.abc import Callable
 from datetime import UTC, datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import SparkSession
 
-from ledgerloom.functions.canonical_json import dump
+from ledgerloom.plans import parts
 
 
 def utc_now() -> str:
@@ -51,23 +49,6 @@ def csv_line(values: list) -> str:
     return ",".join('"' + cell(v).replace('"', '""') + '"' for v in values) + "\n"
 
 
-def write_plan(rows: DataFrame, folder: Path, ordinal: str = "ordinal", name: str = "plan") -> tuple[str, int]:
-    """Write name.jsonl and name.csv in the order of ``ordinal``, which is left out; (SHA-256 of the bytes, rows).
-
-    Rows come through the driver one partition at a time, so a plan may be larger than its memory.
-    """
-    columns, digest, n = [c for c in rows.columns if c != ordinal], hashlib.sha256(), 0
-    with open(folder / f"{name}.jsonl", "xb") as lines, open(folder / f"{name}.csv", "x", encoding="utf-8") as table:
-        table.write(csv_line(columns))
-        for r in rows.orderBy(ordinal).toLocalIterator(prefetchPartitions=True):
-            line = (dump({c: r[c] for c in columns}) + "\n").encode()
-            lines.write(line)
-            digest.update(line)
-            table.write(csv_line([r[c] for c in columns]))
-            n += 1
-    return digest.hexdigest(), n
-
-
 def write_approval(folder: Path, **bound: object) -> Path:
     """An approval that a person must turn true; it names the hashes that it holds for."""
     path = folder / "approval.json"
@@ -94,11 +75,11 @@ class NotApproved(Exception):
     pass
 
 
-def check_approval(plan: Path, approval: dict, operations: tuple[str, ...], **bound: object) -> None:
-    """The approval is given, for this plan's bytes, for an allowed operation, and for every bound value."""
+def check_approval(spark: SparkSession, folder: Path, approval: dict, operations: tuple[str, ...], name: str = "plan", **bound: object) -> None:
+    """The approval is given, for every byte of this plan's parts as they are now, for an allowed operation, and for every bound value."""
     if approval.get("approved") is not True:
         raise NotApproved("the plan is not approved")
-    if approval.get("plan_sha256") != file_hash(plan):
+    if approval.get("plan_sha256") != parts.root_as_found(spark, folder, name):
         raise NotApproved("the plan is not the one that was approved")
     if approval.get("operation") not in operations:
         raise NotApproved(f"operation {approval.get('operation')} is not allowed here")
@@ -107,54 +88,6 @@ def check_approval(plan: Path, approval: dict, operations: tuple[str, ...], **bo
             raise NotApproved(f"{k} differs from the approval's")
 
 
-def execute_plan(plan: Path, approval: dict, folder: Path, operations: tuple[str, ...] = ("copy", "move"), check_row: Callable[[dict], None] = lambda row: None, **bound: object) -> dict[str, int]:
-    """Copy, or move, each planned file and log what happened; counts by result.
-
-    A source must still have the planned hash; a destination must not exist, and is verified. A failed row does not stop the others, and leaves no part of a file.
-    """
-    check_approval(plan, approval, operations, **bound)
-    counts: dict[str, int] = {}
-    with open(plan, encoding="utf-8", newline="\n") as lines, open(folder / "execution.jsonl", "x", encoding="utf-8") as log:
-        for line in lines:
-            row = json.loads(line)
-            if row.get("status") not in ("planned", "ready"):
-                continue
-            result, detail = _execute(row, approval, check_row)
-            counts[result] = counts.get(result, 0) + 1
-            log.write(json.dumps({"executed_utc": utc_now(), "operation": approval["operation"]} | {k: row.get(k) for k in ("source_path", "destination_path", "sha256")} | {"result": result, "detail": detail}, ensure_ascii=False) + "\n")
-            log.flush()
-    write_json(folder / "execution-summary.json", {"plan_sha256": approval["plan_sha256"], "operation": approval["operation"], "results": counts})
-    return counts
-
-
-def _execute(row: dict, approval: dict, check_row: Callable[[dict], None]) -> tuple[str, str]:
-    source, target = Path(row["source_path"]), Path(row["destination_path"])
-    made = False
-    try:
-        check_row(row)
-        if not target.is_absolute() or not is_inside(str(target), approval["destination_root"], strictly=True):
-            raise ValueError("the destination is outside its root")
-        if file_hash(source) != row["sha256"]:
-            raise ValueError("the source has changed")
-        target.parent.mkdir(parents=True, exist_ok=True)
-        with open(source, "rb") as a, open(target, "xb") as b:
-            made = True
-            shutil.copyfileobj(a, b)
-        if file_hash(target) != row["sha256"]:
-            raise ValueError("the copy differs from the source")
-    except (OSError, ValueError) as e:
-        if made:
-            target.unlink(missing_ok=True)
-        return "failed", str(e)
-    if approval["operation"] != "move":
-        return "copied", ""
-    try:
-        source.unlink()
-        return "moved", ""
-    except OSError as e:
-        return "copied_source_delete_failed", str(e)
-
-
 def execution_evidence(folder: Path, plan_sha256: str, rows: int, only: str | None = None) -> dict:
     """The newest execution summary below ``folder`` for this plan that accounts for all its rows."""
     for path in sorted(folder.rglob("execution-summary.json"), reverse=True):

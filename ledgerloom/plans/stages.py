@@ -7,17 +7,20 @@ summaries, which a person reads and signs, by the driver.
 from __future__ import annotations
 
 import json
-import shutil
+import os
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import decisions, destinations, duplicates, grouping, merging, naming
+from ledgerloom.operators import decisions, destinations, duplicates, grouping, merging, naming, ordering
 from ledgerloom.operators.model_input import has_semantic_content, model_inputs
+from ledgerloom.plans import effects, files, parts
 from ledgerloom.plans import plan as P
+from ledgerloom.plans.scratch import written
 from ledgerloom.plans.model import Client, Filtered, ModelError, resolve_batch, run_workers
 from ledgerloom.sources import cards
 
@@ -73,33 +76,62 @@ def _begin(reports: str, resume: Path | None, bound: dict, budget: dict | None =
 # --- Collect, scan, duplicates.
 
 
+FOUND = "source string, file_name string, sha256 string"
+COLLECTED = "ordinal long, source string, target string, status string"
+
+
+def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Paths to (source, file_name, sha256); links are left out."""
+    for batch in batches:
+        kept = [p for p in batch["path"] if not os.path.islink(p)]
+        yield pd.DataFrame({"source": kept, "file_name": [p.rpartition("/")[2] for p in kept], "sha256": [files.hash_of(p) for p in kept]}, columns=["source", "file_name", "sha256"], dtype=object)
+
+
+def _collected(destination: str, staging: str, dry_run: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def one(r: dict) -> str:
+        if r["status"] == "skipped_identical":
+            return r["status"]
+        if dry_run:
+            return f"would_{r['status'].replace('copied', 'copy')}"
+        try:
+            files.make(files.join(destination, r["target_name"]), staging, r["sha256"], lambda out: files.copied_to(r["source"], out))
+            return r["status"]
+        except (OSError, ValueError) as e:
+            return f"failed: {e}"
+
+    def collected(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = batch.to_dict("records")
+            yield pd.DataFrame([(r["ordinal"], r["source"], r["target_name"], one(r)) for r in rows], columns=[c.split()[0] for c in COLLECTED.split(", ")])
+
+    return collected
+
+
 def collect(spark: SparkSession, sources: list[str], destination: str, reports: str, dry_run: bool = False) -> Path:
-    """Copy all card files of the sources, in their order, into one folder; sources stay as they are."""
-    folder, target, found = P.new_batch(reports), Path(destination), []
-    existing = [(p.name, P.file_hash(p)) for p in sorted(target.iterdir()) if p.is_file()] if target.is_dir() else []
-    for source in sources:
-        if not Path(source).is_dir():
-            found.append((source, None, None))
-            continue
-        found += [(str(p), p.name, P.file_hash(p)) for p in sorted(Path(source).rglob("*")) if p.is_file() and not p.is_symlink() and p.suffix.lower() in (".png", ".json")]
-    rows = [(i, None, n, h) for i, (n, h) in enumerate(existing)] + [(len(existing) + i, p, n, h) for i, (p, n, h) in enumerate(found) if n]
-    df = spark.createDataFrame(rows, "ordinal long, source string, file_name string, sha256 string")
-    log = [{"source": p, "status": "source_missing"} for p, n, _ in found if not n]
-    for r in naming.collect_versions(df).filter("source is not null").orderBy("ordinal").toLocalIterator():
-        status = r.status if not dry_run or r.status == "skipped_identical" else f"would_{r.status.replace('copied', 'copy')}"
-        if r.status != "skipped_identical" and not dry_run:
-            target.mkdir(parents=True, exist_ok=True)
-            try:
-                with open(r.source, "rb") as a, open(target / r.target_name, "xb") as b:
-                    shutil.copyfileobj(a, b)
-            except OSError as e:
-                status = f"failed: {e}"
-        log.append({"source": r.source, "target": r.target_name, "status": status})
-    (folder / "collect.csv").write_text(P.csv_line(["source", "target", "status"]) + "".join(P.csv_line([x["source"], x.get("target"), x["status"]]) for x in log), encoding="utf-8")
-    counts: dict[str, int] = {}
-    for x in log:
-        counts[x["status"].split(":")[0]] = counts.get(x["status"].split(":")[0], 0) + 1
-    return _done(folder, counts=counts)
+    """Copy all card files of the sources, in their order, into one folder; sources stay as they are.
+
+    Files are listed by Spark, hashed and copied in tasks; names settle by claims (operators/naming.py), those in the folder first. A task that is run again finds its files made.
+    """
+    folder, target = P.new_batch(reports), Path(destination).resolve()
+    hashed = lambda place, at: cards.list_paths(spark, f"file://{Path(place).resolve()}").mapInPandas(_hashed, FOUND).withColumn("at", F.lit(at))
+    there = [(i, s) for i, s in enumerate(sources, 1) if Path(s).is_dir()]
+    found = spark.createDataFrame([], FOUND + ", at int")
+    if target.is_dir():
+        found = hashed(target, 0).filter(F.col("source") == F.concat(F.lit(f"{target}/"), "file_name"))
+    for i, s in there:
+        found = found.unionByName(hashed(s, i))
+    found = ordering.with_ordinal(written(found, "found"), [F.col("at"), F.col("source")])
+    named = written(naming.collect_versions(found).filter("at > 0"), "named")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-named.count() // effects.FILES))
+    staging = files.join(str(target), f".{folder.name}")
+    try:
+        named.select("ordinal", "source", "sha256", "target_name", "status").repartition(tasks, "source").mapInPandas(_collected(str(target), staging, dry_run), COLLECTED).write.parquet(str(folder / "collected"))
+    finally:
+        files.remove_folder(staging)
+    missing = spark.createDataFrame([(0, s, None, "source_missing") for i, s in enumerate(sources, 1) if (i, s) not in there], COLLECTED)
+    log = _relation(spark, folder, "collected").unionByName(missing)
+    _table(log.orderBy("ordinal", "source").select("source", "target", "status"), folder, "collect")
+    return _done(folder, counts={r.status: r.files for r in log.groupBy(F.split_part("status", F.lit(":"), F.lit(1)).alias("status")).agg(F.count(F.lit(1)).alias("files")).collect()})
 
 
 def scan(spark: SparkSession, source: str, reports: str) -> Path:
@@ -287,7 +319,7 @@ def review(spark: SparkSession, previous: Path, scanned: Path, reports: str, cli
 
 
 def _plan(rows: DataFrame, folder: Path, operation: str, root: str, more: dict) -> Path:
-    digest, n = P.write_plan(rows, folder)
+    digest, n = parts.write_parts(rows, folder)
     P.write_approval(folder, plan_sha256=digest, operation=operation, destination_root=root, rows=n)
     return _done(folder, plan_sha256=digest, rows=n, operation=operation, destination_root=root, **more)
 
@@ -326,9 +358,9 @@ def _place(spark: SparkSession, rows: DataFrame, levels: list, source: str, dest
     return _plan(out, folder, operation, root, more)
 
 
-def execute(plan_folder: Path, approval: Path | None = None, operations: tuple[str, ...] = ("copy", "move")) -> dict[str, int]:
-    given = json.loads((approval or plan_folder / "approval.json").read_text(encoding="utf-8"))
-    return P.execute_plan(plan_folder / "plan.jsonl", given, plan_folder, operations)
+def execute(spark: SparkSession, plan_folder: Path, approval: Path | None = None, operations: tuple[str, ...] = ("copy", "move")) -> dict[str, int]:
+    """Copy or move the files of an approved plan, in tasks."""
+    return effects.execute(spark, plan_folder, effects.approval_of(plan_folder, approval), operations)
 
 
 #: What stage 070 refines; later stages accept only batches of this scope.
@@ -491,17 +523,20 @@ def propose_merges(spark: SparkSession, refined: Path, organised: Path, reports:
     destinations.must_count(rows, plan["rows"], "the plan's refinement")
     destinations.must_be_empty(destinations.repeated_paths(rows), "paths are empty or repeated")
     destinations.must_be_empty(destinations.bad_refinements(rows), "the refinement has bad rows")
-    planned = spark.read.json(str(organised / "plan.jsonl"), schema="relative_path string, sha256 string, card_sha256 string, parent_category string, subcategory string")
+    planned = parts.read_parts(spark, organised, "relative_path string, sha256 string, card_sha256 string, parent_category string, subcategory string")
     destinations.must_be_empty(merging.reconcile(rows, planned, "relative_path", ["sha256", "card_sha256", "parent_category", "subcategory"]), "refinement and plan differ")
     folder = P.new_batch(reports)
     fanwork = rows.filter((F.col("parent_category") == grouping.FANWORK) & F.col("subcategory").isNotNull())
     merging.candidates(merging.directory_stats(fanwork, "subcategory", "fanwork_source_category")).write.parquet(str(folder / "candidates"))
     found = _relation(spark, folder, "candidates")
     merging.check_candidates(found)
-    digest, n = P.write_plan(found.withColumn("ordinal", F.struct(-F.col("file_count"), F.expr("current_directory COLLATE zh"))), folder, name="candidates-review")
-    _fanwork_index(fanwork, found).write.parquet(str(folder / "fanwork-index"))
-    P.write_approval(folder, candidates_sha256=digest, overrides=[])
-    return _done(folder, candidates=n, candidates_sha256=digest, files=fanwork.count())
+    digest, n = parts.write_parts(found.withColumn("ordinal", F.struct(-F.col("file_count"), F.expr("current_directory COLLATE zh"))), folder, name="candidates-review")
+    # Every file of a fanwork, by path: what is approved are these files, too.
+    index = _fanwork_index(fanwork, found)
+    index_digest, files = parts.write_parts(index.withColumn("ordinal", F.col("relative_path")), folder, name="fanwork-index")
+    bound = {"candidates_sha256": digest, "fanwork_index_sha256": index_digest}
+    P.write_approval(folder, **bound, overrides=[])
+    return _done(folder, candidates=n, files=files, **bound)
 
 
 def _overrides(spark: SparkSession, given: list[dict], found: DataFrame) -> DataFrame:
@@ -522,10 +557,12 @@ def _overrides(spark: SparkSession, given: list[dict], found: DataFrame) -> Data
 def organise_merged(spark: SparkSession, proposed: Path, refined: Path, source: str, destination: str, reports: str) -> Path:
     """A plan of all files with the approved targets; the policy and the totals in the approval must be those of the candidates."""
     approval = json.loads((proposed / "approval.json").read_text(encoding="utf-8"))
-    if approval.get("approved") is not True or approval.get("candidates_sha256") != P.file_hash(proposed / "candidates-review.jsonl"):
-        raise P.NotApproved("the candidates are not approved")
+    for key, name in (("candidates_sha256", "candidates-review"), ("fanwork_index_sha256", "fanwork-index")):
+        if approval.get("approved") is not True or approval.get(key) != parts.root_as_found(spark, proposed, name):
+            raise P.NotApproved(f"{name} is not approved as it stands")
     P.require_empty(destination)
-    found, policy = _relation(spark, proposed, "candidates"), approval["below_minimum_policy"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _relation(spark, proposed, "candidates").schema)
+    found, policy = parts.read_parts(spark, proposed, schema, "candidates-review"), approval["below_minimum_policy"]
     totals = merging.policy_totals(found, policy["recommendation"]).first().asDict()
     if totals != {k: policy[k] for k in totals}:
         raise P.NotApproved(f"the policy's totals are not the candidates': {totals}")
@@ -556,7 +593,7 @@ def plan_tags(spark: SparkSession, organised: Path, source: str, destination: st
     P.require_empty(destination)
     P.execution_evidence(organised, _summary(organised)["plan_sha256"], _summary(organised)["rows"], "copied")
     folder, root, base = P.new_batch(reports), str(Path(destination).resolve()), str(Path(source).resolve())
-    planned = spark.read.json(str(organised / "plan.jsonl"), schema="destination_path string, sha256 string, parent_category string, approved_target string")
+    planned = parts.read_parts(spark, organised, "destination_path string, sha256 string, parent_category string, approved_target string")
     rows = planned.select(F.regexp_replace("destination_path", "^" + base.replace(".", r"\.") + "/", "").alias("relative_path"), "sha256", "parent_category", F.col("approved_target").alias("ip_category"), tags_of("parent_category", "approved_target").alias("tags_to_add"))
     rows = rows.withColumn("copy_unchanged", F.col("relative_path").isin(*unchanged) if unchanged else F.lit(False))
     exceptions = spark.createDataFrame([(u,) for u in unchanged], "relative_path string")
@@ -576,40 +613,9 @@ def tag_totals(plan: DataFrame) -> DataFrame:
     return plan.agg(F.coalesce(F.sum(F.when(n > 0, n)), F.lit(0)).alias("added"), F.count_if(ready & ~F.col("copy_unchanged") & (n == 0)).alias("already_tagged"), F.count_if(ready & F.col("copy_unchanged")).alias("unchanged"), F.count_if(~ready).alias("invalid"))
 
 
-def execute_tags(plan_folder: Path, approval: Path | None = None) -> dict[str, int]:
-    """Write the tagged copies of an approved plan; what is written must have the planned hash."""
-    given = json.loads((approval or plan_folder / "approval.json").read_text(encoding="utf-8"))
-    P.check_approval(plan_folder / "plan.jsonl", given, ("append_tags", "replace_tags"))
-    counts: dict[str, int] = {}
-    with open(plan_folder / "plan.jsonl", encoding="utf-8", newline="\n") as lines, open(plan_folder / "execution.jsonl", "x", encoding="utf-8") as log:
-        for line in lines:
-            row = json.loads(line)
-            if row["status"] != "ready":
-                continue
-            result, detail, made, target = "tagged_copy_written", "", False, Path(row["destination_path"])
-            try:
-                data = Path(row["source_path"]).read_bytes()
-                if P.file_hash(row["source_path"]) != row["sha256"]:
-                    raise ValueError("the source has changed")
-                if not P.is_inside(str(target), given["destination_root"], strictly=True):
-                    raise ValueError("the destination is outside its root")
-                output = data if row["copy_unchanged"] else cards.write_tags(data, target.suffix, row["tags_to_add"], given["operation"] == "replace_tags")[0]
-                target.parent.mkdir(parents=True, exist_ok=True)
-                with open(target, "xb") as f:
-                    made = True
-                    f.write(output)
-                if P.file_hash(target) != row["output_sha256"]:
-                    raise ValueError("what was written differs from the plan")
-                if row["copy_unchanged"]:
-                    result = "unchanged_copy_written"
-            except (OSError, ValueError, cards.Unreadable) as e:
-                result, detail = "failed", str(e)
-                if made:
-                    target.unlink(missing_ok=True)
-            counts[result] = counts.get(result, 0) + 1
-            log.write(json.dumps({"executed_utc": P.utc_now()} | {k: row[k] for k in ("source_path", "destination_path")} | {"result": result, "detail": detail}, ensure_ascii=False) + "\n")
-    P.write_json(plan_folder / "execution-summary.json", {"plan_sha256": given["plan_sha256"], "operation": given["operation"], "results": counts})
-    return counts
+def execute_tags(spark: SparkSession, plan_folder: Path, approval: Path | None = None) -> dict[str, int]:
+    """Write the tagged copies of an approved plan, in tasks; what is written must have the planned hash."""
+    return effects.execute(spark, plan_folder, effects.approval_of(plan_folder, approval), ("append_tags", "replace_tags"), effects.write_tags, effects.TAGS)
 
 
 def latest(reports: str, accept: Callable[[Path], bool] = lambda folder: True) -> Path:

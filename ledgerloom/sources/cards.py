@@ -190,6 +190,16 @@ def decode(path: str, data: bytes, extension: str) -> dict:
         return row | {"status": "unsupported_card_spec", "detail": str(e)}
 
 
+def sha256_of(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
+
+
+def list_paths(spark: SparkSession, folder: str) -> DataFrame:
+    """path of all PNG and JSON files below ``folder``, whatever their case; their content is not read, but its size deals them to tasks."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path").filter(F.lower("path").rlike(r"\.(png|json)$"))
+    return found.select(F.regexp_replace("path", "^file:/+", "/").alias("path"))
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """relative_path, file_name, extension, size_bytes, modified_utc, content of all PNG and JSON files below ``folder``, whatever their case."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).filter(F.lower("path").rlike(r"\.(png|json)$"))

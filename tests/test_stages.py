@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 from ledgerloom.__main__ import parser
-from ledgerloom.plans import plan, stages
+from ledgerloom.plans import parts, plan, stages
 from ledgerloom.plans.model import Filtered, ModelError
 from ledgerloom.sources import cards
 from tests.test_cards import png, v2
@@ -29,6 +29,10 @@ class Stub:
         return {"results": out}
 
 
+def plan_lines(folder):
+    return [json.loads(x) for p in parts.manifest(folder)["parts"] for x in (folder / "plan" / p["name"]).read_text().splitlines()]
+
+
 def blank():
     return {"spec": "chara_card_v2", "data": {}}
 
@@ -75,12 +79,12 @@ def test_from_scan_to_tags(spark, source, tmp_path):
     assert stages._summary(third)["transitions"] == {"review->exclude": 1}
 
     organised = stages.organise(spark, third, str(source), str(tmp_path / "out1"), reports("060"), ["同人"])
-    lines = [json.loads(x) for x in (organised / "plan.jsonl").read_text().splitlines()]
+    lines = plan_lines(organised)
     assert Counter(x["category"] for x in lines) == {"同人": 5, "标准外": 1, "排除": 2, "未分类": 1} and len({x["destination_path"].lower() for x in lines}) == 9
     with pytest.raises(plan.NotApproved):
-        stages.execute(organised)
+        stages.execute(spark, organised)
     approve(organised)
-    assert stages.execute(organised) == {"copied": 9}
+    assert stages.execute(spark, organised) == {"copied": 9}
 
     groups = spark.createDataFrame([(r.g, "原神 同人") for r in spark.read.parquet(str(third / "classifications")).selectExpr("sha2(concat('同人', chr(0), card_sha256), 256) g").distinct().collect()], "group_id string, subcategory string")
     media = spark.createDataFrame([("原神", "游戏")], "subcategory string, medium string")
@@ -88,7 +92,7 @@ def test_from_scan_to_tags(spark, source, tmp_path):
     assert json.loads((refined / "taxonomy.json").read_text()) == {"同人": {"原神": 5}, "排除": {"未成年或幼态内容": 2}}
     placed = stages.organise_refined(spark, refined, str(source), str(tmp_path / "out2"), reports("080"))
     approve(placed)
-    assert stages.execute(placed) == {"copied": 9}
+    assert stages.execute(spark, placed) == {"copied": 9}
 
     proposed = stages.propose_merges(spark, refined, placed, reports("090"))
     assert stages._summary(proposed)["candidates"] == 1
@@ -96,24 +100,29 @@ def test_from_scan_to_tags(spark, source, tmp_path):
     with pytest.raises(plan.NotApproved):
         stages.organise_merged(spark, proposed, refined, str(source), str(tmp_path / "out3"), reports("100"))
     approve(proposed, below_minimum_policy=policy, expected_waiting_bucket_file_count=1)
+    index = next((proposed / "fanwork-index").glob("*.jsonl"))
+    index.write_bytes(index.read_bytes().replace(b"n.png", b"m.png", 1))
+    with pytest.raises(plan.NotApproved, match="fanwork-index"):
+        stages.organise_merged(spark, proposed, refined, str(source), str(tmp_path / "out3"), reports("100"))
+    index.write_bytes(index.read_bytes().replace(b"m.png", b"n.png", 1))
     with pytest.raises(plan.NotApproved, match="wait"):
         stages.organise_merged(spark, proposed, refined, str(source), str(tmp_path / "out3"), reports("100"))
     approve(proposed, below_minimum_policy=policy, expected_waiting_bucket_file_count=0)
     merged = stages.organise_merged(spark, proposed, refined, str(source), str(tmp_path / "out3"), reports("100"))
     approve(merged)
-    assert stages.execute(merged) == {"copied": 9} and (tmp_path / "out3" / "同人" / "其他游戏同人").is_dir()
+    assert stages.execute(spark, merged) == {"copied": 9} and (tmp_path / "out3" / "同人" / "其他游戏同人").is_dir()
 
     tagged = stages.plan_tags(spark, merged, str(tmp_path / "out3"), str(tmp_path / "out4"), reports("110"))
-    rows = [json.loads(x) for x in (tagged / "plan.jsonl").read_text().splitlines()]
+    rows = plan_lines(tagged)
     assert {tuple(r["tags_actually_added"]) for r in rows if r["parent_category"] == "同人"} == {("其他游戏同人",)}
     assert stages._summary(tagged)["totals"] == {"added": 5 + 4, "already_tagged": 0, "unchanged": 0, "invalid": 0}
     approve(tagged)
-    assert stages.execute_tags(tagged) == {"tagged_copy_written": 9}
+    assert stages.execute_tags(spark, tagged) == {"tagged_copy_written": 9}
     some = next(p for p in (tmp_path / "out4").rglob("*.png"))
     assert cards.decode("p", some.read_bytes(), ".png")["card"]["tags"] == ["已有标签", "同人", "其他游戏同人"]
     other = stages.plan_tags(spark, merged, str(tmp_path / "out3"), str(tmp_path / "out5"), reports("111"), replace=True)
     approve(other)
-    assert stages.execute_tags(other) == {"tagged_copy_written": 9}
+    assert stages.execute_tags(spark, other) == {"tagged_copy_written": 9}
     with pytest.raises(ValueError, match="names no file"):
         stages.plan_tags(spark, merged, str(tmp_path / "out3"), str(tmp_path / "out6"), reports("110"), unchanged=("no.png",))
 
@@ -242,6 +251,24 @@ def test_collect(spark, tmp_path):
     assert stages._summary(stages.collect(spark, sources[:1], str(tmp_path / "all"), str(tmp_path / "r")))["counts"] == {"skipped_identical": 1}
 
 
+def test_collect_settles_contested_names(spark, tmp_path):
+    """A natural name equals the version of another file; one name is taken by a file that lies in the folder."""
+    import hashlib
+
+    mark = lambda text: hashlib.sha256(text.encode()).hexdigest()[:12]
+    (tmp_path / "all").mkdir()
+    (tmp_path / "all" / "Y.json").write_text("there")
+    given = {"a/x.json": "1", "b/x.json": "2", f"b/x__{mark('2')}.json": "3", f"c/x__{mark('2')}.json": "2", "c/y.json": "there", "c/z/y.json": "other"}
+    for path, text in given.items():
+        (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / path).write_text(text)
+    (tmp_path / "a" / "link.json").symlink_to(tmp_path / "a" / "x.json")
+    done = stages.collect(spark, [str(tmp_path / d) for d in "abc"], str(tmp_path / "all"), str(tmp_path / "r"))
+    assert stages._summary(done)["counts"] == {"copied": 1, "copied_version": 3, "skipped_identical": 2}
+    got = {p.name: p.read_text() for p in (tmp_path / "all").iterdir()}
+    assert got == {"Y.json": "there", "x.json": "1", f"x__{mark('2')}.json": "2", f"x__{mark('2')}__{mark('3')}.json": "3", f"y__{mark('other')}.json": "other"}
+
+
 def test_latest_and_command_line(tmp_path):
     folder = plan.new_batch(tmp_path / "a")
     stages._done(folder)
