@@ -98,6 +98,18 @@ def _done(act: Act, approval: dict, staging: str) -> Callable[[Iterator[pd.DataF
     return done
 
 
+def looked_up(rows: DataFrame) -> DataFrame:
+    """``rows`` with existed: whether the destination is there. Write it before anything is made."""
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInPandas(_looked_up, kinds + ", existed boolean")
+
+
+def made(rows: DataFrame, approval: dict, staging: str, act: Act = copy) -> DataFrame:
+    """The log (LOG) of making each of ``rows``, which looked_up() gave; write it once. A row that fails stops no other. The files are dealt to tasks by their names."""
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // FILES))
+    return rows.repartition(tasks, "destination_path").mapInPandas(_done(act, approval, staging), LOG)
+
+
 def complete(table: Path) -> bool:
     """Whether Spark has committed the table."""
     return (table / "_SUCCESS").exists()
@@ -122,13 +134,11 @@ def execute(spark: SparkSession, folder: Path, approval: dict, operations: tuple
     before = folder / "before-execution"
     if not complete(before):
         planned = parts.read_parts(spark, folder, schema).filter(F.col("status").isin("planned", "ready")).drop("status")
-        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in planned.schema)
-        planned.mapInPandas(_looked_up, kinds + ", existed boolean").write.mode("overwrite").parquet(str(before))
+        looked_up(planned).write.mode("overwrite").parquet(str(before))
     rows = spark.read.parquet(str(before))
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // FILES))
     staging = files.join(approval["destination_root"], f".{folder.name}")
     try:
-        rows.repartition(tasks, "destination_path").mapInPandas(_done(act, approval, staging), LOG).write.mode("overwrite").json(str(log))
+        made(rows, approval, staging, act).write.mode("overwrite").json(str(log))
     finally:
         files.remove_folder(staging)
     counts = {r.result: r.files for r in counts_of(log_of(spark, folder)).collect()}

@@ -9,7 +9,8 @@ from ledgerloom.functions import canonical_json as cj
 from ledgerloom.functions import text as T
 from ledgerloom.operators import audit, destinations, duplicates, grouping, merging, naming
 from ledgerloom.operators.model_input import BOOK, flattened
-from ledgerloom.plans.scratch import fresh_path
+from ledgerloom.plans import effects
+from ledgerloom.plans.scratch import fresh_path, written
 from ledgerloom.queries import RECORDS, Query, file_records, narrow_records, table
 from ledgerloom.sources import cards, jsonl
 
@@ -274,3 +275,57 @@ def collect_contested(spark, sf_dir: str) -> DataFrame:
 def destination_contested(spark, sf_dir: str) -> DataFrame:
     rows = _contested(spark, sf_dir).select("ordinal", "sha256", F.concat("lang", F.lit("/"), "file_name").alias("wanted_path"))
     return naming.assign_destinations(rows).select("ordinal", "destination_path")
+
+
+# --- Plans that are executed, on files written from the tables.
+
+
+def _supplier_files(spark, sf_dir: str) -> tuple[str, DataFrame]:
+    """(folder, listing with key) of all suppliers as card files."""
+    path = fresh_path(spark, "suppliers")
+    tags = F.array(F.lit("old"), F.concat(F.lit("n"), "s_nationkey"))
+    data = F.struct(F.col("s_suppkey").cast("string").alias("name"), tags.alias("tags"))
+    table(spark, sf_dir, "supplier").select(F.lit("chara_card_v2").alias("spec"), data.alias("data")).write.option("maxRecordsPerFile", 1).json(path)
+    listed = cards.list_files(spark, path).filter("size_bytes > 0")
+    named = listed.withColumn("key", F.get_json_object(F.decode("content", "utf-8"), "$.data.name").cast("long"))
+    return path, named.withColumn("sha256", F.sha2("content", 256)).withColumn("source_path", F.concat(F.lit(path + "/"), "relative_path"))
+
+
+@query(
+    """SELECT s_suppkey AS key, CASE WHEN s_suppkey % 7 = 0 OR s_suppkey % 11 = 0 THEN 'failed' ELSE 'moved' END AS result,
+  CASE WHEN s_suppkey % 11 = 0 THEN 'the destination is outside its root' WHEN s_suppkey % 7 = 0 THEN 'the source has changed' ELSE '' END AS detail,
+  NOT (s_suppkey % 7 = 0 OR s_suppkey % 11 = 0) AS arrived, s_suppkey % 7 = 0 OR s_suppkey % 11 = 0 AS remained FROM supplier"""
+)
+def executed_plan(spark, sf_dir: str) -> DataFrame:
+    """All suppliers as files, moved by a plan of which some hashes and places are wrong; what arrived has the planned hash, what failed is still there."""
+    path, listed = _supplier_files(spark, sf_dir)
+    target = fresh_path(spark, "moved")
+    place = F.concat(F.lit(target), F.when(F.col("key") % 11 == 0, "/../outside/").otherwise("/d/"), "key", F.lit(".json"))
+    planned = written(listed.select("key", "source_path", "relative_path", place.alias("destination_path"), F.when(F.col("key") % 7 == 0, F.lit("0" * 64)).otherwise(F.col("sha256")).alias("sha256")), "planned")
+    before = written(effects.looked_up(planned.select("source_path", "destination_path", "sha256")), "before")
+    log = written(effects.made(before, {"operation": "move", "destination_root": target}, target + "/.staging"), "log")
+    there = cards.list_files(spark, target).select((F.regexp_extract("file_name", r"^(\d+)", 1)).cast("long").alias("key"), F.sha2("content", 256).alias("sha256"), F.lit(True).alias("arrived"))
+    left = cards.list_files(spark, path).select("relative_path", F.lit(True).alias("remained"))
+    rows = planned.join(log.select("source_path", "result", "detail"), "source_path").join(there, ["key", "sha256"], "left").join(left, "relative_path", "left")
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False)).alias(c)
+    return rows.select("key", "result", "detail", flag("arrived"), flag("remained"))
+
+
+@query(
+    """SELECT s_suppkey AS key, CASE WHEN s_suppkey % 5 = 0 THEN 'unchanged_copy_written' ELSE 'tagged_copy_written' END AS result, s_suppkey % 5 <> 0 AS changed,
+  'old|n' || s_nationkey || CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE '|supplier' || CASE WHEN s_nationkey = 3 THEN '' ELSE '|n3' END END AS tags FROM supplier"""
+)
+def executed_tags(spark, sf_dir: str) -> DataFrame:
+    """All suppliers as cards that get two tags, of which some have one, with exceptions; the written files are scanned again."""
+    _, listed = _supplier_files(spark, sf_dir)
+    target = fresh_path(spark, "tagged")
+    listed = written(listed, "listed")
+    asked = listed.select("relative_path", "sha256", F.array(F.lit("supplier"), F.lit("n3")).alias("tags_to_add"), (F.col("key") % 5 == 0).alias("copy_unchanged"))
+    preview = cards.tag_files(listed.drop("sha256"), asked).select("relative_path", "output_sha256")
+    place = F.concat(F.lit(target + "/d/"), "key", F.lit(".json"))
+    planned = written(listed.select("key", "relative_path", "source_path", place.alias("destination_path")).join(asked, "relative_path").join(preview, "relative_path"), "planned")
+    before = written(effects.looked_up(planned.drop("key", "relative_path")), "before")
+    log = written(effects.made(before, {"operation": "append_tags", "destination_root": target}, target + "/.staging", effects.write_tags), "log")
+    found = cards.scan(cards.list_files(spark, target)).select(F.col("card.name").cast("long").alias("key"), F.col("sha256").alias("now"), F.array_join("card.tags", "|").alias("tags"))
+    rows = planned.join(log.select("destination_path", "result"), "destination_path").join(found, "key")
+    return rows.select("key", "result", (F.col("now") != F.col("sha256")).alias("changed"), "tags")

@@ -1,10 +1,13 @@
 import http.server
 import json
+import subprocess
+import sys
 import threading
+from pathlib import Path
 
 import pytest
 
-from ledgerloom.plans import model, plan
+from ledgerloom.plans import effects, files, model, parts, plan
 
 
 def test_batches_are_unique(tmp_path):
@@ -25,37 +28,119 @@ def planned(spark, tmp_path):
         rows.append((i, "copy", str(source / f"{i}.json"), str(target / f"d/{i}.json"), plan.file_hash(source / f"{i}.json"), "planned"))
     df = spark.createDataFrame(rows, "ordinal long, operation string, source_path string, destination_path string, sha256 string, status string")
     folder = plan.new_batch(tmp_path / "plans")
-    digest, n = plan.write_plan(df.repartition(3), folder)
-    assert n == 3 and digest == plan.file_hash(folder / "plan.jsonl")
-    assert [json.loads(x)["source_path"] for x in (folder / "plan.jsonl").read_text().splitlines()] == [r[2] for r in rows]
+    digest, n = parts.write_parts(df.repartition(3), folder)
+    assert n == 3 and digest == parts.root_as_found(spark, folder)
+    assert [r.source_path for r in parts.read_parts(spark, folder, "source_path string").collect()] == [r[2] for r in rows]
     plan.write_approval(folder, plan_sha256=digest, operation="copy", destination_root=str(target))
     return folder, source, target
 
 
-def test_approval_and_copy(planned):
+def test_approval_and_copy(spark, planned):
     folder, source, target = planned
-    approval = json.loads((folder / "approval.json").read_text())
+    approval = effects.approval_of(folder)
     with pytest.raises(plan.NotApproved):
-        plan.execute_plan(folder / "plan.jsonl", approval, folder)
+        effects.execute(spark, folder, approval)
     approval["approved"] = True
-    with pytest.raises(plan.NotApproved):
-        plan.execute_plan(folder / "plan.jsonl", approval | {"plan_sha256": "0"}, folder)
-    with pytest.raises(plan.NotApproved):
-        plan.execute_plan(folder / "plan.jsonl", approval | {"operation": "delete"}, folder)
+    for wrong in ({"plan_sha256": "0"}, {"operation": "delete"}):
+        with pytest.raises(plan.NotApproved):
+            effects.execute(spark, folder, approval | wrong)
+    with pytest.raises(plan.NotApproved, match="scope"):
+        effects.execute(spark, folder, approval, scope="other")
+    part = next((folder / "plan").glob("*.jsonl"))
+    whole = part.read_bytes()
+    part.write_bytes(whole.replace(b"d/1", b"d/7"))
+    with pytest.raises(plan.NotApproved, match="not the one"):
+        effects.execute(spark, folder, approval)
+    part.write_bytes(whole)
     (source / "1.json").write_text("changed")
-    assert plan.execute_plan(folder / "plan.jsonl", approval, folder) == {"copied": 2, "failed": 1}
+    assert effects.execute(spark, folder, approval) == {"copied": 2, "failed": 1}
     assert sorted(p.name for p in (target / "d").iterdir()) == ["0.json", "2.json"] and (source / "0.json").exists()
+    assert [p.name for p in target.iterdir()] == ["d"]  # no staging is left
     with pytest.raises(FileNotFoundError):
         plan.execution_evidence(folder, approval["plan_sha256"], 3, "copied")
+    with pytest.raises(FileExistsError):
+        effects.execute(spark, folder, approval)
 
 
-def test_move_and_evidence(planned):
+def test_move_and_evidence(spark, planned):
     folder, source, target = planned
-    approval = json.loads((folder / "approval.json").read_text()) | {"approved": True, "operation": "move"}
-    assert plan.execute_plan(folder / "plan.jsonl", approval, folder) == {"moved": 3} and not any(source.iterdir())
-    assert plan.execution_evidence(folder, approval["plan_sha256"], 3, "moved")
+    approval = effects.approval_of(folder) | {"approved": True, "operation": "move"}
+    (target / "d").mkdir(parents=True)
+    (target / "d" / "2.json").write_text("2")  # equal, but not ours
+    assert effects.execute(spark, folder, approval) == {"moved": 2, "failed": 1}
+    assert [p.name for p in source.iterdir()] == ["2.json"]
+    log = {r.source_path[-6:]: (r.result, r.detail) for r in effects.log_of(spark, folder).collect()}
+    assert log == {"0.json": ("moved", ""), "1.json": ("moved", ""), "2.json": ("failed", "the destination existed")}
     with pytest.raises(FileNotFoundError):
-        plan.execution_evidence(folder, "0", 3)
+        plan.execution_evidence(folder, approval["plan_sha256"], 3)
+
+
+def test_an_interrupted_execution_goes_on(spark, planned):
+    """Files that an attempt made, and a source that it moved, count as done; the log has each row once."""
+    folder, source, target = planned
+    approval = effects.approval_of(folder) | {"approved": True, "operation": "move"}
+    rows = parts.read_parts(spark, folder, effects.COPY).drop("status")
+    effects.looked_up(rows).write.parquet(str(folder / "before-execution"))
+    row = {"source_path": str(source / "0.json"), "destination_path": str(target / "d/0.json"), "sha256": plan.file_hash(source / "0.json")}
+    assert effects.copy(row, approval, str(target / f".{folder.name}")) == "moved"  # moved, and then the task was lost
+    assert effects.copy(row, approval, str(target / f".{folder.name}")) == "moved"  # run again
+    files.make(str(target / "d/1.json"), str(target / f".{folder.name}"), plan.file_hash(source / "1.json"), lambda out: out.write(b"1"))
+    assert effects.execute(spark, folder, approval) == {"moved": 3}
+    assert not any(source.iterdir()) and sorted(p.name for p in target.rglob("*")) == ["0.json", "1.json", "2.json", "d"]
+    assert plan.execution_evidence(folder, approval["plan_sha256"], 3, "moved")
+
+
+KILLED = """
+import os, sys
+from pathlib import Path
+from pyspark.sql import SparkSession
+from ledgerloom.plans import effects
+
+root = Path(sys.argv[1])
+spark = SparkSession.builder.master("local[2, 4]").config("spark.sql.shuffle.partitions", "3").config("spark.ui.enabled", "false").getOrCreate()
+
+def dying(row, approval, staging):
+    result = effects.copy(row, approval, staging)
+    try:
+        os.close(os.open(root / ("died-" + row["sha256"][:4]), os.O_CREAT | os.O_EXCL))
+    except FileExistsError:
+        return result
+    if row["sha256"][0] in "0123456789":
+        os._exit(9)  # the file is made, the worker dies
+    return result
+
+folder = next((root / "plans").iterdir())
+print(effects.execute(spark, folder, effects.approval_of(folder) | {"approved": True, "operation": sys.argv[2]}, act=dying))
+"""
+
+
+@pytest.mark.parametrize("operation, result", [("move", "moved")])
+def test_killed_tasks_are_repeated(spark, planned, tmp_path, operation, result):
+    """Workers die after they have made a file; the tasks run again and the log is whole."""
+    folder, source, target = planned
+    run = subprocess.run([sys.executable, "-c", KILLED, str(tmp_path), operation], capture_output=True, text=True, timeout=300, cwd=Path(__file__).parent.parent)
+    assert str({result: 3}) in run.stdout, run.stderr[-2000:]
+    assert len(list(tmp_path.glob("died-*"))) == 3 and sorted(p.read_text() for p in (target / "d").iterdir()) == ["0", "1", "2"]
+    assert effects.log_of(spark, folder).count() == 3
+
+
+def test_parts_in_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(parts, "ROWS", 100)
+    rows = spark.range(950).selectExpr("-id AS ordinal", "id", "array('a', cast(id AS string)) AS list", "CAST(NULL AS string) AS nothing").repartition(6)
+    root, n = parts.write_parts(rows, tmp_path)
+    said = parts.manifest(tmp_path)
+    assert n == 950 and len(said["parts"]) > 5 and sum(p["rows"] for p in said["parts"]) == 950 and said["root"] == root
+    lines = [json.loads(x) for p in said["parts"] for x in (tmp_path / "plan" / p["name"]).read_text().splitlines()]
+    assert [x["id"] for x in lines] == list(range(949, -1, -1)) and lines[0] == {"id": 949, "list": ["a", "949"], "nothing": None}
+    again = tmp_path / "again"
+    again.mkdir()
+    assert parts.write_parts(rows.repartition(2), again)[1] == 950
+    assert parts.changed_parts(spark, tmp_path) == []
+    last = tmp_path / "plan" / said["parts"][-1]["name"]
+    last.write_bytes(last.read_bytes()[:-2] + b"]\n")
+    (tmp_path / "plan" / said["parts"][0]["name"]).unlink()
+    assert parts.changed_parts(spark, tmp_path) == [said["parts"][0]["name"], said["parts"][-1]["name"]] and parts.root_as_found(spark, tmp_path) is None
+    assert (tmp_path / "plan-table").is_dir() and parts.write_parts(rows.limit(0), tmp_path / "again", name="none")[1] == 0
 
 
 def test_paths(tmp_path):
