@@ -57,6 +57,8 @@ HOT_ENTRY = (1 << 32) - 1
 #: Strings whose windows are sorted at once.
 SORTED_TOGETHER = 10_000
 #: Kinds of messages to documents; ``WIDE`` is added where a place needs more than 32 bits.
+#: Bytes of text whose anchors are packed together, parts of the anchors at most, and bytes of an Arrow array at most.
+FLUSH, MOST_PARTS, LARGEST_ARRAY = 24 << 20, 100_000, 1 << 30
 ASK, MARK, WIDE = 0, 1, 2
 _PACKED = "part int, kind int, data binary"
 _PACKED_ARROW = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
@@ -163,14 +165,21 @@ def _unpacked(raw: bytes, kinds: list[type]) -> tuple[list[np.ndarray], memoryvi
     return out, body[at:]
 
 
-def _by_document(kind: int, doc: np.ndarray, tkey: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+def _by_document(kind: int, doc: np.ndarray, tkey: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A row for each document with its ``values`` (rows of integers)."""
     order, wide = np.lexsort((tkey, doc)), bool(values.max() >> 32)
     doc, tkey, values = doc[order], tkey[order], np.ascontiguousarray(values[order], dtype="<i8" if wide else "<u4")
     new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (tkey[1:] != tkey[:-1]))))
-    ends = np.append(new, len(doc)).astype(np.int32) * np.int32(values.itemsize * values.shape[1])
-    data = pa.BinaryArray.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(ends), pa.py_buffer(values.tobytes())])
-    return pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(tkey[new]), pa.array(np.full(len(new), kind + WIDE * wide, np.int32)), data], schema=_ARROW)
+    size = values.itemsize * values.shape[1]
+    bounds = np.append(new, len(doc))
+    # Offsets of an array have 32 bits: what is larger goes in several.
+    i = 0
+    while i < len(new):
+        j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + LARGEST_ARRAY // size, side="right")) - 1)
+        own = values[bounds[i] : bounds[j]]
+        data = pa.BinaryArray.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(((bounds[i : j + 1] - bounds[i]) * size).astype(np.int32)), pa.py_buffer(own.tobytes())])
+        yield pa.RecordBatch.from_arrays([pa.array(doc[new[i:j]]), pa.array(tkey[new[i:j]]), pa.array(np.full(j - i, kind + WIDE * wide, np.int32)), data], schema=_ARROW)
+        i = j
 
 
 def _by_part(part: np.ndarray, n_parts: int, pack: Callable[[np.ndarray], bytes], kind: int = -1) -> Iterator[pa.RecordBatch]:
@@ -199,20 +208,40 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [_unpacked(raw, [np.int64, np.int64, *[np.int64] * width])[0] for k, raw in held if k == kind]
         if rows:
             doc, tkey, *values = (np.concatenate(x) for x in zip(*rows, strict=True))
-            yield _by_document(kind, doc, tkey, np.stack(values, axis=1))
+            yield from _by_document(kind, doc, tkey, np.stack(values, axis=1))
+
+
+def packed_anchors(held: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]], n_parts: int) -> Iterator[pa.RecordBatch]:
+    """(anchors, doc_ids, starts, bytes of text) packed for the parts; each part gets the ids of its own rows and no others."""
+    if not held:
+        return
+    anchor, doc, start = (np.concatenate(x) for x in list(zip(*held, strict=True))[:3])
+    order = np.argsort(anchor, kind="stable")
+    anchor, doc, start = anchor[order], doc[order], start[order]
+
+    def pack(rows: np.ndarray) -> bytes:
+        ids, own = np.unique(doc[rows], return_inverse=True)
+        return _packed([np.diff(anchor[rows], prepend=np.uint64(0)), own.astype("<u4"), start[rows]], _planes(np.diff(ids, prepend=np.int64(0))))
+
+    yield from _by_part((anchor % np.uint64(n_parts)).astype(np.int64), n_parts, pack)
 
 
 def _find(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows (doc_id, tkey, text) to marks and packed anchors."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []
         for batch in batches:
             doc_ids, tkeys = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False), dtype=np.int64) for i in (0, 1))
             data, offsets = column_bytes(batch.column(2))
             for i, j in row_groups(offsets, BATCH):
-                yield from found(data, offsets[i : j + 1], doc_ids[i:j], tkeys[i:j])
+                yield from found(data, offsets[i : j + 1], doc_ids[i:j], tkeys[i:j], held)
+                if sum(h[3] for h in held) >= FLUSH:
+                    yield from packed_anchors(held, n_parts)
+                    held.clear()
+        yield from packed_anchors(held, n_parts)
 
-    def found(data: np.ndarray, offsets: np.ndarray, doc_ids: np.ndarray, tkeys: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def found(data: np.ndarray, offsets: np.ndarray, doc_ids: np.ndarray, tkeys: np.ndarray, held: list) -> Iterator[pa.RecordBatch]:
         some = list(runs_of(data, offsets))
         if not some:
             return
@@ -231,7 +260,7 @@ def _find(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
         if hot.any():
             many = np.repeat(hot, sizes)
             asked = kept[many]
-            yield from _to_documents(ASK, n_parts, doc_ids[row[asked]], tkeys[row[asked]], start[asked] * 2 + 1)
+            yield from _to_documents(ASK, n_parts, doc_ids[row[asked]], np.zeros(len(asked), np.int64), start[asked] * 2 + 1)
             # The first entries of the least and of the greatest document stand for all.
             stand = np.zeros(len(kept), dtype=bool)
             for end in (low, high):
@@ -239,13 +268,7 @@ def _find(n_parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                 stand[place[np.unique(np.searchsorted(heads, place, side="right"), return_index=True)[1]]] = True
             start[kept[stand]] = HOT_ENTRY
             kept = kept[~many | stand]
-        documents = struct.pack("<I", len(doc_ids)) + doc_ids.tobytes() + tkeys.tobytes()
-
-        def pack(rows: np.ndarray) -> bytes:
-            rows = kept[rows]
-            return _packed([np.diff(anchor[rows], prepend=np.uint64(0)), row[rows].astype("<u4"), start[rows].astype("<u4")], documents)
-
-        yield from _by_part((anchor[kept] % np.uint64(n_parts)).astype(np.int64), n_parts, pack)
+        held.append((anchor[kept], doc_ids[row[kept]], start[kept].astype("<u4"), int(offsets[-1] - offsets[0])))
 
     return find
 
@@ -264,25 +287,25 @@ def _asked(batches: Iterator[pa.RecordBatch], n_parts: int, most: int) -> Iterat
             yield batch.filter(pa.array(kinds >= 0))
         for raw in batch.column(2).filter(pa.array(kinds < 0)).to_pylist():
             (gaps, row, start), documents = _unpacked(raw, [np.uint64, np.uint32, np.uint32])
-            n = struct.unpack_from("<I", documents)[0]
-            ids = np.frombuffer(documents[4 : 4 + 8 * n], np.int64)
-            all_rows.append([np.cumsum(gaps, dtype=np.uint64), ids[row], np.frombuffer(documents[4 + 8 * n :], np.int64)[row], start])
+            ids = np.cumsum(_unplanes(documents, len(documents) // 8, np.int64))
+            all_rows.append([np.cumsum(gaps, dtype=np.uint64), ids[row], start])
     if not all_rows:
         return
-    anchor, doc, tkey, start = (np.concatenate(x) for x in zip(*all_rows, strict=True))
+    anchor, doc, start = (np.concatenate(x) for x in zip(*all_rows, strict=True))
     all_rows.clear()
     order = np.argsort(anchor, kind="stable")
-    anchor, doc, tkey, start = anchor[order], doc[order], tkey[order], start[order]
+    anchor, doc, start = anchor[order], doc[order], start[order]
     first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
     sizes = np.diff(np.append(first, len(anchor)))
     shared = np.repeat(np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first), sizes)
     hot = np.repeat((sizes > most) | np.maximum.reduceat(start == HOT_ENTRY, first), sizes)
     asked = shared & (start != HOT_ENTRY)
-    yield from _to_documents(ASK, n_parts, doc[asked], tkey[asked], start[asked].astype(np.int64) * 2 + hot[asked])
+    yield from _to_documents(ASK, n_parts, doc[asked], np.zeros(int(asked.sum()), np.int64), start[asked].astype(np.int64) * 2 + hot[asked])
 
 
 def _numbers(blobs: list[dict] | None, tkey: int, kind: int) -> np.ndarray:
-    parts = [np.frombuffer(x["data"], dtype="<i8" if x["kind"] >= WIDE else "<u4").astype(np.int64) for x in blobs or [] if x["tkey"] == tkey and x["kind"] % WIDE == kind]
+    # What is asked of a doc_id is asked of all rows that have it; marks are of one text.
+    parts = [np.frombuffer(x["data"], dtype="<i8" if x["kind"] >= WIDE else "<u4").astype(np.int64) for x in blobs or [] if x["kind"] % WIDE == kind and (kind == ASK or x["tkey"] == tkey)]
     return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
@@ -389,12 +412,13 @@ def marked_documents(docs: DataFrame) -> DataFrame:
 
     The texts are written once, bucketed by doc_id, and read in place three times. A null doc_id is compared with nothing.
     Rows that share a doc_id are told apart by their texts; none of them is earlier than another. An empty table gives no rows.
+    There are at most ``MOST_PARTS`` parts and spark.sql.sources.bucketing.maxBuckets buckets; beyond 1.2 and 2.4 TB of text these grow instead, and executors need memory in proportion.
     Texts of up to 2 GB, the most that a row can hold, are cut into segments and hashed one by one.
     """
     spark = docs.sparkSession
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_buckets = partitions_for(spark, size, 24 << 20)
-    n_parts = partitions_for(spark, size, 12 << 20)
+    n_buckets = min(partitions_for(spark, size, 24 << 20), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    n_parts = min(partitions_for(spark, size, 12 << 20), MOST_PARTS)
     name = f"ledgerloom_texts_{uuid.uuid4().hex}"
     keyed = docs.withColumn("__repeat_text_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     keyed.repartition(n_buckets, "doc_id").write.format("parquet").option("path", fresh_path(spark, "texts")).bucketBy(n_buckets, "doc_id").saveAsTable(name)

@@ -250,7 +250,7 @@ def test_long_text_is_cut_into_segments(monkeypatch):
 def test_places_beyond_32_bits():
     doc, tkey = np.array([5, 4, 5]), np.array([1, 1, 1])
     for big in (0, 1 << 33):
-        batch = suffix_dedup._by_document(suffix_dedup.ASK, doc, tkey, np.array([[3], [big + 7], [9]]))
+        (batch,) = suffix_dedup._by_document(suffix_dedup.ASK, doc, tkey, np.array([[3], [big + 7], [9]]))
         rows = [{"doc_id": r["doc_id"], "tkey": r["tkey"], "kind": r["kind"], "data": r["data"]} for r in batch.to_pylist()]
         said = {d: sorted(suffix_dedup._numbers([r for r in rows if r["doc_id"] == d], 1, suffix_dedup.ASK).tolist()) for d in (4, 5)}
         assert said == {4: [big + 7], 5: [3, 9]}
