@@ -167,10 +167,16 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([p.astype("<u4").tobytes() for p, _ in found], pa.binary()), pa.array([c.astype("<f4").tobytes() for _, c in found], pa.binary())], names=["mark", "lang", "places", "counts"])
 
 
+def sample_bound(n: int, per_language: int) -> int:
+    """The largest hash, of all signed 64-bit ones, that 1.2 * ``per_language`` of ``n`` documents are expected not to exceed."""
+    return min((1 << 63) - 1, -(1 << 63) + (12 * per_language << 64) // (10 * n))
+
+
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Learn from the text and non-null lang of documents that are not held out.
 
-    The sample of a language is its documents of least hash of doc_id; the driver gets about 1.2 * ``per_language`` of each.
+    The sample of a language is its documents of least hash of doc_id and text; the driver gets about 1.2 * ``per_language`` of each.
+    More than ``MOST_LANGUAGES`` values of lang raise, as the weights of all of them must fit into a worker.
     """
     known = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("doc_id", "lang", "text")
     totals = {r.lang: r["count"] for r in known.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
@@ -183,14 +189,16 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     for r in known.select("text").mapInArrow(tidy(_document_frequencies), "place long, documents long").groupBy("place").agg(F.sum("documents").alias("n")).collect():  # FEATURES + 1 rows at most
         frequency[r.place] = r.n
     idf = np.log((1 + frequency[FEATURES]) / (1 + frequency[:FEATURES])) + 1
-    bound = F.create_map(*(F.lit(x) for k, n in totals.items() for x in (k, int(min(1.0, 1.2 * per_language / n) * 1_000_000))))
-    mark = F.xxhash64(F.col("doc_id"), F.lit("sample"))
-    some = known.filter(F.pmod(mark, F.lit(1_000_000)) < bound[F.col("lang")]).select(mark.alias("mark"), "lang", "text").mapInArrow(tidy(_vectors), "mark long, lang string, places binary, counts binary")
+    bound = F.create_map(*(F.lit(x) for k, n in totals.items() for x in (k, sample_bound(n, per_language))))
+    mark = F.xxhash64(F.col("doc_id"), F.col("text"), F.lit("sample"))
+    some = known.filter(mark <= bound[F.col("lang")]).select(mark.alias("mark"), "lang", "text").mapInArrow(tidy(_vectors), "mark long, lang string, places binary, counts binary")
     rows: dict[str, list] = {}
-    for r in sorted(some.collect(), key=lambda r: (r.lang, r.mark % 1_000_000, r.mark)):
+    for r in sorted(some.collect(), key=lambda r: (r.lang, r.mark)):
         own = rows.setdefault(r.lang, [])
         if len(own) < per_language:
             own.append(r)
+    if set(rows) != set(languages):
+        raise ValueError(f"no sample of {sorted(set(languages) - set(rows))}")
     model, fitted, kept = Model(languages, idf, np.zeros((FEATURES + 1, len(languages)))), [], []
     for lang, own in rows.items():
         for i, r in enumerate(own):
@@ -216,7 +224,7 @@ def predictor(spark, model: Model) -> Callable[[str], Column]:
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row, from its text alone. Repeated rows get one answer; an empty table gives no rows.
 
-    Of languages with equal scores the first by name is taken. Texts of any length are read whole. Other columns are not looked at.
+    More than ``MOST_LANGUAGES`` values of lang among the documents learnt from raise. Of languages with equal scores the first by name is taken. Texts of any length are read whole. Other columns are not looked at.
     """
     predict = predictor(docs.sparkSession, model or train(docs))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), predict("text").alias("p"))
