@@ -5,12 +5,14 @@ the corpus: small groups are dealt into ``CELLS`` cells by the hash of their
 text, and each heavy one has ``PARTS`` cells of its own, by document (there are
 at most shards * ``HEAVY`` such groups). Each small cell and each heavy group,
 largest first, goes whole to the shard whose residual capacity has the highest
-dot product with it; a heavy group only to one whose bytes it fits. If it fits
-none and is over 1/``SPLIT`` of a shard, its cells are placed one by one.
+dot product with it; a heavy group only to one in which its bytes, tokens and
+rows all fit. If it fits none and is over 1/``SPLIT`` of a shard in any of them,
+its cells are placed one by one.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 
 import numpy as np
@@ -20,10 +22,10 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import WORD, materialise, text_of
 
 CELLS = 16_384
-#: A group is heavy if it holds more than this part of a shard's bytes.
+#: A group is heavy if it holds more than this part of a shard's bytes, tokens or rows.
 HEAVY = 64
 PARTS = 64
-#: A heavy group that fits no shard is split if it holds more than this part of a shard's bytes; a smaller one cannot unbalance it alone.
+#: A heavy group that fits no shard is split if it holds more than this part of a shard's bytes, tokens or rows; a smaller one cannot unbalance it alone.
 SPLIT = 16
 DIMENSIONS = ("size", "tokens", "rows")
 
@@ -31,7 +33,7 @@ DIMENSIONS = ("size", "tokens", "rows")
 def pack(vectors: np.ndarray, groups: list[np.ndarray], shards: int) -> tuple[list[np.ndarray], np.ndarray]:
     """The items placed, as rows of ``vectors`` (sizes, tokens, rows), and the shard of each: the one with the highest dot product of item and residual capacity; ties go to the lowest.
 
-    ``groups`` are the rows of each group of cells. One is an item while its bytes fit a shard, or would not unbalance it; else each of its rows is.
+    ``groups`` are the rows of each group of cells. One is an item while it fits a shard, or would not unbalance it; else each of its rows is.
     """
     total = vectors.sum(axis=0).astype(float)
     loads = vectors / np.where(total > 0, total / shards, 1.0)
@@ -44,10 +46,10 @@ def pack(vectors: np.ndarray, groups: list[np.ndarray], shards: int) -> tuple[li
         load = loads[g].sum(axis=0)
         scores = residual @ load
         if len(g) > 1:
-            fits = residual[:, 0] >= load[0] - 1e-9
+            fits = (residual >= load - 1e-9).all(axis=1)
             if fits.any():
                 scores = np.where(fits, scores, -np.inf)
-            elif load[0] * SPLIT > 1:
+            elif load.max() * SPLIT > 1:
                 for k in g.tolist():
                     heapq.heappush(heap, (-float(loads[k].max()), serial, np.array([k])))
                     serial += 1
@@ -129,13 +131,16 @@ def assign_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_hash"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("tokens"), F.lit(1).cast("long").alias("rows")
     )
     rows = materialise(rows, "sizes")
-    total = rows.agg(F.sum("size")).first()[0] or 0
+    totals = rows.agg(*(F.sum(d).alias(d) for d in DIMENSIONS)).first()
     group = ["text_hash", "text_crc32", "size"]
-    # At most shards * HEAVY groups can be this large.
-    heavy = rows.groupBy(*group).agg(F.sum("size").alias("bytes")).filter(F.col("bytes") * shards * HEAVY > total).select(*group).collect()
+    # At most shards * HEAVY groups can be this large in one dimension.
+    large = functools.reduce(lambda a, b: a | b, (F.col(f"all_{d}") * (shards * HEAVY) > (totals[d] or 0) for d in DIMENSIONS))
+    heavy = rows.groupBy(*group).agg(*(F.sum(d).alias(f"all_{d}") for d in DIMENSIONS)).filter(large).select(*group).collect()
     heavy_rows = spark.createDataFrame([(*h, i) for i, h in enumerate(sorted(heavy))], "text_hash long, text_crc32 long, size long, heavy long")
     marked = rows.join(F.broadcast(heavy_rows), group, "left")
-    cell = F.when(F.col("heavy").isNull(), F.pmod(F.xxhash64(*group), F.lit(CELLS))).otherwise(CELLS + F.col("heavy") * PARTS + F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)))
+    # Rows without a doc_id are dealt out by their places in the written table.
+    own = F.coalesce(F.col("doc_id"), F.monotonically_increasing_id())
+    cell = F.when(F.col("heavy").isNull(), F.pmod(F.xxhash64(*group), F.lit(CELLS))).otherwise(CELLS + F.col("heavy") * PARTS + F.pmod(F.xxhash64(own), F.lit(PARTS)))
     celled = materialise(marked.select("doc_id", "size", "text_crc32", "text_hash", "tokens", "rows", cell.alias("cell")), "cells")
     sums = sorted(tuple(r) for r in celled.groupBy("cell").agg(*(F.sum(d) for d in DIMENSIONS)).collect())  # CELLS + shards * HEAVY * PARTS rows at most
     vectors = np.array([s[1:] for s in sums], dtype=np.int64).reshape(-1, len(DIMENSIONS))
