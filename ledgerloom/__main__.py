@@ -110,20 +110,14 @@ def _ask(spark: object, a: argparse.Namespace, client: object) -> Path:
 def _client(a: argparse.Namespace, client: object, dry_run: bool) -> tuple[object, str, dict, dict]:
     """(client, model's name, the settings that a batch is bound to, its budget)."""
     from ledgerloom.plans import model
+    from ledgerloom.plans.log import CheckpointLog
 
     if client is not None or dry_run:
         return client, "given", {}, {}
     settings = model.settings_from(allow_remote=a.allow_remote_model)
-    usage = Path(a.reports) / "usage.jsonl"
-    usage.parent.mkdir(parents=True, exist_ok=True)
-    past = [json.loads(x) for x in usage.read_text(encoding="utf-8").splitlines()] if usage.exists() else []
-
-    def log(event: dict) -> None:
-        with open(usage, "a", encoding="utf-8") as f:
-            f.write(json.dumps(event, ensure_ascii=False) + "\n")
-
+    usage = CheckpointLog(a.reports, "usage")
     budget = {"max_requests": settings.max_requests, "max_bytes": settings.max_bytes}
-    client = model.HttpClient(settings, model.Budget.resumed(past, **budget), log, phase=a.stage)
+    client = model.HttpClient(settings, model.Budget.resumed(usage.records(), **budget), lambda event: usage.append([event]), phase=a.stage)
     return client, settings.model, {"url": settings.url, "attempts": settings.attempts, "max_tokens": settings.max_tokens}, budget
 
 

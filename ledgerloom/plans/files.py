@@ -21,6 +21,11 @@ def join(folder: str, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}"
 
 
+def listing(path: str) -> pafs.FileSelector:
+    """What a file system needs to list a folder; one that is not there is empty."""
+    return pafs.FileSelector(path, allow_not_found=True)
+
+
 def exists(place: str) -> bool:
     fs, path = opened(place)
     return fs.get_file_info(path).type != pafs.FileType.NotFound

@@ -20,6 +20,7 @@ from ledgerloom.operators import decisions, destinations, duplicates, grouping,
 from ledgerloom.operators.model_input import has_semantic_content, model_inputs
 from ledgerloom.plans import effects, files, parts
 from ledgerloom.plans import plan as P
+from ledgerloom.plans.log import CheckpointLog
 from ledgerloom.plans.model import Client, Filtered, ModelError, resolve_batch, run_workers
 from ledgerloom.plans.scratch import written
 from ledgerloom.sources import cards
@@ -168,17 +169,13 @@ def _answer_rows(answer: object, accept: Callable[[dict], bool]) -> dict[str, di
 def _ask(folder: Path, name: str, pending: DataFrame, client: Client, system: str, payload: Callable[[list[dict]], dict], accept: Callable[[dict], bool], record: Callable[[str, dict], dict], batch_size: int, workers: int, on_filter: Callable[[dict], dict] | None = None) -> int:
     """Ask about ``pending`` inputs, few enough for the driver to hold one partition of. The number without an answer, which stand in ``name``-errors.jsonl.
 
-    The answers of each round are in ``name``.jsonl before the next is asked for. Where content is refused, ``on_filter`` reduces the items for one more request. After a fatal error the summary says so, and how to go on.
+    The answers of each round are in the log ``name`` before the next is asked for; a log whose writer was stopped within a line is mended first. Where content is refused, ``on_filter`` reduces the items for one more request. After a fatal error the summary says so, and how to go on.
     """
-    path, lock, failed = folder / f"{name}.jsonl", threading.Lock(), 0
-    serial = sum(1 for _ in open(path, "rb")) if path.exists() else 0
+    log, lock, failed = CheckpointLog(folder, name), threading.Lock(), 0
 
     def save(answers: dict[str, dict]) -> None:
-        nonlocal serial
-        with lock, open(path, "a", encoding="utf-8") as out:
-            for k, r in answers.items():
-                serial += 1
-                out.write(json.dumps(record(k, r) | {"ordinal": serial}, ensure_ascii=False) + "\n")
+        with lock:
+            log.append(record(k, r) for k, r in answers.items())
 
     def request(items: list[dict]) -> dict[str, dict] | None:
         try:
@@ -212,6 +209,8 @@ def _ask(folder: Path, name: str, pending: DataFrame, client: Client, system: st
     except ModelError as e:
         _done(folder, "interrupted", fatal_error=e.record(), resume=f"--resume {folder}")
         raise
+    finally:
+        log.close()
     return failed
 
 
@@ -233,9 +232,9 @@ def _ask_decisions(folder: Path, pending: DataFrame, client: Client, system: str
 
 
 def _decisions(spark: SparkSession, folder: Path, versions: tuple[str, str], allowed: list[str] | None) -> DataFrame:
-    from ledgerloom.sources.jsonl import read_checkpoint, read_tolerant
+    from ledgerloom.sources.jsonl import read_checkpoint
 
-    rows = read_tolerant(spark, str(folder / "checkpoint.jsonl"), CHECKPOINT)
+    rows = CheckpointLog(folder, "checkpoint").read(spark, CHECKPOINT)
     return read_checkpoint(decisions.normalise_decision(rows, allowed), *versions)
 
 
@@ -374,9 +373,7 @@ ASK_MEDIA = f"Give the medium in which each work first appeared, one of {'、'.j
 
 def _read(spark: SparkSession, folder: Path, name: str, schema: str, key: str, versions: tuple[str, str]) -> DataFrame:
     """The last answer of each key to these versions, from a checkpoint that may not be there."""
-    from ledgerloom.sources.jsonl import read_tolerant
-
-    rows = read_tolerant(spark, str(folder / f"{name}.jsonl"), schema).filter((F.col("model_version") == versions[0]) & (F.col("prompt_version") == versions[1]))
+    rows = CheckpointLog(folder, name).read(spark, schema).filter((F.col("model_version") == versions[0]) & (F.col("prompt_version") == versions[1]))
     return decisions.last_wins(rows, [key])
 
 

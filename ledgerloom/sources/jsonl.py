@@ -91,7 +91,7 @@ def read_tolerant(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return lines.filter("good").select(F.from_json("line", schema).alias("r")).select("r.*")
 
 
-def read_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_strict(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Every line must be a record of the schema."""
     return spark.read.schema(schema).option("mode", "FAILFAST").option("lineSep", "\n").json(path)
 

@@ -9,7 +9,8 @@ from ledgerloom.functions import canonical_json as cj
 from ledgerloom.functions import text as T
 from ledgerloom.operators import audit, destinations, duplicates, grouping, merging, naming
 from ledgerloom.operators.model_input import BOOK, flattened
-from ledgerloom.plans import effects
+from ledgerloom.plans import effects, files
+from ledgerloom.plans.log import CheckpointLog
 from ledgerloom.plans.scratch import fresh_path, written
 from ledgerloom.queries import RECORDS, Query, file_records, narrow_records, table
 from ledgerloom.sources import cards, jsonl
@@ -329,3 +330,27 @@ def executed_tags(spark, sf_dir: str) -> DataFrame:
     found = cards.scan(cards.list_files(spark, target)).select(F.col("card.name").cast("long").alias("key"), F.col("sha256").alias("now"), F.array_join("card.tags", "|").alias("tags"))
     rows = planned.join(log.select("destination_path", "result"), "destination_path").join(found, "key")
     return rows.select("key", "result", (F.col("now") != F.col("sha256")).alias("changed"), "tags")
+
+
+@query(
+    """WITH purchases AS (SELECT user_id::VARCHAR AS card_sha256, value AS decision, event_id AS ordinal FROM events WHERE event_type = 'purchase' AND user_id IS NOT NULL),
+resumed AS (SELECT (SELECT min(user_id)::VARCHAR FROM events) AS card_sha256, -1.0::DOUBLE AS decision, (SELECT max(event_id) + 1 FROM events) AS ordinal)
+SELECT * FROM (FROM purchases UNION ALL FROM resumed) QUALIFY row_number() OVER (PARTITION BY card_sha256 ORDER BY ordinal DESC) = 1"""
+)
+def resumed_checkpoint(spark, sf_dir: str) -> DataFrame:
+    """All events as the sealed segments of a log, and an open one that was torn; one more record is appended, the segments are compacted, and the last purchase of each user counts."""
+    path = fresh_path(spark, "torn")
+    e = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("card_sha256"), F.col("value").cast("double").alias("decision"), F.col("event_type").alias("model_version"), F.lit("p").alias("prompt_version"), F.col("event_id").alias("ordinal"))
+    e.repartitionByRange(8, "ordinal").sortWithinPartitions("ordinal").write.option("ignoreNullFields", False).json(path + "/written")
+    fs, base = files.opened(path)
+    written_files = sorted(x.path for x in fs.get_file_info(files.listing(base + "/written")) if x.base_name.startswith("part-") and x.size)
+    for n, part in enumerate(written_files):  # as many as segments
+        fs.move(part, f"{base}/checkpoint-{n:08d}.jsonl")
+    with fs.open_output_stream(f"{base}/checkpoint.jsonl") as out:
+        out.write(b'{"card_sha256": "1", "decis')
+    log, schema = CheckpointLog(path, "checkpoint"), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in e.schema)
+    log.append([{"card_sha256": e.agg(F.min(F.col("card_sha256").cast("long"))).first()[0], "decision": -1.0, "model_version": "purchase", "prompt_version": "p"}])
+    log.close()
+    log.compact(spark, schema, ["card_sha256", "model_version", "prompt_version"])
+    rows = jsonl.read_checkpoint(log.read(spark, schema), "purchase", "p")
+    return rows.filter("card_sha256 is not null").select("card_sha256", "decision", "ordinal")
