@@ -81,8 +81,10 @@ def manifest(folder: Path, name: str = "plan") -> dict:
     return json.loads((folder / f"{name}-manifest.json").read_text(encoding="utf-8"))
 
 
-def _hashed(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def hashed(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (name, sha256) with actual, the hash of the file of that name below ``folder``, or null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = opened(folder)
         for batch in batches:
             found = []
@@ -97,7 +99,7 @@ def _hashed(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                     found.append(None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string())], names=["name", "sha256", "actual"])
 
-    return hashed
+    return run
 
 
 def changed_parts(spark: SparkSession, folder: Path, name: str = "plan") -> list[str]:
@@ -106,7 +108,7 @@ def changed_parts(spark: SparkSession, folder: Path, name: str = "plan") -> list
     if not parts:
         return []
     rows = spark.createDataFrame([(p["name"], p["sha256"]) for p in parts], "name string, sha256 string").repartition(len(parts))
-    actual = rows.mapInArrow(_hashed(str(folder / name)), "name string, sha256 string, actual string")
+    actual = rows.mapInArrow(hashed(str(folder / name)), "name string, sha256 string, actual string")
     return sorted(r.name for r in actual.filter("actual is null or actual != sha256").collect())
 
 

@@ -20,6 +20,7 @@ from ledgerloom.operators import decisions, destinations, duplicates, grouping,
 from ledgerloom.operators.model_input import has_semantic_content, model_inputs
 from ledgerloom.plans import effects, files, parts
 from ledgerloom.plans import plan as P
+from ledgerloom.plans.chain import chained, verify
 from ledgerloom.plans.log import CheckpointLog
 from ledgerloom.plans.model import Client, Filtered, ModelError, resolve_batch, run_workers
 from ledgerloom.plans.scratch import written
@@ -135,6 +136,7 @@ def collect(spark: SparkSession, sources: list[str], destination: str, reports:
     return _done(folder, counts={r.status: r.files for r in log.groupBy(F.split_part("status", F.lit(":"), F.lit(1)).alias("status")).agg(F.count(F.lit(1)).alias("files")).collect()})
 
 
+@chained()
 def scan(spark: SparkSession, source: str, reports: str) -> Path:
     """The index of all card files below ``source``, an audit table, and counts by status and version."""
     folder = P.new_batch(reports)
@@ -145,6 +147,7 @@ def scan(spark: SparkSession, source: str, reports: str) -> Path:
     return _done(folder, files=index.count(), statuses=counted("status"), versions=counted("version"))
 
 
+@chained("scanned")
 def find_duplicates(spark: SparkSession, scanned: Path, reports: str) -> Path:
     folder = P.new_batch(reports)
     index = _relation(spark, scanned, "index").select("relative_path", "file_name", "sha256", "card_sha256", F.col("card.name").alias("name"), F.col("card.creator").alias("creator"))
@@ -249,6 +252,7 @@ def _for_people(rows: DataFrame, columns: tuple[str, ...], **of: str) -> DataFra
     return rows.select(*(F.col(of.get(c, c)).alias(c) if of.get(c, c) in rows.columns else F.lit("").alias(c) for c in columns))
 
 
+@chained("scanned")
 def classify(spark: SparkSession, scanned: Path, reports: str, client: Client | None, system: str, versions: tuple[str, str], batch_size: int = 30, workers: int = 1, resume: Path | None = None, dry_run: bool = False, settings: dict | None = None, budget: dict | None = None) -> Path:
     """First pass: one question for each content, answers back to every file. ``resume`` continues a batch of the same inputs, versions and ``settings`` (endpoint, attempts, tokens); ``dry_run`` only counts."""
     bound = {"scan": str(scanned), "model_version": versions[0], "prompt_version": versions[1], "batch_size": batch_size} | (settings or {})
@@ -281,6 +285,7 @@ def _write_classification(spark: SparkSession, folder: Path, rows: DataFrame, le
     return _done(folder, "incomplete" if left else "complete", unanswered=left, **totals)
 
 
+@chained("previous", "scanned")
 def review(spark: SparkSession, previous: Path, scanned: Path, reports: str, client: Client, system: str, versions: tuple[str, str], allowed: list[str], second: bool = False, batch_size: int = 10, workers: int = 5, resume: Path | None = None, settings: dict | None = None, budget: dict | None = None) -> Path:
     """Ask again about what waits for a person, with a closed list of categories, and merge the answers. The second review goes by content. ``resume`` as in classify()."""
     said_before = _complete(previous)
@@ -319,8 +324,9 @@ def review(spark: SparkSession, previous: Path, scanned: Path, reports: str, cli
 
 def _plan(rows: DataFrame, folder: Path, operation: str, root: str, more: dict) -> Path:
     digest, n = parts.write_parts(rows, folder)
-    P.write_approval(folder, plan_sha256=digest, operation=operation, destination_root=root, rows=n)
-    return _done(folder, plan_sha256=digest, rows=n, operation=operation, destination_root=root, **more)
+    bound = {"plan_sha256": digest, "operation": operation, "destination_root": root, "rows": n, "batch": folder.name} | {k: more[k] for k in ("scope", "source_root") if k in more}
+    P.write_approval(folder, **bound)
+    return _done(folder, **(more | bound))
 
 
 def _present(spark: SparkSession, rows: DataFrame, root: str) -> DataFrame:
@@ -331,6 +337,7 @@ def _present(spark: SparkSession, rows: DataFrame, root: str) -> DataFrame:
     return joined.withColumns({"status": F.when(F.coalesce(ok, F.lit(False)), "planned").otherwise("source_missing_or_changed"), "detail": F.when(F.col("__actual").isNull(), "the source is missing").when(~ok, "the source's SHA-256 has changed").otherwise("")}).drop("__path", "__actual")
 
 
+@chained("classified")
 def organise(spark: SparkSession, classified: Path, source: str, destination: str, reports: str, allowed: list[str] | None, operation: str = "copy") -> Path:
     """A plan that gives every file a place below its level-1 parent; nothing is done before it is approved."""
     summary = _complete(classified)
@@ -343,7 +350,7 @@ def organise(spark: SparkSession, classified: Path, source: str, destination: st
     from ledgerloom.functions.text import safe_category
 
     rows = rows.withColumn("category", safe_category(parent)).select("relative_path", "file_name", "sha256", "card_sha256", "category", "classification_source", "model_decision")
-    return _place(spark, rows, [F.col("category")], source, destination, P.new_batch(reports), operation)
+    return _place(spark, rows, [F.col("category")], source, destination, P.new_batch(reports), operation, scope=FIRST_LEVEL)
 
 
 def _place(spark: SparkSession, rows: DataFrame, levels: list, source: str, destination: str, folder: Path, operation: str, **more: object) -> Path:
@@ -354,12 +361,23 @@ def _place(spark: SparkSession, rows: DataFrame, levels: list, source: str, dest
     placed = naming.assign_destinations(_present(spark, rows, source))
     base = str(Path(source).resolve())
     out = placed.select(F.lit(operation).alias("operation"), *[c for c in rows.columns if c not in ("ordinal", "wanted_path", "source_relative", "file_name")], F.concat(F.lit(base + "/"), "source_relative").alias("source_path"), "destination_path", "status", "detail", "ordinal")
-    return _plan(out, folder, operation, root, more)
+    return _plan(out, folder, operation, root, more | {"source_root": base})
+
+
+#: What the plans of the stages cover; a plan of one is not taken for that of another.
+FIRST_LEVEL, MERGED, TAGGING = "level-1 parents of all files", "approved targets of all fanworks", "tags of all organised files"
+
+
+def _bound(spark: SparkSession, plan_folder: Path) -> dict:
+    """What the approval of a plan must name: its batch, scope, roots and rows, as its summary has them, after its chain was followed."""
+    verify(spark, plan_folder)
+    summary = _complete(plan_folder)
+    return {k: summary[k] for k in ("batch", "scope", "source_root", "destination_root", "rows") if k in summary}
 
 
 def execute(spark: SparkSession, plan_folder: Path, approval: Path | None = None, operations: tuple[str, ...] = ("copy", "move")) -> dict[str, int]:
-    """Copy or move the files of an approved plan, in tasks."""
-    return effects.execute(spark, plan_folder, effects.approval_of(plan_folder, approval), operations)
+    """Copy or move the files of an approved plan, in tasks. The approval holds for this batch, its scope and its roots alone."""
+    return effects.execute(spark, plan_folder, effects.approval_of(plan_folder, approval), operations, **_bound(spark, plan_folder))
 
 
 #: What stage 070 refines; later stages accept only batches of this scope.
@@ -439,6 +457,7 @@ def _write_refinement(spark: SparkSession, folder: Path, out: DataFrame, left: i
     return _done(folder, done, scope=SCOPE, files=written.count(), selected=list(taxonomy), unanswered=left, media_unanswered=media_left, fallback_files=written.filter("used_fallback").count())
 
 
+@chained("classified", "scanned")
 def refine(spark: SparkSession, classified: Path, reports: str, allowed: list[str], works: DataFrame | None = None, media: DataFrame | None = None, threshold: int = grouping.THRESHOLD, scanned: Path | None = None, client: Client | None = None, system: str = "", versions: tuple[str, str] = ("given", "given"), batch_size: int = 30, workers: int = 1, resume: Path | None = None, settings: dict | None = None, budget: dict | None = None) -> Path:
     """Second-level groups of the large refinable parents: by rule, or, for fanworks, by what the model says about the cards of ``scanned``, whose files must be there. Then the model is asked for the works' source media.
 
@@ -474,6 +493,7 @@ def refine(spark: SparkSession, classified: Path, reports: str, allowed: list[st
     return _write_refinement(spark, folder, out, left, media_left)
 
 
+@chained("refined")
 def enrich(spark: SparkSession, refined: Path, reports: str, client: Client, system: str = "", versions: tuple[str, str] = ("given", "given"), batch_size: int = 30, workers: int = 1, resume: Path | None = None) -> Path:
     """A complete refinement once more, with source media asked for anew; works are not asked about again."""
     summary = _complete(refined)
@@ -488,6 +508,7 @@ def enrich(spark: SparkSession, refined: Path, reports: str, client: Client, sys
     return _write_refinement(spark, folder, _with_media(rows, media), 0, left)
 
 
+@chained("refined")
 def organise_refined(spark: SparkSession, refined: Path, source: str, destination: str, reports: str) -> Path:
     """A plan for the second level. ``source`` holds the files as stage 060 placed them, below their parents and perhaps under names with a hash; files that are not found there are looked for at their old paths."""
     summary = _complete(refined)
@@ -509,6 +530,7 @@ def _fanwork_index(fanwork: DataFrame, found: DataFrame) -> DataFrame:
     return files.join(found.select("current_directory", "canonical_name", "suggested_target"), "current_directory")
 
 
+@chained("refined", "organised")
 def propose_merges(spark: SparkSession, refined: Path, organised: Path, reports: str) -> Path:
     """Candidates for merging the second-level directories of fanworks, after the refinement and the executed plan were found equal."""
     summary, plan = _complete(refined), _summary(organised)
@@ -551,6 +573,7 @@ def _overrides(spark: SparkSession, given: list[dict], found: DataFrame) -> Data
     return rows.select("current_directory", "approved_target")
 
 
+@chained("proposed", "refined")
 def organise_merged(spark: SparkSession, proposed: Path, refined: Path, source: str, destination: str, reports: str) -> Path:
     """A plan of all files with the approved targets; the policy and the totals in the approval must be those of the candidates."""
     approval = json.loads((proposed / "approval.json").read_text(encoding="utf-8"))
@@ -574,7 +597,7 @@ def organise_merged(spark: SparkSession, proposed: Path, refined: Path, source:
     rows = rows.join(targets, fanwork & (F.col("subcategory") == F.col("__dir")), "left").drop("__dir")
     destinations.must_be_empty(rows.filter(fanwork != F.col("approved_target").isNotNull()), "a fanwork has no approved target")
     rows = rows.withColumnRenamed("subcategory", "current_directory").select("relative_path", "file_name", "sha256", "card_sha256", "parent_category", "current_directory", "approved_target", "approval_source")
-    return _place(spark, rows, [F.col("parent_category"), F.col("approved_target")], source, destination, P.new_batch(reports), "copy")
+    return _place(spark, rows, [F.col("parent_category"), F.col("approved_target")], source, destination, P.new_batch(reports), "copy", scope=MERGED)
 
 
 # --- Tags.
@@ -585,10 +608,15 @@ def tags_of(parent: str, target: str) -> Column:
     return F.array_distinct(F.array_compact(F.array(parent, F.when(F.col(parent) == grouping.FANWORK, F.col(target)))))
 
 
+@chained("organised")
 def plan_tags(spark: SparkSession, organised: Path, source: str, destination: str, reports: str, replace: bool = False, unchanged: tuple[str, ...] = ()) -> Path:
     """Which tags each organised file gets, with the hash of what will be written. ``unchanged`` names files, by path, that are copied as they are."""
     P.require_empty(destination)
-    P.execution_evidence(organised, _summary(organised)["plan_sha256"], _summary(organised)["rows"], "copied")
+    organised_plan = _complete(organised)
+    if organised_plan.get("scope") != MERGED or organised_plan["destination_root"] != str(Path(source).resolve()):
+        raise ValueError("the tags need the plan that gave all files their approved targets, and its destination")
+    P.check_approval(spark, organised, effects.approval_of(organised), ("copy",), **_bound(spark, organised))
+    P.execution_evidence(organised, organised_plan["plan_sha256"], organised_plan["rows"], "copied")
     folder, root, base = P.new_batch(reports), str(Path(destination).resolve()), str(Path(source).resolve())
     planned = parts.read_parts(spark, organised, "destination_path string, sha256 string, parent_category string, approved_target string")
     rows = planned.select(F.regexp_replace("destination_path", "^" + base.replace(".", r"\.") + "/", "").alias("relative_path"), "sha256", "parent_category", F.col("approved_target").alias("ip_category"), tags_of("parent_category", "approved_target").alias("tags_to_add"))
@@ -601,7 +629,7 @@ def plan_tags(spark: SparkSession, organised: Path, source: str, destination: st
     )
     out.write.parquet(str(folder / "tags"))  # read for the plan and for its totals
     written = _relation(spark, folder, "tags")
-    return _plan(written, folder, "replace_tags" if replace else "append_tags", root, {"totals": tag_totals(written).first().asDict()})
+    return _plan(written, folder, "replace_tags" if replace else "append_tags", root, {"scope": TAGGING, "source_root": base, "totals": tag_totals(written).first().asDict()})
 
 
 def tag_totals(plan: DataFrame) -> DataFrame:
@@ -612,7 +640,7 @@ def tag_totals(plan: DataFrame) -> DataFrame:
 
 def execute_tags(spark: SparkSession, plan_folder: Path, approval: Path | None = None) -> dict[str, int]:
     """Write the tagged copies of an approved plan, in tasks; what is written must have the planned hash."""
-    return effects.execute(spark, plan_folder, effects.approval_of(plan_folder, approval), ("append_tags", "replace_tags"), effects.write_tags, effects.TAGS)
+    return effects.execute(spark, plan_folder, effects.approval_of(plan_folder, approval), ("append_tags", "replace_tags"), effects.write_tags, effects.TAGS, **_bound(spark, plan_folder))
 
 
 def latest(reports: str, accept: Callable[[Path], bool] = lambda folder: True) -> Path:
