@@ -1,8 +1,8 @@
 """The four duplicate relations over file records.
 
 Records have relative_path, file_name, sha256, card_sha256, name, creator.
-``duplicate_members`` has a row for each file of a group and holds no group in
-one task; ``duplicate_groups`` collects a group's files for a report.
+``duplicate_members`` has a row for each file of a group; ``pages`` has them in
+lists of bounded length, for reports. Neither holds a group in one task.
 """
 
 from __future__ import annotations
@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import identity
+from ledgerloom.operators.joins import join_one
+from ledgerloom.operators.ordering import rank_within
+from ledgerloom.plans.scratch import written
 
 EXACT, SAME_CARD, SAME_NAME, VERSION = "exact_file_duplicate", "same_card_different_file", "same_filename_different_content", "suspected_version"
 
@@ -41,7 +44,8 @@ def duplicate_members(records: DataFrame, types: tuple[str, ...] = (EXACT, SAME_
         # Two different hashes show in the least and the largest: no distinct count is needed.
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("group_size"), F.min("hash").alias("low"), F.max("hash").alias("high")).filter(F.col("group_size") > 1)
         sizes = sizes.filter("low != high") if differ else sizes
-        out.append(rows.join(sizes.select("key", "group_size"), "key").select(F.lit(kind).alias("type"), "key", "relative_path", "group_size"))
+        sizes = written(sizes.select("key", "group_size"), "group_sizes")
+        out.append(join_one(rows, sizes, ["key"], "group_size").select(F.lit(kind).alias("type"), "key", "relative_path", "group_size"))
     return reduce(DataFrame.unionByName, out)
 
 
@@ -62,14 +66,28 @@ def group_sizes(records: DataFrame, types: tuple[str, ...] = (EXACT, SAME_CARD,
     return _grouped(records, types)
 
 
-def duplicate_groups(records: DataFrame, types: tuple[str, ...] = (EXACT, SAME_CARD, SAME_NAME, VERSION)) -> DataFrame:
-    """type, key, group_size, files (sorted paths), for reports; a group's paths must fit a task."""
-    return _grouped(records, types, F.sort_array(F.collect_list("relative_path")).alias("files")).select("type", "key", "group_size", "files")
+#: Paths of a page.
+PAGE = 1000
+
+
+def pages(members: DataFrame, size: int = PAGE) -> DataFrame:
+    """type, key, group_size, page (from 0), files (sorted paths, ``size`` at most) of rows that duplicate_members() gave; pages of a group follow each other.
+
+    A path's place in its group comes from one range sort by group and path, so that a group of any size is spread over tasks.
+    """
+    placed = rank_within(written(members, "members"), ["type", "key"], [F.col("relative_path")], "place")
+    paged = placed.withColumn("page", F.floor((F.col("place") - 1) / size))
+    return paged.groupBy("type", "key", "group_size", "page").agg(F.sort_array(F.collect_list("relative_path")).alias("files"))
+
+
+def collated() -> list[Column]:
+    """Type and key under the Unicode collation."""
+    return [F.expr("type COLLATE UNICODE"), F.expr("key COLLATE UNICODE")]
 
 
 def ordered(groups: DataFrame) -> DataFrame:
-    """By type and key in the order of the Unicode collation."""
-    return groups.orderBy(F.expr("type COLLATE UNICODE"), F.expr("key COLLATE UNICODE"))
+    """By type, key and page in the order of the Unicode collation."""
+    return groups.orderBy(*collated(), "page")
 
 
 def type_counts(groups: DataFrame) -> DataFrame:
@@ -78,14 +96,15 @@ def type_counts(groups: DataFrame) -> DataFrame:
 
 
 #: The table that a person reads, with its columns.
-REVIEW = ("group_type", "group_key", "file_count", "distinct_file_hashes", "distinct_card_hashes", "relative_paths", "reason")
+REVIEW = ("group_type", "group_key", "page", "file_count", "distinct_file_hashes", "distinct_card_hashes", "relative_paths", "reason")
 # What each relation says.
 SAID = {EXACT: "the files are equal", SAME_CARD: "one card in different files", SAME_NAME: "one file name, different content", VERSION: "one name and creator, different cards"}
 
 
-def review_table(records: DataFrame, members: DataFrame) -> DataFrame:
-    """A row for each group, with its sorted paths joined by `` | ``; a group's paths must fit a task."""
+def review_table(records: DataFrame, members: DataFrame, size: int = PAGE) -> DataFrame:
+    """A row for each page of a group, with its sorted paths joined by `` | ``."""
     rows = members.join(records.select("relative_path", "sha256", "card_sha256"), "relative_path")
     said = F.create_map(*(F.lit(x) for pair in SAID.items() for x in pair))
-    grouped = rows.groupBy(F.col("type").alias("group_type"), F.col("key").alias("group_key")).agg(F.count(F.lit(1)).alias("file_count"), F.count_distinct("sha256").alias("distinct_file_hashes"), F.count_distinct("card_sha256").alias("distinct_card_hashes"), F.array_join(F.sort_array(F.collect_list("relative_path")), " | ").alias("relative_paths"))
-    return grouped.withColumn("reason", said[F.col("group_type")]).select(*REVIEW)
+    counts = rows.groupBy("type", "key").agg(F.count_distinct("sha256").alias("distinct_file_hashes"), F.count_distinct("card_sha256").alias("distinct_card_hashes"))
+    table = pages(members, size).join(counts, ["type", "key"]).withColumnsRenamed({"type": "group_type", "key": "group_key", "group_size": "file_count"})
+    return table.withColumns({"relative_paths": F.array_join("files", " | "), "reason": said[F.col("group_type")]}).select(*REVIEW)

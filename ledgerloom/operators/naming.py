@@ -12,14 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.joins import join_one
 from ledgerloom.operators.ordering import running
 from ledgerloom.plans.scratch import written
 
 HASH_LENGTH = 12
 #: Names ahead that a claimant looks at in one round.
 AHEAD = 16
-#: A key with more than this part of all rows is joined by broadcast; there are at most as many such keys.
-HOT_PART = 1000
 
 
 def split_path(path: Column) -> tuple[Column, Column, Column]:
@@ -101,7 +100,7 @@ def collect_versions(rows: DataFrame, name: str = "file_name", ordinal: str = "o
         if taken is not None:
             owners = owners.join(taken.select("__low", F.struct("first", "sha256").alias("other")), "__low", "left").select("__low", F.coalesce("other", "owner").alias("owner"), "members")
             owners = written(owners, "owners")
-        placed = _join_one(claimants, owners, ["__low"]).withColumn("home", F.col("sha256") == F.col("owner.sha256"))
+        placed = join_one(claimants, owners, ["__low"]).withColumn("home", F.col("sha256") == F.col("owner.sha256"))
         home = placed.filter("home").select("__low", "sha256", F.lit(0).alias("level"), (F.col("first") == F.col("owner.first")).alias("made"))
         waiting, settled, level = written(placed.filter("not home").select("__low", "sha256", "first", "name"), "versions"), [], 1
         while waiting.take(1):
@@ -127,14 +126,8 @@ def collect_versions(rows: DataFrame, name: str = "file_name", ordinal: str = "o
             break
         known = now
     places = written(claimants.join(home.unionByName(versions), ["__low", "sha256"]).select("__low", "sha256", "first", "level", "made", F.col("copies").alias("members")), "places")
-    joined = _join_one(written(rows.withColumn("__low", F.lower(name)), "files"), places, ["__low", "sha256"])
+    joined = join_one(written(rows.withColumn("__low", F.lower(name)), "files"), places, ["__low", "sha256"])
     made = F.col("made") & (F.col("first") == F.col(ordinal))
     status = F.when(~made, "skipped_identical").when(F.col("level") == 0, "copied").otherwise("copied_version")
     return joined.select(*rows.columns, status.alias("status"), _name(F.col(name), F.col("level")).alias("target_name"))
 
-
-def _join_one(rows: DataFrame, places: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` with the one place of their keys; that of a hot key, of which there are ``HOT_PART`` at most, is broadcast."""
-    total = places.agg(F.sum("members")).first()[0] or 0
-    hot = F.broadcast(places.filter(F.col("members") * HOT_PART > total))
-    return rows.join(hot, keys).unionByName(rows.join(hot, keys, "left_anti").join(places.filter(F.col("members") * HOT_PART <= total), keys))

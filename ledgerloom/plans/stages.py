@@ -153,11 +153,10 @@ def find_duplicates(spark: SparkSession, scanned: Path, reports: str) -> Path:
     index = _relation(spark, scanned, "index").select("relative_path", "file_name", "sha256", "card_sha256", F.col("card.name").alias("name"), F.col("card.creator").alias("creator"))
     duplicates.duplicate_members(index).write.parquet(str(folder / "members"))
     members = _relation(spark, folder, "members")
-    groups = members.groupBy("type", "key").agg(F.sort_array(F.collect_list("relative_path")).alias("files"))
-    duplicates.ordered(groups).write.json(str(folder / "groups"))
+    duplicates.ordered(duplicates.pages(members)).write.json(str(folder / "groups"))
     _table(duplicates.review_table(index, members), folder, "review")
     _index_errors(spark, scanned, folder)
-    return _done(folder, groups={r.type: r.groups for r in duplicates.type_counts(members.select("type", "key", "group_size").distinct()).collect()})
+    return _done(folder, groups={r.type: r.groups for r in duplicates.type_counts(duplicates.group_sizes(index)).collect()})
 
 
 # --- Classification and reviews.

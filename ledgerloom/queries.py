@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import canonical_json as cj
 from ledgerloom.functions import text as T
-from ledgerloom.operators import audit, decisions, destinations, duplicates, grouping, merging, naming
+from ledgerloom.operators import audit, decisions, destinations, duplicates, grouping, merging, naming, ordering
 from ledgerloom.operators.model_input import LISTS, TEXTS, has_semantic_content, model_inputs
 from ledgerloom.plans import stages
 from ledgerloom.plans.scratch import written
@@ -107,27 +107,41 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Duplicates.
 
 
-def _groups(spark: SparkSession, sf_dir: str, kind: str, records: DataFrame | None = None) -> DataFrame:
-    groups = duplicates.duplicate_groups(records if records is not None else file_records(spark, sf_dir), (kind,))
-    return groups.select("key", "group_size", F.array_join("files", " | ").alias("files"))
+#: Paths of a page in these queries: few, so that groups have several.
+PAGE = 10
 
+#: What each relation needs of a record.
+_NEEDED = {duplicates.EXACT: ("sha256",), duplicates.SAME_CARD: ("card_sha256", "sha256"), duplicates.SAME_NAME: ("file_name", "sha256"), duplicates.VERSION: ("name", "creator", "card_sha256")}
 
-@query(RECORDS + " SELECT sha256 AS key, count(*) AS group_size, string_agg(relative_path, ' | ' ORDER BY relative_path) AS files FROM records GROUP BY sha256 HAVING count(*) > 1")
-def exact_duplicates(spark, sf_dir):
-    return _groups(spark, sf_dir, duplicates.EXACT)
 
+def paged_groups(records: DataFrame, kind: str) -> DataFrame:
+    """The pages of a relation; only what it needs of the records is written."""
+    rest = [c for c in ("file_name", "sha256", "card_sha256", "name", "creator") if c not in _NEEDED[kind]]
+    narrow = written(records.select("relative_path", *_NEEDED[kind]), "records").select("*", *(F.lit("").alias(c) for c in rest))
+    pages = duplicates.pages(duplicates.duplicate_members(narrow, (kind,)), PAGE)
+    return pages.select("key", "group_size", "page", F.array_join("files", " | ").alias("files"))
 
-@query(RECORDS + " SELECT file_name AS key, count(*) AS group_size, string_agg(relative_path, ' | ' ORDER BY relative_path) AS files FROM records GROUP BY file_name HAVING count(*) > 1 AND count(DISTINCT sha256) > 1")
-def same_filename_different_content(spark, sf_dir):
-    return _groups(spark, sf_dir, duplicates.SAME_NAME)
 
+def paged_sql(key: str, given: str, differ: str | None, records: str = RECORDS) -> str:
+    """Groups with their pages: all records whose key is ``given``, of groups of several, in which ``differ`` has several values."""
+    return f"""{records}, keyed AS (SELECT {key} AS key, relative_path, {differ or "''"} AS h FROM records WHERE {given}), placed AS (
+  SELECT *, count(*) OVER w AS group_size, min(h) OVER w AS low, max(h) OVER w AS high, (row_number() OVER (PARTITION BY key ORDER BY relative_path) - 1) // {PAGE} AS page FROM keyed WINDOW w AS (PARTITION BY key)
+) SELECT key, group_size, page, string_agg(relative_path, ' | ' ORDER BY relative_path) AS files FROM placed WHERE group_size > 1{" AND low <> high" if differ else ""} GROUP BY ALL"""
 
-_VERSIONS = "SELECT lower(trim(name)) || chr(0) || lower(creator) AS key, count(*) AS group_size, string_agg(relative_path, ' | ' ORDER BY relative_path) AS files FROM records WHERE name <> '' GROUP BY 1 HAVING count(*) > 1 AND count(DISTINCT card_sha256) > 1"
+
+@query(paged_sql("sha256", "true", None))
+def exact_duplicates(spark, sf_dir):
+    return paged_groups(file_records(spark, sf_dir), duplicates.EXACT)
+
+
+@query(paged_sql("file_name", "true", "sha256"))
+def same_filename_different_content(spark, sf_dir):
+    return paged_groups(file_records(spark, sf_dir), duplicates.SAME_NAME)
 
 
-@query(RECORDS + f" SELECT sha256(key) AS key, group_size, files FROM ({_VERSIONS})")
+@query(f"SELECT * REPLACE (sha256(key) AS key) FROM ({paged_sql('lower(trim(name)) || chr(0) || lower(creator)', "name <> ''", 'card_sha256')})")
 def suspected_version(spark, sf_dir):
-    return _groups(spark, sf_dir, duplicates.VERSION, narrow_records(spark, sf_dir)).withColumn("key", F.sha2("key", 256))
+    return paged_groups(file_records(spark, sf_dir), duplicates.VERSION).withColumn("key", F.sha2("key", 256))
 
 
 _MEMBERS = """, members AS (
@@ -143,9 +157,11 @@ def duplicate_type_counts(spark, sf_dir):
     return duplicates.type_counts(duplicates.group_sizes(file_records(spark, sf_dir)))
 
 
-@query(RECORDS + _MEMBERS + " SELECT type, sha256(key) AS key, n AS group_size FROM members")
+@query(RECORDS + _MEMBERS + " SELECT type, sha256(key) AS key, n AS group_size, row_number() OVER (ORDER BY type, sha256(key)) AS ordinal FROM members")
 def duplicate_groups_ordered(spark, sf_dir):
-    return duplicates.ordered(duplicates.duplicate_members(narrow_records(spark, sf_dir)).select("type", "key", "group_size").distinct()).select("type", F.sha2("key", 256).alias("key"), "group_size")
+    """The order of the groups is part of the rows: the place of each under the collation."""
+    groups = duplicates.group_sizes(file_records(spark, sf_dir)).select("type", F.sha2("key", 256).alias("key"), "group_size")
+    return ordering.with_ordinal(written(groups, "groups"), duplicates.collated())
 
 
 # --- Scan, extraction and text.

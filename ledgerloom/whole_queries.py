@@ -12,7 +12,7 @@ from ledgerloom.operators.model_input import BOOK, flattened
 from ledgerloom.plans import effects, files
 from ledgerloom.plans.log import CheckpointLog
 from ledgerloom.plans.scratch import fresh_path, written
-from ledgerloom.queries import RECORDS, Query, file_records, narrow_records, table
+from ledgerloom.queries import PAGE, RECORDS, Query, file_records, narrow_records, paged_groups, paged_sql, table
 from ledgerloom.sources import cards, jsonl
 
 QUERIES: dict[str, Query] = {}
@@ -67,11 +67,11 @@ def reconcile_full_outer(spark, sf_dir: str) -> DataFrame:
     return merging.reconcile(left, right, "k", ["s"])
 
 
-@query(RECORDS + " SELECT card_sha256 AS key, count(*) AS group_size, string_agg(relative_path, ' | ' ORDER BY relative_path) AS files FROM records GROUP BY card_sha256 HAVING count(*) > 1 AND count(DISTINCT sha256) > 1")
+@query(paged_sql("card_sha256", "true", "sha256", RECORDS.replace("sha256(text) AS sha256", "sha256(text || source) AS sha256")))
 def same_card_different_file(spark, sf_dir: str) -> DataFrame:
-    """Cards whose whole squeezed texts agree but for case, in several files; there may be none."""
-    groups = duplicates.duplicate_groups(file_records(spark, sf_dir), (duplicates.SAME_CARD,))
-    return groups.select("key", "group_size", F.array_join("files", " | ").alias("files"))
+    """Cards whose whole squeezed texts agree but for case, in several files: a file is a text with its source."""
+    records = file_records(spark, sf_dir).withColumn("sha256", F.sha2(F.concat("text", "creator"), 256))
+    return paged_groups(records, duplicates.SAME_CARD)
 
 
 #: FORBIDDEN in RE2, which has no lookaheads: what is matched, and which matches are allowed.
@@ -154,8 +154,9 @@ def _review_sql() -> str:
         duplicates.VERSION: ("lower(trim(name)) || chr(0) || lower(creator)", "name <> ''", "card_sha256"),
     }
     parts = [
-        f"SELECT '{kind}' AS group_type, {key} AS k, count(*) AS file_count, count(DISTINCT sha256) AS distinct_file_hashes, count(DISTINCT card_sha256) AS distinct_card_hashes, "
-        f"string_agg(relative_path, ' | ' ORDER BY relative_path) AS relative_paths, '{duplicates.SAID[kind]}' AS reason FROM records WHERE {given} GROUP BY 2 HAVING count(*) > 1{f' AND count(DISTINCT {differ}) > 1' if differ else ''}"
+        f"SELECT '{kind}' AS group_type, k, file_count, distinct_file_hashes, distinct_card_hashes, page, string_agg(relative_path, ' | ' ORDER BY relative_path) AS relative_paths, '{duplicates.SAID[kind]}' AS reason "
+        f"FROM (SELECT {key} AS k, relative_path, (row_number() OVER (PARTITION BY {key} ORDER BY relative_path) - 1) // {PAGE} AS page FROM records WHERE {given}) "
+        f"JOIN (SELECT {key} AS k, count(*) AS file_count, count(DISTINCT sha256) AS distinct_file_hashes, count(DISTINCT card_sha256) AS distinct_card_hashes FROM records WHERE {given} GROUP BY 1 HAVING count(*) > 1{f' AND count(DISTINCT {differ}) > 1' if differ else ''}) USING (k) GROUP BY ALL"
         for kind, (key, given, differ) in of.items()
     ]
     return RECORDS + " SELECT * EXCLUDE (k), sha256(k) AS key_sha256 FROM (" + " UNION ALL ".join(parts) + ")"
@@ -165,7 +166,7 @@ def _review_sql() -> str:
 def duplicate_review(spark, sf_dir: str) -> DataFrame:
     """The table of all duplicate groups that a person reads."""
     records = narrow_records(spark, sf_dir)
-    return duplicates.review_table(records, duplicates.duplicate_members(records)).withColumn("key_sha256", F.sha2("group_key", 256)).drop("group_key")
+    return duplicates.review_table(records, duplicates.duplicate_members(records), PAGE).withColumn("key_sha256", F.sha2("group_key", 256)).drop("group_key")
 
 
 @query(

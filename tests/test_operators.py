@@ -9,10 +9,13 @@ from ledgerloom.operators import audit, decisions, destinations, duplicates, gro
 def test_duplicates(spark):
     rows = [("a", "n.png", "1", "c1", "甲", "x"), ("b", "N.png", "1", "c1", "甲", "x"), ("c", "o.png", "2", "c1", "甲", "x"), ("d", "n.png", "3", "c2", "甲", "X"), ("e", "", "4", None, "", "")]
     df = spark.createDataFrame(rows, "relative_path string, file_name string, sha256 string, card_sha256 string, name string, creator string")
-    got = {r.type: (r.group_size, r.files) for r in duplicates.duplicate_groups(df).collect()}
+    members = duplicates.duplicate_members(df)
+    got = {r.type: (r.group_size, r.files) for r in duplicates.pages(members).collect()}
     assert got == {duplicates.EXACT: (2, ["a", "b"]), duplicates.SAME_CARD: (3, ["a", "b", "c"]), duplicates.SAME_NAME: (3, ["a", "b", "d"]), duplicates.VERSION: (4, ["a", "b", "c", "d"])}
     assert {r.type: (r.groups, r.files) for r in duplicates.type_counts(duplicates.group_sizes(df)).collect()}[duplicates.VERSION] == (1, 4)
-    assert duplicates.duplicate_members(df.limit(0)).count() == 0
+    assert duplicates.duplicate_members(df.limit(0)).count() == 0 and duplicates.pages(members.limit(0)).count() == 0
+    few = sorted((r.page, r.files) for r in duplicates.pages(members, 3).filter(F.col("type") == duplicates.VERSION).collect())
+    assert few == [(0, ["a", "b", "c"]), (1, ["d"])]
 
 
 def test_decisions_round_trip(spark):
