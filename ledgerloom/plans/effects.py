@@ -110,6 +110,30 @@ def made(rows: DataFrame, approval: dict, staging: str, act: Act = copy) -> Data
     return rows.repartition(tasks, "destination_path").mapInPandas(_done(act, approval, staging), LOG)
 
 
+PREVIEW = ", ".join(c for c in cards.TAGGED.split(", ") if c != "output binary")
+
+
+def tag_previews(rows: DataFrame, replace: bool = False) -> DataFrame:
+    """What tagging would give (PREVIEW) for ``rows`` (relative_path, source_path, sha256, tags_to_add, copy_unchanged); files are read one by one where their rows are, so that no task holds several."""
+
+    def one(r: dict) -> tuple:
+        try:
+            fs, path = files.opened(r["source_path"])
+            with fs.open_input_stream(path) as f:
+                data = f.read()
+        except FileNotFoundError:
+            return r["relative_path"], None, None, None, None, "source_invalid", "the source is missing"
+        return cards.tag_one(r["relative_path"], data, Path(r["source_path"]).suffix, r["sha256"], list(r["tags_to_add"]), r["copy_unchanged"], replace)[:-1]
+
+    def previews(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([one(r) for r in batch.to_dict("records")], columns=[c.split()[0] for c in PREVIEW.split(", ")]).astype({"metadata_chunks_updated": "Int32"})
+
+    asked = rows.select("relative_path", "source_path", "sha256", "tags_to_add", "copy_unchanged")
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // FILES))
+    return asked.repartition(tasks, "relative_path").mapInPandas(previews, PREVIEW)
+
+
 def complete(table: Path) -> bool:
     """Whether Spark has committed the table."""
     return (table / "_SUCCESS").exists()

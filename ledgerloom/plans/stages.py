@@ -24,7 +24,7 @@ from ledgerloom.plans.chain import chained, verify
 from ledgerloom.plans.log import CheckpointLog
 from ledgerloom.plans.model import Client, Filtered, ModelError, resolve_batch, run_workers
 from ledgerloom.plans.scratch import written
-from ledgerloom.sources import cards
+from ledgerloom.sources import card_source, cards
 
 CHECKPOINT = "card_sha256 string, decision string, category string, reason string, model_version string, prompt_version string, ordinal long"
 VALID = "card is not null and status in ('valid', 'valid_with_warnings')"
@@ -140,7 +140,8 @@ def collect(spark: SparkSession, sources: list[str], destination: str, reports:
 def scan(spark: SparkSession, source: str, reports: str) -> Path:
     """The index of all card files below ``source``, an audit table, and counts by status and version."""
     folder = P.new_batch(reports)
-    cards.scan(cards.list_files(spark, f"file://{Path(source).resolve()}")).write.parquet(str(folder / "index"))
+    card_source.register(spark)
+    spark.read.format("card_files").load(str(Path(source).resolve())).drop("bytes_read").write.parquet(str(folder / "index"))
     index = _relation(spark, folder, "index")
     _table(index.select("relative_path", "status", "detail", "metadata_chunk", F.array_join("warnings", " | ").alias("warnings"), "sha256"), folder, "audit")
     counted = lambda c: {str(r.label): r["count"] for r in cards.counted(index, c).collect()}
@@ -622,7 +623,7 @@ def plan_tags(spark: SparkSession, organised: Path, source: str, destination: st
     rows = rows.withColumn("copy_unchanged", F.col("relative_path").isin(*unchanged) if unchanged else F.lit(False))
     exceptions = spark.createDataFrame([(u,) for u in unchanged], "relative_path string")
     destinations.must_be_empty(exceptions.join(rows, "relative_path", "left_anti"), "an exception names no file")
-    preview = cards.tag_files(cards.list_files(spark, f"file://{base}"), rows, replace).drop("output")
+    preview = effects.tag_previews(rows.withColumn("source_path", F.concat(F.lit(base + "/"), "relative_path")), replace)
     out = rows.join(preview, "relative_path", "left").select(
         F.lit("replace_tags" if replace else "append_tags").alias("operation"), "relative_path", "parent_category", "ip_category", "tags_to_add", "tags_actually_added", "metadata_chunks_updated", "copy_unchanged", F.concat(F.lit(base + "/"), "relative_path").alias("source_path"), F.concat(F.lit(root + "/"), "relative_path").alias("destination_path"), F.col("sha256"), "output_sha256", F.coalesce("status", F.lit("source_invalid")).alias("status"), F.coalesce("detail", F.lit("the source is missing")).alias("detail"), F.col("relative_path").alias("ordinal"),
     )

@@ -12,7 +12,7 @@ import re
 import struct
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +32,7 @@ CARD = (
     "struct<spec_version string, name string, description string, personality string, scenario string, first_mes string, mes_example string, fav boolean, creator_notes string, "
     "system_prompt string, post_history_instructions string, alternate_greetings array<string>, tags array<string>, creator string, character_version string, group_only_greetings array<string>, nickname string, character_book string, extensions string>"
 )
+CARD_FIELDS = [f.split()[0] for f in CARD.removeprefix("struct<").removesuffix(">").split(", ")]
 RECORD = f"relative_path string, file_name string, extension string, size_bytes long, modified_utc string, sha256 string, status string, detail string, metadata_chunk string, version int, card_sha256 string, warnings array<string>, card {CARD}"
 
 
@@ -144,8 +145,12 @@ def _card_chunk(kind: bytes, body: bytes) -> tuple[str, str] | None:
 
 
 def parse_png(data: bytes) -> tuple[dict, int, str]:
-    """(card, version, keyword) of the first chunk that decodes to a known version, any ccv3 before any chara."""
-    found = [x for _, _, kind, body in chunks(data) if (x := _card_chunk(kind, body))]
+    return card_of((kind, body) for _, _, kind, body in chunks(data))
+
+
+def card_of(parts: Iterable[tuple[bytes, bytes]]) -> tuple[dict, int, str]:
+    """(card, version, keyword) of the first chunk, of (type, body), that decodes to a known version, any ccv3 before any chara."""
+    found = [x for kind, body in parts if (x := _card_chunk(kind, body))]
     if not found:
         raise Unreadable("no_card_metadata", "there is no card metadata")
     failure = None
@@ -176,10 +181,14 @@ def parse(data: bytes, extension: str) -> tuple[dict, int, str | None]:
 
 
 def decode(path: str, data: bytes, extension: str) -> dict:
+    return decoded(path, lambda: parse(data, extension))
+
+
+def decoded(path: str, parsed: Callable[[], tuple[dict, int, str | None]]) -> dict:
     """The row of one file. The content hash is there as soon as a card was parsed, even if its data is missing."""
     row = dict.fromkeys(("status", "detail", "metadata_chunk", "version", "card_sha256", "warnings", "card")) | {"relative_path": path}
     try:
-        card, version, keyword = parse(data, extension)
+        card, version, keyword = parsed()
     except Unreadable as e:
         return row | {"status": e.status, "detail": str(e)}
     row |= {"metadata_chunk": keyword, "version": version, "card_sha256": cj.content_hash(card)}
@@ -213,14 +222,14 @@ def scan(files: DataFrame) -> DataFrame:
     listed = ["relative_path", "file_name", "extension", "size_bytes", "modified_utc"]
     decoded_columns = ["status", "detail", "metadata_chunk", "version", "card_sha256", "warnings", "card"]
 
-    def decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [decode(p, c, e) for p, c, e in zip(batch.relative_path, batch.content, batch.extension, strict=True)]
             out = batch[listed].reset_index(drop=True)
             out["sha256"] = [hashlib.sha256(c).hexdigest() for c in batch.content]
             yield out.join(pd.DataFrame(rows, columns=decoded_columns)).astype({"version": "Int32"})
 
-    return files.select(*listed, "content").mapInPandas(decoded, RECORD)
+    return files.select(*listed, "content").mapInPandas(run, RECORD)
 
 
 def counted(index: DataFrame, column: str) -> DataFrame:
@@ -276,23 +285,25 @@ def write_tags(data: bytes, extension: str, additions: list[str], replace: bool
 TAGGED = "relative_path string, source_sha256 string, output_sha256 string, tags_actually_added array<string>, metadata_chunks_updated int, status string, detail string, output binary"
 
 
+def tag_one(path: str, data: bytes, extension: str, sha256: str, additions: list[str], unchanged: bool, replace: bool = False) -> tuple:
+    """The row (TAGGED) of one file."""
+    actual = hashlib.sha256(data).hexdigest()
+    if actual != sha256:
+        return path, actual, None, None, None, "source_invalid", "the source's SHA-256 differs from the plan's", None
+    if unchanged:
+        return path, actual, actual, [], 0, "ready", "copied unchanged", data
+    try:
+        output, added, count = write_tags(data, extension, list(additions), replace)
+    except (Unreadable, ValueError) as e:
+        return path, actual, None, None, None, "source_invalid", str(e), None
+    return path, actual, hashlib.sha256(output).hexdigest(), added, count, "ready", "", output
+
+
 def tag_files(files: DataFrame, tags: DataFrame, replace: bool = False) -> DataFrame:
     """Preview of tag writing: ``tags`` has relative_path, sha256, tags_to_add and copy_unchanged for files of a listing. Output bytes are part of the rows; a changed source is ``source_invalid``."""
 
     def tagged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([one(*row) for row in zip(batch.relative_path, batch.content, batch.extension, batch.sha256, batch.tags_to_add, batch.copy_unchanged, strict=True)], columns=[x.split()[0] for x in TAGGED.split(", ")]).astype({"metadata_chunks_updated": "Int32"})
-
-    def one(path: str, data: bytes, extension: str, sha256: str, additions: list[str], unchanged: bool) -> tuple:
-        actual = hashlib.sha256(data).hexdigest()
-        if actual != sha256:
-            return path, actual, None, None, None, "source_invalid", "the source's SHA-256 differs from the plan's", None
-        if unchanged:
-            return path, actual, actual, [], 0, "ready", "copied unchanged", data
-        try:
-            output, added, count = write_tags(data, extension, list(additions), replace)
-        except (Unreadable, ValueError) as e:
-            return path, actual, None, None, None, "source_invalid", str(e), None
-        return path, actual, hashlib.sha256(output).hexdigest(), added, count, "ready", "", output
+            yield pd.DataFrame([tag_one(*row, replace) for row in zip(batch.relative_path, batch.content, batch.extension, batch.sha256, batch.tags_to_add, batch.copy_unchanged, strict=True)], columns=[x.split()[0] for x in TAGGED.split(", ")]).astype({"metadata_chunks_updated": "Int32"})
 
     return files.join(tags.select("relative_path", "sha256", "tags_to_add", "copy_unchanged"), "relative_path").mapInPandas(tagged, TAGGED)

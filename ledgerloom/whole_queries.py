@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
+import struct
+import zlib
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +19,7 @@ from ledgerloom.plans import effects, files
 from ledgerloom.plans.log import CheckpointLog
 from ledgerloom.plans.scratch import fresh_path, written
 from ledgerloom.queries import PAGE, RECORDS, Query, file_records, narrow_records, paged_groups, paged_sql, table
-from ledgerloom.sources import cards, jsonl
+from ledgerloom.sources import card_source, cards, jsonl
 
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -355,3 +361,44 @@ def resumed_checkpoint(spark, sf_dir: str) -> DataFrame:
     log.compact(spark, schema, ["card_sha256", "model_version", "prompt_version"])
     rows = jsonl.read_checkpoint(log.read(spark, schema), "purchase", "p")
     return rows.filter("card_sha256 is not null").select("card_sha256", "decision", "ordinal")
+
+
+# --- PNG files, by the data source.
+
+
+def _write_pngs(folder: str):
+    """Writes a card file for each row (ordinal, json): image data of some thousand bytes stands before the card; every fifth has a damaged byte in it, every seventh in the card."""
+
+    def chunk(kind: bytes, body: bytes) -> bytes:
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    def write(batches):
+        for batch in batches:
+            for ordinal, payload in zip(batch.ordinal, batch.json, strict=True):
+                image = chunk(b"IHDR", bytes(13)) + chunk(b"IDAT", bytes(5000))
+                data = bytearray(cards.SIGNATURE + image + chunk(b"tEXt", b"chara\0" + base64.b64encode(payload.encode())) + chunk(b"IEND", b""))
+                data[100] ^= ordinal % 5 == 0
+                data[len(cards.SIGNATURE) + len(image) + 20] ^= ordinal % 7 == 0
+                raw = bytes(data)
+                files.make(f"{folder}/d{ordinal % 10}/{ordinal}.PNG", folder + "/.staging", hashlib.sha256(raw).hexdigest(), lambda out, raw=raw: out.write(raw))
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    return write
+
+
+@query(
+    """SELECT doc_id AS ordinal, CASE WHEN doc_id % 5 = 0 OR doc_id % 7 = 0 THEN 'corrupt_png' ELSE 'valid' END AS status, CASE WHEN doc_id % 7 = 0 THEN 'corrupt_png' ELSE 'valid' END AS card_status,
+  CASE WHEN doc_id % 7 <> 0 THEN sha256(text) END AS description_sha256, CASE WHEN doc_id % 7 <> 0 THEN lang || ',' || source END AS tags, true AS hashed, true AS stepped_over FROM documents"""
+)
+def png_files(spark, sf_dir: str) -> DataFrame:
+    """All documents as PNG files, read whole and by ranges: a damaged image shows only in the former, a damaged card in both."""
+    path = fresh_path(spark, "pngs")
+    d = table(spark, sf_dir, "documents")
+    card = F.struct(F.lit("chara_card_v2").alias("spec"), F.struct(F.col("text").alias("description"), F.array("lang", "source").alias("tags")).alias("data"))
+    d.select(F.col("doc_id").alias("ordinal"), F.to_json(card).alias("json")).mapInPandas(_write_pngs(path), "n long").agg(F.sum("n")).collect()
+    card_source.register(spark)
+    number = F.regexp_extract("file_name", r"^(\d+)", 1).cast("long").alias("ordinal")
+    whole = spark.read.format("card_files").load(path).select(number, "status", (F.col("sha256").isNotNull() & (F.col("bytes_read") == F.col("size_bytes"))).alias("hashed"))
+    ranged = spark.read.format("card_files").option("verify", "cards").load(path)
+    ranged = ranged.select(number, F.col("status").alias("card_status"), F.sha2("card.description", 256).alias("description_sha256"), F.array_join("card.tags", ",").alias("tags"), (F.col("size_bytes") - F.col("bytes_read") > 5000).alias("stepped_over"))
+    return whole.join(ranged, "ordinal")

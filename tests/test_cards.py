@@ -6,7 +6,7 @@ import zlib
 
 import pytest
 
-from ledgerloom.sources import cards
+from ledgerloom.sources import card_source, cards
 
 
 def chunk(kind, body):
@@ -104,3 +104,32 @@ def test_scan_and_tag_files(spark, tmp_path):
     assert out["a/x.PNG"].tags_actually_added == ["原神"] and out["a/b/y.json"].status == "source_invalid"
     kept = cards.tag_files(files, spark.createDataFrame([("a/x.PNG", sha, ["原神"], True)], tags.schema)).first()
     assert kept.output_sha256 == kept.source_sha256 == sha
+
+
+def test_the_data_source_gives_what_a_scan_gives(spark, tmp_path):
+    """Whole files give the rows of a scan; by ranges a damaged image is not seen, and is not read."""
+    good = png(("chara", v2()))
+    large = cards.SIGNATURE + chunk(b"IHDR", bytes(13)) + chunk(b"IDAT", bytes(100_000)) + chunk(b"tEXt", b"ccv3\0" + base64.b64encode(json.dumps({"spec": "chara_card_v3", "data": {"name": "n"}}).encode())) + chunk(b"IEND", b"")
+    damaged = bytearray(large)
+    damaged[500] ^= 1
+    files = {"a/good.PNG": good, "large.png": large, "damaged.png": bytes(damaged), "cut.png": large[:-20], "short.png": good[:5], "no.png": png(), "v.json": json.dumps(v2()).encode(), "bad.JSON": b"{", "other.txt": b"x", "empty.png": b""}
+    for name, data in files.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+    card_source.register(spark)
+    columns = [c for c in card_source.FIELDS if c != "bytes_read"]
+    rows = lambda df: {r.relative_path: r for r in df.select(columns).collect()}
+    wanted = rows(cards.scan(cards.list_files(spark, f"file://{tmp_path}")))
+    (tmp_path / "link.png").symlink_to(tmp_path / "large.png")
+    got = rows(spark.read.format("card_files").load(str(tmp_path)))
+    empty = got.pop("empty.png")  # Spark's own reader leaves empty files out
+    assert (empty.status, empty.size_bytes) == ("invalid_png", 0) and got == wanted and len(got) == 8
+    ranged = spark.read.format("card_files").option("verify", "cards").load(f"file://{tmp_path}").collect()
+    by = {r.relative_path: r for r in ranged}
+    assert by["damaged.png"].status == "valid" and got["damaged.png"].status == "corrupt_png"
+    assert by.pop("empty.png").status == "invalid_png"
+    assert {p: r.status for p, r in by.items() if p != "damaged.png"} == {p: r.status for p, r in got.items() if p != "damaged.png"}
+    assert by["large.png"].card == got["large.png"].card and by["large.png"].card_sha256 == got["large.png"].card_sha256
+    assert by["large.png"].bytes_read < 1000 and by["large.png"].sha256 is None and by["v.json"].sha256 == got["v.json"].sha256
+    with pytest.raises(Exception, match="all or cards"):
+        spark.read.format("card_files").option("verify", "some").load(str(tmp_path)).count()
