@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.ordering import running_all
+
 # What must not be published. Examples, local hosts and the two neutral variable prefixes are allowed.
 FORBIDDEN = {
     "external API endpoint": r"(?i)https?://(?!(?:localhost|127\.0\.0\.1)(?::\d+)?(?:[/:\s\"'`)]|$))(?!(?:[^/\s\"']+\.)?example(?:\.[a-z]{2,})?(?::\d+)?(?:[/:\s\"'`)]|$))(?:(?:[a-z0-9-]+\.)+[a-z]{2,})(?::\d+)?/v\d+(?:[/?#\s\"'`)]|$)",
@@ -49,19 +51,10 @@ def usage_summary(events: DataFrame) -> DataFrame:
     return events.agg(F.count_if(counted | legacy).alias("requests"), F.coalesce(F.sum(F.when((counted | legacy) & (size > 0) & ~F.isnan(size) & (size < float("inf")), size)), F.lit(0.0)).alias("bytes"))
 
 
-def within_budget(events: DataFrame, sequence: str, size: str, requests: int, total: float | None = None, width: int = 10_000) -> DataFrame:
-    """``events`` with fits: whether an event, in its sequence, is still within the limits.
-
-    Requests and sizes are counted within ranges of ``width`` numbers of ``sequence`` and offset by the ranges before, so that no task sorts all events.
-    """
-    ranged = events.withColumn("__range", F.floor(F.col(sequence) / width))
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"), F.sum(size).alias("__size"))
-    sums = sums.select(F.col("__range").alias("__of"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__count"), F.sum("__size").over(before).alias("__sum"))
-    so_far = Window.partitionBy("__range").orderBy(sequence).rowsBetween(Window.unboundedPreceding, 0)
-    counted = ranged.withColumns({"__nth": F.count(F.lit(1)).over(so_far), "__own": F.sum(size).over(so_far)}).join(sums, F.col("__range").eqNullSafe(F.col("__of")))
-    fits = F.col("__nth") + F.col("__count") <= requests
+def within_budget(events: DataFrame, sequence: str, size: str, requests: int, total: float | None = None) -> DataFrame:
+    """``events`` with fits: whether an event, in its sequence, is still within the limits. Requests and sizes run over one range sort; what the partitions before have is carried over."""
+    counted = running_all(events, [], [F.col(sequence)], {"__nth": (F.lit(1), "sum", "long"), "__size": (F.col(size), "sum", "double")})
+    fits = F.col("__nth") <= requests
     if total is not None:
-        # As in one running sum, nulls count nothing, and nothing but nulls makes null.
-        fits = fits & (F.when(F.col("__sum").isNull(), F.col("__own")).otherwise(F.col("__sum") + F.coalesce("__own", F.lit(0))) <= total)
+        fits = fits & (F.col("__size") <= total)
     return counted.withColumn("fits", fits).select(*events.columns, "fits")

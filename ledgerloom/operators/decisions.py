@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import closed_category, compact, open_category
+from ledgerloom.operators.ordering import with_ordinal
 
 CLASSIFY, EXCLUDE, REVIEW = DECISIONS = ("classify", "exclude", "review")
 #: The category that an exclusion carries inside.
@@ -120,14 +121,6 @@ def categories(classified: DataFrame) -> DataFrame:
 
 
 def batches(rows: DataFrame, size: int, ordinal: str = "ordinal") -> DataFrame:
-    """``rows`` with batch, numbered in the order of ``ordinal``.
-
-    Ranks are counted within ranges of ``ordinal`` and offset by the ranges before, so that no task sorts all rows.
-    """
-    width = max(1, size * 1000)
-    ranged = rows.withColumn("__range", F.floor(F.col(ordinal) / width))
-    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
-    rank = F.row_number().over(Window.partitionBy("__range").orderBy(ordinal)) - 1 + F.col("__base")
-    return ranged.join(sizes, "__range").withColumn("batch", F.floor(rank / size).cast("long")).drop("__range", "__base")
+    """``rows`` with batch, numbered in the order of ``ordinal``; one range sort numbers all rows."""
+    numbered = with_ordinal(rows, [F.col(ordinal)], "__nth", first=0)
+    return numbered.withColumn("batch", F.floor(F.col("__nth") / size).cast("long")).drop("__nth")

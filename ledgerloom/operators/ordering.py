@@ -36,35 +36,41 @@ def with_ordinal(rows: DataFrame, order: Sequence[Column], name: str = "ordinal"
     return dealt.join(F.broadcast(starts), "__part").withColumn(name, F.col("__before") + F.col("__at")).drop("__part", "__at", "__before")
 
 
-def running(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, name: str, how: str = "sum", partitions: int | None = None) -> DataFrame:
-    """``rows`` with ``name``: the sum, or the maximum, of ``value`` (long) over the rows of the same ``keys`` up to and including each, in ``order``. ``rows`` are looked at twice.
+def running(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, name: str, how: str = "sum", kind: str = "long", partitions: int | None = None) -> DataFrame:
+    """``rows`` with ``name``: the sum, or the maximum, of ``value`` (as ``kind``) over the rows of the same ``keys`` up to and including each, in ``order``. ``rows`` are looked at twice.
 
-    Rows are range-sorted by keys and order, so that a hot key spans several partitions. What it has in earlier ones is carried over: a key
-    spans two partitions only where one ends, so there are fewer such keys than partitions. Without keys, all rows are one run.
+    Nulls count nothing; nothing but nulls makes null. Rows are range-sorted by keys and order, so that a hot key spans several partitions. What it has in earlier
+    ones is carried over: a key spans two partitions only where one ends, so there are fewer such keys than partitions. Without keys, all rows are one run.
     """
-    if how not in ("sum", "max"):
-        raise ValueError(f"no running {how}")
-    gather = F.sum if how == "sum" else F.max
-    dealt = in_order(rows.withColumn("__value", value.cast("long")), [*map(F.col, keys), *order], partitions)
+    return running_all(rows, keys, order, {name: (value, how, kind)}, partitions)
+
+
+def running_all(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], values: dict[str, tuple[Column, str, str]], partitions: int | None = None) -> DataFrame:
+    """As running(), for several values (value, how, kind) by name, with one sort."""
+    if wrong := [how for _, how, _ in values.values() if how not in ("sum", "max")]:
+        raise ValueError(f"no running {wrong[0]}")
+    gather = {n: F.sum if how == "sum" else F.max for n, (_, how, _) in values.items()}
+    dealt = in_order(rows.withColumns({f"__value_{n}": v.cast(kind) for n, (v, _, kind) in values.items()}), [*map(F.col, keys), *order], partitions)
     here = Window.partitionBy("__part", *keys).orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
-    dealt = dealt.withColumn("__own", gather("__value").over(here))
-    parts = dealt.groupBy("__part", *keys).agg(gather("__value").alias("__total"))
-    spans = parts.groupBy(*keys).agg(F.min("__part").alias("__span_first"), F.max("__part").alias("__span_last")).filter("__span_first < __span_last")
-    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]
-    pieces = parts.alias("p").join(F.broadcast(spans.alias("s")), same or F.lit(True)).select("p.*")
+    dealt = dealt.withColumns({f"__own_{n}": gather[n](f"__value_{n}").over(here) for n in values})
+    parts = dealt.groupBy("__part", *keys).agg(*(gather[n](f"__value_{n}").alias(f"__total_{n}") for n in values))
+    if keys:
+        spans = parts.groupBy(*keys).agg(F.min("__part").alias("__span_first"), F.max("__part").alias("__span_last")).filter("__span_first < __span_last")
+        same = [F.col(f"s.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]
+        parts = parts.alias("p").join(F.broadcast(spans.alias("s")), same).select("p.*")
     carried, sums = [], {}
-    for r in sorted(pieces.collect(), key=lambda r: r["__part"]):
+    for r in sorted(parts.collect(), key=lambda r: r["__part"]):
         key = tuple(r[k] for k in keys)
-        before = sums.get(key)
-        carried.append((r["__part"], *key, before))
-        some = [x for x in (before, r["__total"]) if x is not None]
-        sums[key] = (sum(some) if how == "sum" else max(some)) if some else None
+        before = sums.get(key, dict.fromkeys(values))
+        carried.append((r["__part"], *key, *before.values()))
+        some = {n: [x for x in (before[n], r[f"__total_{n}"]) if x is not None] for n in values}
+        sums[key] = {n: (sum(x) if values[n][1] == "sum" else max(x)) if x else None for n, x in some.items()}
     types = dict(rows.dtypes)
-    carry = rows.sparkSession.createDataFrame(carried, ", ".join(["__part long", *(f"`{k}` {types[k]}" for k in keys), "__carry long"]))
+    carry = rows.sparkSession.createDataFrame(carried, ", ".join(["__part long", *(f"`{k}` {types[k]}" for k in keys), *(f"`__carry_{n}` {kind}" for n, (_, _, kind) in values.items())]))
     same = [F.col(f"c.{k}").eqNullSafe(F.col(f"d.{k}")) for k in ("__part", *keys)]
-    joined = dealt.alias("d").join(F.broadcast(carry.alias("c")), same, "left").select("d.*", "c.__carry")
-    both = F.coalesce(F.col("__carry") + F.col("__own"), "__own", "__carry") if how == "sum" else F.greatest("__carry", "__own")
-    return joined.withColumn(name, both).drop("__part", "__at", "__own", "__value", "__carry")
+    joined = dealt.alias("d").join(F.broadcast(carry.alias("c")), same, "left").select("d.*", *(f"c.__carry_{n}" for n in values))
+    both = {n: F.coalesce(F.col(f"__carry_{n}") + F.col(f"__own_{n}"), f"__own_{n}", f"__carry_{n}") if how == "sum" else F.greatest(f"__carry_{n}", f"__own_{n}") for n, (_, how, _) in values.items()}
+    return joined.select(*rows.columns, *(c.alias(n) for n, c in both.items()))
 
 
 def rank_within(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank", partitions: int | None = None) -> DataFrame:

@@ -494,12 +494,12 @@ def refine(spark: SparkSession, classified: Path, reports: str, allowed: list[st
 
 
 @chained("refined")
-def enrich(spark: SparkSession, refined: Path, reports: str, client: Client, system: str = "", versions: tuple[str, str] = ("given", "given"), batch_size: int = 30, workers: int = 1, resume: Path | None = None) -> Path:
-    """A complete refinement once more, with source media asked for anew; works are not asked about again."""
+def enrich(spark: SparkSession, refined: Path, reports: str, client: Client, system: str = "", versions: tuple[str, str] = ("given", "given"), batch_size: int = 30, workers: int = 1, resume: Path | None = None, settings: dict | None = None, budget: dict | None = None) -> Path:
+    """A complete refinement once more, with source media asked for anew; works are not asked about again. ``resume`` as in classify()."""
     summary = _complete(refined)
     if summary.get("scope") != SCOPE:
         raise ValueError("the refinement has another scope")
-    folder = _begin(reports, resume, {"refined": str(refined), "model_version": versions[0], "prompt_version": versions[1], "batch_size": batch_size, "scope": SCOPE})
+    folder = _begin(reports, resume, {"refined": str(refined), "model_version": versions[0], "prompt_version": versions[1], "batch_size": batch_size, "scope": SCOPE} | (settings or {}), budget)
     rows = _relation(spark, refined, "refinements").drop("fanwork_source_category", "source_category_source")
     destinations.must_count(rows, summary.get("files"), "the refinement")
     destinations.must_be_empty(destinations.bad_refinements(rows), "the refinement has bad rows")

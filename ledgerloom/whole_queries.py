@@ -238,6 +238,17 @@ def refinement_guard(spark, sf_dir: str) -> DataFrame:
     return destinations.bad_refinements(rows).select("ordinal")
 
 
+@query("SELECT 'en/' || doc_id AS path, 'de/' || doc_id AS source_path FROM documents WHERE doc_id % 3 = 0 OR text IS NULL OR doc_id % 11 = 0")
+def stale_translations(spark, sf_dir: str) -> DataFrame:
+    """All documents as sources of translations: some name the hash of another text, some name none, and some have no source any more."""
+    d = table(spark, sf_dir, "documents")
+    path, source = F.concat(F.lit("en/"), "doc_id").alias("path"), F.concat(F.lit("de/"), "doc_id")
+    named = F.when(F.col("doc_id") % 6 == 0, F.lit("no hash")).otherwise(F.upper(F.sha2(F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text")), 256)))
+    translations = d.select(path, F.concat(F.lit("Source SHA-256: "), F.coalesce(named, F.lit("")), F.lit(".")).alias("text"), source.alias("source_path"))
+    sources = d.filter((F.col("doc_id") % 11 != 0) & F.col("text").isNotNull()).select(source.alias("path"), "text")
+    return audit.stale_translations(translations, sources)
+
+
 # --- Names that natural and generated claims meet in.
 
 _CONTESTED = """hashed AS (
