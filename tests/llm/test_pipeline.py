@@ -61,6 +61,6 @@ def test_registered_queries():
     """Each operator's query is its function, and SQL stands beside queries only."""
     from ledgerloom.llm import registry
 
-    assert [k.split("_")[0] for k in registry.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [k.split("_")[0] for k in registry.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert all(callable(q) and q.__name__ == k for k, q in registry.QUERIES.items())
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES) and all(isinstance(s, str) for s in registry.ORACLE_SQL.values())
