@@ -80,12 +80,12 @@ def same_card_different_file(spark, sf_dir: str) -> DataFrame:
     return paged_groups(records, duplicates.SAME_CARD)
 
 
-#: FORBIDDEN in RE2, which has no lookaheads: what is matched, and which matches are allowed.
+# The patterns of the content check in RE2, which has no lookaheads: what is matched, and which matches are allowed. Written out, so that the SQL does not follow the library.
 _SCANNED = {
     "external API endpoint": (r"(?i)https?://(?:[a-z0-9-]+\.)+[a-z]{2,}(?::\d+)?/v\d+(?:[/?#\s\"'`)]|$)", r"(?i)^https?://(?:[^/\s\"']+\.)?example(?:\.[a-z]{2,})?(?::\d+)?(?:[/:\s\"'`)]|$)"),
     "credential variable": (r"\b[A-Z][A-Z0-9]*(?:_(?:API_KEY|API_TOKEN|SECRET|TOKEN|PASSWORD))\b", "^(?:MODEL|API)_"),
-    "unsafe prompt marker": (audit.FORBIDDEN["unsafe prompt marker"], None),
-    "private-looking Windows path": (audit.FORBIDDEN["private-looking Windows path"], None),
+    "unsafe prompt marker": (r"(?i)\b(?:unrestricted|jailbreak)\b|(?:无限制|不受限制)(?:模式|指令)", None),
+    "private-looking Windows path": (r"(?i)\b[A-Z]:\\(?:[^\\\r\n`\"'<>|,]*\\)*(?:[^\\\r\n`\"'<>|,]*[ ][^\\\r\n`\"'<>|,]*\\|[^\\\r\n`\"'<>|,]*[^\x00-\x7F][^\\\r\n`\"'<>|,]*\\|(?:Users|home|Documents and Settings)\\[^\\\r\n`\"'<>|,]+)", None),
     "email address": (r"(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b", r"(?i)@(?:[A-Z0-9-]+\.)*example(?:\.[A-Z]{2,})?\b"),
 }
 
