@@ -73,11 +73,16 @@ PAGE = 1000
 def pages(members: DataFrame, size: int = PAGE) -> DataFrame:
     """type, key, group_size, page (from 0), files (sorted paths, ``size`` at most) of rows that duplicate_members() gave; pages of a group follow each other.
 
-    A path's place in its group comes from one range sort by group and path, so that a group of any size is spread over tasks.
+    Groups of one page are gathered as they are. In larger ones a path's place comes from a range sort by group and path, so that a group of any size is spread over tasks.
     """
-    placed = rank_within(written(members, "members"), ["type", "key"], [F.col("relative_path")], "place")
-    paged = placed.withColumn("page", F.floor((F.col("place") - 1) / size))
-    return paged.groupBy("type", "key", "group_size", "page").agg(F.sort_array(F.collect_list("relative_path")).alias("files"))
+    members = written(members, "members")
+    files = F.sort_array(F.collect_list("relative_path")).alias("files")
+    few = members.filter(F.col("group_size") <= size).groupBy("type", "key", "group_size").agg(files).select("type", "key", "group_size", F.lit(0).cast("long").alias("page"), "files")
+    many = members.filter(F.col("group_size") > size)
+    if not many.take(1):
+        return few
+    placed = rank_within(many, ["type", "key"], [F.col("relative_path")], "place")
+    return few.unionByName(placed.withColumn("page", F.floor((F.col("place") - 1) / size)).groupBy("type", "key", "group_size", "page").agg(files))
 
 
 def collated() -> list[Column]:
