@@ -105,7 +105,7 @@ def decode_ids(path: str, ids: list[int]) -> bytes:
 def encode_documents(docs: DataFrame, ranks_path: str, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids as binary with ``with_ids``) of every row of (doc_id, text).
 
-    A null text counts as empty: no ids, digests of nothing. Repeated rows and null doc_ids are kept; other columns are ignored.
+    A null text counts as empty: no ids, digests of nothing. Repeated rows and null doc_ids are kept; other columns are ignored. An empty table gives no rows; texts of any length are encoded whole.
     """
     digest = lambda x: hashlib.sha256(x).hexdigest()
 

@@ -119,7 +119,11 @@ def pack(pieces: DataFrame, max_tokens: int = 1024) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, max_tokens: int = 1024, with_ids: bool = False) -> DataFrame:
-    """Tokenise, cut and pack; an empty table gives no rows. A row for each piece."""
+    """Tokenise, cut and pack: a row for each piece.
+
+    An empty table gives no rows. A null or empty text is the closing id alone. Rows that repeat a doc_id, or have none, are documents of their own, of which the
+    pieces cannot be told apart. Texts are tokenised whole, whatever their length; other columns than doc_id and text are not looked at.
+    """
     return pack(materialise(tokenised_pieces(docs, tokenizer_path, max_tokens, with_ids=with_ids), "pieces"), max_tokens)
 
 

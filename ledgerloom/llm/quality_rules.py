@@ -136,7 +136,11 @@ def _with_verdicts(rows: DataFrame, verdicts: DataFrame, host: str) -> DataFrame
 
 
 def judge(docs: DataFrame, host: str = "source", worst_rate: float = WORST_RATE) -> DataFrame:
-    """doc_id, the measures, base_failed, host_rejected, kept for every row. A null host is never rejected; repeated rows count each time."""
+    """doc_id, the measures, base_failed, host_rejected, kept for every row.
+
+    A null host is never rejected; repeated rows count each time, and so do rows with a null doc_id, which stays null. A null or empty text has no words and
+    fails. Texts of any length are measured whole. An empty table gives no rows. Other columns than doc_id, text and ``host`` are not looked at.
+    """
     rows = materialise(measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(host).alias("__source"), "text")).drop("text"), "measures")
     rules = _rules()
     failed = F.lit(False)
@@ -147,7 +151,7 @@ def judge(docs: DataFrame, host: str = "source", worst_rate: float = WORST_RATE)
 
 
 def passing(docs: DataFrame, host: str = "source", worst_rate: float = WORST_RATE) -> DataFrame:
-    """The rows of ``docs`` that the rules keep. Texts are measured twice, for the hosts and for the rows, so that no text is shuffled."""
+    """The rows of ``docs`` that the rules keep, with all their columns, which must not be called ``__m``, ``__host``, ``__rejected`` or ``__host_rejected``; else as judge(). Texts are measured twice, for the hosts and for the rows, so that no text is shuffled."""
     narrow = measured(docs.select(F.col(host).alias("__source"), "text")).drop("text")
     verdicts = host_verdicts(narrow, "__source", worst_rate)
     marked = docs.withColumn("__m", _measure("text"))
