@@ -49,6 +49,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``.
+
+    Null and empty texts go with the first stage. Rows without a doc_id are compared with nothing and stay unless language or rules reject them; of
+    rows that repeat a doc_id one stays. An empty table gives no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)
