@@ -1,6 +1,8 @@
 import tiktoken
 import public_tokenizers
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from ledgerloom.llm import byte_bpe, language_id, packing, quality_rules
 from ledgerloom.llm.common import materialise
@@ -64,3 +66,19 @@ def test_registered_queries():
     assert [k.split("_")[0] for k in registry.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert all(callable(q) and q.__name__ == k for k, q in registry.QUERIES.items())
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES) and all(isinstance(s, str) for s in registry.ORACLE_SQL.values())
+
+
+def test_odd_rows_and_an_empty_table(spark, small, tmp_path):
+    """Rows without a doc_id stay, of repeated ones one does, null and empty texts go; nothing comes of nothing."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.run(spark, small).select("doc_id").distinct().collect()}
+    some = sorted(kept)[:2]
+    again = docs.filter(F.col("doc_id").isin(some))
+    odd = again.withColumn("doc_id", F.lit(None).cast("long")).unionByName(again.limit(1)).unionByName(docs.limit(2).withColumn("doc_id", F.col("doc_id") + 10**6).withColumn("text", F.lit(None).cast("string")))
+    docs.unionByName(odd).write.parquet(str(tmp_path / "documents.parquet"))
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in pieces if r.doc_id is not None} == kept and sum(r.doc_id is None and r.start == 0 for r in pieces) == 2
+    assert len({(r.doc_id, r.start) for r in pieces if r.doc_id is not None}) == sum(r.doc_id is not None for r in pieces)
+    (tmp_path / "none").mkdir()
+    docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
