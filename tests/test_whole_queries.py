@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 from ledgerloom import whole_queries
 from ledgerloom.functions import canonical_json as cj
 from ledgerloom.operators import audit
+from ledgerloom.plans import files
 from tests.test_queries import TABLES, plain
 
 #: Queries that find nothing on the given tables.
@@ -148,3 +149,12 @@ def test_supplier_files_are_made_by_many_tasks(spark, small):
     assert len(rows) == len({r.relative_path for r in rows}) == len(suppliers)
     want = {b'{"spec":"chara_card_v2","data":{"name":"%d","tags":["old","n%d"]}}\n' % (r.s_suppkey, r.s_nationkey) for r in suppliers}
     assert {bytes(r.content) for r in rows} == want
+
+
+def test_supplier_files_need_no_commit_by_the_driver(spark, small):
+    """The files that a plan moves stand in many folders, put in place by tasks; no committer moved them one by one."""
+    path, listed = whole_queries._supplier_files(spark, small)
+    fs, base = files.opened(path)
+    names = {x.base_name for x in fs.get_file_info(files.listing(base))}
+    assert "_SUCCESS" not in names and names >= {f"d{i}" for i in range(listed.count())}
+    assert not fs.get_file_info(files.listing(f"{base}/.staging"))
