@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 # The white space of ECMAScript, the characters that no directory name may hold, and the reserved device names.
 SPACE = r"[\s\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+# Runs of it that are not one blank already. A character is first told by [^ -~], as trying the whole class on each is slow.
+RUNS = f"[[^ -~]&&{SPACE}]{SPACE}*| {SPACE}+"
 FORBIDDEN = r'[<>:"/\\|?*\x{0000}-\x{001F}]'
 RESERVED = r"(?i)^(?:con|prn|aux|nul|com[1-9]|lpt[1-9])(?:\.|$)"
 NAME_LIMIT = 40
@@ -43,13 +45,16 @@ def trim(column: str | Column) -> Column:
 
 def squeeze(column: str | Column) -> Column:
     """Runs of white space as one space, none at the ends; null as empty."""
-    return F.trim(F.regexp_replace(F.coalesce(_column(column), F.lit("")), f"{SPACE}+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(_column(column), F.lit("")), RUNS, " "))
 
 
 def compact(column: str | Column, limit: int) -> Column:
-    """Squeezed, and cut to ``limit`` characters with an ellipsis."""
-    text = squeeze(column)
-    return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit("…"))).otherwise(text)
+    """Squeezed, and cut to ``limit`` characters with an ellipsis. Where the head of a text is over the limit once squeezed, the rest cannot change the result; else the whole text is squeezed."""
+    # Each branch refers to what it squeezes once, so that nothing is squeezed twice.
+    c, size = _column(column), limit + limit // 4 + 16
+    over = F.try_element_at(F.regexp_extract_all(squeeze(F.substring(c, 1, size)), F.lit(f"(?s)\\A.{{{limit}}}(?=.)"), F.lit(0)), F.lit(1))
+    whole = F.regexp_replace(squeeze(c), f"(?s)\\A(.{{{limit}}}).+", "$1…")
+    return F.when(F.length(c) > size, F.coalesce(F.concat(over, F.lit("…")), whole)).otherwise(whole)
 
 
 def compact_array(column: str | Column, count: int, limit: int) -> Column:

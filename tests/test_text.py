@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import canonical_json as cj
@@ -53,3 +55,19 @@ def test_nulls_and_collation(spark):
     assert values(spark, T.nfkc("t"), None, "ａ", "a") == [None, "a", "a"]
     names = spark.createDataFrame([("b",), ("a",), ("B",)], "t string").orderBy(F.expr("t COLLATE UNICODE")).collect()
     assert [r.t for r in names] == ["a", "b", "B"]
+
+
+def test_heads_decide_only_what_they_hold(spark):
+    """Texts around the limit, runs of white space around the end of the head, blanks of every kind: as the plain rule, in Spark and in Python; no branch squeezes a text twice."""
+    n, space = 20, " \t\n\v\f\r\u00a0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+    texts = [None, "", " ", space * 9, "a b  c", "a" * n, "a" * (n + 1), "a" * n + space * 9, "a" * (n - 1) + " " * 99 + "b", "a" * n + " " * 99 + "b", " " * 99 + "word " * 30]
+    texts += ["a" + " " * k + "b" * k + space + "c" * 7 for k in range(45)] + ["é\u2003\U0001f600 " * k for k in range(30)] + [c.join("xyz" * 9) for c in space] + ["\u200b\x85\x1c\x00 " * 9]
+
+    def rule(t):
+        t = re.sub(f"[{space}\u2000-\u200a]+", " ", t or "").strip(" ")
+        return t[:n] + "…" if len(t) > n else t
+
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string").select("i", T.compact("t", n).alias("c"))
+    assert [r.c for r in df.orderBy("i").collect()] == [rule(t) for t in texts]
+    assert [cj.shorten(t, n) for t in texts if t is not None] == [rule(t) for t in texts if t is not None]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(coalesce(t#") == 2
