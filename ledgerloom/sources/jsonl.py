@@ -6,7 +6,8 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +15,9 @@ from ledgerloom.functions import canonical_json as cj
 
 PREFIX = '{"relative_path":'
 RECORDS = "start_line long, end_line long, json string, repaired boolean, error string"
+_PARSED = pa.schema([("start_line", pa.int64()), ("end_line", pa.int64()), ("json", pa.string()), ("repaired", pa.bool_()), ("error", pa.string())])
+#: Bytes of text that a task holds as Python objects at once; a longer record is alone.
+SLICE = 4 << 20
 _SHORT = {"\b": "\\b", "\t": "\\t", "\n": "\\n", "\f": "\\f", "\r": "\\r"}
 _STRING = re.compile(r'"(?:[^"\\]|\\.)*"?', re.DOTALL)
 
@@ -39,6 +43,18 @@ def parse_record(raw: str, start: int, end: int, orphan: bool = False) -> tuple:
             return start, end, None, False, f"{first}; repair failed: {second}"
 
 
+def slices(batch: pa.RecordBatch, texts: pa.Array, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """``batch``, all of it in order, in pieces of at most ``size`` bytes of ``texts``, or of one row."""
+    start, held = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > start and held + n > size:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def read_repairing(spark: SparkSession, path: str, prefix: str = PREFIX) -> DataFrame:
     """A row for each record of the file or folder: start_line, end_line, json, repaired, error.
 
@@ -54,28 +70,30 @@ def read_repairing(spark: SparkSession, path: str, prefix: str = PREFIX) -> Data
     lines = lines.withColumn("own", F.sum("lines").over(within)).join(splits, ["file", "block"])
     lines = lines.withColumn("after", F.col("own") + F.col("offset")).withColumn("first", F.col("after") == F.col("lines"))
 
-    def parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def records(rows: pa.RecordBatch) -> Iterator[tuple]:
+        for value, first, n, after in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+            start = after - n + 1
+            if first:
+                value = value.removeprefix("\ufeff")
+                if not value.startswith(prefix):
+                    for i, line in enumerate(value.split("\n")):
+                        if line.strip():
+                            yield parse_record("", start + i, start + i, orphan=True)
+                    continue
+            else:
+                value = prefix + value
+            kept = [x.removesuffix("\r") for x in value.split("\n")]
+            end = after
+            if kept[-1] == "" and len(kept) > 1:  # the LF that ends the file
+                kept, end = kept[:-1], after - 1
+            yield parse_record("\n".join(kept), start, end)
+
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for value, first, n, after in zip(batch.value, batch["first"], batch.lines, batch.after, strict=True):
-                start = after - n + 1
-                if first:
-                    value = value.removeprefix("﻿")
-                    if not value.startswith(prefix):
-                        for i, line in enumerate(value.split("\n")):
-                            if line.strip():
-                                out.append(parse_record("", start + i, start + i, orphan=True))
-                        continue
-                else:
-                    value = prefix + value
-                kept = [x.removesuffix("\r") for x in value.split("\n")]
-                end = after
-                if kept[-1] == "" and len(kept) > 1:  # the LF that ends the file
-                    kept, end = kept[:-1], after - 1
-                out.append(parse_record("\n".join(kept), start, end))
-            yield pd.DataFrame(out, columns=["start_line", "end_line", "json", "repaired", "error"])
-
-    return lines.select("value", "first", "lines", "after").mapInPandas(parsed, RECORDS)
+            for rows in slices(batch, batch.column(0)):
+                yield pa.RecordBatch.from_pylist([dict(zip(_PARSED.names, r, strict=True)) for r in records(rows)], schema=_PARSED)
+
+    return lines.select("value", "first", "lines", "after").mapInArrow(parsed, RECORDS)
 
 
 def read_tolerant(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 
 from ledgerloom.sources import jsonl
@@ -62,3 +63,13 @@ def test_checkpoint_policy_and_paths(spark, tmp_path):
     assert jsonl.latest_artifact(spark, str(tmp_path), "a.json", lambda b: not b.endswith("2")).endswith("/1/a.json")
     assert jsonl.remap_prefix("/Old/x/y.png", {"/old": "/new"}) == "/new/x/y.png"
     assert jsonl.remap_prefix("/older/y", {"/old": "/new"}) == "/older/y"
+
+
+def test_batches_are_parsed_in_slices():
+    """No row is lost or changes its place; a piece is over the size only where it is one row."""
+    texts = ["x" * (i * 37 % 101) for i in range(500)] + [None, "", "é" * 300, "y"]
+    batch = pa.RecordBatch.from_pydict({"value": pa.array(texts, pa.string()), "n": list(range(len(texts)))})
+    pieces = list(jsonl.slices(batch, batch.column(0), 200))
+    assert [(r["value"], r["n"]) for p in pieces for r in p.to_pylist()] == list(zip(texts, range(len(texts)), strict=True))
+    assert len(pieces) > 50 and all(p.num_rows == 1 or sum(len((v or "").encode()) for v in p.column(0).to_pylist()) <= 200 for p in pieces)
+    assert not list(jsonl.slices(batch.slice(0, 0), batch.slice(0, 0).column(0)))
