@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import uuid
 from collections.abc import Callable
 
@@ -13,7 +14,8 @@ BLOCK = 1 << 20
 
 
 def opened(place: str) -> tuple[pafs.FileSystem, str]:
-    """(file system, path) of an absolute path or a URI."""
+    """(file system, path) of an absolute path or a URI; that of a local file is taken as Hadoop takes it, with no escapes in it."""
+    place = re.sub(r"^file:/(//(?=[^/]|$)|(?!/))", "/", place)
     return pafs.FileSystem.from_uri(place) if "://" in place else (pafs.LocalFileSystem(), os.path.abspath(place))
 
 
@@ -21,6 +23,11 @@ def join(folder: str, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}"
 
 
+def make_folder(place: str) -> None:
+    fs, path = opened(place)
+    fs.create_dir(path, recursive=True)
+
+
 def listing(path: str) -> pafs.FileSelector:
     """What a file system needs to list a folder; one that is not there is empty."""
     return pafs.FileSelector(path, allow_not_found=True)

@@ -133,3 +133,44 @@ def test_the_data_source_gives_what_a_scan_gives(spark, tmp_path):
     assert by["large.png"].bytes_read < 1000 and by["large.png"].sha256 is None and by["v.json"].sha256 == got["v.json"].sha256
     with pytest.raises(Exception, match="all or cards"):
         spark.read.format("card_files").option("verify", "some").load(str(tmp_path)).count()
+
+
+def test_listing_gives_what_sparks_own_source_gives(spark, tmp_path):
+    """Names with spaces and signs, levels of folders, links, hidden and empty files."""
+    root = tmp_path / "a b%20 +ü"
+    names = ["x.png", "a/y.JSON", "a/b c/d%41/z.Json", "a/b c/w.png", "_hidden.json", "_kept=1.json", ".dot/x.json", "_gone/x.json", "_metadata_of/x.json", "_metadata.json", "k=v/x.json", "n.txt", "png", "cut.json._COPYING_"]
+    for name in names:
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(name.encode())
+    (root / "empty.json").touch()
+    (root / "link.json").symlink_to(root / "x.png")
+    (root / "linked").symlink_to(root / "a" / "b c")
+    (root / "broken.json").symlink_to(root / "nothing")
+    own = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"file://{root}").filter("lower(path) rlike '[.](png|json)$'").collect()
+    want = {r.path.removeprefix(f"file:{root}/"): (r.length, r.modificationTime.strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z", bytes(r.content)) for r in own}
+    got = cards.list_files(spark, f"file://{root}").collect()
+    assert {r.relative_path: (r.size_bytes, r.modified_utc, bytes(r.content)) for r in got} == want and len(got) == len(want) == 10
+    assert {(r.file_name, r.extension) for r in got} >= {("z.Json", ".json"), ("_kept=1.json", ".json"), ("w.png", ".png")}
+    assert {r.path for r in cards.list_paths(spark, f"file://{root}").collect()} == {f"{root}/{name}" for name in want}
+    with pytest.raises(FileNotFoundError):
+        cards.list_files(spark, f"file://{root}/nothing")
+
+
+def test_small_files_are_dealt_to_few_tasks(spark, tmp_path, monkeypatch):
+    """The tasks of a listing follow the number and the bytes of its files, not what Spark reckons for opening each; large contents come in slices."""
+    for i in range(120):
+        (tmp_path / f"d{i % 7}").mkdir(exist_ok=True)
+        (tmp_path / f"d{i % 7}" / f"{i}.json").write_text(str(i) * 50)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        files = cards.list_files(spark, str(tmp_path))
+        assert files.rdd.getNumPartitions() == cards.list_paths(spark, str(tmp_path)).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(cards, "FILES", 20)
+    monkeypatch.setattr(cards, "SLICE", 300)
+    many = cards.list_files(spark, str(tmp_path))
+    assert many.rdd.getNumPartitions() == 6
+    want = {(f"d{i % 7}/{i}.json", (str(i) * 50).encode()) for i in range(120)}
+    assert [{(r.relative_path, bytes(r.content)) for r in df.collect()} == want for df in (files, many)] == [True, True]
+    assert many.count() == 120

@@ -158,3 +158,25 @@ def test_supplier_files_need_no_commit_by_the_driver(spark, small):
     names = {x.base_name for x in fs.get_file_info(files.listing(base))}
     assert "_SUCCESS" not in names and names >= {f"d{i}" for i in range(listed.count())}
     assert not fs.get_file_info(files.listing(f"{base}/.staging"))
+
+
+SUPPLIER = "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"
+
+
+@pytest.mark.parametrize("keys", [[], [7, 11, 14, 22]])
+def test_plans_of_which_nothing_arrives(spark, fixture, keys):
+    """No suppliers at all, and only such whose files stay where they are."""
+    folder = fixture(supplier=([(k, "s", k % 5, 1.0) for k in keys], SUPPLIER))
+    assert len(both(spark, folder, "executed_plan", ["supplier"])) == len(keys)
+    assert len(both(spark, folder, "executed_tags", ["supplier"])) == len(keys)
+
+
+def test_moved_files_stand_in_many_folders(spark, fixture, monkeypatch):
+    """The folders that a plan moves files into are as many as those they come from, and more for more files."""
+    folder = fixture(supplier=([(k, "s", 1, 1.0) for k in range(1, 7)], SUPPLIER))
+    paths, fresh_path = {}, whole_queries.fresh_path
+    monkeypatch.setattr(whole_queries, "fresh_path", lambda spark, name: paths.setdefault(name, fresh_path(spark, name)))
+    assert len(both(spark, folder, "executed_plan", ["supplier"])) == 6
+    fs, base = files.opened(paths["moved"])
+    assert sum(x.base_name.startswith("d") for x in fs.get_file_info(files.listing(base))) > 1
+    assert whole_queries._folders(1_000) == 100 and whole_queries._folders(360_000) == 180
